@@ -58,13 +58,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the size, without running anything."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's estimate of the size, without running anything; 64 MB a partition where it has none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else df.rdd.getNumPartitions() << 26
 
 
 def n_blocks(df: DataFrame, block_bytes: int = BLOCK_BYTES, least: int = 64) -> int:
-    """How many blocks cut df to about block_bytes each; grows with the input without a cap."""
-    return max(least, -(-input_bytes(df) // block_bytes))
+    """How many blocks cut df to about block_bytes each; grows with the input."""
+    return min(2**31 - 1, max(least, -(-input_bytes(df) // block_bytes)))
 
 
 def block_of(column: str, blocks: int):

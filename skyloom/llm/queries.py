@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, quality
+import public_tokenizers
+
+from . import bpe, chat, decontaminate, line_dedup, quality, token_files, warc
 from .common import table
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -14,16 +16,35 @@ def op2_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_format(spark, sf_dir):
+    return chat.digest(chat.with_probe(table(spark, sf_dir, "conversations")))
+
+
 def op5_decontaminate(spark, sf_dir):
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_arc_to_warc(spark, sf_dir):
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
+def op8_token_files(spark, sf_dir):
+    return token_files.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_quality_rules(spark, sf_dir):
     return quality.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark, sf_dir):
+    return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES = (op2_line_dedup, op3_chat_format, op5_decontaminate, op7_arc_to_warc, op8_token_files, op9_quality_rules, op10_byte_bpe)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_line_dedup, op5_decontaminate, op9_quality_rules)}
+    return {f.__name__: f for f in QUERIES}
 
 
 ORACLES = {
@@ -35,6 +56,17 @@ f AS (SELECT k FROM l WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_
 SELECT doc_id, count(*) AS n_lines, count(f.k) AS n_dropped,
   sha256(coalesce(string_agg(CASE WHEN f.k IS NULL THEN line END, chr(10) ORDER BY i), '')) AS kept_sha256
 FROM l LEFT JOIN f ON l.k = f.k GROUP BY doc_id""",
+    "op3_chat_format": r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+t AS (SELECT *, length(text) + CASE WHEN regexp_matches(text, '<\\+\|') OR contains(text || '<|im_end|>' || chr(10), '<|im_end|>' || chr(10) || '<|im_end|>')
+    OR contains(text, '<|im_end|>' || chr(10)) THEN len(regexp_extract_all(text, '<\\*\|')) ELSE 0 END AS n FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(24 + length(role) + n) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id""",
     "op5_decontaminate": f"""
 WITH b AS (SELECT item_id, regexp_extract_all({_LOWER.format("text")}, '{_ITEM_WORDS}') AS w FROM benchmark),
 win AS (SELECT DISTINCT item_id, len(p) AS m, array_to_string(p, ' ') AS p FROM (
@@ -50,6 +82,14 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_arc_to_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT page_id, h, octet_length(h) AS n, sha1(h) AS sha, max(page_id) OVER (PARTITION BY h) AS keeper FROM p),
+b AS (SELECT *, (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(list_sum([CAST(substr(bits, g * 5 + k, 1) AS INTEGER) << (5 - k) for k in [1, 2, 3, 4, 5]]) AS BIGINT) + 1, 1), '' ORDER BY g)
+    FROM range(32) r(g)) AS digest
+  FROM (SELECT *, array_to_string([lpad(bin(CAST(('0x' || substr(sha, i, 1)) AS INTEGER)), 4, '0') for i in range(1, 41)], '') AS bits FROM d))
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to FROM b""",
     "op9_quality_rules": f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
 lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
