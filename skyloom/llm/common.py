@@ -123,10 +123,36 @@ def shingles(word_hashes: np.ndarray, n: int) -> np.ndarray:
     n = min(n, len(word_hashes))
     m = len(word_hashes) - n + 1
     h = np.full(m, n, np.uint64)
-    for i in range(n):
-        h = mixed(h ^ word_hashes[i : i + m], i)
-    return h
-
-
-def crc32_of(column):
-    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
+    with np.errstate(over="ignore"):
+        for i in range(n):
+            h += word_hashes[i : i + m] * (_MIX[i % 3] + np.uint64(2 * i))
+    return mixed(h)
+
+
+def batch_shingles(texts: list[bytes], n: int, hashes: WordHashes) -> tuple[list[np.ndarray], np.ndarray]:
+    """shingles() of each text's words, A-Z lower-cased, computed for all texts at once; and the numbers of words."""
+    words, lens = [], []
+    for t in texts:
+        own = t.lower().split()
+        words += own
+        lens.append(len(own))
+    h = hashes(words)
+    ends = np.cumsum(lens)
+    all_runs = shingles(h, n) if len(h) >= n else h[:0]
+    out = []
+    for end, size in zip(ends.tolist(), lens):
+        start = end - size
+        out.append(all_runs[start : end - n + 1] if size >= n else shingles(h[start:end], n))
+    return out, np.array(lens, np.int64)
+
+
+def text_slices(texts: list[bytes], most: int = 1 << 20):
+    """Slices of about `most` bytes."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > most:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(t)
+    if texts:
+        yield slice(start, len(texts))
