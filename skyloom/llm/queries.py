@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, chat, decontaminate, line_dedup, near_dup, quality, token_files, warc
+from . import bpe, chat, decontaminate, line_dedup, near_dup, quality, repeats, token_files, warc
 from .common import table
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -28,6 +28,10 @@ def op5_decontaminate(spark, sf_dir):
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_repeated_bytes(spark, sf_dir):
+    return repeats.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_arc_to_warc(spark, sf_dir):
     return warc.digest(table(spark, sf_dir, "pages"))
 
@@ -44,7 +48,7 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = (op2_line_dedup, op3_chat_format, op4_ngram_jaccard, op5_decontaminate, op7_arc_to_warc, op8_token_files, op9_quality_rules, op10_byte_bpe)
+QUERIES = (op2_line_dedup, op3_chat_format, op4_ngram_jaccard, op5_decontaminate, op6_repeated_bytes, op7_arc_to_warc, op8_token_files, op9_quality_rules, op10_byte_bpe)
 
 
 def queries() -> dict:
