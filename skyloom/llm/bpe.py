@@ -7,8 +7,8 @@ pair. Decoding: id rows join the vocabulary and an ordered aggregation concatena
 
 Defined results: null and empty texts have no ids and decode to no bytes; repeated rows are encoded one by one; other
 columns are ignored or kept, whatever they are called. Only white space of the pattern separates units, so a unit's
-ids don't depend on what surrounds it. Units once encoded are remembered up to CACHE of them, then forgotten; a word
-of n bytes takes at most n steps.
+ids don't depend on what surrounds it. A worker remembers a bounded number of words and units; a word of n bytes takes
+at most n steps.
 """
 
 from __future__ import annotations
@@ -20,26 +20,34 @@ import re
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import PieceTable
+
 #: White space of the pattern: Unicode's White_Space.
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CACHE = 300_000
-#: Bytes of text that are encoded and decoded together.
-CHUNK = 2 << 20
+#: Words and units that a worker remembers; beyond, it forgets all of them.
+WORDS, UNITS = 700_000, 500_000
+#: Characters of text that are encoded and decoded together.
+CHUNK = 4 << 20
+_MARK = "\x00"
+_NEXT_TO_SPACE = re.compile(f"[{SPACE}] | [{SPACE}]")
 _UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
 _MERGE = """
 WITH RECURSIVE t AS (
-  SELECT word, pos, tok, 0 AS step FROM start
+  SELECT place, tok, 0 AS step FROM start
   UNION ALL
-  (WITH n AS (SELECT *, lead(tok) OVER w AS nxt, lag(pos) OVER w AS prv FROM t WINDOW w AS (PARTITION BY word ORDER BY pos)),
-   best AS (SELECT word, min((rank << 32) | pos) AS least FROM n JOIN merges ON pair = ((tok::BIGINT << 20) | nxt) GROUP BY word)
-   SELECT n.word, n.pos, CASE WHEN n.pos = (least & 4294967295) THEN (least >> 32)::INTEGER ELSE n.tok END, step + 1
-   FROM n JOIN best USING (word) WHERE prv IS NULL OR prv <> (least & 4294967295)))
-SELECT word, list(tok ORDER BY pos) AS ids FROM t JOIN (SELECT word, max(step) AS step FROM t GROUP BY word) USING (word, step) GROUP BY word
+  (WITH n AS (SELECT *, lead(tok) OVER w AS nxt, lead(place) OVER w AS nxt_place, lag(place) OVER w AS prv FROM t WINDOW w AS (ORDER BY place)),
+   best AS (SELECT place >> 32 AS word, min((rank << 32) | (place & 4294967295)) AS least FROM n JOIN merges ON pair = ((tok::BIGINT << 20) | nxt)
+     WHERE nxt_place >> 32 = place >> 32 GROUP BY place >> 32)
+   SELECT n.place, CASE WHEN n.place & 4294967295 = least & 4294967295 THEN (least >> 32)::INTEGER ELSE n.tok END, step + 1
+   FROM n JOIN best ON n.place >> 32 = word WHERE prv IS NULL OR prv <> ((word << 32) | (least & 4294967295))))
+SELECT place >> 32 AS word, list(tok ORDER BY place) AS ids
+FROM t JOIN (SELECT place >> 32 AS word, max(step) AS step FROM t GROUP BY place >> 32) m ON t.place >> 32 = m.word AND t.step = m.step GROUP BY place >> 32
 """
 _DECODE = "SELECT doc, string_agg(piece, '' ORDER BY pos) AS text FROM ids JOIN vocabulary USING (id) GROUP BY doc"
 
@@ -55,7 +63,8 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, memory: str = "256MB"):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.known: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {t: r.to_bytes(4, "little") for t, r in ranks.items()}
+        self.units = PieceTable(self._new, "<u4", UNITS)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": memory})
         pairs = [
             (a << 20 | b, r)
@@ -79,7 +88,7 @@ class Codec:
         lens = np.array([len(w) for w in words])
         buf = np.frombuffer(b"".join(words), np.uint8)
         pos = np.arange(len(buf)) - np.repeat(np.cumsum(lens) - lens, lens)
-        start = pa.table({"word": np.repeat(np.arange(len(words), dtype=np.int32), lens), "pos": pos.astype(np.int64), "tok": self.bytes_id[buf]})
+        start = pa.table({"place": np.repeat(np.arange(len(words), dtype=np.int64), lens) << 32 | pos, "tok": self.bytes_id[buf]})
         self.db.register("start", start)
         got = self.db.execute(_MERGE).to_arrow_table()
         self.db.unregister("start")
@@ -91,23 +100,27 @@ class Codec:
             out[word] = flat[ends[k] - base : ends[k + 1] - base]
         return out
 
-    def learn(self, units: set[str]) -> None:
-        cut = {u: [w.encode() for w in self.pattern.findall(u)] for u in units}
-        words = list({w for ws in cut.values() for w in ws if w not in self.ranks})
-        ids = dict(zip(words, self.merge(words)))
-        for u, ws in cut.items():
-            self.known[u] = b"".join(ids[w] if w in ids else self.ranks[w].to_bytes(4, "little") for w in ws)
+    def _new(self, units: list[str]) -> list[np.ndarray]:
+        find, known = self.pattern.findall, self.words
+        cut = [[w.encode() for w in find(u)] for u in units]
+        new = list({w for ws in cut for w in ws if w not in known})
+        if len(known) + len(new) > WORDS + len(self.ranks):
+            known.clear()
+            known.update((t, r.to_bytes(4, "little")) for t, r in self.ranks.items())
+            new = list({w for ws in cut for w in ws if w not in known})
+        known.update(zip(new, self.merge(new)))
+        return [np.frombuffer(known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws]), "<u4") for ws in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_UNIT.findall(t) for t in texts]
-        new = {u for units in cut for u in units if u not in self.known}
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = {u for units in cut for u in units}
-        if new:
-            self.learn(new)
-        known = self.known
-        return [b"".join([known[u] for u in units]) for units in cut]
+        """Where spaces stand next to no other white space, a text is cut before each space by Arrow; else by the pattern of units."""
+        plain = [_MARK not in t and not _NEXT_TO_SPACE.search(t) for t in texts]
+        out: list = [b""] * len(texts)
+        cut = pc.split_pattern(pc.replace_substring(pa.array([t for t, p in zip(texts, plain) if p], pa.string()), " ", _MARK + " "), _MARK)
+        other = pa.array([_UNIT.findall(t) for t, p in zip(texts, plain) if not p], pa.list_(pa.string()))
+        for places, lists in (([i for i, p in enumerate(plain) if p], cut), ([i for i, p in enumerate(plain) if not p], other)):
+            for i, x in zip(places, self.units.ids(lists), strict=True):
+                out[i] = x.tobytes()
+        return out
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         out = [b""] * len(ids)

@@ -156,3 +156,56 @@ def text_slices(texts: list[bytes], most: int = 1 << 20):
         size += len(t)
     if texts:
         yield slice(start, len(texts))
+
+
+class PieceTable(dict):
+    """Numbers pieces of text in order of appearance and holds the ids of each; emptied when it holds `most` pieces.
+
+    encode_new: from a list of new pieces to their lists of ids (arrays)."""
+
+    def __init__(self, encode_new, kind: str, most: int):
+        super().__init__()
+        self.encode_new, self.kind, self.most = encode_new, kind, most
+        self.empty()
+
+    def empty(self) -> None:
+        self.clear()
+        self.fresh: list[str] = []
+        self.flat, self.used = np.zeros(1 << 16, self.kind), 0
+        self.starts, self.lens = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def __missing__(self, piece: str) -> int:
+        i = len(self)
+        self[piece] = i
+        self.fresh.append(piece)
+        return i
+
+    def _learn(self) -> None:
+        ids = self.encode_new(self.fresh)
+        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        done, total = len(self) - len(ids), int(lens.sum())
+        while len(self.starts) < len(self):
+            self.starts, self.lens = np.concatenate([self.starts, self.starts]), np.concatenate([self.lens, self.lens])
+        while len(self.flat) < self.used + total:
+            self.flat = np.concatenate([self.flat, self.flat])
+        self.starts[done : len(self)] = self.used + np.cumsum(lens) - lens
+        self.lens[done : len(self)] = lens
+        if total:
+            self.flat[self.used : self.used + total] = np.concatenate(ids)
+        self.used += total
+        self.fresh = []
+
+    def ids(self, cut: pa.ListArray) -> list[np.ndarray]:
+        """For texts cut into pieces, the ids of each text. Arrow numbers the pieces of this call, so that each distinct one is looked up once."""
+        if len(self) > self.most:
+            self.empty()
+        own = cut.flatten().dictionary_encode()
+        numbers = np.fromiter((self[u] for u in own.dictionary.to_pylist()), np.int64, len(own.dictionary))
+        if self.fresh:
+            self._learn()
+        at = numbers[own.indices.to_numpy()] if len(own) else numbers[:0]
+        lens = self.lens[at]
+        before = np.concatenate([[0], np.cumsum(lens)])
+        out = self.flat[np.repeat(self.starts[at] - before[:-1], lens) + np.arange(before[-1])]
+        ends = before[cut.offsets.to_numpy() - cut.offsets[0].as_py()] if len(cut) else np.zeros(1, np.int64)
+        return [out[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
