@@ -16,10 +16,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import input_bytes, written
+from .common import PieceTable, input_bytes, written
 
 SHARD_BYTES, MOST_SHARDS = 4 << 20, 100_000
 #: Ids in a file, about; a document is never cut.
@@ -27,7 +28,7 @@ FILE_IDS = 2 << 20
 END = 1
 EVERY = 256
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
-_CACHE = 300_000
+PIECES, TOGETHER, TEXTS = 900_000, 500, 4096
 
 
 class EliasFano:
@@ -124,7 +125,7 @@ class TokenFile:
 
 
 class Encoder:
-    """A tokenizer of the tokenizers library over whole texts; pieces between spaces are remembered.
+    """A tokenizer of the tokenizers library over whole texts; pieces between spaces are remembered, up to PIECES of them.
 
     Its normaliser and splitter drop white space and never join what stands on both sides of it, so the ids of a text
     are those of its pieces in order."""
@@ -135,19 +136,28 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[str, bytes] = {}
+        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized and t.content.startswith("<")]
+        self.mark_id, self.mark = special[0] if special else (-1, "")
+        self.pieces = PieceTable(self._new, f"<u{self.width}", PIECES)
+
+    def _new(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of each piece. Many go to the library as one text, cut by a special token, on whose two sides it works apart."""
+        out: list = [None] * len(pieces)
+        plain = [i for i, p in enumerate(pieces) if self.mark and "<" not in p]
+        for start in range(0, len(plain), TOGETHER):
+            own = plain[start : start + TOGETHER]
+            ids = np.array(self.tokenizer.encode(self.mark.join([pieces[i] for i in own]), add_special_tokens=False).ids, self.pieces.kind)
+            cuts = np.flatnonzero(ids == self.mark_id).tolist()
+            for i, a, b in zip(own, [-1, *cuts], [*cuts, len(ids)], strict=True):
+                out[i] = ids[a + 1 : b]
+        other = [i for i in range(len(pieces)) if out[i] is None]
+        for i, e in zip(other, self.tokenizer.encode_batch_fast([pieces[i] for i in other], add_special_tokens=False)):
+            out[i] = np.array(e.ids, self.pieces.kind)
+        return out
 
     def __call__(self, texts: list[str], end: int | None = END) -> list[bytes]:
-        known, kind = self.known, f"<u{self.width}"
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new = [u for u in dict.fromkeys(u for units in cut for u in units) if u not in known]
-        if len(known) + len(new) > _CACHE:
-            known.clear()
-            new = list(dict.fromkeys(u for units in cut for u in units))
-        for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[u] = np.array(e.ids, kind).tobytes()
-        tail = b"" if end is None else np.array([end], kind).tobytes()
-        return [b"".join([known[u] for u in units]) + tail for units in cut]
+        tail = b"" if end is None else np.array([end], self.pieces.kind).tobytes()
+        return [x.tobytes() + tail for x in self.pieces.ids(pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " "))]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -175,8 +185,8 @@ def _files(path: str):
 
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for start in range(0, len(texts), 256):
-                for name, own in zip(batch.column(0)[start : start + 256].to_pylist(), encode(texts[start : start + 256])):
+            for start in range(0, len(texts), TEXTS):
+                for name, own in zip(batch.column(0)[start : start + TEXTS].to_pylist(), encode(texts[start : start + TEXTS])):
                     names.append(name)
                     ids.append(own)
                     size += len(own)
