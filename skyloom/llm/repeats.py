@@ -121,6 +121,28 @@ def _snippets(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["anchor", "key", "first", "before", "bytes"])
 
 
+def _stable(values: np.ndarray) -> np.ndarray:
+    """Stable order of small non-negative integers, by sorting value and place as one number."""
+    bits = np.uint64(max(1, len(values).bit_length()))
+    key = (values.astype(np.uint64) << bits) | np.arange(len(values), dtype=np.uint64)
+    key.sort()
+    return (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+
+
+def _pair_ranks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Dense ranks of the pairs (a, b) of ranks below their number."""
+    n = len(a)
+    bits = np.uint64(max(1, n.bit_length()))
+    if 3 * int(bits) > 64:
+        return np.unique(a * (n + 1) + b, return_inverse=True)[1]
+    key = ((a.astype(np.uint64) << bits | b.astype(np.uint64)) << bits) | np.arange(n, dtype=np.uint64)
+    key.sort()
+    pair = key >> bits
+    out = np.empty(n, np.int64)
+    out[(key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)] = np.cumsum(np.r_[False, pair[1:] != pair[:-1]])
+    return out
+
+
 class Shard:
     """Symbol sequences of some snippets, their sorted suffixes and the transform.
 
@@ -144,8 +166,8 @@ class Shard:
             later = np.zeros(n, np.int64)
             later[: max(0, n - step)] = rank[step:]
             later[left <= step] = 0
-            rank, depth = np.unique(rank * (n + 1) + later, return_inverse=True)[1], 2 * depth
-        self.order = np.argsort(rank, kind="stable")
+            rank, depth = _pair_ranks(rank, later), 2 * depth
+        self.order = _stable(rank)
         before = np.zeros(n, np.uint64)
         before[SYMBOL:] = symbol[:-SYMBOL]
         before[self.place < SYMBOL] = 0
@@ -158,7 +180,7 @@ def merge(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     all_bwt = np.concatenate([s.transform for s in shards])
     alphabet, symbols = np.unique(all_bwt, return_inverse=True)
     base = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(shards)), sizes)
+    owner = np.repeat(np.arange(len(shards), dtype=np.uint16 if len(shards) < 1 << 16 else np.int64), sizes)
     common = np.full(len(owner), DEPTH, np.int64)
     common[0] = 0
     boundary = np.zeros(len(owner), bool)
@@ -170,7 +192,7 @@ def merge(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         row = np.empty(len(owner), np.int64)
         row[seen] = np.arange(len(owner))  # rows of shard 0 first, in order: their places in all_bwt
         symbol = symbols[row]
-        order = np.argsort(symbol, kind="stable")
+        order = _stable(symbol)
         group = np.cumsum(boundary)[order]
         symbol, owner = symbol[order], owner[order]
         boundary = np.r_[True, (symbol[1:] != symbol[:-1]) | (group[1:] != group[:-1])]
