@@ -195,8 +195,10 @@ class PieceTable(dict):
         self.used += total
         self.fresh = []
 
-    def ids(self, cut: pa.ListArray) -> list[np.ndarray]:
-        """For texts cut into pieces, the ids of each text. Arrow numbers the pieces of this call, so that each distinct one is looked up once."""
+    def parts(self, cut: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For texts cut into pieces: all ids, the number of ids of each piece, and the bounds of the texts among the pieces.
+
+        Arrow numbers the pieces of this call, so that each distinct one is looked up once."""
         if len(self) > self.most:
             self.empty()
         own = cut.flatten().dictionary_encode()
@@ -205,7 +207,12 @@ class PieceTable(dict):
             self._learn()
         at = numbers[own.indices.to_numpy()] if len(own) else numbers[:0]
         lens = self.lens[at]
-        before = np.concatenate([[0], np.cumsum(lens)])
-        out = self.flat[np.repeat(self.starts[at] - before[:-1], lens) + np.arange(before[-1])]
-        ends = before[cut.offsets.to_numpy() - cut.offsets[0].as_py()] if len(cut) else np.zeros(1, np.int64)
+        total = np.cumsum(lens)
+        out = self.flat[np.repeat(self.starts[at] - total + lens, lens) + np.arange(total[-1] if len(total) else 0)]
+        return out, lens, cut.offsets.to_numpy() - cut.offsets[0].as_py() if len(cut) else np.zeros(1, np.int32)
+
+    def ids(self, cut: pa.ListArray) -> list[np.ndarray]:
+        """For texts cut into pieces, the ids of each text."""
+        out, lens, bounds = self.parts(cut)
+        ends = np.concatenate([[0], np.cumsum(lens)])[bounds]
         return [out[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]

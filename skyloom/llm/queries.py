@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, chat, decontaminate, line_dedup, near_dup, quality, repeats, token_files, warc
+from . import bpe, chat, decontaminate, line_dedup, lm_score, near_dup, quality, repeats, token_files, warc
 from .common import table
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -12,6 +12,10 @@ _ITEM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_lm_score(spark, sf_dir):
+    return lm_score.score(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op2_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = (op2_line_dedup, op3_chat_format, op4_ngram_jaccard, op5_decontaminate, op6_repeated_bytes, op7_arc_to_warc, op8_token_files, op9_quality_rules, op10_byte_bpe)
+QUERIES = (op1_lm_score, op2_line_dedup, op3_chat_format, op4_ngram_jaccard, op5_decontaminate, op6_repeated_bytes, op7_arc_to_warc, op8_token_files, op9_quality_rules, op10_byte_bpe)
 
 
 def queries() -> dict:
