@@ -57,11 +57,11 @@ def cross_row(rows: DataFrame, pairs: DataFrame, height: int, overlap: int, edge
     own = own.join(before, ["projection", "row"], "left")
     top, bottom = height + pad - edge, pad + edge
     kept = own.where((F.col("next_row").isNull() | (F.col("my") < top)) & (F.col("prev_row").isNull() | (F.col("my") >= bottom))).select("projection", "row", "my", "mx", "value")
-    shift = height - overlap + pad  # a row's place in the array of the row before
-    up = rows.where((F.col("my") >= top - shift + pad - pad) & (F.col("my") < height + 2 * pad - shift)).join(before, ["projection", "row"]).select("projection", F.col("prev_row").alias("row"), (F.col("my") + shift).alias("my"), "mx", "value")
+    shift = height - overlap  # from a row's array to that of the row before
+    up = rows.where((F.col("my") >= top - shift) & (F.col("my") < height + 2 * pad - shift)).join(before, ["projection", "row"]).select("projection", F.col("prev_row").alias("row"), (F.col("my") + shift).alias("my"), "mx", "value")
     nxt = pairs.where("next_y is not null").select("projection", F.col("y").alias("row"), F.col("next_y").alias("next_row"))
     down = rows.where((F.col("my") >= shift) & (F.col("my") < shift + bottom)).join(nxt, ["projection", "row"]).select("projection", F.col("next_row").alias("row"), (F.col("my") - shift).alias("my"), "mx", "value")
-    return kept.unionByName(up.where(F.col("my") >= top)).unionByName(down)
+    return kept.unionByName(up).unionByName(down)
 
 
 def extract(rows: DataFrame, cells: DataFrame, height: int, width: int, overlap: int, pad: int) -> DataFrame:

@@ -652,8 +652,8 @@ def row_assembly(r):
 
 @query(f"""WITH {_ASM}, pr AS (SELECT projection, y, lead(y) OVER (PARTITION BY projection ORDER BY y) AS ny, lag(y) OVER (PARTITION BY projection ORDER BY y) AS py FROM (SELECT DISTINCT projection, y FROM cells))
 SELECT a.projection, a.row, my, mx, round(value, 6) AS value FROM asm a JOIN pr ON pr.projection = a.projection AND pr.y = a.row WHERE (ny IS NULL OR my < 38) AND (py IS NULL OR my >= 10)
-UNION ALL SELECT a.projection, py, my + 32, mx, round(value, 6) FROM asm a JOIN pr ON pr.projection = a.projection AND pr.y = a.row WHERE py IS NOT NULL AND my + 32 >= 38 AND my + 32 < 48
-UNION ALL SELECT a.projection, ny, my - 32, mx, round(value, 6) FROM asm a JOIN pr ON pr.projection = a.projection AND pr.y = a.row WHERE ny IS NOT NULL AND my >= 32 AND my < 42""")
+UNION ALL SELECT a.projection, py, my + 24, mx, round(value, 6) FROM asm a JOIN pr ON pr.projection = a.projection AND pr.y = a.row WHERE py IS NOT NULL AND my + 24 >= 38 AND my + 24 < 48
+UNION ALL SELECT a.projection, ny, my - 24, mx, round(value, 6) FROM asm a JOIN pr ON pr.projection = a.projection AND pr.y = a.row WHERE ny IS NOT NULL AND my >= 24 AND my < 34""")
 def cross_row(r):
     """J15."""
     return rows.cross_row(_assembled(r), rows.row_pairs(r("cells")), 32, 8, 2, 8).withColumn("value", F.round("value", 6))

@@ -8,7 +8,7 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 # Numbers of the BITPIX card and what they stand for.
 KINDS = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
@@ -123,8 +123,27 @@ class FitsReader(DataSourceReader):
             yield partition.value, i, cards, int(h), int(w), values
 
 
+class FitsWriter(DataSourceWriter):
+    """One file a row: key names it, header (optional) gives its cards, data its image, count and mask (optional) further ones."""
+
+    def __init__(self, path: str):
+        self.path = path.removeprefix("file://")
+
+    def write(self, iterator) -> WriterCommitMessage:
+        os.makedirs(self.path, exist_ok=True)
+        for row in iterator:
+            r = row.asDict()
+            image = lambda name, kind: np.array(r[name], kind).reshape(r["h"], r["w"])  # noqa: B023, E731
+            hdus = [(dict(r.get("header") or {}), None), ({"EXTNAME": "FLUX_SUM"}, image("data", np.float32))]
+            hdus += [({"EXTNAME": name.upper()}, image(name, np.int32)) for name in ("count", "mask") if r.get(name) is not None]
+            target = os.path.join(self.path, f"{r['key']}.fits")
+            write_image(f"{target}.part", hdus)
+            os.replace(f"{target}.part", target)  # a task that runs again writes the same file
+        return WriterCommitMessage()
+
+
 class FitsSource(DataSource):
-    """spark.dataSource.register(FitsSource); spark.read.format("fits").load(path): a row an HDU. Files are on a mounted path that all executors see."""
+    """spark.dataSource.register(FitsSource); spark.read.format("fits").load(path): a row an HDU; df.write.format("fits").mode("append").save(path): a file a row. Files are on a mounted path that all executors see."""
 
     @classmethod
     def name(cls):
@@ -135,3 +154,6 @@ class FitsSource(DataSource):
 
     def reader(self, schema):
         return FitsReader(self.options["path"])
+
+    def writer(self, schema, overwrite):
+        return FitsWriter(self.options["path"])
