@@ -53,9 +53,22 @@ def check_roi(x_min: int, x_max: int, y_min: int, y_max: int, width: int, oversa
     return x_min, x_max, y_min, y_max, width
 
 
+MOST_OFFSETS = 10_000
+
+
+def for_each_offset(offsets: DataFrame):
+    """A generator column with a struct for each offset. Offsets are a run's parameters; too many of them are an error, none is dropped."""
+    given = offsets.limit(MOST_OFFSETS + 1).collect()
+    if len(given) > MOST_OFFSETS:
+        raise ValueError(f"at most {MOST_OFFSETS} offsets in a run")
+    kinds = {f.name: f.dataType for f in offsets.schema.fields}
+    return F.explode(F.array(*(F.struct(*(F.lit(v).cast(kinds[k]).alias(k) for k, v in r.asDict().items())) for r in given)))
+
+
 def dense(sums: DataFrame, pixels: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Every pixel of every offset, zeros where nothing fell. pixels: pix; offsets: offset_id, a handful of rows."""
-    return pixels.crossJoin(F.broadcast(offsets.select("offset_id").limit(10_000))).join(sums, ["offset_id", "pix"], "left").fillna(0, ["flux_sum", "count", "mask_count"])
+    """Every pixel of every offset, zeros where nothing fell. pixels: pix; offsets: offset_id."""
+    every = pixels.withColumn("o", for_each_offset(offsets.select("offset_id"))).select("pix", F.col("o.offset_id").alias("offset_id"))
+    return every.join(sums, ["offset_id", "pix"], "left").fillna(0, ["flux_sum", "count", "mask_count"])
 
 
 def run_sums(assignment: DataFrame, image: DataFrame, drop_first_run: bool = False) -> DataFrame:

@@ -143,7 +143,7 @@ def batches(r):
 @query("SELECT offset_id, cell_id, CAST(round_even(dx * 37 + cell_id / 2.0, 0) AS INTEGER) AS sx, CAST(round_even(dy * 41 - cell_id / 4.0, 0) AS INTEGER) AS sy FROM cells CROSS JOIN offsets")
 def shift_rounding(r):
     """Half to even."""
-    o = r("cells").crossJoin(F.broadcast(r("offsets").limit(1000)))
+    o = r("cells").withColumn("o", downsample.for_each_offset(r("offsets"))).select("cell_id", "o.*")
     return downsample.whole_shifts(o.select("offset_id", "cell_id", (F.col("dx") * 37 + F.col("cell_id") / 2).alias("sx"), (F.col("dy") * 41 - F.col("cell_id") / 4).alias("sy")))
 
 
