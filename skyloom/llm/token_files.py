@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import PieceTable, input_bytes, written
 
-SHARD_BYTES, MOST_SHARDS = 4 << 20, 100_000
+SHARD_BYTES, MOST_SHARDS = 8 << 20, 100_000
 #: Ids in a file, about; a document is never cut.
 FILE_IDS = 2 << 20
 END = 1
