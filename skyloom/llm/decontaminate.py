@@ -80,17 +80,17 @@ def tables(items: Iterable[tuple[int, bytes]], window: int = WINDOW) -> list[WuM
     return [WuManber(dict(p)) for _, p in sorted(by_length.items())]
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[int, bytes]]]:
-    """The benchmark's rows in blocks of bounded size; rows come to the driver partition by partition."""
-    blocks, size = [[]], 0
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, bytes]]]:
+    """The benchmark's rows in blocks of bounded size; rows come to the driver partition by partition, and a block goes before the next one comes."""
+    block, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator():
         text = (row[1] or "").encode()
-        if size + len(text) > block_bytes and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row[0], text))
+        if size + len(text) > block_bytes and block:
+            yield block
+            block, size = [], 0
+        block.append((row[0], text))
         size += len(text)
-    return blocks
+    yield block
 
 
 def search(words: list[bytes], matchers: list[WuManber], hit: np.ndarray, items: set) -> None:
@@ -113,6 +113,7 @@ def _scan(shared, at: int, window: int, found: str | None):
                     if len(shared) > 1:
                         cache.clear()
                     cache[b] = tables(block.value, window)
+                    block.__dict__.pop("_value", None)  # the table is all that this worker needs
                 for i, text in enumerate(texts):
                     words = words_of(text)
                     if hits[i] is None:

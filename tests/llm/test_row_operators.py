@@ -144,7 +144,7 @@ def test_contamination(spark, odd, odd_docs, empty, monkeypatch):
     assert clean.columns == odd.columns and clean.count() == sum(n for k, n in want.items() if not k[-1])
     assert decontaminate.digest(empty, bench).collect() == []
     assert all(not r.contaminated for r in decontaminate.digest(odd, bench.where("false")).collect())
-    blocks = decontaminate.benchmark_blocks(bench, 20)
+    blocks = list(decontaminate.benchmark_blocks(bench, 20))
     assert len(blocks) > 2 and Counter(x for b in blocks for x in b) == Counter((i, (t or "").encode()) for i, t in items)
     monkeypatch.setattr(decontaminate, "benchmark_blocks", lambda b: blocks)
     assert Counter(map(tuple, decontaminate.digest(odd, bench).collect())) == want
