@@ -2,12 +2,15 @@
 
 Documents with equal shingle sets form one node. Tokens (shingles) are ordered by how often a bounded sketch has
 counted them, rare ones first; two sets of a Jaccard similarity of at least t share a token among the first
-n - ceil(t * n) + 1 of each, so only those are shuffled.
+n - ceil(t * n) + 1 of each, and LEAST tokens among LEAST - 1 more; only those are shuffled. Where two sets meet at a
+token, the tokens before it that no other set has are lost to both overlaps; what is left of each set, its cap, bounds
+the overlap there.
 
-1. Groups: each node is compared with one hub, the smallest node that most of its shared tokens lead to. Nodes that
-   are similar to their hub form a group with it; the others are groups of their own.
+1. Groups: each node is compared with two hubs at most, of the nodes of its size class that it shares tokens with the
+   one that has the most shared tokens itself, relative to its size: the source of a family of edited copies has no tokens of its own, its
+   copies have. Components of the links so found are the groups; nodes without a link are groups of their own.
 2. Matrix: the rows (token, group) of the tokens that more than one node has. A node is a query to the groups,
-   other than its own, that hold one of its tokens; of two groups that meet, only one side asks.
+   other than its own, that hold LEAST of its tokens within the caps; of two groups that meet, only one side asks.
 3. A query and a group meet where the group's members are: the union of their tokens bounds the overlap with the
    query, and only groups that can reach the threshold are opened and their members compared one by one, until one is
    similar. Since components are asked for, one link between a query and a group is enough.
@@ -28,44 +31,71 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHashes, batch_shingles, mixed, n_blocks, text_slices, utf8, written
 
 N, PERCENT = 5, 75
+#: Sets that can be similar without being equal have three tokens at least, and as many in common.
+LEAST = 3
+#: Bits of the filter that documents pass before they are joined with the wanted ones.
+FILTER_BITS = 24
 #: Size of the sketch that orders tokens: 2 ** SKETCH_BITS counters of 16 bits are broadcast, whatever the input.
-SKETCH_BITS, SKETCH_CHUNK = 22, 1 << 16
+SKETCH_BITS, SKETCH_CHUNK = 24, 1 << 16
 PART = 500
 
 
+def _flat_sets(texts: list[bytes], n: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of all texts one after another, each sorted, and their sizes."""
+    runs, _ = batch_shingles(texts, n, hashes)
+    lens = np.array([len(x) for x in runs], np.int64)
+    flat = np.concatenate([np.zeros(0, np.uint64), *runs])
+    ends = np.cumsum(lens)
+    for a, b in zip((ends - lens).tolist(), ends.tolist()):
+        flat[a:b].sort()
+    owner = np.repeat(np.arange(len(texts)), lens)
+    fresh = np.r_[True, (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])][: len(flat)]
+    return flat[fresh], np.bincount(owner[fresh], minlength=len(texts))
+
+
 def _sets(texts: list[bytes], n: int, hashes: WordHashes) -> list[np.ndarray]:
-    return [np.unique(x) for x in batch_shingles(texts, n, hashes)[0]]
+    flat, sizes = _flat_sets(texts, n, hashes)
+    return np.split(flat, np.cumsum(sizes)[:-1]) if len(texts) else []
 
 
-def _node(own: np.ndarray) -> int:
-    """The set's identity, as a signed 64-bit integer."""
+def _nodes(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sets' identities, as signed 64-bit integers."""
     with np.errstate(over="ignore"):
-        return int((mixed(own, 5).sum(dtype=np.uint64) + np.uint64(len(own))).view(np.int64))
+        total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(flat, 5), dtype=np.uint64)])
+        ends = np.cumsum(sizes)
+        return (total[ends] - total[ends - sizes] + sizes.astype(np.uint64)).view(np.int64)
+
+
+FIRST = "doc_id long, h long, node long, size long, chunk int, counts binary"
 
 
-def _sketch(n: int):
+def _first_pass(n: int):
+    """doc_id, h, node and size of each row; and, at a task's end, its part of the sketch in chunks."""
+
     def step(batches):
-        hashes, waiting, size = WordHashes(), [], 0
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
-        mask = np.uint64((1 << SKETCH_BITS) - 1)
+        hashes, mask = WordHashes(), np.uint64((1 << SKETCH_BITS) - 1)
+        counts = np.zeros(1 << SKETCH_BITS, np.uint16)
         for batch in batches:
-            texts = utf8(batch.column(0))
+            texts, nodes, sizes = utf8(batch.column(2)), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for s in text_slices(texts):
-                waiting += [x & mask for x in _sets(texts[s], n, hashes)]
-                size += sum(map(len, waiting[-(s.stop - s.start) :]))
-                if size > 1 << 21:
-                    counts += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=len(counts)).astype(np.uint32)
-                    waiting, size = [], 0
-        if waiting:
-            counts += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=len(counts)).astype(np.uint32)
-        cut = np.minimum(counts, 65535).astype("<u2").reshape(-1, SKETCH_CHUNK)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(cut)), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in cut], pa.binary())], names=["chunk", "counts"])
+                flat, own = _flat_sets(texts[s], n, hashes)
+                nodes.append(_nodes(flat, own))
+                sizes.append(own)
+                at, times = np.unique(flat & mask, return_counts=True)
+                counts[at] = np.minimum(counts[at] + times, 65535)
+            m = len(texts)
+            cols = [batch.column(0), batch.column(1), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes)), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "h", "node", "size", "chunk", "counts"])
+        cut = counts.astype("<u2").reshape(-1, SKETCH_CHUNK)
+        some = [i for i, x in enumerate(cut) if x.any()]
+        cols = [pa.nulls(len(some), pa.int64())] * 4 + [pa.array(some, pa.int32()), pa.array([zlib.compress(cut[i].tobytes(), 1) for i in some], pa.binary())]
+        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "h", "node", "size", "chunk", "counts"])
 
     return step
 
@@ -78,57 +108,50 @@ def _add(rows: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array([rows["chunk"][0].as_py()], pa.int32()), "counts": pa.array([data], pa.binary())})
 
 
-def sketch(docs: DataFrame, n: int = N):
+def _sketch(rows: DataFrame):
     """A broadcast array: how many sets have a token with these low bits, up to 65535. Every document is counted."""
-    rows = docs.select("text").mapInArrow(_sketch(n), "chunk int, counts binary").groupBy("chunk").applyInArrow(_add, "chunk int, counts binary").collect()
-    out = np.zeros((1 << SKETCH_BITS) // SKETCH_CHUNK * SKETCH_CHUNK, np.uint16).reshape(-1, SKETCH_CHUNK)
-    for chunk, counts in rows:
+    out = np.zeros(1 << SKETCH_BITS, np.uint16).reshape(-1, SKETCH_CHUNK)
+    for chunk, counts in rows.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInArrow(_add, "chunk int, counts binary").collect():
         out[chunk] = np.frombuffer(zlib.decompress(counts), "<u2")
-    return docs.sparkSession.sparkContext.broadcast(out.ravel())
+    return rows.sparkSession.sparkContext.broadcast(out.ravel())
 
 
 def _need(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
-def _signatures(counts, n: int, percent: int, buckets: int, what: str):
-    """what 'sizes': doc_id, h, node, size of each row; 'tokens': by bucket, the first tokens of the sets of each batch, every set once."""
+def _tokens(counts, n: int, percent: int, buckets: int):
+    """By bucket, the first tokens of the sets of each batch, every set once, with the sets' nodes and sizes and the tokens' places in them."""
 
     def step(batches):
         hashes, mask = WordHashes(), np.uint64((1 << SKETCH_BITS) - 1)
         for batch in batches:
-            texts = utf8(batch.column(2))
-            nodes, sizes, seen = [], [], set()
-            tokens, owners, owner_sizes = [], [], []
+            texts, seen = utf8(batch.column(0)), set()
+            tokens, nodes, sizes = [], [], []
             for s in text_slices(texts):
-                for own in _sets(texts[s], n, hashes):
-                    node, size = _node(own), len(own)
-                    nodes.append(node)
-                    sizes.append(size)
-                    if what == "tokens" and size and node not in seen:
+                flat, own = _flat_sets(texts[s], n, hashes)
+                key = counts.value[(flat & mask).astype(np.int64)].astype(np.uint64) << np.uint64(48) | flat >> np.uint64(16)
+                ends = np.cumsum(own)
+                for node, size, end in zip(_nodes(flat, own).tolist(), own.tolist(), ends.tolist()):
+                    if size >= LEAST and node not in seen:
                         seen.add(node)
-                        first = size - _need(size, percent) + 1
-                        key = counts.value[(own & mask).astype(np.int64)].astype(np.uint64) << np.uint64(48) | own >> np.uint64(16)
-                        if first < size:
-                            key = np.partition(key, first - 1)[:first]
-                        tokens.append(key)
-                        owners.append(np.full(len(key), node, np.int64))
-                        owner_sizes.append(np.full(len(key), size, np.int32))
-            if what == "sizes":
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())], names=["doc_id", "h", "node", "size"])
-                continue
+                        first, k = size - _need(size, percent) + LEAST, key[end - size : end]
+                        tokens.append(np.sort(np.partition(k, first - 1)[:first] if first < size else k))
+                        nodes.append(node)
+                        sizes.append(size)
             if not tokens:
                 continue
-            token, owner, size = map(np.concatenate, (tokens, owners, owner_sizes))
+            lens = [len(x) for x in tokens]
+            token, owner, size = np.concatenate(tokens), np.repeat(np.array(nodes, np.int64), lens), np.repeat(np.array(sizes, np.int32), lens)
+            place = np.concatenate([np.minimum(np.arange(m), 65535).astype(np.uint16) for m in lens])
             bucket = (mixed(token) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            token, owner, size, bucket = token[order], owner[order], size[order], bucket[order]
+            token, owner, size, place, bucket = token[order], owner[order], size[order], place[order], bucket[order]
             starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            ends = np.r_[starts[1:], len(bucket)]
-            cut = list(zip(starts.tolist(), ends.tolist()))
+            cut = list(zip(starts.tolist(), np.r_[starts[1:], len(bucket)].tolist()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[starts], pa.int32()), *(pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (token, owner, size))],
-                names=["bucket", "tokens", "nodes", "sizes"],
+                [pa.array(bucket[starts], pa.int32()), *(pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (token, owner, size, place))],
+                names=["bucket", "tokens", "nodes", "sizes", "places"],
             )
 
     return step
@@ -139,17 +162,42 @@ def _joined(rows: pa.Table, name: str, kind) -> np.ndarray:
 
 
 def _shared_runs(rows: pa.Table) -> pa.Table:
-    """The (token, node, size, least node of the token) rows of tokens that more than one node has."""
-    token, node, size = _joined(rows, "tokens", np.uint64), _joined(rows, "nodes", np.int64), _joined(rows, "sizes", np.int32)
+    """The (token, node, size, place) rows of tokens that more than one node has."""
+    token, node, size, place = _joined(rows, "tokens", np.uint64), _joined(rows, "nodes", np.int64), _joined(rows, "sizes", np.int32), _joined(rows, "places", np.uint16)
     order = np.lexsort((node, token))
-    token, node, size = token[order], node[order], size[order]
-    fresh = np.r_[True, (token[1:] != token[:-1]) | (node[1:] != node[:-1])]
-    token, node, size = token[fresh], node[fresh], size[fresh]
-    first = np.r_[True, token[1:] != token[:-1]]
-    run = np.cumsum(first) - 1
-    many = np.bincount(run)[run] > 1
-    hub = node[np.flatnonzero(first)][run]
-    return pa.table({"token": token.view(np.int64)[many], "node": node[many], "size": size[many].astype(np.int64), "hub": hub[many]})
+    token, node, size, place = token[order], node[order], size[order], place[order]
+    fresh = np.r_[True, (token[1:] != token[:-1]) | (node[1:] != node[:-1])][: len(token)]
+    token, node, size, place = token[fresh], node[fresh], size[fresh], place[fresh]
+    run = np.cumsum(np.r_[True, token[1:] != token[:-1]][: len(token)]) - 1
+    many = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
+    token = (token ^ np.uint64(1 << 63)).view(np.int64)  # in the same order as signed numbers
+    return pa.table({"token": token[many], "node": node[many], "size": size[many].astype(np.int64), "place": place[many].astype(np.int64)})
+
+
+def _hubs(percent: int):
+    """For each node of a bucket the hubs that its tokens there lead to, with the hubs' scores and the number of tokens.
+
+    Only sizes that can be similar are compared: nodes are cut into size classes in two ways, so that any two fitting
+    sizes near each other share a class in one of them."""
+
+    def step(rows: pa.Table) -> pa.Table:
+        token, node, score, size = (rows[c].to_numpy() for c in ("token", "node", "score", "size"))
+        out = []
+        for way in (0.0, 0.5):
+            cls = np.floor(np.log(size) / np.log(100 / percent) + way).astype(np.int64)
+            order = np.lexsort((node, -score, cls, token))
+            t, c, a, b = token[order], cls[order], node[order], score[order]
+            first = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (c[1:] != c[:-1])][: len(t)])
+            run = np.repeat(first, np.diff(np.r_[first, len(t)]))
+            hub, best = a[run], b[run]
+            order = np.lexsort((hub, a))
+            a, hub, best = a[order], hub[order], best[order]
+            at = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (hub[1:] != hub[:-1])][: len(a)])
+            out.append((a[at], hub[at], best[at], np.diff(np.r_[at, len(a)]), np.full(len(at), int(2 * way))))
+        a, hub, best, n, way = (np.concatenate(x) for x in zip(*out))
+        return pa.table({"node": a, "hub": hub, "score": best, "n": n.astype(np.int64), "way": way.astype(np.int32)})
+
+    return step
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -199,46 +247,82 @@ def _open(n: int, percent: int):
 
 
 def _meetings(percent: int):
-    """(query, its group, other group) for each token at which groups of fitting sizes meet; the larger group's node asks."""
+    """(query, its group, other group, tokens) where groups meet within their sizes and caps; the larger group's node asks."""
 
     def step(rows: pa.Table) -> pa.Table:
-        token, node, size, grp = (rows[c].to_numpy() for c in ("token", "node", "size", "grp"))
+        token, node, size, cap, grp = (rows[c].to_numpy() for c in ("token", "node", "size", "cap", "grp"))
         order = np.lexsort((grp, token))
-        token, node, size, grp = token[order], node[order], size[order], grp[order]
-        # the matrix: one entry for each token and group, with the sizes of its members
-        entry = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (grp[1:] != grp[:-1])]) if len(token) else np.zeros(0, np.int64)
+        token, node, size, cap, grp = token[order], node[order], size[order], cap[order], grp[order]
+        # the matrix: one entry for each token and group, with its members' least and greatest size and greatest cap
+        entry = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (grp[1:] != grp[:-1])][: len(token)])
         out = [np.zeros((0, 3), np.int64)]
         if len(entry):
             e_token, e_grp = token[entry], grp[entry]
-            e_min, e_max = np.minimum.reduceat(size, entry), np.maximum.reduceat(size, entry)
+            e_min, e_max, e_cap = np.minimum.reduceat(size, entry), np.maximum.reduceat(size, entry), np.maximum.reduceat(cap, entry)
             of = np.searchsorted(entry, np.arange(len(token)), side="right") - 1
             first = np.searchsorted(e_token, e_token, side="left")
             # an entry asks those before it in its token's run, step by step
-            todo = np.flatnonzero(of > first[of])
-            back = 1
+            todo, back = np.flatnonzero(of > first[of]), 1
             while len(todo):
-                e = of[todo] - back
-                q = size[todo]
-                fits = (100 * e_max[e] >= percent * q) & (percent * e_min[e] <= 100 * q)
+                e, q = of[todo] - back, size[todo]
+                least = -(-percent * (q + e_min[e]) // (100 + percent))  # of two sets that are similar: their overlap
+                fits = (100 * e_max[e] >= percent * q) & (percent * e_min[e] <= 100 * q) & (np.minimum(cap[todo], e_cap[e]) >= least)
                 hit = todo[fits]
                 out.append(np.stack([node[hit], grp[hit], e_grp[e[fits]]], axis=1))
-                if sum(map(len, out)) > 1 << 20:
-                    out = [np.unique(np.concatenate(out), axis=0)]
                 back += 1
                 todo = todo[of[todo] - back >= first[of[todo]]]
-        found = np.unique(np.concatenate(out), axis=0)
-        return pa.table({"node": found[:, 0], "own": found[:, 1], "other": found[:, 2]})
+        found, times = np.unique(np.concatenate(out), axis=0, return_counts=True)
+        return pa.table({"node": found[:, 0], "own": found[:, 1], "other": found[:, 2], "n": times.astype(np.int64)})
 
     return step
 
 
+def _bits(batches):
+    """A task's part of the filter: which low bits of the hashes occur, in chunks."""
+    seen = np.zeros(1 << FILTER_BITS, bool)
+    for batch in batches:
+        seen[(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
+    cut = np.packbits(seen).reshape(256, -1)
+    some = [i for i, x in enumerate(cut) if x.any()]
+    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([zlib.compress(cut[i].tobytes(), 1) for i in some], pa.binary())], names=["chunk", "bits"])
+
+
+def _or(rows: pa.Table) -> pa.Table:
+    total = np.bitwise_or.reduce([np.frombuffer(zlib.decompress(x), np.uint8) for x in rows["bits"].to_pylist()])
+    return pa.table({"chunk": pa.array([rows["chunk"][0].as_py()], pa.int32()), "bits": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+
+
+def _passing(shared, at: int):
+    def step(batches):
+        seen = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            h = batch.column(at).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
+            yield batch.filter(pa.array(seen[h.astype(np.int64)]))
+
+    return step
+
+
+def _texts(own: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One text of each of the nodes. Documents pass a filter of fixed size before the exact join, so that few are shuffled."""
+    wanted = rows.join(nodes.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("k"))
+    wanted = written(wanted.select("node", F.col("k.doc_id").alias("k_id"), F.col("k.h").alias("k_h")), "wanted")
+    bits = np.zeros((256, (1 << FILTER_BITS) // 8 // 256), np.uint8)
+    for chunk, x in wanted.select("k_h").mapInArrow(_bits, "chunk int, bits binary").groupBy("chunk").applyInArrow(_or, "chunk int, bits binary").collect():
+        bits[chunk] = np.frombuffer(zlib.decompress(x), np.uint8)
+    shared = own.sparkSession.sparkContext.broadcast(bits.ravel())
+    few = own.mapInArrow(_passing(shared, own.columns.index("h")), own.schema)
+    found = few.join(wanted, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h")))
+    return written(found.select("node", "text").dropDuplicates(["node"]), "texts")
+
+
 def _fresh(df: DataFrame) -> DataFrame:
     """df with columns of its own, so that it can meet a frame of the same origin."""
     return df.select([F.col(c).alias(c) for c in df.columns])
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """edges: a, b (long). Returns id, label: for every end of an edge the least id that its edges reach."""
+    """edges: two columns of longs. Returns id, label: for every end of an edge the least id that its edges reach."""
+    edges = edges.toDF("a", "b")
     tree = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     mark = None
     while True:
@@ -260,41 +344,42 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, h (hash of the text), node, size, label for every row of docs; label is the component's, a node."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
     blocks = n_blocks(docs)
-    counts = sketch(own, n)
-    rows = written(own.mapInArrow(_signatures(counts, n, percent, blocks, "sizes"), "doc_id long, h long, node long, size long"), "sizes")
-    tokens = own.mapInArrow(_signatures(counts, n, percent, blocks, "tokens"), "bucket int, tokens binary, nodes binary, sizes binary")
-    runs = written(tokens.groupBy("bucket").applyInArrow(_shared_runs, "token long, node long, size long, hub long"), "runs")
-
-    # one text of each node that shares a token
-    wanted = rows.join(runs.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("k")).select("node", F.col("k.doc_id").alias("k_id"), F.col("k.h").alias("k_h"))
-    texts = own.join(wanted, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h"))).select("node", "text").dropDuplicates(["node"])
-    texts = written(texts, "texts")
-
-    # groups: every node and the hub that most of its tokens lead to
-    led = runs.groupBy("node", "hub").agg(F.count("*").alias("n")).groupBy("node").agg(F.max(F.struct("n", F.bitwise_not("hub").alias("minus"))).alias("m"))
-    led = led.select("node", F.bitwise_not("m.minus").alias("hub")).where("node <> hub")
+    bucket = F.pmod(F.xxhash64("token"), F.lit(blocks)).cast("int")
+    first = written(own.mapInArrow(_first_pass(n), FIRST), "first")
+    rows = first.where("chunk is null").select("doc_id", "h", "node", "size")
+    tokens = own.select("text").mapInArrow(_tokens(_sketch(first), n, percent, blocks), "bucket int, tokens binary, nodes binary, sizes binary, places binary")
+    runs = tokens.groupBy("bucket").applyInArrow(_shared_runs, "token long, node long, size long, place long")
+    mine = Window.partitionBy("node")
+    lost = F.col("place") - (F.row_number().over(mine.orderBy("token")) - 1)  # tokens before this one that the node shares with nobody
+    runs = written(runs.withColumn("cap", F.col("size") - lost).withColumn("score", F.count("*").over(mine) / F.col("size")).withColumn("bucket", bucket), "runs")
+
+    # groups: every node and its hub
+    led = runs.groupBy("bucket").applyInArrow(_hubs(percent), "node long, hub long, score double, n long, way int").where("node <> hub")
+    led = led.groupBy("node", "way", "hub").agg(F.max("score").alias("score"), F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    led = led.groupBy("node", "way").agg(F.max(F.struct("score", F.bitwise_not("hub").alias("minus"))).alias("m")).select("node", F.bitwise_not("m.minus").alias("hub")).distinct()
     led = written(led, "hubs")
+    texts = _texts(own, rows, led.select("node").union(led.select("hub")))
     parts = led.groupBy("hub").agg(F.count("*").alias("n")).select("hub", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
     members = led.join(parts, "hub").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).join(texts, "node").select("hub", "part", "node", "text")
     hubs = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(texts.withColumnRenamed("node", "hub"), "hub").select("hub", "part", F.col("hub").alias("node"), "text")
     stars = written(members.groupBy("hub", "part").cogroup(_fresh(hubs).groupBy("hub", "part")).applyInArrow(_with_hub(n, percent), "node long, hub long"), "stars")
-    # a node that has joined a hub is in the hub's group, also if the hub has joined another: chains are for the components
-    groups = texts.select("node").join(stars, "node", "left").select("node", F.coalesce("hub", "node").alias("grp"))
+    groups = runs.select("node").distinct().join(components(stars).withColumnRenamed("id", "node"), "node", "left").select("node", F.coalesce("label", "node").alias("grp"))
     groups = written(groups, "groups")
 
     # the matrix, and the meetings of queries with other groups
-    matrix = runs.select("token", "node", "size").join(groups, "node").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(blocks)).cast("int"))
-    met = matrix.groupBy("bucket").applyInArrow(_meetings(percent), "node long, own long, other long").distinct()
-    met = written(met, "meetings")
+    matrix = runs.select("token", "node", "size", "cap", "bucket").join(groups, "node")
+    met = matrix.groupBy("bucket").applyInArrow(_meetings(percent), "node long, own long, other long, n long")
+    met = written(met.groupBy("node", "own", "other").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST), "meetings")
     sizes = groups.groupBy("grp").agg(F.count("*").alias("n")).select("grp", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
     asked = sizes.join(met.select(F.col("other").alias("grp")).distinct(), "grp", "left_semi")
+    texts = _texts(own, rows, met.select("node").union(groups.join(asked, "grp").select("node")))
     opened = groups.join(asked, "grp").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).join(texts, "node").select("grp", "part", "text")
     queries = met.join(asked.withColumnRenamed("grp", "other"), "other").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     queries = queries.join(texts, "node").select(F.col("other").alias("grp"), "part", "node", "own", "text")
     links = opened.groupBy("grp", "part").cogroup(_fresh(queries).groupBy("grp", "part")).applyInArrow(_open(n, percent), "a long, b long")
-    edges = links.union(stars.select("node", "hub"))
-
-    labels = components(edges).withColumnRenamed("id", "node")
+    # the groups' own components, then each node's through its group
+    merged = components(links).withColumnRenamed("id", "grp")
+    labels = groups.join(merged, "grp", "left").select("node", F.coalesce("label", "grp").alias("label"))
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
