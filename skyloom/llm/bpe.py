@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PieceTable
+from .common import PieceTable, keeps, only
 
 #: White space of the pattern: Unicode's White_Space.
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -140,6 +140,9 @@ class Codec:
 _CODECS: dict[tuple[str, str], Codec] = {}
 
 
+keeps("bpe", _CODECS.clear)
+
+
 def codec(path: str, pattern: str) -> Codec:
     if (path, pattern) not in _CODECS:
         _CODECS[path, pattern] = Codec(read_ranks(path), pattern)
@@ -160,6 +163,7 @@ def chunks(texts: list[str], most: int = CHUNK):
 
 def _batches(path: str, pattern: str, at: int, what: str):
     def step(batches):
+        only("bpe")
         c = codec(path, pattern)
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
@@ -189,6 +193,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def _decoded(path: str, pattern: str):
     def step(batches):
+        only("bpe")
         c = codec(path, pattern)
         for batch in batches:
             ids = [np.array(x or [], "<u4").tobytes() for x in batch.column(1).to_pylist()]

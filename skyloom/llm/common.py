@@ -85,6 +85,21 @@ def as_long(values) -> np.ndarray:
     return np.array(values, dtype=np.uint64).view(np.int64)
 
 
+#: What workers keep between tasks, by operator: how to let it go.
+_KEPT: dict[str, object] = {}
+
+
+def keeps(operator: str, let_go) -> None:
+    _KEPT[operator] = let_go
+
+
+def only(operator: str = "") -> None:
+    """At a task's start: lets go of what other operators keep in this worker, so that a pipeline's stages don't add up."""
+    for name, let_go in _KEPT.items():
+        if name != operator:
+            let_go()
+
+
 class WordHashes:
     """64-bit hashes of words; the dictionary is emptied when it reaches `most` entries."""
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, block_of, hash64, mixed, n_blocks, utf8, written
+from .common import as_long, block_of, hash64, mixed, n_blocks, only, utf8, written
 
 MOST = 65535
 
@@ -81,6 +81,7 @@ def keys_of(text: bytes) -> list[bytes]:
 
 def _line_rows(batches):
     """(hash, block, documents that have the line) of each batch."""
+    only()
     for batch in batches:
         blocks = batch.column(1).to_numpy(zero_copy_only=False)
         hashes, owner = [], []

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, WordHashes, shingles, utf8
+from .common import WHITE, WordHashes, only, shingles, utf8
 
 #: Rules in bit order.
 RULES = ("few_words", "repeated_windows", "symbols", "word_length", "repeated_lines", "capitals")
@@ -65,6 +65,7 @@ def failures(m: tuple[int, ...]) -> int:
 
 
 def _ledger(batches):
+    only()
     hashes = WordHashes()
     for batch in batches:
         found = [measures(t, hashes) for t in utf8(batch.column(1))]
@@ -116,6 +117,7 @@ def digest(docs: DataFrame, policy: str = "v2") -> DataFrame:
 
 def _kept(policy_mask: int, at: int):
     def step(batches):
+        only()
         hashes = WordHashes()
         for batch in batches:
             yield batch.filter(pa.array([failures(measures(t, hashes)) & policy_mask == 0 for t in utf8(batch.column(at))], pa.bool_()))

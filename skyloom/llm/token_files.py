@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import PieceTable, input_bytes, written
+from .common import PieceTable, input_bytes, keeps, only, written
 
 SHARD_BYTES, MOST_SHARDS = 8 << 20, 100_000
 #: Ids in a file, about; a document is never cut.
@@ -163,6 +163,9 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+keeps("tokens", _ENCODERS.clear)
+
+
 def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
@@ -171,6 +174,7 @@ def encoder(path: str) -> Encoder:
 
 def _files(path: str):
     def step(batches):
+        only("tokens")
         encode = encoder(path)
         part, before, names, ids, size = 0, 0, [], [], 0
 
