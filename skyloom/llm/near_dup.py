@@ -209,37 +209,38 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _with_hub(n: int, percent: int):
-    """Members of a part against their hub."""
+    """The members of a part against their hub; role 1 is the hub."""
 
-    def step(members: pa.Table, hubs: pa.Table) -> pa.Table:
-        nodes, hub = [], None
-        if len(members) and len(hubs):
+    def step(rows: pa.Table) -> pa.Table:
+        nodes, hub = [], rows["grp"][0].as_py()
+        is_hub, texts, names = rows["role"].to_numpy() == 1, utf8(rows["text"].combine_chunks()), rows["node"].to_pylist()
+        if is_hub.any():
             hashes = WordHashes()
-            hub = hubs["node"][0].as_py()
-            own = _sets(utf8(hubs["text"].combine_chunks())[:1], n, hashes)[0]
-            texts, names = utf8(members["text"].combine_chunks()), members["node"].to_pylist()
+            own = _sets([texts[int(np.argmax(is_hub))]], n, hashes)[0]
             for s in text_slices(texts):
-                nodes += [names[s.start + i] for i, x in enumerate(_sets(texts[s], n, hashes)) if _similar(own, x, percent)]
+                nodes += [names[s.start + i] for i, x in enumerate(_sets(texts[s], n, hashes)) if not is_hub[s.start + i] and _similar(own, x, percent)]
         return pa.table({"node": pa.array(nodes, pa.int64()), "hub": pa.array([hub] * len(nodes), pa.int64())})
 
     return step
 
 
 def _open(n: int, percent: int):
-    """Queries against a part of a group: the bound first, then the members until one is similar."""
+    """Queries (role 0) against a part of a group (role 1): the bound first, then the members until one is similar."""
 
-    def step(members: pa.Table, queries: pa.Table) -> pa.Table:
-        a, b = [], []
-        if len(members) and len(queries):
-            hashes, group = WordHashes(), members["grp"][0].as_py()
-            sets = _sets(utf8(members["text"].combine_chunks()), n, hashes)
+    def step(rows: pa.Table) -> pa.Table:
+        a, b, group = [], [], rows["grp"][0].as_py()
+        member, texts, own_groups = rows["role"].to_numpy() == 1, utf8(rows["text"].combine_chunks()), rows["own"].to_pylist()
+        if member.any() and not member.all():
+            hashes = WordHashes()
+            sets = _sets([t for t, m in zip(texts, member) if m], n, hashes)
             union = np.unique(np.concatenate(sets))
-            texts, names, own_groups = utf8(queries["text"].combine_chunks()), queries["node"].to_pylist(), queries["own"].to_pylist()
-            for s in text_slices(texts):
-                for i, x in enumerate(_sets(texts[s], n, hashes)):
+            asking = np.flatnonzero(~member).tolist()
+            asked = [texts[i] for i in asking]
+            for s in text_slices(asked):
+                for i, x in enumerate(_sets(asked[s], n, hashes)):
                     at = np.minimum(np.searchsorted(union, x), len(union) - 1)
                     if (union[at] == x).sum() >= _need(len(x), percent) and any(_similar(x, m, percent) for m in sets):
-                        a.append(own_groups[s.start + i])
+                        a.append(own_groups[asking[s.start + i]])
                         b.append(group)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -302,22 +303,17 @@ def _passing(shared, at: int):
     return step
 
 
-def _texts(own: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One text of each of the nodes. Documents pass a filter of fixed size before the exact join, so that few are shuffled."""
-    wanted = rows.join(nodes.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("k"))
+def _with_texts(own: DataFrame, rows: DataFrame, roles: DataFrame) -> DataFrame:
+    """roles (node, grp, part, role, own) with a text of each node. Documents pass a filter of fixed size before the exact join, so that few are shuffled."""
+    wanted = rows.join(roles.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("k"))
     wanted = written(wanted.select("node", F.col("k.doc_id").alias("k_id"), F.col("k.h").alias("k_h")), "wanted")
     bits = np.zeros((256, (1 << FILTER_BITS) // 8 // 256), np.uint8)
     for chunk, x in wanted.select("k_h").mapInArrow(_bits, "chunk int, bits binary").groupBy("chunk").applyInArrow(_or, "chunk int, bits binary").collect():
         bits[chunk] = np.frombuffer(zlib.decompress(x), np.uint8)
     shared = own.sparkSession.sparkContext.broadcast(bits.ravel())
     few = own.mapInArrow(_passing(shared, own.columns.index("h")), own.schema)
-    found = few.join(wanted, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h")))
-    return written(found.select("node", "text").dropDuplicates(["node"]), "texts")
-
-
-def _fresh(df: DataFrame) -> DataFrame:
-    """df with columns of its own, so that it can meet a frame of the same origin."""
-    return df.select([F.col(c).alias(c) for c in df.columns])
+    keys = roles.join(wanted, "node")
+    return keys.join(few, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h"))).select("grp", "part", "role", "node", "own", "text")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -351,18 +347,20 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     runs = tokens.groupBy("bucket").applyInArrow(_shared_runs, "token long, node long, size long, place long")
     mine = Window.partitionBy("node")
     lost = F.col("place") - (F.row_number().over(mine.orderBy("token")) - 1)  # tokens before this one that the node shares with nobody
-    runs = written(runs.withColumn("cap", F.col("size") - lost).withColumn("score", F.count("*").over(mine) / F.col("size")).withColumn("bucket", bucket), "runs")
+    runs = runs.withColumn("cap", F.col("size") - lost).withColumn("m", F.count("*").over(mine)).where(F.col("m") >= LEAST)
+    runs = written(runs.select("token", "node", "size", "cap", (F.col("m") / F.col("size")).alias("score"), bucket.alias("bucket")), "runs")
 
     # groups: every node and its hub
-    led = runs.groupBy("bucket").applyInArrow(_hubs(percent), "node long, hub long, score double, n long, way int").where("node <> hub")
+    led = runs.drop("cap").groupBy("bucket").applyInArrow(_hubs(percent), "node long, hub long, score double, n long, way int").where("node <> hub")
     led = led.groupBy("node", "way", "hub").agg(F.max("score").alias("score"), F.sum("n").alias("n")).where(F.col("n") >= LEAST)
     led = led.groupBy("node", "way").agg(F.max(F.struct("score", F.bitwise_not("hub").alias("minus"))).alias("m")).select("node", F.bitwise_not("m.minus").alias("hub")).distinct()
     led = written(led, "hubs")
-    texts = _texts(own, rows, led.select("node").union(led.select("hub")))
     parts = led.groupBy("hub").agg(F.count("*").alias("n")).select("hub", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
-    members = led.join(parts, "hub").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).join(texts, "node").select("hub", "part", "node", "text")
-    hubs = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(texts.withColumnRenamed("node", "hub"), "hub").select("hub", "part", F.col("hub").alias("node"), "text")
-    stars = written(members.groupBy("hub", "part").cogroup(_fresh(hubs).groupBy("hub", "part")).applyInArrow(_with_hub(n, percent), "node long, hub long"), "stars")
+    none = F.lit(None).cast("long").alias("own")
+    members = led.join(parts, "hub").select("node", F.col("hub").alias("grp"), F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(0).alias("role"), none)
+    hubs = parts.select(F.col("hub").alias("node"), F.col("hub").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("role"), none)
+    roles = written(members.unionByName(hubs), "roles")
+    stars = written(_with_texts(own, rows, roles).groupBy("grp", "part").applyInArrow(_with_hub(n, percent), "node long, hub long"), "stars")
     groups = runs.select("node").distinct().join(components(stars).withColumnRenamed("id", "node"), "node", "left").select("node", F.coalesce("label", "node").alias("grp"))
     groups = written(groups, "groups")
 
@@ -372,11 +370,10 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     met = written(met.groupBy("node", "own", "other").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST), "meetings")
     sizes = groups.groupBy("grp").agg(F.count("*").alias("n")).select("grp", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
     asked = sizes.join(met.select(F.col("other").alias("grp")).distinct(), "grp", "left_semi")
-    texts = _texts(own, rows, met.select("node").union(groups.join(asked, "grp").select("node")))
-    opened = groups.join(asked, "grp").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).join(texts, "node").select("grp", "part", "text")
-    queries = met.join(asked.withColumnRenamed("grp", "other"), "other").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    queries = queries.join(texts, "node").select(F.col("other").alias("grp"), "part", "node", "own", "text")
-    links = opened.groupBy("grp", "part").cogroup(_fresh(queries).groupBy("grp", "part")).applyInArrow(_open(n, percent), "a long, b long")
+    opened = groups.join(asked, "grp").select("node", "grp", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(1).alias("role"), none)
+    queries = met.join(asked.withColumnRenamed("grp", "other"), "other").select("node", F.col("other").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "own")
+    roles = written(opened.unionByName(queries), "roles")
+    links = _with_texts(own, rows, roles).groupBy("grp", "part").applyInArrow(_open(n, percent), "a long, b long")
     # the groups' own components, then each node's through its group
     merged = components(links).withColumnRenamed("id", "grp")
     labels = groups.join(merged, "grp", "left").select("node", F.coalesce("label", "grp").alias("label"))
