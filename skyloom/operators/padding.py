@@ -75,7 +75,8 @@ def _with_type(df: DataFrame, more: str) -> str:
 def candidates(regions: DataFrame, cells: DataFrame, radius: float = SEARCH_RADIUS) -> DataFrame:
     """regions: name, side, region (four (ra, dec)); cells: name, quad. The cells that cover part of a region, with coverage and distance of centres.
 
-    Centres are met by buckets of the radius's size in declination, so the join has a key."""
+    Centres are met by buckets of the radius's size in declination and right ascension, so the join has a key; a cell is
+    copied to every bucket that a circle of the radius around its centre touches."""
     from ..functions.wcs import separation
 
     mean = lambda c, f: F.aggregate(F.transform(c, lambda p: p[f]), F.lit(0.0), lambda a, v: a + v) / 4
@@ -83,7 +84,15 @@ def candidates(regions: DataFrame, cells: DataFrame, radius: float = SEARCH_RADI
     c = cells.select(F.col("name").alias("cell"), "quad", mean("quad", "ra").alias("cra"), mean("quad", "dec").alias("cdec"))
     size = radius * 1.0000001
     c = c.withColumn("band", F.explode(F.array(*(F.floor(F.col("cdec") / size) + i for i in (-1, 0, 1)))))
-    near = r.withColumn("band", F.floor(F.col("dec") / size)).join(c, "band").where(F.col("name") != F.col("cell"))
+    per = F.greatest(F.lit(1.0), F.floor(360.0 / size * F.cos(F.radians(F.least(F.lit(90.0), F.greatest(F.abs(F.col("band") * size), F.abs((F.col("band") + 1) * size)))))))
+    polar = F.abs(F.col("cdec")) + size >= 90
+    reach = F.when(polar, 180.0).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(size))) / F.cos(F.radians("cdec"))))) + 1e-6)
+    at = lambda ra: F.floor(ra / 360.0 * per).cast("long")
+    touched = F.sequence(at(F.col("cra") - reach), at(F.col("cra") + reach))
+    c = c.withColumn("bucket", F.explode(F.array_distinct(F.transform(touched, lambda i: F.pmod(i, per.cast("long"))))))
+    r = r.withColumn("band", F.floor(F.col("dec") / size))
+    r = r.withColumn("bucket", F.pmod(at(F.col("ra")), per.cast("long")))
+    near = r.join(c, ["band", "bucket"]).where(F.col("name") != F.col("cell"))
     near = near.withColumn("distance", separation("ra", "dec", "cra", "cdec")).where(F.col("distance") < radius).select("name", "side", "region", "cell", "quad", "distance")
     return near.mapInArrow(_coverage, _with_type(near, "coverage double")).where("coverage > 0")
 

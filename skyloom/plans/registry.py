@@ -606,7 +606,7 @@ def attach_padding(r):
 @query()
 def padding_search(r):
     """The best cover of each region that another projection has to fill."""
-    c = r("cells").where("projection < 2004")
+    c = r("cells")
     quads = c.select("name", wcs.corners(0.0).alias("quad"))
     shifted = c.select("name", F.explode(F.array(*(F.lit(s) for s, _, _ in SIDES))).alias("side"), wcs.padding_corners().alias("all"))
     regions = shifted.select("name", "side", F.filter("all", lambda p: p["side"] == F.col("side")).alias("region"))

@@ -219,3 +219,56 @@ def test_names(spark):
     df = spark.createDataFrame([("skycell.2000.059",), ("short",), ("skycell.x.1",)], "n string")
     got = df.select(names.cell_projection("n"), names.cell_y("n"), names.cell_x("n"), names.first_number_part("n")).collect()
     assert [tuple(r) for r in got] == [(2000, 5, 9, "2000"), (None, None, None, None), (None, None, None, "1")]
+
+
+def suppliers(spark, path, keys):
+    spark.createDataFrame([(k,) for k in keys], "s_suppkey long").write.parquet(f"{path}/supplier.parquet")
+    return str(path)
+
+
+def brute_candidates(regions, quads):
+    """Every region against every cell."""
+    unit = lambda a, d: np.array([np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d)])
+    middle = lambda q: unit(*np.radians(np.mean([(p["ra"], p["dec"]) for p in q], axis=0)))
+    plane = lambda q: [(p["ra"], p["dec"]) for p in q]
+    out = {}
+    for name, side, region in regions:
+        for cell, quad in quads:
+            if name != cell and np.degrees(2 * np.arcsin(np.linalg.norm(middle(region) - middle(quad)) / 2)) < padding.SEARCH_RADIUS:
+                r = plane(region)
+                coverage = 100 * padding.clip_area(r, plane(quad)) / padding.clip_area(r, r)
+                if coverage > 0:
+                    out[name, side, cell] = round(coverage, 6)
+    return out
+
+
+def test_candidates_against_brute_force(spark):
+    rng = np.random.default_rng(2)
+    quad = "array<struct<ra:double,dec:double>>"
+    box = lambda a, d, w, h: [{"ra": a + x, "dec": d + y} for x, y in ((0.0, 0.0), (0.0, h), (w, h), (w, 0.0))]
+    regions, quads = [], []
+    for a0, d0, wide in ((10.0, 0.0, 1.0), (359.5, -20.0, 1.0), (-0.5, 20.0, 1.0), (100.0, 60.0, 2.0), (200.0, 88.9, 60.0), (300.0, -89.6, 90.0), (190.0, 0.2, 1.0)):
+        for i in range(25):
+            a, d = a0 + wide * rng.random(), d0 + rng.random() * 0.9
+            quads.append((f"c{len(quads)}", box(float(a), float(min(d, 89.5)), 0.3 * wide, 0.3)))
+            a, d = a0 + wide * rng.random(), d0 + rng.random() * 0.9
+            regions.append((f"r{len(regions)}", "top", box(float(a), float(min(d, 89.8)), 0.3 * wide, 0.05)))
+    found = padding.candidates(spark.createDataFrame(regions, f"name string, side string, region {quad}"), spark.createDataFrame(quads, f"name string, quad {quad}")).collect()
+    want = brute_candidates(regions, quads)
+    assert len(found) == len(want) > 500
+    assert {(r.name, r.side, r.cell): round(r.coverage, 6) for r in found} == want
+
+
+def test_padding_search_covers_all_projections(spark, tmp_path):
+    from skyloom.plans import registry
+
+    sf = suppliers(spark, tmp_path, [*range(25), *range(250, 275), *range(990, 1000)])
+    got = {(r.name, r.side): (r.coverage, r.pad_cell) for r in registry.queries()["padding_search"](spark, sf).collect()}
+    cells = registry.relation(spark, sf, "cells")
+    quads = [(r.name, r.quad) for r in cells.select("name", wcs.corners(0.0).alias("quad")).collect()]
+    regions = [(r.name, p, [q for q in r.all if q["side"] == p]) for r in cells.select("name", wcs.padding_corners().alias("all")).collect() for p in {q["side"] for q in r.all}]
+    best = {}
+    for (name, side, _), coverage in brute_candidates(regions, quads).items():
+        best[name, side] = max(best.get((name, side), 0), coverage)
+    assert {k: round(c, 4) for k, (c, _) in got.items()} == {k: round(c, 4) for k, c in best.items()}
+    assert {n.split(".")[1] for n, _ in got} == {"2000", "2010", "2039"}
