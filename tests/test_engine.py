@@ -272,3 +272,11 @@ def test_padding_search_covers_all_projections(spark, tmp_path):
         best[name, side] = max(best.get((name, side), 0), coverage)
     assert {k: round(c, 4) for k, (c, _) in got.items()} == {k: round(c, 4) for k, c in best.items()}
     assert {n.split(".")[1] for n, _ in got} == {"2000", "2010", "2039"}
+
+
+def test_headers_of_every_frame(spark):
+    from skyloom.plans import registry
+
+    sf = "/root/testdata/sf0.001"
+    got = [r.frame_id for r in registry.queries()["header_build_all"](spark, sf).collect()]
+    assert sorted(got) == sorted(r.event_id for r in registry.relation(spark, sf, "events").select("event_id").collect())
