@@ -142,7 +142,8 @@ def x_chunks(x, width: int, n: int):
 
 
 def unified_mask(masks: DataFrame, positions: DataFrame) -> DataFrame:
-    """Masks of a row's cells on common ground; the later cell counts, and every cell gets the result back. positions: cell_id, x0, y0, x."""
+    """Masks of each row's cells on common ground; the later cell of a row counts, and every cell gets the result back. positions: cell_id, projection, row, x0, y0."""
     placed = masks.join(positions, "cell_id").withColumn("gy", F.col("y") + F.col("y0")).withColumn("gx", masks["x"] + F.col("x0"))
-    top = placed.groupBy("gy", "gx").agg(F.max_by("mask", "cell_id").alias("row_mask"))
-    return placed.join(top, ["gy", "gx"]).select("cell_id", "y", masks["x"].alias("x"), "row_mask")
+    ground = ["projection", "row", "gy", "gx"]
+    top = placed.groupBy(*ground).agg(F.max_by("mask", "cell_id").alias("row_mask"))
+    return placed.join(top, ground).select("cell_id", "y", masks["x"].alias("x"), "row_mask")

@@ -708,9 +708,20 @@ def x_chunks(r):
 @query("""WITH p AS (SELECT i.cell_id, i.y, i.x, i.y AS gy, i.x + 24 * (c.x - 5) AS gx, c.y AS row, c.projection, i.mask FROM image i JOIN cells c USING (cell_id) WHERE c.projection = 2000 AND c.y = 6)
 SELECT cell_id, y, x, m AS row_mask FROM p JOIN (SELECT gy, gx, arg_max(mask, cell_id) AS m FROM p GROUP BY 1, 2) USING (gy, gx)""")
 def unified_row_mask(r):
-    """A19 A18 F15."""
-    cells = r("cells").where("projection = 2000 AND y = 6").select("cell_id", F.lit(0).alias("y0"), (24 * (F.col("x") - 5)).alias("x0"))
-    return rows.unified_mask(r("image").select("cell_id", "y", "x", "mask"), cells)
+    """A19 A18 F15, of one row; `unified_row_mask_all` has all."""
+    return _row_masks(r, r("cells").where("projection = 2000 AND y = 6"))
+
+
+@query("""WITH p AS (SELECT i.cell_id, i.y, i.x, i.y AS gy, i.x + 24 * (c.x - 5) AS gx, c.y AS row, c.projection, i.mask FROM image i JOIN cells c USING (cell_id))
+SELECT cell_id, y, x, m AS row_mask FROM p JOIN (SELECT projection, row, gy, gx, arg_max(mask, cell_id) AS m FROM p GROUP BY 1, 2, 3, 4) USING (projection, row, gy, gx)""")
+def unified_row_mask_all(r):
+    """A19 A18 F15, of every row of every projection."""
+    return _row_masks(r, r("cells"))
+
+
+def _row_masks(r, cells):
+    at = cells.select("cell_id", "projection", F.col("y").alias("row"), F.lit(0).alias("y0"), (24 * (F.col("x") - 5)).alias("x0"))
+    return rows.unified_mask(r("image").select("cell_id", "y", "x", "mask"), at)
 
 
 # ---- statistics ----

@@ -280,3 +280,18 @@ def test_headers_of_every_frame(spark):
     sf = "/root/testdata/sf0.001"
     got = [r.frame_id for r in registry.queries()["header_build_all"](spark, sf).collect()]
     assert sorted(got) == sorted(r.event_id for r in registry.relation(spark, sf, "events").select("event_id").collect())
+
+
+def test_unified_masks_keep_rows_apart(spark):
+    masks = spark.createDataFrame([(c, 0, x, 2**c) for c in range(5) for x in range(3)], "cell_id int, y int, x int, mask int")
+    at = spark.createDataFrame([(0, 1, 5, 0, 0), (1, 1, 5, 2, 0), (2, 1, 6, 0, 0), (3, 1, 6, 2, 0), (4, 2, 5, 0, 0)], "cell_id int, projection int, row int, x0 int, y0 int")
+    got = {(r.cell_id, r.x): r.row_mask for r in rows.unified_mask(masks, at).collect()}
+    assert got == {(c, x): 2 ** (c + 1 if c in (0, 2) and x == 2 else c) for c in range(5) for x in range(3)}
+
+
+def test_every_row_gets_a_unified_mask(spark):
+    from skyloom.plans import registry
+
+    sf = "/root/testdata/sf0.01"
+    got = {r.cell_id for r in registry.queries()["unified_row_mask_all"](spark, sf).select("cell_id").distinct().collect()}
+    assert got == {r.cell_id for r in registry.relation(spark, sf, "image").join(registry.relation(spark, sf, "cells"), "cell_id").select("cell_id").distinct().collect()}
