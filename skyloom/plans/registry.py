@@ -534,10 +534,11 @@ def spatial_join(r):
 
 @query()
 def cell_mapping(r):
-    """A frame's pixels to a cell's pixels, through the sky. Held against invariants in the tests."""
-    owned = r("region").sparkSession.range(4096).select((F.lit(0)).alias("cell_id"), F.col("id").alias("pix"))
-    cells = r("cells").where("cell_id = 0").withColumn("crval1", F.lit(31.0)).withColumn("crval2", F.lit(-19.0)).withColumn("crpix1", F.lit(100.0)).withColumn("crpix2", F.lit(100.0)).withColumn("cdelt1", F.lit(-0.005)).withColumn("cdelt2", F.lit(0.005))
-    return mapping.cell_assignment(cells, owned, FRAME, 1, 64, 200)
+    """A frame's pixels to the pixels of every cell that is nearest to some of them, through the sky. Cells lie on the sky under
+    their boxes of the nearest-centre result. Held against invariants and brute force in the tests."""
+    ra, dec = wcs.sip_pixel_to_sky(F.col("cell_id") * 3 % 50 + 6.5, F.col("cell_id") * 7 % 50 + 6.5, FRAME)
+    cells = r("cells").withColumn("crval1", ra).withColumn("crval2", dec).withColumn("crpix1", F.lit(100.5)).withColumn("crpix2", F.lit(100.5)).withColumn("cdelt1", F.lit(-0.005)).withColumn("cdelt2", F.lit(0.005))
+    return mapping.cell_assignment(cells, _near(r).select("cell_id", "pix"), FRAME, 1, 64, 200)
 
 
 # ---- padding ----

@@ -295,3 +295,58 @@ def test_every_row_gets_a_unified_mask(spark):
     sf = "/root/testdata/sf0.01"
     got = {r.cell_id for r in registry.queries()["unified_row_mask_all"](spark, sf).select("cell_id").distinct().collect()}
     assert got == {r.cell_id for r in registry.relation(spark, sf, "image").join(registry.relation(spark, sf, "cells"), "cell_id").select("cell_id").distinct().collect()}
+
+
+def brute_mapping(owned):
+    """(cell, y, x) to the highest of the cell's frame pixels over it. owned: (pix, cell_id)."""
+    from skyloom.plans.registry import FRAME
+
+    def sky(x, y):
+        u, v = x + 1 - FRAME["crpix"][0], y + 1 - FRAME["crpix"][1]
+        uu = u + sum(c * u**p * v**q for (p, q), c in FRAME["a"].items())
+        vv = v + sum(c * u**p * v**q for (p, q), c in FRAME["b"].items())
+        xi, eta = np.radians(np.array(FRAME["cd"]) @ [uu, vv])
+        a0, d0 = np.radians(FRAME["crval"])
+        n = np.array([np.cos(d0) * np.cos(a0), np.cos(d0) * np.sin(a0), np.sin(d0)])
+        east, north = np.array([-np.sin(a0), np.cos(a0), 0]), np.array([-np.sin(d0) * np.cos(a0), -np.sin(d0) * np.sin(a0), np.cos(d0)])
+        s = n + xi * east + eta * north
+        return s / np.linalg.norm(s)
+
+    out = {}
+    for pix, cell in owned:
+        n = sky(cell * 3 % 50 + 6.5, cell * 7 % 50 + 6.5)
+        east = np.array([-n[1], n[0], 0]) / np.hypot(n[0], n[1])
+        px, py = pix % 64, pix // 64
+        quad = []
+        for dx, dy in ((-0.5, -0.5), (-0.5, 0.5), (0.5, 0.5), (0.5, -0.5)):
+            s = sky(px + dx, py + dy)
+            s = s / (s @ n)
+            quad.append((np.degrees(s @ east) / -0.005 + 99.5, np.degrees(s @ np.cross(n, east)) / 0.005 + 99.5))
+        (x0, y0), (x1, y1) = np.floor(np.min(quad, axis=0)).astype(int), np.ceil(np.max(quad, axis=0)).astype(int)
+        for y in range(max(y0, 0), min(y1, 199) + 1):
+            for x in range(max(x0, 0), min(x1, 199) + 1):
+                crossings = sum((ay < y) != (by < y) and x <= ax + (y - ay) * (bx - ax) / (by - ay) for (ax, ay), (bx, by) in zip(quad, quad[1:] + quad[:1]))
+                if crossings % 2:
+                    out[cell, y, x] = max(pix, out.get((cell, y, x), -1))
+    return out
+
+
+def test_cell_mapping_against_brute_force(spark, tmp_path):
+    from skyloom.plans import registry
+
+    sf = suppliers(spark, tmp_path, [0, 1, 2, 17])
+    spark.range(1).write.parquet(f"{sf}/region.parquet")
+    owned = [(r.pix, r.cell_id) for r in registry._near(lambda n: registry.relation(spark, sf, n)).collect()]
+    got = {(r.cell_id, r.y, r.x): r.pix for r in registry.queries()["cell_mapping"](spark, sf).collect()}
+    assert len({c for c, _, _ in got}) == 4
+    assert got == brute_mapping(owned)
+
+
+def test_cell_mapping_of_all_cells(spark):
+    from skyloom.plans import registry
+
+    sf = "/root/testdata/sf0.01"
+    owned = {(r.cell_id, r.pix) for r in registry._near(lambda n: registry.relation(spark, sf, n)).collect()}
+    mapped = registry.queries()["cell_mapping"](spark, sf).collect()
+    assert len({(r.cell_id, r.y, r.x) for r in mapped}) == len(mapped)
+    assert {(r.cell_id, r.pix) for r in mapped} == owned and len({c for c, _ in owned}) == 50
