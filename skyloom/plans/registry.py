@@ -149,10 +149,21 @@ def shift_rounding(r):
 
 @query("SELECT cell_id, count(*) AS n, bool_or(pix = -1) AS has_unmapped FROM (SELECT cell_id, pix FROM assignment WHERE cell_id % 2 = 0 UNION ALL SELECT cell_id, pix FROM assignment WHERE cell_id % 3 = 0) GROUP BY 1")
 def concatenated_partials(r):
-    """U02 F08."""
+    """U02 F08; `concatenated_partials_all` has a partial for the remaining cells too."""
     a = r("assignment").select("cell_id", "pix")
-    both = a.where("cell_id % 2 = 0").unionByName(a.where("cell_id % 3 = 0"))
-    return both.groupBy("cell_id").agg(F.count("*").alias("n"), F.bool_or(F.col("pix") == -1).alias("has_unmapped"))
+    return _unmapped(a.where("cell_id % 2 = 0").unionByName(a.where("cell_id % 3 = 0")))
+
+
+@query("""SELECT cell_id, count(*) AS n, bool_or(pix = -1) AS has_unmapped FROM (SELECT cell_id, pix FROM assignment WHERE cell_id % 2 = 0 UNION ALL SELECT cell_id, pix FROM assignment WHERE cell_id % 3 = 0
+UNION ALL SELECT cell_id, pix FROM assignment WHERE cell_id % 2 <> 0 AND cell_id % 3 <> 0) GROUP BY 1""")
+def concatenated_partials_all(r):
+    """Partials that overlap and cover all cells together."""
+    a = r("assignment").select("cell_id", "pix")
+    return _unmapped(a.where("cell_id % 2 = 0").unionByName(a.where("cell_id % 3 = 0")).unionByName(a.where("cell_id % 2 <> 0 AND cell_id % 3 <> 0")))
+
+
+def _unmapped(partials):
+    return partials.groupBy("cell_id").agg(F.count("*").alias("n"), F.bool_or(F.col("pix") == -1).alias("has_unmapped"))
 
 
 # ---- bands, masks, headers ----

@@ -350,3 +350,11 @@ def test_cell_mapping_of_all_cells(spark):
     mapped = registry.queries()["cell_mapping"](spark, sf).collect()
     assert len({(r.cell_id, r.y, r.x) for r in mapped}) == len(mapped)
     assert {(r.cell_id, r.pix) for r in mapped} == owned and len({c for c, _ in owned}) == 50
+
+
+def test_partials_cover_all_cells(spark):
+    from skyloom.plans import registry
+
+    sf = "/root/testdata/sf0.001"
+    got = {r.cell_id for r in registry.queries()["concatenated_partials_all"](spark, sf).collect()}
+    assert got == {r.cell_id for r in registry.relation(spark, sf, "assignment").select("cell_id").distinct().collect()}
