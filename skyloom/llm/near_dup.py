@@ -37,8 +37,6 @@ from pyspark.sql import functions as F
 from .common import WordHashes, batch_shingles, mixed, n_blocks, text_slices, utf8, written
 
 N, PERCENT = 5, 75
-#: Sets that can be similar without being equal have three tokens at least, and as many in common.
-LEAST = 3
 #: Bits of the filter that documents pass before they are joined with the wanted ones.
 FILTER_BITS = 24
 #: Size of the sketch that orders tokens: 2 ** SKETCH_BITS counters of 16 bits are broadcast, whatever the input.
@@ -116,6 +114,13 @@ def _sketch(rows: DataFrame):
     return rows.sparkSession.sparkContext.broadcast(out.ravel())
 
 
+def _least(percent: int) -> int:
+    """LEAST: sets that can be similar without being equal have so many tokens, and as many in common; the least o with 100 * o >= percent * (o + 1)."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent has to lie in 1 to 100: {percent}")
+    return -(-percent // (100 - percent)) if percent < 100 else 1 << 30
+
+
 def _need(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
@@ -123,6 +128,8 @@ def _need(size: int, percent: int) -> int:
 def _tokens(counts, n: int, percent: int, buckets: int):
     """By bucket, the first tokens of the sets of each batch, every set once, with the sets' nodes and sizes and the tokens' places in them."""
 
+    least = _least(percent)
+
     def step(batches):
         hashes, mask = WordHashes(), np.uint64((1 << SKETCH_BITS) - 1)
         for batch in batches:
@@ -133,9 +140,9 @@ def _tokens(counts, n: int, percent: int, buckets: int):
                 key = counts.value[(flat & mask).astype(np.int64)].astype(np.uint64) << np.uint64(48) | flat >> np.uint64(16)
                 ends = np.cumsum(own)
                 for node, size, end in zip(_nodes(flat, own).tolist(), own.tolist(), ends.tolist()):
-                    if size >= LEAST and node not in seen:
+                    if size >= least and node not in seen:
                         seen.add(node)
-                        first, k = size - _need(size, percent) + LEAST, key[end - size : end]
+                        first, k = size - _need(size, percent) + least, key[end - size : end]
                         tokens.append(np.sort(np.partition(k, first - 1)[:first] if first < size else k))
                         nodes.append(node)
                         sizes.append(size)
@@ -338,6 +345,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, h (hash of the text), node, size, label for every row of docs; label is the component's, a node."""
+    least = _least(percent)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
     blocks = n_blocks(docs)
     bucket = F.pmod(F.xxhash64("token"), F.lit(blocks)).cast("int")
@@ -347,12 +355,12 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     runs = tokens.groupBy("bucket").applyInArrow(_shared_runs, "token long, node long, size long, place long")
     mine = Window.partitionBy("node")
     lost = F.col("place") - (F.row_number().over(mine.orderBy("token")) - 1)  # tokens before this one that the node shares with nobody
-    runs = runs.withColumn("cap", F.col("size") - lost).withColumn("m", F.count("*").over(mine)).where(F.col("m") >= LEAST)
+    runs = runs.withColumn("cap", F.col("size") - lost).withColumn("m", F.count("*").over(mine)).where(F.col("m") >= least)
     runs = written(runs.select("token", "node", "size", "cap", (F.col("m") / F.col("size")).alias("score"), bucket.alias("bucket")), "runs")
 
     # groups: every node and its hub
     led = runs.drop("cap").groupBy("bucket").applyInArrow(_hubs(percent), "node long, hub long, score double, n long, way int").where("node <> hub")
-    led = led.groupBy("node", "way", "hub").agg(F.max("score").alias("score"), F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    led = led.groupBy("node", "way", "hub").agg(F.max("score").alias("score"), F.sum("n").alias("n")).where(F.col("n") >= least)
     led = led.groupBy("node", "way").agg(F.max(F.struct("score", F.bitwise_not("hub").alias("minus"))).alias("m")).select("node", F.bitwise_not("m.minus").alias("hub")).distinct()
     led = written(led, "hubs")
     parts = led.groupBy("hub").agg(F.count("*").alias("n")).select("hub", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
@@ -367,7 +375,7 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     # the matrix, and the meetings of queries with other groups
     matrix = runs.select("token", "node", "size", "cap", "bucket").join(groups, "node")
     met = matrix.groupBy("bucket").applyInArrow(_meetings(percent), "node long, own long, other long, n long")
-    met = written(met.groupBy("node", "own", "other").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST), "meetings")
+    met = written(met.groupBy("node", "own", "other").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "meetings")
     sizes = groups.groupBy("grp").agg(F.count("*").alias("n")).select("grp", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
     asked = sizes.join(met.select(F.col("other").alias("grp")).distinct(), "grp", "left_semi")
     opened = groups.join(asked, "grp").select("node", "grp", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(1).alias("role"), none)

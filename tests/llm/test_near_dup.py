@@ -83,3 +83,23 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 80), (80, 80)], "a long, b long")
     got = {r.id: r.label for r in near_dup.components(edges).collect()}
     assert got == {i: 0 for i in range(41)} | {80: 80, 90: 80}
+
+
+@pytest.mark.parametrize("percent", [33, 50, 60, 66, 75, 100])
+def test_small_sets_at_any_percent(spark, percent):
+    r = random.Random(percent)
+    docs = [(3 * f + k, " ".join(f"w{f}x{i}" for i in r.sample(range(5), r.randint(1, 4)))) for f in range(40) for k in range(3)]
+    own = [set(t.split()) for _, t in docs]
+    label = list(range(len(docs)))
+    for _ in range(3):
+        for i in range(len(docs)):
+            for j in range(len(docs)):
+                if 100 * len(own[i] & own[j]) >= percent * len(own[i] | own[j]):
+                    label[i] = min(label[i], label[j])
+    got = near_dup.digest(spark.createDataFrame(docs, "doc_id long, text string"), 1, percent).collect()
+    assert {x.doc_id: x.component_id for x in got} == dict(enumerate(label))
+
+
+def test_percent_is_checked(spark):
+    with pytest.raises(ValueError, match="percent"):
+        near_dup.digest(spark.createDataFrame([(1, "a")], "doc_id long, text string"), 1, 0)
