@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -20,8 +21,15 @@ BLOCK_BYTES = 2 << 20
 _SHIPPED: set[str] = set()
 
 
+#: What a batch of rows may hold on its way to Python and back, so that a worker's memory is bounded by bytes, not by rows.
+BATCH_BYTES = 4 << 20
+#: Keys that hold more than 1 / HOT of all rows are hot; so there are fewer than HOT of them, which bounds their broadcast.
+HOT = 10_000
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application; their Python need not have it installed."""
+    """Give the executors this package, once per application; their Python need not have it installed. Bounds batches by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -34,27 +42,87 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def operator(f):
+    """An operator whose first argument is a DataFrame: the executors get the package before it runs."""
+
+    @functools.wraps(f)
+    def with_package(df, *args, **kwargs):
+        ship(df.sparkSession)
+        return f(df, *args, **kwargs)
+
+    return with_package
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares; a temporary folder only where none is set, as in tests."""
+def _top(spark: SparkSession) -> str:
+    """This application's folder in the one that the cluster shares; in a temporary folder only where none is set and everything runs in one process, as in tests."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         top = f"file://{tempfile.gettempdir()}/skyloom-checkpoints"
         spark.conf.set("spark.checkpoint.dir", top)
         spark.sparkContext.setCheckpointDir(top)
-    return f"{top.rstrip('/')}/skyloom/{name}-{uuid.uuid4().hex}"
+    return f"{top.rstrip('/')}/skyloom/{spark.sparkContext.applicationId}"
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    return f"{_top(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def let_go(*tables: DataFrame) -> None:
+    """Deletes tables that written() made and that nothing reads any more."""
+    for df in tables:
+        if path := df.__dict__.pop("_work_path", None):
+            _remove(df.sparkSession, path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application; results that were not stored yet can't be computed after it."""
+    _remove(spark, _top(spark))
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends there, and a lost executor loses nothing."""
+    """df as a Parquet table in the shared folder: lineage ends there, and a lost executor loses nothing. The shuffles behind it go at once."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_work_path"] = path
+    return out
+
+
+def hot_keys(counts: DataFrame, n: str = "n") -> DataFrame:
+    """The rows of counts (one a key, n: how many rows the key has) whose key is hot; fewer than HOT."""
+    total = counts.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    return counts.where(F.col(n) * HOT > F.lit(total))
+
+
+def join_facts(rows: DataFrame, facts: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """rows with the facts of their key, both sides having one column of that name. facts: one row of bounded size a key, n of them in rows.
+
+    Hot keys' facts are broadcast, so that their rows stay where they are; the others meet in a shuffle."""
+    hot = hot_keys(facts, n)
+    common = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(facts.join(F.broadcast(hot.select(key)), key, "left_anti"), key)
+    return common.unionByName(rest)
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -68,8 +136,12 @@ def n_blocks(df: DataFrame, block_bytes: int = BLOCK_BYTES, least: int = 64) ->
     return min(2**31 - 1, max(least, -(-input_bytes(df) // block_bytes)))
 
 
-def block_of(column: str, blocks: int):
-    return F.pmod(F.xxhash64(F.col(column)), F.lit(blocks)).cast("int")
+def free_name(stem: str, taken: list[str]) -> str:
+    """A column name that is not taken, whatever the case."""
+    name, lower = f"__{stem}", {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
 
 
 def utf8(column) -> list[bytes]:
@@ -81,10 +153,6 @@ def hash64(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data)
 
 
-def as_long(values) -> np.ndarray:
-    return np.array(values, dtype=np.uint64).view(np.int64)
-
-
 #: What workers keep between tasks, by operator: how to let it go.
 _KEPT: dict[str, object] = {}
 

@@ -3,10 +3,11 @@
 Rows of (line hash, block, documents) are dealt to shards by hash. Each shard builds a minimal perfect hash over its
 distinct line hashes; the hash's ranks index two arrays, of 32-bit fingerprints and of document counts. Each block of
 documents asks every shard about its own distinct line hashes (8 bytes each) and gets back those that are frequent;
-no line is shipped, and a line that stands in every document is asked about once a block.
+no line is shipped. Hot lines, fewer than HOT, form a shard of their own whose arrays go to all blocks, so that a line
+that stands in every document is no row of every block in one task.
 
 Defined results: a null or empty text is one empty line, which is never dropped; each row counts as a document, also
-with a repeated or null id; other columns are kept as they are.
+with a repeated or null id; other columns are kept as they are, whatever they are called. An empty table gives none.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, block_of, hash64, mixed, n_blocks, only, utf8, written
+from .common import free_name, hash64, hot_keys, mixed, n_blocks, only, operator, text_slices, utf8, written
 
 MOST = 65535
 
@@ -80,33 +81,47 @@ def keys_of(text: bytes) -> list[bytes]:
 
 
 def _line_rows(batches):
-    """(hash, block, documents that have the line) of each batch."""
+    """(hash, block, documents that have the line) of each slice of a batch."""
     only()
     for batch in batches:
-        blocks = batch.column(1).to_numpy(zero_copy_only=False)
-        hashes, owner = [], []
-        for text, block in zip(utf8(batch.column(0)), blocks):
-            own = {hash64(k) for k in keys_of(text) if k}
-            hashes.extend(own)
-            owner.extend([block] * len(own))
-        both = np.empty(len(hashes), dtype=[("h", np.int64), ("b", np.int32)])
-        both["h"], both["b"] = as_long(hashes), owner
-        both, n = np.unique(both, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(both["h"]), pa.array(both["b"]), pa.array(n.astype(np.int64))], names=["h", "block", "n"])
+        blocks, all_texts = batch.column(1).to_numpy(zero_copy_only=False), utf8(batch.column(0))
+        for s in text_slices(all_texts):
+            own = [np.fromiter({hash64(k) for k in keys_of(t) if k}, np.uint64) for t in all_texts[s]]
+            both = np.empty(sum(map(len, own)), dtype=[("h", np.int64), ("b", np.int32)])
+            if not len(both):
+                continue
+            both["h"], both["b"] = np.concatenate(own).view(np.int64), np.repeat(blocks[s], [len(x) for x in own])
+            both, n = np.unique(both, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(both["h"]), pa.array(both["b"]), pa.array(n.astype(np.int64))], names=["h", "block", "n"])
 
 
 INDEX = "shard int, n_lines long, places binary, fingerprints binary, counts binary"
 
 
+class LineIndex:
+    """The perfect hash with the fingerprints and counts at its places."""
+
+    def __init__(self, places: PerfectHash, fingerprints: np.ndarray, counts: np.ndarray):
+        self.places, self.fingerprints, self.counts = places, fingerprints, counts
+
+    @classmethod
+    def build(cls, keys: np.ndarray, totals: np.ndarray) -> LineIndex:
+        places = PerfectHash.build(keys)
+        at = places(keys)
+        out = cls(places, np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.uint16))
+        out.fingerprints[at], out.counts[at] = _fingerprints(keys), np.minimum(totals, MOST)
+        return out
+
+    def frequent(self, keys: np.ndarray, min_docs: int) -> np.ndarray:
+        at = self.places(keys)
+        return (at >= 0) & (self.fingerprints[at] == _fingerprints(keys)) & (self.counts[at] >= min_docs) if len(self.counts) else np.zeros(len(keys), bool)
+
+
 def _build(rows: pa.Table) -> pa.Table:
-    keys, totals = rows["h"].to_numpy().view(np.uint64), np.minimum(rows["n"].to_numpy(), MOST)
-    mph = PerfectHash.build(keys)
-    at = mph(keys)
-    prints, counts = np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.uint16)
-    prints[at], counts[at] = _fingerprints(keys), totals
+    index = LineIndex.build(rows["h"].to_numpy().view(np.uint64), rows["n"].to_numpy())
     return pa.table({
-        "shard": pa.array([rows["shard"][0].as_py()], pa.int32()), "n_lines": pa.array([len(keys)], pa.int64()),
-        "places": pa.array([mph.to_bytes()], pa.binary()), "fingerprints": pa.array([prints.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()),
+        "shard": pa.array([rows["shard"][0].as_py()], pa.int32()), "n_lines": pa.array([rows.num_rows], pa.int64()), "places": pa.array([index.places.to_bytes()], pa.binary()),
+        "fingerprints": pa.array([index.fingerprints.tobytes()], pa.binary()), "counts": pa.array([index.counts.tobytes()], pa.binary()),
     })
 
 
@@ -115,19 +130,15 @@ def _probe(min_docs: int):
         h, block = asked["h"].to_numpy(), asked["block"].to_numpy()
         if not len(index) or not len(h):
             return pa.table({"block": pa.array([], pa.int32()), "h": pa.array([], pa.int64())})
-        keys = h.view(np.uint64)
-        mph = PerfectHash.from_bytes(index["places"][0].as_py())
-        prints, counts = np.frombuffer(index["fingerprints"][0].as_py(), np.uint32), np.frombuffer(index["counts"][0].as_py(), np.uint16)
-        at = mph(keys)
-        hit = (at >= 0) & (prints[at] == _fingerprints(keys)) & (counts[at] >= min_docs)
+        read = lambda name, kind: np.frombuffer(index[name][0].as_py(), kind)
+        hit = LineIndex(PerfectHash.from_bytes(index["places"][0].as_py()), read("fingerprints", np.uint32), read("counts", np.uint16)).frequent(h.view(np.uint64), min_docs)
         return pa.table({"block": pa.array(block[hit], pa.int32()), "h": pa.array(h[hit], pa.int64())})
 
     return step
 
 
-def line_index(rows: DataFrame, shards: int) -> DataFrame:
-    """One row a shard: the perfect hash and its two arrays. rows: h, n; a hash may have several rows."""
-    counts = rows.groupBy("h").agg(F.sum("n").alias("n"))  # combined in each task first, so a hot line is a row a task
+def line_index(counts: DataFrame, shards: int) -> DataFrame:
+    """One row a shard: the perfect hash and its two arrays. counts: h, n; one row a hash."""
     return counts.withColumn("shard", _shard(shards)).groupBy("shard").applyInArrow(_build, INDEX)
 
 
@@ -135,17 +146,22 @@ def _shard(shards: int):
     return F.pmod(F.xxhash64("h"), F.lit(shards)).cast("int")
 
 
-def _drop(at: int, names: list[str], extra: bool):
+def _drop(at: int, names: list[str], extra: bool, hot: LineIndex, min_docs: int):
     def step(docs: pa.Table, frequent: pa.Table) -> pa.Table:
-        bad = set(frequent["h"].to_numpy().view(np.uint64).tolist())
-        texts, lines, dropped = [], [], []
-        for text in utf8(docs.column(at).combine_chunks()):
+        texts = utf8(docs.column(at).combine_chunks())
+        keys = np.array([hash64(k) if k else 0 for t in texts for k in keys_of(t)], np.uint64)
+        known, of = np.unique(keys, return_inverse=True)
+        gone = ((hot.frequent(known, min_docs) | np.isin(known, frequent["h"].to_numpy().view(np.uint64))) & (known != 0))[of]
+        kept, lines, dropped, start = [], [], [], 0
+        for text in texts:
             own = text.split(b"\n")
-            kept = [x for x, k in zip(own, keys_of(text)) if not k or hash64(k) not in bad] if bad else own
-            texts.append(b"\n".join(kept))
+            bad = gone[start : start + len(own)]
+            start += len(own)
+            n = int(bad.sum())
+            kept.append(b"\n".join([x for x, g in zip(own, bad.tolist()) if not g]) if n else text)
             lines.append(len(own))
-            dropped.append(len(own) - len(kept))
-        out = docs.set_column(at, names[at], pa.array(texts, pa.binary()).cast(pa.string()))
+            dropped.append(n)
+        out = docs.set_column(at, names[at], pa.array(kept, pa.binary()).cast(pa.string()))
         out = out.select(list(range(len(names))))
         if extra:
             out = out.append_column("n_lines", pa.array(lines, pa.int64())).append_column("n_dropped", pa.array(dropped, pa.int64()))
@@ -154,24 +170,27 @@ def _drop(at: int, names: list[str], extra: bool):
     return step
 
 
+@operator
 def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, counts: bool = False) -> DataFrame:
-    """docs without the lines whose key stands in at least min_docs documents.
+    """docs (doc_id, text and any others) without the lines whose key stands in at least min_docs documents.
 
     counts: append n_lines and n_dropped (docs must not have such columns then)."""
     if min_docs > MOST:
         raise ValueError(f"min_docs is at most {MOST}, what a place of the count array holds")
     blocks = n_blocks(docs)
-    key = docs.columns[0]
-    block = F.pmod(F.xxhash64(F.col(f"`{key}`"), F.crc32(F.col("text").cast("binary"))), F.lit(blocks)).cast("int")
-    rows = docs.select("text", block.alias("block")).mapInArrow(_line_rows, "h long, block int, n long")
-    rows = written(rows, "line-rows")
-    index = line_index(rows, blocks)
-    frequent = rows.select("h", "block").distinct().withColumn("shard", _shard(blocks)).groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe(min_docs), "block int, h long")
+    block = F.pmod(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), F.lit(blocks)).cast("int")
+    rows = written(docs.select("text", block.alias("block")).mapInArrow(_line_rows, "h long, block int, n long"), "line-rows")
+    totals = written(rows.groupBy("h").agg(F.sum("n").alias("n")), "line-counts")  # combined in each task first, so a hot line is a row a task
+    common = hot_keys(totals)
+    hot = common.toPandas()  # fewer than HOT rows
+    index = line_index(totals.join(F.broadcast(common.select("h")), "h", "left_anti"), blocks)
+    asked = rows.select("h", "block").join(F.broadcast(common.select("h")), "h", "left_anti").distinct()
+    frequent = asked.withColumn("shard", _shard(blocks)).groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe(min_docs), "block int, h long")
     names = docs.columns
-    mark = "__line_block"
+    mark = free_name("block", names)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + (", n_lines long, n_dropped long" if counts else "")
-    marked = docs.withColumn(mark, block)
-    return marked.groupBy(mark).cogroup(frequent.groupBy("block")).applyInArrow(_drop(names.index("text"), names, counts), schema)
+    step = _drop(names.index("text"), names, counts, LineIndex.build(hot["h"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64)), min_docs)
+    return docs.withColumn(mark, block).groupBy(mark).cogroup(frequent.groupBy("block")).applyInArrow(step, schema)
 
 
 def digest(docs: DataFrame, min_docs: int = 10) -> DataFrame:
