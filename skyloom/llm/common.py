@@ -241,6 +241,19 @@ def text_slices(texts: list[bytes], most: int = 1 << 20):
         yield slice(start, len(texts))
 
 
+def gathered(batches, most: int):
+    """Batches joined until they hold about `most` bytes, for work that pays once a call."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 class PieceTable(dict):
     """Numbers pieces of text in order of appearance and holds the ids of each; emptied when it holds `most` pieces.
 

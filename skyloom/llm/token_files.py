@@ -20,15 +20,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import PieceTable, input_bytes, keeps, only, written
+from .common import PieceTable, gathered, input_bytes, keeps, only, operator, written
 
 SHARD_BYTES, MOST_SHARDS = 8 << 20, 100_000
 #: Ids in a file, about; a document is never cut.
 FILE_IDS = 2 << 20
 END = 1
 EVERY = 256
-_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
-PIECES, TOGETHER, TEXTS = 900_000, 500, 4096
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
+#: Of each byte: its ones, the ones before each bit, and the bit of the n-th one.
+_ONES = _BITS.sum(axis=1)
+_LOWER = np.cumsum(_BITS, axis=1) - _BITS
+_NTH = np.argsort(1 - _BITS, axis=1, kind="stable")
+PIECES, TOGETHER, CALL_BYTES = 600_000, 500, 16 << 20
 
 
 class EliasFano:
@@ -73,8 +77,28 @@ class EliasFano:
             low = int((own.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum())
         return (self.select(i) - i) << self.low_bits | low
 
+    def places(self, i: np.ndarray) -> np.ndarray:
+        """select for many i at once: from each one's directory entry, byte by byte, all of them together."""
+        at = self.directory[i // EVERY].astype(np.int64)  # the bit of the value that the directory has
+        byte, left = at >> 3, i % EVERY + _LOWER[self.high[at >> 3], at & 7]  # values before the wanted one, from the byte's start
+        todo = np.flatnonzero(left >= _ONES[self.high[byte]])
+        while len(todo):
+            left[todo] -= _ONES[self.high[byte[todo]]]
+            byte[todo] += 1
+            todo = todo[left[todo] >= _ONES[self.high[byte[todo]]]]
+        return 8 * byte + _NTH[self.high[byte], left]
+
+    def take(self, i: np.ndarray) -> np.ndarray:
+        """The values at many places."""
+        i = np.asarray(i, np.int64)
+        out = (self.places(i) - i).astype(np.uint64) << np.uint64(self.low_bits)
+        for k in range(self.low_bits):
+            bit = i * self.low_bits + k
+            out |= ((self.low[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & np.uint8(1)).astype(np.uint64) << np.uint64(k)
+        return out
+
     def all(self) -> np.ndarray:
-        """Every value, by one scan of the bits."""
+        """Every value, by one scan of the bits, without the directory; the check on take()."""
         ones = np.flatnonzero(np.unpackbits(self.high))[: self.n].astype(np.uint64)
         low = np.unpackbits(self.low, count=self.n * self.low_bits).reshape(self.n, self.low_bits).astype(np.uint64)
         return (ones - np.arange(self.n, dtype=np.uint64)) << np.uint64(self.low_bits) | (low << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
@@ -139,25 +163,43 @@ class Encoder:
         special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized and t.content.startswith("<")]
         self.mark_id, self.mark = special[0] if special else (-1, "")
         self.pieces = PieceTable(self._new, f"<u{self.width}", PIECES)
+        self.plain = self._words_are_plain()
 
     def _new(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of each piece. Many go to the library as one text, cut by a special token, on whose two sides it works apart."""
-        out: list = [None] * len(pieces)
-        plain = [i for i, p in enumerate(pieces) if self.mark and "<" not in p]
-        for start in range(0, len(plain), TOGETHER):
-            own = plain[start : start + TOGETHER]
-            ids = np.array(self.tokenizer.encode(self.mark.join([pieces[i] for i in own]), add_special_tokens=False).ids, self.pieces.kind)
+        """Ids of each piece. A word of a-z goes to the model at once, as nothing before it would change or cut it; the
+        others go through the whole tokenizer, many as one text, cut by a special token, on whose two sides it works apart."""
+        kind, word = self.pieces.kind, self.tokenizer.model.tokenize
+        out: list = [np.array([t.id for t in word(p)], kind) if self.plain and p.isascii() and p.isalpha() and p.islower() else None for p in pieces]
+        joined = [i for i, p in enumerate(pieces) if out[i] is None and self.mark and "<" not in p]
+        for start in range(0, len(joined), TOGETHER):
+            own = joined[start : start + TOGETHER]
+            (got,) = self.tokenizer.encode_batch_fast([self.mark.join([pieces[i] for i in own])], add_special_tokens=False)
+            ids = np.array(got.ids, kind)
             cuts = np.flatnonzero(ids == self.mark_id).tolist()
             for i, a, b in zip(own, [-1, *cuts], [*cuts, len(ids)], strict=True):
                 out[i] = ids[a + 1 : b]
         other = [i for i in range(len(pieces)) if out[i] is None]
         for i, e in zip(other, self.tokenizer.encode_batch_fast([pieces[i] for i in other], add_special_tokens=False)):
-            out[i] = np.array(e.ids, self.pieces.kind)
+            out[i] = np.array(e.ids, kind)
         return out
 
-    def __call__(self, texts: list[str], end: int | None = END) -> list[bytes]:
+    def _words_are_plain(self) -> bool:
+        """Does the tokenizer lower-case, and give a word of a-z to its model whole and as it is? Asked of the tokenizer itself."""
+        t, letters = self.tokenizer, "abcdefghijklmnopqrstuvwxyz"
+        if not (t.normalizer and t.pre_tokenizer) or t.normalizer.normalize_str(letters.upper() + letters) != letters * 2:
+            return False
+        cut = lambda x: [p for p, _ in t.pre_tokenizer.pre_tokenize_str(x)]
+        return cut(letters) == [letters] and cut(f"{letters}., {letters}") == [letters, ".,", letters]
+
+    def __call__(self, texts, end: int | None = END) -> list[bytes]:
+        """texts: strings, as a list or an Arrow array without nulls.
+
+        Where words are plain, A-Z are lower-cased beforehand and a point or comma is set apart from the letter before it."""
         tail = b"" if end is None else np.array([end], self.pieces.kind).tobytes()
-        return [x.tobytes() + tail for x in self.pieces.ids(pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " "))]
+        texts = pc.replace_substring(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "\n", " ")
+        if self.plain:
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z])([.,])", r"\1 \2")
+        return [x.tobytes() + tail for x in self.pieces.ids(pc.split_pattern(texts, " "))]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -187,22 +229,21 @@ def _files(path: str):
                 names=["part", "ids_before", "n_docs", "n_ids", "content"],
             )
 
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for start in range(0, len(texts), TEXTS):
-                for name, own in zip(batch.column(0)[start : start + TEXTS].to_pylist(), encode(texts[start : start + TEXTS])):
-                    names.append(name)
-                    ids.append(own)
-                    size += len(own)
-                    if size >= FILE_IDS * encode.width:
-                        yield flush()
-                        part, before, names, ids, size = part + 1, before + size // encode.width, [], [], 0
+        for batch in gathered(batches, CALL_BYTES):
+            for name, own in zip(batch.column(0).to_pylist(), encode(pc.fill_null(batch.column(1), ""))):
+                names.append(name)
+                ids.append(own)
+                size += len(own)
+                if size >= FILE_IDS * encode.width:
+                    yield flush()
+                    part, before, names, ids, size = part + 1, before + size // encode.width, [], [], 0
         if names:
             yield flush()
 
     return step
 
 
+@operator
 def write_files(docs: DataFrame, path: str) -> DataFrame:
     """The files in doc_id order: shard, part, ids before it in the shard, documents, ids, bytes. Documents are range-partitioned by doc_id; ties are dealt by a hash of the text."""
     total = input_bytes(docs)
@@ -225,9 +266,9 @@ def _read(batches):
     for batch in batches:
         for base, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             f = TokenFile(content)
-            ends = f.ends.all().astype(np.int64)
+            ends = f.ends.take(np.arange(len(f))).astype(np.int64)
             starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-            names = [None] * f.nulls + (f.names.all().astype(np.int64) + f.base).tolist()
+            names = [None] * f.nulls + (f.names.take(np.arange(f.names.n)).astype(np.int64) + f.base).tolist()
             crc = [zlib.crc32(f.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int64()), pa.array(starts + base), pa.array(ends - starts), pa.array(crc, pa.int64())],

@@ -83,7 +83,8 @@ def test_token_files_of_no_documents(empty):
 def test_elias_fano(values):
     values = np.cumsum(values)
     f, _ = token_files.EliasFano.from_bytes(token_files.EliasFano.build(values).to_bytes(), 0)
-    assert f.all().tolist() == values.tolist()
+    assert f.all().tolist() == f.take(np.arange(len(values))).tolist() == values.tolist()
+    assert f.take(np.arange(len(values))[::-3]).tolist() == values[::-3].tolist()
     assert [f[i] for i in range(0, len(values), 7)] == values[::7].tolist()
 
 
