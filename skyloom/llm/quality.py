@@ -4,17 +4,21 @@ Every rule is evaluated once per document. The ledger keeps the failure bits and
 policy (a versioned choice of rules) and its ablations are bitwise work on the ledger, without the texts.
 
 Defined results: a null or empty text has no words and fails `few_words`; a null id stays null; repeated rows are
-judged one by one; other columns are ignored, whatever they are called. Texts are judged whole.
+judged one by one; other columns are ignored or kept, whatever they are called; an empty table gives an empty ledger,
+and ablations of zeros for no rule. Texts are judged whole.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import WHITE, WordHashes, only, shingles, utf8
+from .common import WHITE, WordHashes, free_name, only, operator, shingles, utf8, written
 
 #: Rules in bit order.
 RULES = ("few_words", "repeated_windows", "symbols", "word_length", "repeated_lines", "capitals")
@@ -76,6 +80,7 @@ def _ledger(batches):
         )
 
 
+@operator
 def ledger(docs: DataFrame) -> DataFrame:
     """doc_id, fail_bits and the measurements of every row of docs. No shuffle."""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_ledger, SCHEMA)
@@ -85,12 +90,12 @@ def policy_bits(policy: str) -> int:
     return sum(BIT[r] for r in POLICIES[policy])
 
 
-def verdict(policy: str = "v2"):
-    """A column for ledger(): does the policy keep the document?"""
-    return F.col("fail_bits").bitwiseAND(F.lit(policy_bits(policy))) == 0
+def verdict(policy: str = "v2", bits: str = "fail_bits"):
+    """A column for a ledger: does the policy keep the document?"""
+    return F.col(bits).bitwiseAND(F.lit(policy_bits(policy))) == 0
 
 
-def ablations(led: DataFrame, policy: str = "v2") -> DataFrame:
+def ablation(led: DataFrame, policy: str = "v2") -> DataFrame:
     """For each rule of the policy: documents that fail it, and those that would be kept without it alone.
 
     The ledger is first counted by its bits, of which there are at most 2 ** len(RULES)."""
@@ -107,24 +112,37 @@ def ablations(led: DataFrame, policy: str = "v2") -> DataFrame:
     )
 
 
+@operator
+def ablations(docs: DataFrame) -> DataFrame:
+    """policy, rule, failed, only_this: for every policy and each of its rules, from one ledger of docs."""
+    led = written(ledger(docs).select("fail_bits"), "ledger")
+    every = [ablation(led, p).select(F.lit(p).alias("policy"), "rule", "failed", "only_this") for p in POLICIES]
+    return reduce(DataFrame.unionByName, every)
+
+
 def digest(docs: DataFrame, policy: str = "v2") -> DataFrame:
-    base = F.col("fail_bits").bitwiseAND(F.lit(policy_bits("base"))) != 0
+    base = verdict("base")
     return ledger(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base.alias("base_failed"), (~base & verdict(policy)).alias("kept"), "fail_bits", "n_lines", "n_upper", "n_letters",
+        (~base).alias("base_failed"), (base & verdict(policy)).alias("kept"), "fail_bits", "n_lines", "n_upper", "n_letters",
+        F.lit(policy).alias("policy"), *(verdict(p).alias(f"kept_{p}") for p in POLICIES),
     )
 
 
-def _kept(policy_mask: int, at: int):
+def _with_bits(at: int, name: str):
     def step(batches):
         only()
         hashes = WordHashes()
         for batch in batches:
-            yield batch.filter(pa.array([failures(measures(t, hashes)) & policy_mask == 0 for t in utf8(batch.column(at))], pa.bool_()))
+            yield batch.append_column(name, pa.array([failures(measures(t, hashes)) for t in utf8(batch.column(at))], pa.int64()))
 
     return step
 
 
+@operator
 def keep(docs: DataFrame, policy: str = "v2") -> DataFrame:
-    """The rows of docs that the policy keeps, with all their columns."""
-    return docs.mapInArrow(_kept(policy_bits(policy) | policy_bits("base"), docs.columns.index("text")), docs.schema)
+    """The rows of docs that the policy and the base keep, with all their columns: a filter on the ledger's bits, which ride with the rows."""
+    bits = free_name("fail_bits", docs.columns)
+    schema = StructType([*docs.schema.fields, StructField(bits, LongType())])
+    led = docs.mapInArrow(_with_bits(docs.columns.index("text"), bits), schema)
+    return led.where(verdict(policy, bits) & verdict("base", bits)).drop(bits)

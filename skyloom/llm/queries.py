@@ -52,13 +52,33 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = (op1_lm_score, op2_line_dedup, op3_chat_format, op4_ngram_jaccard, op5_decontaminate, op6_repeated_bytes, op7_arc_to_warc, op8_token_files, op9_quality_rules, op10_byte_bpe)
+def quality_ablations(spark, sf_dir):
+    return quality.ablations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_lm_score, op2_line_dedup, op3_chat_format, op4_ngram_jaccard, op5_decontaminate, op6_repeated_bytes, op7_arc_to_warc, op8_token_files, op9_quality_rules, op10_byte_bpe, quality_ablations)
 
 
 def queries() -> dict:
     return {f.__name__: f for f in QUERIES}
 
 
+_LEDGER = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_WORDS}') GROUP BY doc_id),
+win AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS p FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+again AS (SELECT doc_id, count(DISTINCT pos) AS n_repeat_words FROM (
+  SELECT doc_id, unnest(range(i, i + 8)) AS pos FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, p) AS times FROM win) WHERE times > 1) GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+  CAST(len(regexp_extract_all(t, '[A-Z]')) AS BIGINT) AS n_upper, CAST(len(regexp_extract_all(t, '[A-Za-z]')) AS BIGINT) AS n_letters
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN again USING (doc_id)),
+r AS (SELECT *, CAST(n_words < 20 AS BIGINT) + 2 * CAST(100 * n_repeat_words > 30 * n_words AS BIGINT) + 4 * CAST(100 * n_symbols > 50 * n_words AS BIGINT)
+  + 8 * CAST(n_words > 0 AND NOT (2 * n_words <= word_chars AND word_chars <= 15 * n_words) AS BIGINT)
+  + 16 * CAST(100 * n_dup_lines > 50 * n_lines AS BIGINT) + 32 * CAST(100 * n_upper > 50 * n_letters AS BIGINT) AS fail_bits FROM m)"""
+
 ORACLES = {
     "op2_line_dedup": f"""
 WITH l AS (
@@ -102,23 +122,16 @@ b AS (SELECT *, (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CA
   FROM (SELECT *, array_to_string([lpad(bin(CAST(('0x' || substr(sha, i, 1)) AS INTEGER)), 4, '0') for i in range(1, 41)], '') AS bits FROM d))
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> keeper THEN keeper END AS refers_to FROM b""",
-    "op9_quality_rules": f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
-lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
-  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_WORDS}') GROUP BY doc_id),
-win AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS p FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
-again AS (SELECT doc_id, count(DISTINCT pos) AS n_repeat_words FROM (
-  SELECT doc_id, unnest(range(i, i + 8)) AS pos FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, p) AS times FROM win) WHERE times > 1) GROUP BY doc_id),
-m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
-  CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
-  CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
-  CAST(len(regexp_extract_all(t, '[A-Z]')) AS BIGINT) AS n_upper, CAST(len(regexp_extract_all(t, '[A-Za-z]')) AS BIGINT) AS n_letters
-  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN again USING (doc_id)),
-r AS (SELECT *, CAST(n_words < 20 AS BIGINT) + 2 * CAST(100 * n_repeat_words > 30 * n_words AS BIGINT) + 4 * CAST(100 * n_symbols > 50 * n_words AS BIGINT)
-  + 8 * CAST(n_words > 0 AND NOT (2 * n_words <= word_chars AND word_chars <= 15 * n_words) AS BIGINT)
-  + 16 * CAST(100 * n_dup_lines > 50 * n_lines AS BIGINT) + 32 * CAST(100 * n_upper > 50 * n_letters AS BIGINT) AS fail_bits FROM m)
+    "op9_quality_rules": f"""{_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept,
-  CAST(fail_bits AS BIGINT) AS fail_bits, n_lines, n_upper, n_letters FROM r""",
+  CAST(fail_bits AS BIGINT) AS fail_bits, n_lines, n_upper, n_letters, 'v2' AS policy,
+  (fail_bits & 3) = 0 AS kept_base, (fail_bits & 15) = 0 AS kept_v1, fail_bits = 0 AS kept_v2 FROM r""",
+    "quality_ablations": f"""{_LEDGER},
+p AS (SELECT * FROM (VALUES ('base', 3), ('v1', 15), ('v2', 63)) AS t(policy, bits)),
+u AS (SELECT * FROM (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('word_length', 8), ('repeated_lines', 16), ('capitals', 32)) AS t(rule, bit))
+SELECT policy, rule, CAST(sum(CASE WHEN (fail_bits & bit) <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS failed,
+  CAST(sum(CASE WHEN (fail_bits & bits) = bit THEN 1 ELSE 0 END) AS BIGINT) AS only_this
+FROM r, p, u WHERE (bits & bit) <> 0 GROUP BY policy, rule""",
 }
 
 

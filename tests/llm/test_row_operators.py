@@ -114,7 +114,7 @@ def test_quality(odd, odd_docs):
 def test_quality_policies_and_ablations(odd, empty):
     led = quality.ledger(odd)
     bits = [r.fail_bits for r in led.collect()]
-    for row in quality.ablations(led, "v2").collect():
+    for row in quality.ablation(led, "v2").collect():
         bit = quality.BIT[row.rule]
         assert (row.failed, row.only_this) == (sum(b & bit > 0 for b in bits), sum(b == bit for b in bits))
     assert quality.keep(odd).columns == odd.columns
@@ -136,7 +136,7 @@ def brute_contamination(text, items):
     return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest(), bool(hit)
 
 
-def test_contamination(spark, odd, odd_docs, empty, monkeypatch):
+def test_contamination(spark, odd, odd_docs, empty):
     items = [(1, "quick BROWN fox"), (2, None), (3, ""), (22, "same"), (10, " ".join(f"w{i % 97}{'é' * (i % 3)}" for i in range(40, 55))), (10, "line"), (5, "quick brown fox!"), (6, "...")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = Counter((d, *brute_contamination(t, items)) for d, t in odd_docs)
@@ -147,8 +147,24 @@ def test_contamination(spark, odd, odd_docs, empty, monkeypatch):
     assert all(not r.contaminated for r in decontaminate.digest(odd, bench.where("false")).collect())
     blocks = list(decontaminate.benchmark_blocks(bench, 20))
     assert len(blocks) > 2 and Counter(x for b in blocks for x in b) == Counter((i, (t or "").encode()) for i, t in items)
-    monkeypatch.setattr(decontaminate, "benchmark_blocks", lambda b: blocks)
-    assert Counter(map(tuple, decontaminate.digest(odd, bench).collect())) == want
+    got = decontaminate.contamination(odd, bench, block_bytes=20).drop("item_ids")
+    assert got.columns == decontaminate.digest(odd, bench).columns and Counter(map(tuple, got.collect())) == want
+    some = decontaminate.drop_contaminated(odd, bench, block_bytes=20)
+    assert some.columns == odd.columns and Counter(map(tuple, some.collect())) == Counter(map(tuple, clean.collect()))
+
+
+def test_tables_are_built_once_a_task_and_block(monkeypatch):
+    import pyarrow as pa
+
+    built, make = [], decontaminate.tables
+    monkeypatch.setattr(decontaminate, "tables", lambda *a: built.append(1) or make(*a))
+
+    class Block:
+        value = [(1, b"some words of an item")]
+
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array(["here some words of an item stand"])], names=["doc_id", "text"]) for i in range(5)]
+    out = list(decontaminate._scan(Block(), 1, 10, "report")(iter(batches)))
+    assert len(built) == 1 and [b.column(2).to_pylist() for b in out] == [[5]] * 5
 
 
 @settings(max_examples=200, deadline=None)
