@@ -255,20 +255,31 @@ def gathered(batches, most: int):
 
 
 class PieceTable(dict):
-    """Numbers pieces of text in order of appearance and holds the ids of each; emptied when it holds `most` pieces.
+    """Numbers pieces of text in order of appearance and holds the ids of each. When it holds `most` pieces, it keeps those that more than one call had, the most frequent half of `most` at most.
 
     encode_new: from a list of new pieces to their lists of ids (arrays)."""
 
     def __init__(self, encode_new, kind: str, most: int):
         super().__init__()
         self.encode_new, self.kind, self.most = encode_new, kind, most
-        self.empty()
-
-    def empty(self) -> None:
-        self.clear()
         self.fresh: list[str] = []
         self.flat, self.used = np.zeros(1 << 16, self.kind), 0
-        self.starts, self.lens = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.starts, self.lens, self.calls = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+
+    def forget(self) -> None:
+        calls = self.calls[: len(self)]
+        keep = np.flatnonzero(calls > 1)
+        if len(keep) > self.most // 2:
+            keep = np.sort(keep[np.argpartition(-calls[keep], self.most // 2)[: self.most // 2]])
+        pieces = list(self)
+        self.clear()
+        self.update(zip([pieces[i] for i in keep.tolist()], range(len(keep))))
+        starts, lens = self.starts[keep], self.lens[keep]
+        ends = np.cumsum(lens)
+        self.used = int(ends[-1]) if len(ends) else 0
+        self.flat[: self.used] = self.flat[np.repeat(starts - ends + lens, lens) + np.arange(self.used)]
+        self.starts[: len(keep)], self.lens[: len(keep)], self.calls[: len(keep)] = ends - lens, lens, 1
+        self.calls[len(keep) :] = 0
 
     def __missing__(self, piece: str) -> int:
         i = len(self)
@@ -281,7 +292,7 @@ class PieceTable(dict):
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
         done, total = len(self) - len(ids), int(lens.sum())
         while len(self.starts) < len(self):
-            self.starts, self.lens = np.concatenate([self.starts, self.starts]), np.concatenate([self.lens, self.lens])
+            self.starts, self.lens, self.calls = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lens, self.calls))
         while len(self.flat) < self.used + total:
             self.flat = np.concatenate([self.flat, self.flat])
         self.starts[done : len(self)] = self.used + np.cumsum(lens) - lens
@@ -296,11 +307,12 @@ class PieceTable(dict):
 
         Arrow numbers the pieces of this call, so that each distinct one is looked up once."""
         if len(self) > self.most:
-            self.empty()
+            self.forget()
         own = cut.flatten().dictionary_encode()
         numbers = np.fromiter((self[u] for u in own.dictionary.to_pylist()), np.int64, len(own.dictionary))
         if self.fresh:
             self._learn()
+        self.calls[numbers] += 1
         at = numbers[own.indices.to_numpy()] if len(own) else numbers[:0]
         lens = self.lens[at]
         total = np.cumsum(lens)

@@ -51,6 +51,31 @@ def test_bpe_round_trip_of_id_lists(odd, odd_docs):
     assert got == Counter((t or "").encode() for _, t in odd_docs)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "ab", "the", "qu", "-", "--", "=", "é", "日", "zx"]), st.integers(1, 70)), min_size=3, max_size=30))
+def test_bpe_of_long_words(codec, reference_bpe, parts):
+    text = "".join(x * n for x, n in parts)
+    assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == reference_bpe.encode_ordinary(text)
+
+
+def test_bpe_of_a_hundred_thousand_letters(codec, reference_bpe):
+    import random
+    import time
+
+    r = random.Random(3)
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGH") for _ in range(100_000)) + "-" * 5001
+    began = time.time()
+    got = codec.encode([text])[0]
+    assert time.time() - began < 30
+    assert np.frombuffer(got, "<u4").tolist() == reference_bpe.encode_ordinary(text)
+
+
+def test_bpe_of_a_word_that_takes_several_queries(codec, reference_bpe, monkeypatch):
+    monkeypatch.setattr(bpe, "ROWS", 300)
+    words = [b"thequickbrownfox" * n for n in (1, 2, 9)] + [b"x"]
+    assert [x.tolist() for x in codec.merge(words)] == [reference_bpe.encode_ordinary(w.decode()) for w in words]
+
+
 def test_bpe_of_no_documents(empty):
     assert bpe.digest(empty, RANKS, public_tokenizers.PATTERN).collect() == []
 
