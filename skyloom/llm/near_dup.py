@@ -28,13 +28,14 @@ Sets are told apart by 64-bit sums of 64-bit shingle hashes.
 from __future__ import annotations
 
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, batch_shingles, mixed, n_blocks, text_slices, utf8, written
+from .common import WordHashes, batch_shingles, free_name, join_facts, let_go, mixed, n_blocks, operator, text_slices, utf8, written
 
 N, PERCENT = 5, 75
 #: Bits of the filter that documents pass before they are joined with the wanted ones.
@@ -42,6 +43,10 @@ FILTER_BITS = 24
 #: Size of the sketch that orders tokens: 2 ** SKETCH_BITS counters of 16 bits are broadcast, whatever the input.
 SKETCH_BITS, SKETCH_CHUNK = 24, 1 << 16
 PART = 500
+#: Queries that a part's members are compared with in one task.
+QUERIES = 5000
+#: Pairs of a query and an entry that a task looks at together.
+MEETINGS = 1 << 20
 
 
 def _flat_sets(texts: list[bytes], n: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -254,33 +259,55 @@ def _open(n: int, percent: int):
     return step
 
 
+def _counted(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of the last column's counts summed, from arrays of five columns."""
+    x = np.concatenate(rows)
+    order = np.lexsort(x[:, 3::-1].T)
+    x = x[order]
+    first = np.flatnonzero(np.r_[True, (x[1:, :4] != x[:-1, :4]).any(axis=1)][: len(x)])
+    return x[first, :4], np.add.reduceat(x[:, 4], first) if len(x) else x[:, 4]
+
+
 def _meetings(percent: int):
-    """(query, its group, other group, tokens) where groups meet within their sizes and caps; the larger group's node asks."""
+    """(query, its group, other group, its part, tokens) where groups meet within their sizes and caps; the node of the group of the larger number asks.
+
+    A token's entries are ordered by size, so that a query sees only those whose sizes fit; entries are seen MEETINGS at a time and counted at once."""
 
     def step(rows: pa.Table) -> pa.Table:
-        token, node, size, cap, grp = (rows[c].to_numpy() for c in ("token", "node", "size", "cap", "grp"))
-        order = np.lexsort((grp, token))
-        token, node, size, cap, grp = token[order], node[order], size[order], cap[order], grp[order]
-        # the matrix: one entry for each token and group, with its members' least and greatest size and greatest cap
-        entry = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (grp[1:] != grp[:-1])][: len(token)])
-        out = [np.zeros((0, 3), np.int64)]
+        token, node, size, cap, grp, part = (rows[c].to_numpy() for c in ("token", "node", "size", "cap", "grp", "part"))
+        order = np.lexsort((part, grp, token))
+        token, node, size, cap, grp, part = (x[order] for x in (token, node, size, cap, grp, part))
+        # the matrix: one entry for each token and part of a group, with its members' least and greatest size and greatest cap
+        entry = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (grp[1:] != grp[:-1]) | (part[1:] != part[:-1])][: len(token)])
+        found, held, n_held = [np.zeros((0, 5), np.int64)], [], 0
         if len(entry):
-            e_token, e_grp = token[entry], grp[entry]
+            run = np.cumsum(np.r_[True, token[1:] != token[:-1]]) - 1
+            e_run, e_grp, e_part = run[entry], grp[entry], part[entry]
             e_min, e_max, e_cap = np.minimum.reduceat(size, entry), np.maximum.reduceat(size, entry), np.maximum.reduceat(cap, entry)
-            of = np.searchsorted(entry, np.arange(len(token)), side="right") - 1
-            first = np.searchsorted(e_token, e_token, side="left")
-            # an entry asks those before it in its token's run, step by step
-            todo, back = np.flatnonzero(of > first[of]), 1
-            while len(todo):
-                e, q = of[todo] - back, size[todo]
-                least = -(-percent * (q + e_min[e]) // (100 + percent))  # of two sets that are similar: their overlap
-                fits = (100 * e_max[e] >= percent * q) & (percent * e_min[e] <= 100 * q) & (np.minimum(cap[todo], e_cap[e]) >= least)
-                hit = todo[fits]
-                out.append(np.stack([node[hit], grp[hit], e_grp[e[fits]]], axis=1))
-                back += 1
-                todo = todo[of[todo] - back >= first[of[todo]]]
-        found, times = np.unique(np.concatenate(out), axis=0, return_counts=True)
-        return pa.table({"node": found[:, 0], "own": found[:, 1], "other": found[:, 2], "n": times.astype(np.int64)})
+            order = np.lexsort((e_min, e_run))
+            e_run, e_grp, e_part, e_min, e_max, e_cap = (x[order] for x in (e_run, e_grp, e_part, e_min, e_max, e_cap))
+            upto, most = (e_run << 32) | e_min, np.maximum.accumulate((e_run << 32) | e_max)
+            last = np.searchsorted(upto, (run << 32) | (100 * size // percent), side="right")
+            first = np.searchsorted(most, (run << 32) | -(-percent * size // 100), side="left")
+            many = np.maximum(last - first, 0)
+            ends = np.cumsum(many)
+            start = 0
+            while start < len(token):
+                stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + MEETINGS, side="right")))
+                own = many[start:stop]
+                q = np.repeat(np.arange(start, stop), own)
+                e = np.arange(len(q)) + np.repeat(first[start:stop] - (np.cumsum(own) - own), own)
+                least = -(-percent * (size[q] + e_min[e]) // (100 + percent))  # of two sets that are similar: their overlap
+                fits = (e_grp[e] < grp[q]) & (100 * e_max[e] >= percent * size[q]) & (np.minimum(cap[q], e_cap[e]) >= least)
+                q, e, start = q[fits], e[fits], stop
+                held.append(np.stack([node[q], grp[q], e_grp[e], e_part[e], np.ones(len(q), np.int64)], axis=1))
+                n_held += len(q)
+                if n_held > MEETINGS:
+                    x, n = _counted(held)
+                    held, n_held = [np.column_stack([x, n])], 0
+            found = held or found
+        x, n = _counted(found)
+        return pa.table({"node": x[:, 0], "own": x[:, 1], "other": x[:, 2], "part": x[:, 3], "n": n})
 
     return step
 
@@ -310,9 +337,9 @@ def _passing(shared, at: int):
     return step
 
 
-def _with_texts(own: DataFrame, rows: DataFrame, roles: DataFrame) -> DataFrame:
+def _with_texts(own: DataFrame, nodes: DataFrame, roles: DataFrame) -> DataFrame:
     """roles (node, grp, part, role, own) with a text of each node. Documents pass a filter of fixed size before the exact join, so that few are shuffled."""
-    wanted = rows.join(roles.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("k"))
+    wanted = nodes.join(roles.select("node").distinct(), "node", "left_semi")
     wanted = written(wanted.select("node", F.col("k.doc_id").alias("k_id"), F.col("k.h").alias("k_h")), "wanted")
     bits = np.zeros((256, (1 << FILTER_BITS) // 8 // 256), np.uint8)
     for chunk, x in wanted.select("k_h").mapInArrow(_bits, "chunk int, bits binary").groupBy("chunk").applyInArrow(_or, "chunk int, bits binary").collect():
@@ -320,7 +347,7 @@ def _with_texts(own: DataFrame, rows: DataFrame, roles: DataFrame) -> DataFrame:
     shared = own.sparkSession.sparkContext.broadcast(bits.ravel())
     few = own.mapInArrow(_passing(shared, own.columns.index("h")), own.schema)
     keys = roles.join(wanted, "node")
-    return keys.join(few, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h"))).select("grp", "part", "role", "node", "own", "text")
+    return keys.join(few, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h"))).select(*(c for c in ("grp", "part", "share") if c in roles.columns), "role", "node", "own", "text")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -333,9 +360,11 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = written(large, "edges")
+        old = tree
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m"))
         tree = written(small.where("a <> b").distinct(), "edges")
+        let_go(old, large)
         now = tree.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
             break
@@ -343,20 +372,31 @@ def components(edges: DataFrame) -> DataFrame:
     return tree.select(F.col("a").alias("id"), F.col("b").alias("label")).union(tree.select(F.col("b").alias("id"), F.col("b").alias("label")).distinct())
 
 
-def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """doc_id, h (hash of the text), node, size, label for every row of docs; label is the component's, a node."""
+class Found(NamedTuple):
+    """What classes() finds. rows: doc_id, h (hash of the text), node, size of every row; nodes: node, n (its rows), k (the first of them: that of the least id, nulls last); labels: node, label (the component's, a node) of those that share tokens; temporary: tables that can go when both are used up."""
+
+    rows: DataFrame
+    nodes: DataFrame
+    labels: DataFrame
+    temporary: list
+
+
+def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Found:
     least = _least(percent)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
     blocks = n_blocks(docs)
     bucket = F.pmod(F.xxhash64("token"), F.lit(blocks)).cast("int")
     first = written(own.mapInArrow(_first_pass(n), FIRST), "first")
     rows = first.where("chunk is null").select("doc_id", "h", "node", "size")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    nodes = written(rows.where("size > 0").groupBy("node").agg(F.count("*").alias("n"), F.min(row).alias("k")), "nodes")  # combined in each task first, so exact copies are a row a task
     tokens = own.select("text").mapInArrow(_tokens(_sketch(first), n, percent, blocks), "bucket int, tokens binary, nodes binary, sizes binary, places binary")
-    runs = tokens.groupBy("bucket").applyInArrow(_shared_runs, "token long, node long, size long, place long")
+    shared = written(tokens.groupBy("bucket").applyInArrow(_shared_runs, "token long, node long, size long, place long"), "shared")
     mine = Window.partitionBy("node")
     lost = F.col("place") - (F.row_number().over(mine.orderBy("token")) - 1)  # tokens before this one that the node shares with nobody
-    runs = runs.withColumn("cap", F.col("size") - lost).withColumn("m", F.count("*").over(mine)).where(F.col("m") >= least)
+    runs = shared.withColumn("cap", F.col("size") - lost).withColumn("m", F.count("*").over(mine)).where(F.col("m") >= least)
     runs = written(runs.select("token", "node", "size", "cap", (F.col("m") / F.col("size")).alias("score"), bucket.alias("bucket")), "runs")
+    let_go(shared)
 
     # groups: every node and its hub
     led = runs.drop("cap").groupBy("bucket").applyInArrow(_hubs(percent), "node long, hub long, score double, n long, way int").where("node <> hub")
@@ -368,46 +408,64 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     members = led.join(parts, "hub").select("node", F.col("hub").alias("grp"), F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(0).alias("role"), none)
     hubs = parts.select(F.col("hub").alias("node"), F.col("hub").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("role"), none)
     roles = written(members.unionByName(hubs), "roles")
-    stars = written(_with_texts(own, rows, roles).groupBy("grp", "part").applyInArrow(_with_hub(n, percent), "node long, hub long"), "stars")
-    groups = runs.select("node").distinct().join(components(stars).withColumnRenamed("id", "node"), "node", "left").select("node", F.coalesce("label", "node").alias("grp"))
-    groups = written(groups, "groups")
-
-    # the matrix, and the meetings of queries with other groups
+    stars = written(_with_texts(own, nodes, roles).groupBy("grp", "part").applyInArrow(_with_hub(n, percent), "node long, hub long"), "stars")
+    let_go(led, roles)
+    led = components(stars)
+    groups = runs.select("node").distinct().join(led.withColumnRenamed("id", "node"), "node", "left").select("node", F.coalesce("label", "node").alias("grp"))
+    whole = groups = written(groups, "groups")
+    sizes = groups.groupBy("grp").agg(F.count("*").alias("n"))
+    large = written(sizes.where(F.col("n") > PART).select("grp", F.ceil(F.col("n") / PART).cast("int").alias("parts")), "large")
+    groups = written(groups.join(large, "grp", "left").select("node", "grp", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")), "parts")
+    let_go(large, stars, whole)
+
+    # the matrix, and the meetings of queries with parts of other groups
     matrix = runs.select("token", "node", "size", "cap", "bucket").join(groups, "node")
-    met = matrix.groupBy("bucket").applyInArrow(_meetings(percent), "node long, own long, other long, n long")
-    met = written(met.groupBy("node", "own", "other").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "meetings")
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("n")).select("grp", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
-    asked = sizes.join(met.select(F.col("other").alias("grp")).distinct(), "grp", "left_semi")
-    opened = groups.join(asked, "grp").select("node", "grp", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(1).alias("role"), none)
-    queries = met.join(asked.withColumnRenamed("grp", "other"), "other").select("node", F.col("other").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "own")
-    roles = written(opened.unionByName(queries), "roles")
-    links = _with_texts(own, rows, roles).groupBy("grp", "part").applyInArrow(_open(n, percent), "a long, b long")
+    met = matrix.groupBy("bucket").applyInArrow(_meetings(percent), "node long, own long, other long, part long, n long")
+    met = met.groupBy("node", "own", "other", "part").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    met = written(met.select("node", F.col("other").alias("grp"), F.col("part").cast("int").alias("part"), F.lit(0).alias("role"), "own"), "meetings")
+    opened = groups.join(met.select("grp", "part").distinct(), ["grp", "part"], "left_semi").select("node", "grp", "part", F.lit(1).alias("role"), none)
+    # a part's queries come in shares of QUERIES, each with the part's members
+    shares = met.groupBy("grp", "part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("shares"))
+    opened = opened.join(shares, ["grp", "part"]).select("node", "grp", "part", "role", "own", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
+    asking = met.join(shares, ["grp", "part"]).select("node", "grp", "part", "role", "own", F.pmod(F.xxhash64("node"), "shares").cast("int").alias("share"))
+    roles = written(opened.unionByName(asking), "roles")
+    links = written(_with_texts(own, nodes, roles).groupBy("grp", "part", "share").applyInArrow(_open(n, percent), "a long, b long"), "links")
     # the groups' own components, then each node's through its group
     merged = components(links).withColumnRenamed("id", "grp")
-    labels = groups.join(merged, "grp", "left").select("node", F.coalesce("label", "grp").alias("label"))
-    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labels = written(groups.join(merged, "grp", "left").select("node", F.coalesce("label", "grp").alias("label")), "labels")
+    let_go(runs, met, roles, links, groups)
+    return Found(rows, nodes, labels, [first, nodes, labels])
 
 
-def _answers(found: DataFrame) -> DataFrame:
-    """found with component_id. Ids are combined by node, then by label, so a large component is not gathered."""
-    real = found.where("size > 0")
-    nodes = real.groupBy("node", "label").agg(F.min("doc_id").alias("id"))
-    ids = nodes.groupBy("label").agg(F.min("id").alias("component_id"))
-    by_node = nodes.join(ids, "label").select("node", "component_id")
-    return real.join(by_node, "node").unionByName(found.where("size = 0").withColumn("component_id", F.col("doc_id")))
+def _nodes_of(found: Found) -> DataFrame:
+    """found.nodes with the label of every node."""
+    return found.nodes.join(found.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+@operator
 def digest(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    return _answers(written(classes(docs, n, percent), "classes")).select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+    found = classes(docs, n, percent)
+    nodes = written(_nodes_of(found).select("node", "label", "n", F.col("k.doc_id").alias("id")), "nodes")
+    ids = written(nodes.groupBy("label").agg(F.min("id").alias("component_id"), F.count("*").alias("n")), "components")
+    by_node = written(join_facts(nodes.select("node", "label", F.col("n").alias("m")), ids, "label").select("node", "component_id", F.col("m").alias("n")), "component-ids")
+    real = join_facts(found.rows.where("size > 0").select("doc_id", "node", "size"), by_node, "node").select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+    out = real.unionByName(found.rows.where("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    let_go(nodes, ids)
+    return out
 
 
+@operator
 def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """docs with one row of each component, that of the smallest id, with all columns; rows with an empty set stay."""
-    found = written(classes(docs, n, percent), "classes")
-    kept = found.where("size > 0").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("k"))
-    keys = kept.select(F.col("k.doc_id").alias("__k_id"), F.col("k.h").alias("__k_h"))
-    mark = docs.withColumn("__h", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__k_id")) & (F.col("__h") == F.col("__k_h"))
-    chosen = mark.join(keys, same, "left_semi").dropDuplicates(["doc_id", "__h"]).drop("__h")
-    empty = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return chosen.where(empty).unionByName(docs.where(~empty))
+    """docs with one row of each component, with all columns: that of the smallest id; of rows with equal ids and texts, the first by their other columns, written as JSON. Rows with an empty set stay."""
+    found = classes(docs, n, percent)
+    kept = written(_nodes_of(found).groupBy("label").agg(F.min("k").alias("k")).select("k.doc_id", "k.h"), "kept")
+    let_go(*found.temporary)
+    k_id, k_h, h, at = (free_name(x, docs.columns) for x in ("k_id", "k_h", "h", "at"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    mark = docs.withColumn(h, F.xxhash64("text"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(k_id)) & (F.col(h) == F.col(k_h))
+    chosen = mark.join(kept.toDF(k_id, k_h), same, "left_semi")
+    order = F.to_json(F.struct(*(F.col(f"`{c}`") for c in others))) if others else F.lit(0)
+    chosen = chosen.withColumn(at, F.row_number().over(Window.partitionBy("doc_id", h).orderBy(order))).where(F.col(at) == 1).drop(h, at)
+    real = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return chosen.where(real).unionByName(docs.where(~real))

@@ -67,6 +67,48 @@ def test_components(spark, seed, monkeypatch):
     assert answer(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
 
 
+def test_parts_and_shares(spark, monkeypatch):
+    for name, n in (("PART", 3), ("QUERIES", 2), ("MEETINGS", 5)):
+        monkeypatch.setattr(near_dup, name, n)
+    docs = corpus(4)
+    assert answer(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
+
+
+def test_all_pairs_of_documents(spark):
+    """Every pair of sf0.01 that shares a shingle; pairs without one can't be similar."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = [(r.doc_id, r.text) for r in rows.select("doc_id", "text").collect()]
+    own, at, both = sets(docs), {}, {}
+    for i, x in enumerate(own):
+        for t in x:
+            at.setdefault(t, []).append(i)
+    for found in at.values():
+        for k, i in enumerate(found):
+            for j in found[:k]:
+                both[i, j] = both.get((i, j), 0) + 1
+    label = list(range(len(docs)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    links = [(i, j) for (i, j), n in both.items() if 100 * n >= 75 * (len(own[i]) + len(own[j]) - n)]
+    for i, j in links:
+        label[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        least[find(i)] = min(least.get(find(i), d), d)
+    assert len(links) > 50
+    assert answer(rows) == sorted(((d, len(own[i]), least[find(i)] if own[i] else d) for i, (d, _) in enumerate(docs)), key=str)
+
+
+def test_keep_one_of_equal_rows_is_defined(spark):
+    rows = [(5, "one two three", "b"), (5, "one two three", "a"), (7, "one two three", "A"), (None, None, "x"), (None, None, "x")]
+    got = near_dup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, __k_id string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(5, "one two three", "a"), (None, None, "x"), (None, None, "x")], key=str)
+
+
 def test_odd_documents(odd, odd_docs, empty):
     assert answer(odd) == brute(odd_docs)
     assert answer(empty) == []
