@@ -269,23 +269,29 @@ def _counted(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _meetings(percent: int):
-    """(query, its group, other group, its part, tokens) where groups meet within their sizes and caps; the node of the group of the larger number asks.
+    """(query, its group, other group, its part, tokens) where groups meet within their sizes, caps and places; the node of the group of the larger number asks.
+
+    Places: two similar sets have o tokens in common at least, o following from their sizes, so LEAST of them are among
+    the first size - o + LEAST tokens of both; what lies further back in either set is no meeting.
 
     A token's entries are ordered by size, so that a query sees only those whose sizes fit; entries are seen MEETINGS at a time and counted at once."""
 
+    few = _least(percent)
+
     def step(rows: pa.Table) -> pa.Table:
-        token, node, size, cap, grp, part = (rows[c].to_numpy() for c in ("token", "node", "size", "cap", "grp", "part"))
+        token, node, size, cap, place, grp, part = (rows[c].to_numpy() for c in ("token", "node", "size", "cap", "place", "grp", "part"))
         order = np.lexsort((part, grp, token))
-        token, node, size, cap, grp, part = (x[order] for x in (token, node, size, cap, grp, part))
-        # the matrix: one entry for each token and part of a group, with its members' least and greatest size and greatest cap
+        token, node, size, cap, place, grp, part = (x[order] for x in (token, node, size, cap, place, grp, part))
+        back = size - place  # tokens from this one on
+        # the matrix: one entry for each token and part of a group, with its members' least and greatest size, greatest cap and most tokens from this one on
         entry = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (grp[1:] != grp[:-1]) | (part[1:] != part[:-1])][: len(token)])
         found, held, n_held = [np.zeros((0, 5), np.int64)], [], 0
         if len(entry):
             run = np.cumsum(np.r_[True, token[1:] != token[:-1]]) - 1
             e_run, e_grp, e_part = run[entry], grp[entry], part[entry]
-            e_min, e_max, e_cap = np.minimum.reduceat(size, entry), np.maximum.reduceat(size, entry), np.maximum.reduceat(cap, entry)
+            e_min, (e_max, e_cap, e_back) = np.minimum.reduceat(size, entry), (np.maximum.reduceat(x, entry) for x in (size, cap, back))
             order = np.lexsort((e_min, e_run))
-            e_run, e_grp, e_part, e_min, e_max, e_cap = (x[order] for x in (e_run, e_grp, e_part, e_min, e_max, e_cap))
+            e_run, e_grp, e_part, e_min, e_max, e_cap, e_back = (x[order] for x in (e_run, e_grp, e_part, e_min, e_max, e_cap, e_back))
             upto, most = (e_run << 32) | e_min, np.maximum.accumulate((e_run << 32) | e_max)
             last = np.searchsorted(upto, (run << 32) | (100 * size // percent), side="right")
             first = np.searchsorted(most, (run << 32) | -(-percent * size // 100), side="left")
@@ -298,7 +304,7 @@ def _meetings(percent: int):
                 q = np.repeat(np.arange(start, stop), own)
                 e = np.arange(len(q)) + np.repeat(first[start:stop] - (np.cumsum(own) - own), own)
                 least = -(-percent * (size[q] + e_min[e]) // (100 + percent))  # of two sets that are similar: their overlap
-                fits = (e_grp[e] < grp[q]) & (100 * e_max[e] >= percent * size[q]) & (np.minimum(cap[q], e_cap[e]) >= least)
+                fits = (e_grp[e] < grp[q]) & (100 * e_max[e] >= percent * size[q]) & (np.minimum(cap[q], e_cap[e]) >= least) & (np.minimum(back[q], e_back[e]) > least - few)
                 q, e, start = q[fits], e[fits], stop
                 held.append(np.stack([node[q], grp[q], e_grp[e], e_part[e], np.ones(len(q), np.int64)], axis=1))
                 n_held += len(q)
@@ -350,6 +356,7 @@ def _with_texts(own: DataFrame, nodes: DataFrame, roles: DataFrame) -> DataFrame
     return keys.join(few, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h"))).select(*(c for c in ("grp", "part", "share") if c in roles.columns), "role", "node", "own", "text")
 
 
+@operator
 def components(edges: DataFrame) -> DataFrame:
     """edges: two columns of longs. Returns id, label: for every end of an edge the least id that its edges reach."""
     edges = edges.toDF("a", "b")
@@ -381,6 +388,7 @@ class Found(NamedTuple):
     temporary: list
 
 
+@operator
 def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Found:
     least = _least(percent)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
@@ -395,11 +403,11 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Found:
     mine = Window.partitionBy("node")
     lost = F.col("place") - (F.row_number().over(mine.orderBy("token")) - 1)  # tokens before this one that the node shares with nobody
     runs = shared.withColumn("cap", F.col("size") - lost).withColumn("m", F.count("*").over(mine)).where(F.col("m") >= least)
-    runs = written(runs.select("token", "node", "size", "cap", (F.col("m") / F.col("size")).alias("score"), bucket.alias("bucket")), "runs")
+    runs = written(runs.select("token", "node", "size", "cap", "place", (F.col("m") / F.col("size")).alias("score"), bucket.alias("bucket")), "runs")
     let_go(shared)
 
     # groups: every node and its hub
-    led = runs.drop("cap").groupBy("bucket").applyInArrow(_hubs(percent), "node long, hub long, score double, n long, way int").where("node <> hub")
+    led = runs.drop("cap", "place").groupBy("bucket").applyInArrow(_hubs(percent), "node long, hub long, score double, n long, way int").where("node <> hub")
     led = led.groupBy("node", "way", "hub").agg(F.max("score").alias("score"), F.sum("n").alias("n")).where(F.col("n") >= least)
     led = led.groupBy("node", "way").agg(F.max(F.struct("score", F.bitwise_not("hub").alias("minus"))).alias("m")).select("node", F.bitwise_not("m.minus").alias("hub")).distinct()
     led = written(led, "hubs")
@@ -419,7 +427,7 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Found:
     let_go(large, stars, whole)
 
     # the matrix, and the meetings of queries with parts of other groups
-    matrix = runs.select("token", "node", "size", "cap", "bucket").join(groups, "node")
+    matrix = runs.select("token", "node", "size", "cap", "place", "bucket").join(groups, "node")
     met = matrix.groupBy("bucket").applyInArrow(_meetings(percent), "node long, own long, other long, part long, n long")
     met = met.groupBy("node", "own", "other", "part").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     met = written(met.select("node", F.col("other").alias("grp"), F.col("part").cast("int").alias("part"), F.lit(0).alias("role"), "own"), "meetings")
