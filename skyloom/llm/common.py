@@ -120,6 +120,8 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, n: str = "n") -> Dat
 
     Hot keys' facts are broadcast, so that their rows stay where they are; the others meet in a shuffle."""
     hot = hot_keys(facts, n)
+    if hot.isEmpty():
+        return rows.join(facts, key)
     common = rows.join(F.broadcast(hot), key)
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(facts.join(F.broadcast(hot.select(key)), key, "left_anti"), key)
     return common.unionByName(rest)

@@ -7,18 +7,22 @@ position is a suffix and DEPTH symbols are LENGTH bytes.
 1. Candidates. In every window of LENGTH bytes the least hash of its GRAM-byte strings is the window's anchor, found
    from its bytes alone: equal windows have equal anchors at equal offsets. Anchors that stand once in the corpus are
    dropped; each remaining occurrence brings a snippet, the bytes of the windows whose anchor it is.
-2. Buckets of anchors go to tasks. A bucket's snippets are cut into shards; each shard sorts its own suffixes by
-   prefix doubling and yields its transform. The shards are merged by refining an interleave: from the order by the
-   first k symbols, the transforms' symbols give the order by k + 1, stably, and a boundary appears where neighbours
-   first differ, which is their common prefix. After DEPTH steps the intervals without a boundary are the repeated
-   windows. No suffix is compared or sorted again.
+2. Buckets of anchors go to tasks. A bucket's snippets are cut into shards of SHARD bytes, several in most buckets;
+   each shard sorts its own suffixes by prefix doubling and yields its transform. The shards are merged by refining an
+   interleave: from the order by the first k symbols, the transforms' symbols give the order by k + 1, stably, and a
+   boundary appears where neighbours first differ, which is their common prefix. After DEPTH steps the intervals
+   without a boundary are the repeated windows; only the merge tells them. No suffix is compared or sorted again.
+3. An anchor of more than SPLIT distinct snippets (the edge of a passage that very many texts have) is no one task's:
+   its windows are dealt by their own first and last SYMBOL bytes, and only those whose pair of ends stands twice go on.
 
 Equal texts are analysed once; if there are several, all of a text of LENGTH bytes or more is repeated. Snippets of
 equal bytes and offset are combined before they are shuffled, so a passage that stands in very many texts is one row a
 task inside, and only its edges differ.
 
 Defined results: null and empty texts have no bytes; each row is a text, also with a repeated id; extra columns are
-ignored. Hashes have 64 bits; texts are told apart by their SHA-256.
+ignored. An empty table gives none. Hashes have 64 bits; texts are told apart by 60 bits of their SHA-256. What the thin alphabet
+of four symbols loses: the order of suffixes is that of hashes, not of bytes, so equal strings stand together but sorted
+neighbours mean nothing more, and repeats are found at LENGTH bytes only, not at every length.
 """
 
 from __future__ import annotations
@@ -30,12 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, n_blocks, utf8, written
+from .common import HOT, join_facts, let_go, mixed, n_blocks, only, operator, text_slices, utf8, written
 
 LENGTH, GRAM = 200, 50
 DEPTH = 4
 SYMBOL = LENGTH // DEPTH
-SHARD = 1 << 20
+#: Bytes of text behind a bucket, the least number of buckets, and bytes of snippets in a shard.
+BUCKET, LEAST, SHARD = 1 << 20, 64, 1 << 15
+SPLIT = 4096
 _R = 0x9E3779B97F4A7C15 | 1
 
 
@@ -87,19 +93,19 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _anchor_rows(batches):
-    """(anchor, text, place) of each batch."""
+    """(anchor, text, place) of each slice of a batch."""
+    only()
     for batch in batches:
-        found = []
-        for text, sha in zip(utf8(batch.column(1)), batch.column(0).to_pylist()):
-            data = np.frombuffer(text, np.uint8)
-            at, h = anchors(data)
-            if len(at):
+        all_texts, keys = utf8(batch.column(1)), batch.column(0).to_numpy()
+        for s in text_slices(all_texts):
+            found, places, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
+            for text in all_texts[s]:
+                at, h = anchors(np.frombuffer(text, np.uint8))
                 at = np.unique(at)
-                found.append((h[at], sha, at))
-        h = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.uint64)
-        at = np.concatenate([x[2] for x in found]) if found else np.zeros(0, np.int64)
-        owner = np.repeat(np.array([x[1] for x in found], np.int64), [len(x[2]) for x in found]) if found else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(owner), pa.array(at)], names=["anchor", "key", "at"])
+                found.append(h[at])
+                places.append(at)
+                owners.append(len(at))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(keys[s], owners)), pa.array(np.concatenate(places))], names=["anchor", "key", "at"])
 
 
 SNIPPET = "anchor long, key long, first long, before int, bytes binary"
@@ -107,6 +113,7 @@ SNIPPET = "anchor long, key long, first long, before int, bytes binary"
 
 def _snippets(batches):
     """The windows of each wanted anchor: where the first one starts, how far before the anchor that is, and their bytes."""
+    only()
     for batch in batches:
         cols = [[], [], [], [], []]
         for key, text, wanted in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist()):
@@ -214,11 +221,10 @@ def repeated_places(snippets: list[bytes], weights: np.ndarray, shard_bytes: int
             owners.append(start)
             start, size = i + 1, 0
     shard, row, common = merge(shards)
-    snippet, place = np.empty(len(shard), np.int64), np.empty(len(shard), np.int64)
-    for k, s in enumerate(shards):
-        own = shard == k
-        at = s.order[row[own]]
-        snippet[own], place[own] = owners[k] + s.snippet[at], s.place[at]
+    ends = np.cumsum([s.n for s in shards])
+    at = row + (ends - [s.n for s in shards])[shard]
+    snippet = np.concatenate([k + s.snippet[s.order] for k, s in zip(owners, shards)])[at]
+    place = np.concatenate([s.place[s.order] for s in shards])[at]
     lens = np.array([len(s) for s in snippets], np.int64)
     whole = place + LENGTH <= lens[snippet]
     interval = np.cumsum(common < DEPTH) - 1
@@ -238,13 +244,40 @@ def _runs(sorted_places: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _bucket(rows: pa.Table) -> pa.Table:
-    """One bucket of distinct snippets with their numbers: the (anchor, snippet) runs of repeated places."""
+    """One bucket of distinct snippets with their numbers: the (snippet, places) runs of repeated places; shift is added to a snippet's places."""
     found = repeated_places(rows["bytes"].to_pylist(), rows["n"].to_numpy())
-    ids = rows["snippet"].to_numpy()
-    out = [(int(ids[i]), a, b) for i, places in found for a, b in _runs(places)]
+    ids, shift = rows["snippet"].to_numpy(), rows["shift"].to_numpy()
+    out = [(int(ids[i]), a + int(shift[i]), b + int(shift[i])) for i, places in found for a, b in _runs(places)]
     return pa.table({"snippet": pa.array([x[0] for x in out], pa.int64()), "a": pa.array([x[1] for x in out], pa.int64()), "b": pa.array([x[2] for x in out], pa.int64())})
 
 
+def _ends(batches):
+    """The windows of snippets, by a hash of their anchor, their place about it and their first and last SYMBOL bytes."""
+    for batch in batches:
+        out = [[np.zeros(0, np.uint64)], [], [np.zeros(0, np.int32)], []]
+        anchor, before = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
+        for i, data in enumerate(batch.column(3).to_pylist()):
+            h = rolling(np.frombuffer(data, np.uint8), SYMBOL)
+            m = len(data) - LENGTH + 1
+            at = np.arange(m)
+            with np.errstate(over="ignore"):
+                out[0].append(mixed(h[:m] + mixed(h[LENGTH - SYMBOL : LENGTH - SYMBOL + m], 1) + mixed(anchor[i] + (int(before[i]) - at).astype(np.uint64), 2), 3))
+            out[1].append(m)
+            out[2].append(at.astype(np.int32))
+        sizes = np.array(out[1], np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(out[0]).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(np.concatenate(out[2])), pa.array(np.repeat(batch.column(4).to_numpy(), sizes))],
+            names=["ends", "snippet", "shift", "n"],
+        )
+
+
+def split_windows(hot: DataFrame) -> DataFrame:
+    """hot: snippet, anchor, before, bytes, n. Returns ends, snippet, shift, bytes (of one window), n for the windows whose ends stand more than once."""
+    windows = written(hot.select("snippet", "anchor", "before", "bytes", "n").mapInArrow(_ends, "ends long, snippet long, shift int, n long"), "windows")
+    many = windows.groupBy("ends").agg(F.sum("n").alias("times")).where("times > 1").select("ends")
+    return windows.join(many, "ends", "left_semi").join(hot.select("snippet", "bytes"), "snippet").select("ends", "snippet", "shift", F.expr(f"substring(bytes, shift + 1, {LENGTH})").alias("bytes"), "n")
+
+
 def covered(n: int, runs: list[tuple[int, int]]) -> np.ndarray:
     edges = np.zeros(n + 1, np.int64)
     for a, b in runs:
@@ -269,21 +302,42 @@ def _remove(batches):
         )
 
 
-def repeated_runs(texts: DataFrame) -> DataFrame:
-    """texts: key (long, distinct), text. Returns key and the runs [a, b] of repeated starts, as rows."""
-    blocks = n_blocks(texts, 1 << 20)
+@operator
+def bucketed(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """texts: key (long, distinct), text. Returns where the snippets stand (key, snippet, first), and the distinct ones by bucket (snippet, shift, bytes, n, bucket)."""
+    blocks = n_blocks(texts, BUCKET, LEAST)
     found = written(texts.select("key", "text").mapInArrow(_anchor_rows, "anchor long, key long, at long"), "anchors")
-    many = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    wanted = found.join(many, "anchor", "left_semi").groupBy("key").agg(F.collect_list("at").alias("wanted"))
+    many = written(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "many")
+    # a hot anchor's rows stay where they are; the others meet theirs in a shuffle
+    hot = F.broadcast(many.where(F.col("n") * HOT > found.count()).select("anchor"))
+    rest = found.join(hot, "anchor", "left_anti").join(many.select("anchor"), "anchor", "left_semi")
+    wanted = found.join(hot, "anchor", "left_semi").unionByName(rest).groupBy("key").agg(F.collect_list("at").alias("wanted"))
     pieces = texts.join(wanted, "key").select("key", "text", "wanted").mapInArrow(_snippets, SNIPPET)
     pieces = written(pieces.withColumn("snippet", F.xxhash64("anchor", "before", "bytes")), "snippets")
     # equal snippets once, with their number; combined in each task before the shuffle
     distinct = pieces.groupBy("snippet", "anchor", "before", "bytes").agg(F.count("*").alias("n"))
-    bucket = F.pmod(F.xxhash64("anchor"), F.lit(blocks)).cast("int")
-    runs = distinct.select("snippet", "bytes", "n", bucket.alias("bucket")).groupBy("bucket").applyInArrow(_bucket, "snippet long, a long, b long")
-    return pieces.select("key", "snippet", "first").join(runs, "snippet").select("key", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))
+    maybe = join_facts(pieces.select("anchor", "snippet"), many.where(F.col("n") > SPLIT), "anchor").select("anchor", "snippet").distinct()
+    large = written(maybe.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT).select("anchor"), "large")
+    let_go(found, many)
+    if large.isEmpty():
+        own = distinct.select("snippet", F.lit(0).alias("shift"), "bytes", "n", F.col("anchor").alias("by"))
+    else:
+        distinct = written(distinct, "distinct")
+        windows = split_windows(distinct.join(large, "anchor", "left_semi"))
+        own = distinct.join(large, "anchor", "left_anti").select("snippet", F.lit(0).alias("shift"), "bytes", "n", F.col("anchor").alias("by"))
+        own = own.unionByName(windows.select("snippet", "shift", "bytes", "n", F.col("ends").alias("by")))
+    bucket = F.pmod(F.xxhash64("by"), F.lit(blocks)).cast("int")
+    return pieces.select("key", "snippet", "first"), own.select("snippet", "shift", "bytes", "n", bucket.alias("bucket"))
+
+
+def repeated_runs(texts: DataFrame) -> DataFrame:
+    """texts: key (long, distinct), text. Returns key and the runs [a, b] of repeated starts, as rows."""
+    pieces, own = bucketed(texts)
+    runs = own.groupBy("bucket").applyInArrow(_bucket, "snippet long, a long, b long")
+    return pieces.join(runs, "snippet").select("key", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b")).alias("b"))
 
 
+@operator
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of every row."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -291,8 +345,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     copies = written(own.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id")), "copies")
     once = own.join(copies.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).select("key", "text").dropDuplicates(["key"])
     runs = repeated_runs(written(once, "texts")).groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
-    facts = copies.select("key", "copies").join(runs, "key", "left")
-    joined = own.join(facts, "key").select("doc_id", "text", "copies", "runs")
+    # a text that stands several times goes as a whole or has no window, so its runs don't count: its facts are small
+    facts = copies.select("key", "copies").join(runs, "key", "left").withColumn("runs", F.when(F.col("copies") == 1, F.col("runs")))
+    joined = join_facts(own, written(facts, "facts"), "key", "copies").select("doc_id", "text", "copies", "runs")
     return joined.mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skyloom.llm import repeats
 
@@ -48,6 +49,23 @@ def test_repeats(spark, seed):
     assert got - want == Counter() and want - got == Counter()
 
 
+def test_hot_anchors_are_split(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SPLIT", 3)
+    docs = corpus(3)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    _, own = repeats.bucketed(df.where("text is not null").dropDuplicates(["text"]).selectExpr("doc_id as key", "text"))
+    assert own.where("shift > 0").count() > 0
+    got, want = Counter(map(tuple, repeats.digest(df).collect())), brute(docs)
+    assert got - want == Counter() and want - got == Counter()
+
+
+def test_most_buckets_merge_several_shards(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text is not null").dropDuplicates(["text"])
+    _, own = repeats.bucketed(docs.selectExpr("doc_id as key", "text"))
+    shards = [r.size / repeats.SHARD for r in own.groupBy("bucket").agg(F.sum(F.length("bytes")).alias("size")).collect()]
+    assert len(shards) >= 8 and sum(x > 1 for x in shards) > 0.9 * len(shards)
+
+
 def test_odd_documents(odd, odd_docs, empty):
     assert Counter(map(tuple, repeats.digest(odd).collect())) == brute(odd_docs)
     assert repeats.digest(empty).collect() == []
