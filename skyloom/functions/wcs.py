@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -158,9 +161,9 @@ def in_polygon(x, y, polygon) -> Column:
 
 
 def octagon(width: int, height: int, buffer: int = FOOTPRINT_BUFFER) -> list[tuple[float, float]]:
-    """The frame's buffered footprint: corners and middles of the sides."""
-    b = buffer
-    return [(-b, -b), (width / 2, -b), (width + b, -b), (width + b, height / 2), (width + b, height + b), (width / 2, height + b), (-b, height + b), (-b, height / 2)]
+    """The frame's buffered footprint: each side moved outwards, the corners cut; in order around the frame."""
+    b, w, h = buffer, width, height
+    return [(-b, 0), (-b, h), (0, h + b), (w, h + b), (w + b, h), (w + b, 0), (w, -b), (0, -b)]
 
 
 def unit_vector(ra, dec) -> tuple[Column, Column, Column]:
@@ -168,16 +171,37 @@ def unit_vector(ra, dec) -> tuple[Column, Column, Column]:
     return F.cos(d) * F.cos(a), F.cos(d) * F.sin(a), F.sin(d)
 
 
-def in_convex(ra, dec, ring) -> Column:
-    """Inside a convex spherical polygon: on the same side of every edge's great circle. ring: column with (ra, dec) in order."""
-    p, ring = unit_vector(ra, dec), _lit(ring)
-    n, inside = 4, []
+def edge_normals(ring, n: int) -> list[tuple[Column, Column, Column]]:
+    """The normals of the great circles through a ring's n edges. ring: column with (ra, dec) in order."""
+    ring = _lit(ring)
     v = [unit_vector(ring[i]["ra"], ring[i]["dec"]) for i in range(n)]
-    for i in range(n):
-        (a1, a2, a3), (b1, b2, b3) = v[i], v[(i + 1) % n]
-        inside.append((a2 * b3 - a3 * b2) * p[0] + (a3 * b1 - a1 * b3) * p[1] + (a1 * b2 - a2 * b1) * p[2])
-    every = lambda sign: F.expr("true") & sign(inside[0]) & sign(inside[1]) & sign(inside[2]) & sign(inside[3])
-    return every(lambda c: c >= 0) | every(lambda c: c <= 0)
+    return [(a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]) for a, b in zip(v, v[1:] + v[:1])]
+
+
+def on_one_side(point, normals) -> Column:
+    """Inside a convex spherical polygon: on the same side of every edge's great circle."""
+    side = [n[0] * point[0] + n[1] * point[1] + n[2] * point[2] for n in normals]
+    return reduce(and_, (c >= 0 for c in side)) | reduce(and_, (c <= 0 for c in side))
+
+
+def footprint_normals(spark, width: int, height: int, frame: dict, buffer: int = FOOTPRINT_BUFFER) -> list[tuple[float, float, float]]:
+    """The normals of the footprint's eight edges on the sky; the eight points are mapped once, on the driver."""
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(octagon(width, height, buffer))], "i int, x double, y double")
+    x, y, z = unit_vector(*sip_pixel_to_sky("x", "y", frame))
+    v = [tuple(r)[1:] for r in sorted(points.select("i", x.alias("ux"), y.alias("uy"), z.alias("uz")).collect())]
+    return [(a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]) for a, b in zip(v, v[1:] + v[:1])]
+
+
+def inside_normals(ra, dec, normals) -> Column:
+    """on_one_side() of a point on the sky; each step is a function of the one before, so that no expression is written out twice."""
+    sky = F.array(F.struct(_lit(ra).alias("ra"), _lit(dec).alias("dec")))
+    unit = F.transform(sky, lambda p: _named(**dict(zip("xyz", unit_vector(p["ra"], p["dec"])))))
+    return F.transform(unit, lambda v: on_one_side([v[c] for c in "xyz"], normals))[0]
+
+
+def sky_on_frame(ra, dec, frame: dict) -> Column:
+    """A point on the sky as a struct (x, y) of the frame's pixels."""
+    return F.transform(F.array(F.struct(_lit(ra).alias("ra"), _lit(dec).alias("dec"))), lambda p: _named(**dict(zip("xy", sip_sky_to_pixel(p["ra"], p["dec"], frame)))))[0]
 
 
 def cd_matrix(cd, cdelt, pc, default: float = 1 / 3600) -> Column:

@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..constants import SAT_BIT, STAR_HALF_SIZE, ZERO_POINT
+from ..shipping import ship
+from .rows import as_lists, lists
 
 RASTER = "key string, h int, w int, data array<double>"
 
@@ -50,12 +52,13 @@ def remove_background(rasters: DataFrame, sigma: float = 2.5, bright: float = 20
     def step(batches):
         for b in batches:
             out = []
-            for h, w, data, error in zip(*(b.column(i).to_pylist() for i in range(1, 5))):
-                d, e = np.array(data, np.float64).reshape(h, w), np.array(error, np.float64).reshape(h, w)
+            for h, w, data, error in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), lists(b.column(3)), lists(b.column(4))):
+                d, e = data.astype(np.float64).reshape(h, w), error.astype(np.float64).reshape(h, w)
                 keep = detect(d, e, sigma, bright) if np.isfinite(e).any() else np.ones(d.shape, bool)
-                out.append(np.where(keep, d, 0.0).ravel().tolist())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(out, pa.list_(pa.float64()))], names=["key", "h", "w", "data"])
+                out.append(np.where(keep, d, 0.0))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), as_lists(out, pa.float64())], names=["key", "h", "w", "data"])
 
+    ship(rasters.sparkSession)
     return rasters.select("key", "h", "w", "data", "error").mapInArrow(step, RASTER)
 
 
@@ -105,12 +108,13 @@ def replace_saturated(rasters: DataFrame, **options) -> DataFrame:
     def step(batches):
         for b in batches:
             datas, masks = [], []
-            for h, w, data, mask, stars in zip(*(b.column(i).to_pylist() for i in range(1, 6))):
-                d, m = replace_stars(np.array(data, np.float64).reshape(h, w), np.array(mask, np.int64).reshape(h, w), [(s["x"], s["y"], s["mag"]) for s in stars or []], **options)
-                datas.append(d.ravel().tolist())
-                masks.append(m.ravel().tolist())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(datas, pa.list_(pa.float64())), pa.array(masks, pa.list_(pa.int32()))], names=["key", "h", "w", "data", "mask"])
+            for h, w, data, mask, stars in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), lists(b.column(3)), lists(b.column(4)), b.column(5).to_pylist()):
+                d, m = replace_stars(data.astype(np.float64).reshape(h, w), mask.astype(np.int64).reshape(h, w), [(s["x"], s["y"], s["mag"]) for s in stars or []], **options)
+                datas.append(d)
+                masks.append(m)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), as_lists(datas, pa.float64()), as_lists(masks, pa.int32())], names=["key", "h", "w", "data", "mask"])
 
+    ship(rasters.sparkSession)
     return rasters.select("key", "h", "w", "data", "mask", "stars").mapInArrow(step, RASTER + ", mask array<int>")
 
 

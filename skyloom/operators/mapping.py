@@ -9,35 +9,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..constants import FOOTPRINT_BUFFER
 from ..functions import wcs
 
-BUCKET = 0.5
+#: Side of a bucket in degrees: somewhat less than a cell's, so that few candidates miss and a cell has few buckets.
+BUCKET = 0.25
 
 
-def _bands(dec):
-    return F.floor(dec / BUCKET).cast("int")
+def _bands(dec, bucket: float):
+    return F.floor(dec / bucket).cast("int")
 
 
-def _ra_bucket(ra, band):
+def _ra_bucket(ra, band, bucket: float):
     """RA buckets widen towards the poles; the circle holds a whole number of them."""
-    per_circle = F.greatest(F.lit(1.0), F.floor(360.0 / BUCKET * F.cos(F.radians(F.least(F.abs(band * BUCKET), F.abs((band + 1) * BUCKET))))))
+    per_circle = F.greatest(F.lit(1.0), F.floor(360.0 / bucket * F.cos(F.radians(F.least(F.abs(band * bucket), F.abs((band + 1) * bucket))))))
     return F.pmod(F.floor(F.pmod(ra, F.lit(360.0)) / 360.0 * per_circle), per_circle).cast("int"), per_circle
 
 
-def points_in_cells(points: DataFrame, cells: DataFrame) -> DataFrame:
-    """points: id, ra, dec; cells: cell_id and ring, an array of four (ra, dec). Returns (id, cell_id) of all hits."""
-    c = cells.select(
-        "cell_id", "ring", F.array_min(F.transform("ring", lambda v: v["dec"])).alias("d0"), F.array_max(F.transform("ring", lambda v: v["dec"])).alias("d1"),
-        F.array_min(F.transform("ring", lambda v: v["ra"])).alias("a0"), F.array_max(F.transform("ring", lambda v: v["ra"])).alias("a1"),
-    )
+def points_in_cells(points: DataFrame, cells: DataFrame, bucket: float = BUCKET) -> DataFrame:
+    """points: id, ra, dec; cells: cell_id and ring, an array of four (ra, dec). Returns (id, cell_id) of all hits.
+
+    Sines and cosines are taken once a point and once a cell, before they meet; a pair costs four scalar products."""
+    edge = lambda f: lambda name: f(F.transform("ring", lambda v: v[name]))
+    low, high = edge(F.array_min), edge(F.array_max)
+    normals = [c.alias(f"n{i}{axis}") for i, n in enumerate(wcs.edge_normals("ring", 4)) for c, axis in zip(n, "xyz")]
+    c = cells.select("cell_id", low("dec").alias("d0"), high("dec").alias("d1"), low("ra").alias("a0"), high("ra").alias("a1"), *normals)
     margin = 0.02
-    c = c.withColumn("band", F.explode(F.sequence(_bands(F.col("d0") - margin), _bands(F.col("d1") + margin))))
-    first, per = _ra_bucket(F.col("a0") - margin, F.col("band"))
+    c = c.withColumn("band", F.explode(F.sequence(_bands(F.col("d0") - margin, bucket), _bands(F.col("d1") + margin, bucket))))
+    first, per = _ra_bucket(F.col("a0") - margin, F.col("band"), bucket)
     count = F.least(F.floor((F.col("a1") - F.col("a0") + 2 * margin) / 360.0 * per).cast("int") + 1, per.cast("int") - 1)
     c = c.withColumn("bucket", F.explode(F.transform(F.sequence(F.lit(0), count), lambda i: F.pmod(first + i, per.cast("int")))))
-    p = points.withColumn("band", _bands(F.col("dec")))
-    p = p.withColumn("bucket", _ra_bucket(F.col("ra"), F.col("band"))[0])
-    return p.join(c, ["band", "bucket"]).where(wcs.in_convex("ra", "dec", "ring")).select("id", "cell_id").distinct()
+    x, y, z = wcs.unit_vector("ra", "dec")
+    p = points.select("id", _bands(F.col("dec"), bucket).alias("band"), F.col("ra"), x.alias("ux"), y.alias("uy"), z.alias("uz"))
+    p = p.withColumn("bucket", _ra_bucket(F.col("ra"), F.col("band"), bucket)[0])
+    # a point has one bucket and a cell each of its buckets once, so a pair meets once
+    inside = wcs.on_one_side([F.col(f"u{axis}") for axis in "xyz"], [[F.col(f"n{i}{axis}") for axis in "xyz"] for i in range(4)])
+    return p.join(c, ["band", "bucket"]).where(inside).select("id", "cell_id")
+
+
+def cells_in_footprint(cells: DataFrame, frame: dict, width: int, height: int, buffer: int = FOOTPRINT_BUFFER) -> DataFrame:
+    """The cells whose centre lies in the frame's buffered footprint, with the centre as (ra, dec)."""
+    ra, dec = wcs.centre()
+    normals = wcs.footprint_normals(cells.sparkSession, width, height, frame, buffer)
+    own = cells.withColumn("ra", ra).withColumn("dec", dec)
+    return own.where(wcs.inside_normals("ra", "dec", normals))
+
+
+def cell_shifts(cells: DataFrame, offsets: DataFrame, frame: dict) -> DataFrame:
+    """The shift in cell pixels that a shift of the frame means at a cell's centre: offset_id, cell_id, sx, sy.
+
+    cells: with their centre as (ra, dec); offsets: offset_id, dx, dy in frame pixels, a parameter list, so it is broadcast."""
+    rows = cells.crossJoin(F.broadcast(offsets))
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    pairs = F.transform(F.array(wcs.sky_on_frame("ra", "dec", frame)), lambda p: F.array(point(p["x"], p["y"]), point(p["x"] + F.col("dx"), p["y"] + F.col("dy"))))[0]
+    shift = F.transform(F.array(wcs.frame_points_on_cell(pairs, frame)), lambda p: F.struct((p[1]["x"] - p[0]["x"]).alias("sx"), (p[1]["y"] - p[0]["y"]).alias("sy")))[0]
+    return rows.select("offset_id", "cell_id", shift.alias("s")).select("offset_id", "cell_id", "s.sx", "s.sy")
 
 
 def nearest_centre(hits: DataFrame, points: DataFrame, centres: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import FULL_COVERAGE, SEARCH_RADIUS, SIDES
 from ..functions.names import cell_name, padding_names
+from ..shipping import ship
 
 
 def edge_strips(assignment: DataFrame, height: int, width: int, pad: int, edge: int, legacy: bool = False) -> DataFrame:
@@ -94,6 +95,7 @@ def candidates(regions: DataFrame, cells: DataFrame, radius: float = SEARCH_RADI
     r = r.withColumn("bucket", F.pmod(at(F.col("ra")), per.cast("long")))
     near = r.join(c, ["band", "bucket"]).where(F.col("name") != F.col("cell"))
     near = near.withColumn("distance", separation("ra", "dec", "cra", "cdec")).where(F.col("distance") < radius).select("name", "side", "region", "cell", "quad", "distance")
+    ship(near.sparkSession)
     return near.mapInArrow(_coverage, _with_type(near, "coverage double")).where("coverage > 0")
 
 
@@ -141,6 +143,7 @@ def best_padding(found: DataFrame) -> DataFrame:
     left = found.join(open_regions, ["name", "side"], "left_semi")
     right = left.select("name", "side", F.col("cell").alias("cell2"), F.col("quad").alias("quad2"), F.col("distance").alias("distance2"))
     pairs = left.join(right, ["name", "side"]).where(F.col("cell") < F.col("cell2"))
+    ship(pairs.sparkSession)
     pairs = pairs.mapInArrow(_pair_coverage, _with_type(pairs, "union_coverage double")).where(F.col("union_coverage") >= FULL_COVERAGE)
     best = pairs.groupBy("name", "side").agg(F.min(F.struct(((F.col("distance") + F.col("distance2")) / 2).alias("d"), "cell", "cell2")).alias("m"))
     best = best.select("name", "side", F.concat_ws("/", "m.cell", "m.cell2").alias("both"))

@@ -7,7 +7,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import CELL_OVERLAP, EDGE_EXCLUSION, PAD_SIZE, PSF_RADIUS, PSF_SIGMA
+from ..constants import CELL_OVERLAP, EDGE_EXCLUSION, PAD_SIZE, PSF_RADIUS, PSF_SIGMA, SIDES
+from ..functions import wcs
+from ..shipping import ship
+
+
+def lists(column) -> list[np.ndarray]:
+    """An Arrow list column's values as views on its buffer, without Python numbers; NaN for nulls in a list of floats."""
+    flat, ends = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy() - column.offsets[0].as_py()
+    return [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
+def as_lists(arrays: list[np.ndarray], kind) -> pa.ListArray:
+    flat = np.concatenate([a.ravel() for a in arrays]) if arrays else np.zeros(0)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(a.size for a in arrays)]), pa.int32()), pa.array(flat).cast(kind))
 
 
 def projection_facts(cells: DataFrame) -> DataFrame:
@@ -66,11 +79,46 @@ def cross_row(rows: DataFrame, pairs: DataFrame, height: int, overlap: int, edge
 
 def extract(rows: DataFrame, cells: DataFrame, height: int, width: int, overlap: int, pad: int) -> DataFrame:
     """Each cell's part of its row's array. cells: projection, row, k, name."""
-    left = pad + F.col("k") * (width - overlap)
-    hits = cells.join(rows, ["projection", "row"]).where((F.col("mx") >= left) & (F.col("mx") < left + width) & (F.col("my") >= pad) & (F.col("my") < pad + height))
+    step = width - overlap
+    left = pad + F.col("k") * step
+    inner = F.col("mx") - pad
+    # the places in the row whose cells can hold a column, by arithmetic, so that a pixel meets those only
+    places = F.sequence(F.greatest(F.lit(0), F.floor((inner - width) / step).cast("int") + 1), F.floor(inner / step).cast("int"))
+    near = rows.where((F.col("my") >= pad) & (F.col("my") < pad + height) & (inner >= 0)).withColumn("k", F.explode(places))
+    hits = near.join(cells, ["projection", "row", "k"])
     return hits.select("name", (F.col("my") - pad).alias("y"), (F.col("mx") - left).alias("x"), "value")
 
 
+def padding_placement(cells: DataFrame, pad: int = PAD_SIZE, edge: int = EDGE_EXCLUSION, overlap: int = CELL_OVERLAP) -> DataFrame:
+    """Where the raster of each cell's padding lies in its row's array, by side: cell_id, side, width, height, cx, cy and the centre on the sky.
+
+    cells: their headers and k, the place in the row. A side takes the cell's length along it; a corner's name holds both
+    its sides, so it has the cell's width and height."""
+    reach, across = (pad - edge) / 2, pad + edge
+    start = pad + F.col("k") * (F.col("naxis1") - overlap)
+    has = lambda part: F.col("side").contains(part)
+    rows = cells.withColumn("side", F.explode(F.array(*(F.lit(name) for name, _, _ in SIDES)))).withColumn("start", start)
+    rows = rows.withColumn("width", F.when(has("top") | has("bottom"), F.col("naxis1")).otherwise(across)).withColumn("height", F.when(has("left") | has("right"), F.col("naxis2")).otherwise(across))
+    cx = F.when(has("right"), F.col("start") + F.col("naxis1") + reach).when(has("left"), F.col("start") - reach).otherwise(F.col("start") + F.col("naxis1") / 2)
+    cy = F.when(has("bottom"), F.lit((pad + edge) / 2)).when(has("top"), pad + F.col("naxis2") + reach).otherwise(pad + F.col("naxis2") / 2)
+    rows = rows.withColumn("cx", cx).withColumn("cy", cy)
+    ra, dec = wcs.pixel_to_sky(F.col("cx") - F.col("start"), F.col("cy") - pad)
+    return rows.select("cell_id", "side", "width", "height", "cx", "cy", ra.alias("ra"), dec.alias("dec"))
+
+
+def valid_for_stitching(pixels: DataFrame, height, width) -> DataFrame:
+    """The reprojected pixels (y, x, value, footprint) that may go into an array: inside it, a number, and seen by the source."""
+    inside = (F.col("y") >= 0) & (F.col("y") < height) & (F.col("x") >= 0) & (F.col("x") < width)
+    return pixels.where(inside & F.col("value").isNotNull() & ~F.isnan("value") & (F.col("footprint") > 0))
+
+
+def stitch(rows: DataFrame, padding: DataFrame, keys: list[str]) -> DataFrame:
+    """rows (keys, y, x, value) with valid padding pixels in their place; of several for one place the highest source counts. padding: keys, source, y, x, value."""
+    at = [*keys, "y", "x"]
+    new = padding.groupBy(*at).agg(F.max_by("value", "source").alias("new"))
+    return rows.join(new, at, "full").select(*at, F.coalesce("new", "value").alias("value"))
+
+
 def kernel(sigma: float = PSF_SIGMA, radius: int = PSF_RADIUS) -> np.ndarray:
     g = np.exp(-np.arange(-radius, radius + 1) ** 2 / (2.0 * sigma * sigma))
     return g / g.sum()
@@ -111,25 +159,33 @@ def convolve_tiles(tiles: DataFrame, sigma: float = PSF_SIGMA, radius: int = PSF
     def step(batches):
         for batch in batches:
             out = []
-            for h, w, data in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                a = np.array(data, np.float64).reshape(h, w)
+            for h, w, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), lists(batch.column(3))):
+                a = data.astype(np.float64).reshape(h, w)
                 hole = np.isnan(a)
                 smooth = one_axis(one_axis(np.where(hole, 0.0, a), 0), 1)
-                out.append(np.where(hole, np.nan, smooth).ravel().tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(out, pa.list_(pa.float64()))], names=["key", "h", "w", "data"])
+                out.append(np.where(hole, np.nan, smooth))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), as_lists(out, pa.float64())], names=["key", "h", "w", "data"])
 
+    ship(tiles.sparkSession)
     return tiles.select("key", "h", "w", "data").mapInArrow(step, "key string, h int, w int, data array<double>")
 
 
 def tiles(pixels: DataFrame, size: int, halo: int, keys: list[str]) -> DataFrame:
-    """Long pixels to tiles with a halo: a pixel is copied to each tile whose halo holds it."""
+    """Long pixels to tiles with a halo, NaN where there is none: a pixel is copied to each tile whose halo holds it, and a tile's pixels are scattered into its raster."""
     reach = lambda c: F.sequence(F.floor((c - halo) / size).cast("int"), F.floor((c + halo) / size).cast("int"))
     rows = pixels.withColumn("ty", F.explode(reach(F.col("y")))).withColumn("tx", F.explode(reach(F.col("x"))))
     side = size + 2 * halo
     place = (F.col("y") - F.col("ty") * size + halo) * side + F.col("x") - F.col("tx") * size + halo
-    own = rows.groupBy(*keys, "ty", "tx").agg(F.map_from_entries(F.collect_list(F.struct(place.cast("int").alias("at"), "value"))).alias("m"))
-    data = F.transform(F.sequence(F.lit(0), F.lit(side * side - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(float("nan"))))
-    return own.select(F.concat_ws("/", *(F.col(k).cast("string") for k in [*keys, "ty", "tx"])).alias("key"), F.lit(side).alias("h"), F.lit(side).alias("w"), data.alias("data"))
+    name = F.concat_ws("/", *(F.col(k).cast("string") for k in [*keys, "ty", "tx"])).alias("key")
+    own = rows.select(name, place.cast("int").alias("at"), F.col("value").cast("double").alias("value"))
+
+    def scatter(group: pa.Table) -> pa.Table:
+        out = np.full(side * side, np.nan)
+        out[group["at"].to_numpy()] = group["value"].to_numpy()
+        return pa.table({"key": pa.array([group["key"][0].as_py()]), "h": pa.array([side], pa.int32()), "w": pa.array([side], pa.int32()), "data": as_lists([out], pa.float64())})
+
+    ship(pixels.sparkSession)
+    return own.groupBy("key").applyInArrow(scatter, "key string, h int, w int, data array<double>")
 
 
 def edge_to_nan(value, y, x, height: int, width: int, edge: int = EDGE_EXCLUSION):

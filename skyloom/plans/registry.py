@@ -421,6 +421,74 @@ def oversampled_grid(r):
     return wcs.frame_pixels(r("region").sparkSession, 8, 8, 2)
 
 
+def _sip_of(source: str) -> str:
+    """The way from frame pixels to the sky as SQL; source gives pix, px, py."""
+    return _SIP[: _SIP.rindex("SELECT range AS pix")] + source + ")))))"
+
+
+def _skies(points) -> str:
+    return " UNION ALL ".join(f"SELECT {i} AS pix, {float(x)}e0 AS px, {float(y)}e0 AS py" for i, (x, y) in enumerate(points))
+
+
+_CENTRES = _TAN.format(k="cell_id", src="SELECT *, floor(naxis1 / 2) AS px, floor(naxis2 / 2) AS py FROM cells")
+_XYZ = "cos(radians(dec)) * cos(radians(ra)) AS x, cos(radians(dec)) * sin(radians(ra)) AS y, sin(radians(dec)) AS z"
+_FOOTPRINT = f"""v AS (SELECT pix, {_XYZ} FROM ({_sip_of(_skies(wcs.octagon(64, 64)))})),
+e AS (SELECT a.y * b.z - a.z * b.y AS x, a.z * b.x - a.x * b.z AS y, a.x * b.y - a.y * b.x AS z FROM v a JOIN v b ON b.pix = (a.pix + 1) % 8),
+centres AS (SELECT cell_id, ra, dec, {_XYZ} FROM ({_CENTRES})),
+near AS (SELECT cell_id, any_value(ra) AS ra, any_value(dec) AS dec FROM centres c, e GROUP BY cell_id HAVING bool_and(c.x * e.x + c.y * e.y + c.z * e.z >= 0) OR bool_and(c.x * e.x + c.y * e.y + c.z * e.z <= 0))"""
+
+
+@query(f"WITH {_FOOTPRINT} SELECT cell_id, round(ra, 6) AS ra, round(dec, 6) AS dec FROM near")
+def footprint_cells(r):
+    """Cells whose centre lies in the eight-sided buffered footprint."""
+    return mapping.cells_in_footprint(r("cells"), FRAME, 64, 64).select("cell_id", r6("ra", "ra"), r6("dec", "dec"))
+
+
+def _back(rounds: int) -> str:
+    """The fixed-point steps of the inverse distortion as nested SQL; from u0, v0."""
+    sql = "SELECT *, u0 AS u, v0 AS v FROM plane"
+    for _ in range(rounds):
+        sql = f"SELECT * REPLACE (u0 - (3e-6 * v * v + -2e-6 * u * v + 1e-5 * u * u) AS u, v0 - (-1e-5 * v * v + 1e-5 * u * v + 2e-6 * u * u) AS v) FROM ({sql})"
+    return sql
+
+
+_FLAT = """SELECT {k}, degrees(cos(d) * sin(a) / b) AS xi, degrees((cos(d0) * sin(d) - sin(d0) * cos(d) * cos(a)) / b) AS eta FROM (SELECT *, sin(d0) * sin(d) + cos(d0) * cos(d) * cos(a) AS b
+  FROM (SELECT *, radians(ra - {a0}) AS a, radians(dec) AS d, radians({d0}) AS d0 FROM {src}))"""
+
+
+@query(f"""WITH {_FOOTPRINT}, flat AS ({_FLAT.format(k="cell_id", a0="31e0", d0="-19e0", src="near")}),
+plane AS (SELECT cell_id, (0.02e0 * xi - 0.001e0 * eta) / -0.000401e0 AS u0, (-0.02e0 * eta - 0.001e0 * xi) / -0.000401e0 AS v0 FROM flat),
+own AS (SELECT cell_id, u + 32.5e0 - 1 AS fx, v + 32.5e0 - 1 AS fy FROM ({_back(6)})),
+points AS (SELECT cell_id * 100 + offset_id * 10 + w AS pix, fx + w * dx AS px, fy + w * dy AS py FROM own, offsets, (VALUES (0), (1)) q(w)),
+sky AS (SELECT pix // 100 AS id, pix // 10 % 10 AS offset_id, pix % 10 AS w, ra, dec FROM ({_sip_of("SELECT pix, px, py FROM points")})),
+cp AS (SELECT cell_id, offset_id, w, xi / cdelt1 AS x, eta / cdelt2 AS y FROM ({_FLAT.format(k="cell_id, offset_id, w, cdelt1, cdelt2", a0="crval1", d0="crval2", src="(SELECT * FROM sky JOIN cells ON cells.cell_id = sky.id)")}))
+SELECT CAST(offset_id AS INTEGER) AS offset_id, CAST(cell_id AS INTEGER) AS cell_id, round(sum(CASE w WHEN 1 THEN x ELSE -x END), 3) + 0 AS sx, round(sum(CASE w WHEN 1 THEN y ELSE -y END), 3) + 0 AS sy FROM cp GROUP BY 1, 2""")
+def cell_shifts(r):
+    """Frame offset to cell pixel shift, at the centre of each cell in the footprint."""
+    near = mapping.cells_in_footprint(r("cells"), FRAME, 64, 64)
+    return mapping.cell_shifts(near, r("offsets"), FRAME).select("offset_id", "cell_id", (F.round("sx", 3) + 0.0).alias("sx"), (F.round("sy", 3) + 0.0).alias("sy"))
+
+
+_PLACES = """SELECT *, CASE WHEN contains(side, 'top') OR contains(side, 'bottom') THEN naxis1 ELSE 490 END AS width, CASE WHEN contains(side, 'left') OR contains(side, 'right') THEN naxis2 ELSE 490 END AS height,
+  CASE WHEN contains(side, 'right') THEN s + naxis1 + 235e0 WHEN contains(side, 'left') THEN s - 235e0 ELSE s + naxis1 / 2e0 END AS cx,
+  CASE WHEN contains(side, 'bottom') THEN 245e0 WHEN contains(side, 'top') THEN 480 + naxis2 + 235e0 ELSE 480 + naxis2 / 2e0 END AS cy
+FROM (SELECT *, 480 + (x - 5) * (naxis1 - 480) AS s FROM cells), (VALUES ('top'), ('right'), ('top_right'), ('bottom'), ('left'), ('bottom_left'), ('bottom_right'), ('top_left')) q(side)"""
+
+
+@query("SELECT cell_id, side, width, height, cx, cy, round(ra, 6) AS ra, round(dec, 6) AS dec FROM (" + _TAN.format(k="cell_id, side, width, height, cx, cy", src=f"SELECT *, cx - s AS px, cy - 480 AS py FROM ({_PLACES})") + ")")
+def padding_placement(r):
+    """Place, shape and sky centre of each cell's padding, by side."""
+    out = rows.padding_placement(r("cells").withColumn("k", F.col("x") - 5))
+    return out.withColumn("ra", r6("ra", "ra")).withColumn("dec", r6("dec", "dec"))
+
+
+@query("SELECT cell_id, band, y - 4 AS y, x + 6 AS x, value FROM pixels WHERE y >= 4 AND x < 26 AND NOT isnan(value) AND weight > 0.7")
+def stitch_valid(r):
+    """reprojected pixels inside the array, numbers, with a footprint."""
+    moved = r("pixels").withColumn("y", F.col("y") - 4).withColumn("x", F.col("x") + 6).withColumn("footprint", F.when(F.col("weight") > 0.7, 1.0).otherwise(0.0))
+    return rows.valid_for_stitching(moved, 32, 32).select("cell_id", "band", "y", "x", "value")
+
+
 _SEP = "degrees(2 * asin(sqrt(least(power(sin((radians(d2) - radians(d1)) / 2), 2) + cos(radians(d1)) * cos(radians(d2)) * power(sin((radians(a2) - radians(a1)) / 2), 2), 1))))"
 
 
@@ -437,7 +505,7 @@ _IN = " + ".join(f"CASE WHEN dec > least({a[1]}e0, {b[1]}e0) AND dec <= greatest
 
 @query(f"SELECT source_id, phot_rp_mean_mag FROM stars WHERE phot_rp_mean_mag < 18 AND ({_IN}) % 2 = 1")
 def star_query(r):
-    """S06 S05 P19 P12."""
+    """S06 S05 P19."""
     return catalog.in_region(catalog.checked(r("stars")), [e[0] for e in _EDGES]).select("source_id", "phot_rp_mean_mag")
 
 
@@ -483,7 +551,7 @@ n AS (SELECT pix, arg_min(cell_id, (d, cell_id)) AS cell_id, min(d) AS distance
 
 @query(_NEAREST + "SELECT pix, cell_id, round(distance, 6) AS distance FROM n")
 def nearest_centre(r):
-    """A01 D4 L09."""
+    """A01 D4."""
     return _near(r).withColumn("distance", F.round("distance", 6))
 
 
@@ -519,7 +587,7 @@ def rectangle_fill(r):
 
 @query(_FILL + "SELECT y, x, max(id) AS pix FROM f GROUP BY y, x")
 def last_writer(r):
-    """A03 D5 K03."""
+    """A03 D5."""
     return mapping.last_writer(mapping.fill_rectangles(_boxes(r), 40, 40))
 
 
@@ -539,13 +607,13 @@ _ALL = lambda op: " AND ".join(_SIDE.format(i=i, j=(i + 1) % 4) + op + " 0" for
 @query(f"""WITH c AS (SELECT cell_id, {_VS} FROM (SELECT cell_id, 28e0 + cell_id * 37 % 40 / 10e0 AS a0, -22e0 + cell_id * 13 % 40 / 10e0 AS d0 FROM cells)), p AS (SELECT source_id AS id, {_V.format(a="ra", d="dec", n="p")} FROM stars)
 SELECT id, cell_id FROM p, c WHERE ({_ALL(" >=")}) OR ({_ALL(" <=")})""")
 def spatial_join(r):
-    """Buckets and the exact test."""
+    """Buckets and the exact test."""
     return mapping.points_in_cells(r("stars").select(F.col("source_id").alias("id"), "ra", "dec"), _ring(r))
 
 
 @query()
 def cell_mapping(r):
-    """A frame's pixels to the pixels of every cell that is nearest to some of them, through the sky. Cells lie on the sky under
+    """A frame's pixels to the pixels of every cell that is nearest to some of them, through the sky. Cells lie on the sky under
     their boxes of the nearest-centre result. Held against invariants and brute force in the tests."""
     ra, dec = wcs.sip_pixel_to_sky(F.col("cell_id") * 3 % 50 + 6.5, F.col("cell_id") * 7 % 50 + 6.5, FRAME)
     cells = r("cells").withColumn("crval1", ra).withColumn("crval2", dec).withColumn("crpix1", F.lit(100.5)).withColumn("crpix2", F.lit(100.5)).withColumn("cdelt1", F.lit(-0.005)).withColumn("cdelt2", F.lit(0.005))
@@ -620,7 +688,7 @@ _WIDE = ", ".join(f"coalesce(array_to_string(list_sort(list_distinct(list(pad_ce
 
 @query(f"WITH {_PAIRS} SELECT c.cell_id, {_WIDE} FROM cells c LEFT JOIN pairs p ON p.name = c.name GROUP BY c.cell_id")
 def attach_padding(r):
-    """J03 K05."""
+    """J03."""
     return padding.attach(r("cells"), padding.padding_pairs(r("padding"))).select("cell_id", *(f"pad_skycell_{s}" for s, _, _ in SIDES))
 
 
@@ -720,14 +788,14 @@ def x_chunks(r):
 @query("""WITH p AS (SELECT i.cell_id, i.y, i.x, i.y AS gy, i.x + 24 * (c.x - 5) AS gx, c.y AS row, c.projection, i.mask FROM image i JOIN cells c USING (cell_id) WHERE c.projection = 2000 AND c.y = 6)
 SELECT cell_id, y, x, m AS row_mask FROM p JOIN (SELECT gy, gx, arg_max(mask, cell_id) AS m FROM p GROUP BY 1, 2) USING (gy, gx)""")
 def unified_row_mask(r):
-    """A19 A18 F15, of one row; `unified_row_mask_all` has all."""
+    """A19 A18, of one row; `unified_row_mask_all` has all."""
     return _row_masks(r, r("cells").where("projection = 2000 AND y = 6"))
 
 
 @query("""WITH p AS (SELECT i.cell_id, i.y, i.x, i.y AS gy, i.x + 24 * (c.x - 5) AS gx, c.y AS row, c.projection, i.mask FROM image i JOIN cells c USING (cell_id))
 SELECT cell_id, y, x, m AS row_mask FROM p JOIN (SELECT projection, row, gy, gx, arg_max(mask, cell_id) AS m FROM p GROUP BY 1, 2, 3, 4) USING (projection, row, gy, gx)""")
 def unified_row_mask_all(r):
-    """A19 A18 F15, of every row of every projection."""
+    """A19 A18, of every row of every projection."""
     return _row_masks(r, r("cells"))
 
 
@@ -765,7 +833,7 @@ def frame_mjd(r):
 
 @query("SELECT k, CAST(regexp_extract(k, '^[AB]_(\\d+)_(\\d+)$', 1) AS INTEGER) + CAST(regexp_extract(k, '^[AB]_(\\d+)_(\\d+)$', 2) AS INTEGER) AS ord, n FROM (SELECT k, count(*) AS n FROM frames, (VALUES ('A_2_0'), ('B_1_2'), ('A_0_4')) v(k) GROUP BY k)")
 def coefficient_orders(r):
-    """Coefficient keys of header maps."""
+    """Coefficient keys of header maps."""
     h = F.create_map(*(F.lit(x) for k in ("A_2_0", "B_1_2", "AP_1_0", "CRVAL1", "A_0_4") for x in (k, "1")))
     keys = r("frames").select(F.explode(F.map_keys(names.select_header(h, [], r"^[AB]_\d+_\d+$"))).alias("k"))
     return keys.groupBy("k").agg(F.count("*").alias("n")).select("k", names.coefficient_order("k").alias("ord"), "n")
@@ -773,7 +841,7 @@ def coefficient_orders(r):
 
 @query("SELECT projection, arg_min(crpix1, cell_id) AS crpix1, arg_min(name, cell_id) AS name FROM cells GROUP BY 1")
 def first_wcs(r):
-    """A25 S02."""
+    """A25."""
     return analysis.first_by_projection(r("cells"), "cell_id", ["crpix1", "name"])
 
 
@@ -819,7 +887,7 @@ def missing_arrays(r):
 
 @query(f"SELECT cell_id, array_name FROM (SELECT cell_id, unnest({_EXPECTED}) AS array_name FROM cells) EXCEPT SELECT cell_id, array_name FROM inventory WHERE readable")
 def resume_ingest(r):
-    """T05 S07."""
+    """T05."""
     return inventory.to_fetch(r("cells"), r("inventory"))
 
 
@@ -850,7 +918,7 @@ def stored_projections(r):
 
 @query("SELECT cell_id, y, x, mask FROM image WHERE cell_id = 7")
 def select_array(r):
-    """S17 S11 S04."""
+    """S17."""
     return r("image").where("cell_id = 7").select("cell_id", "y", "x", "mask")
 
 
@@ -869,7 +937,7 @@ def source_detect(r):
     """Background to zero. Held against invariants in the tests."""
     rasters = _rasters(r).withColumn("error", F.transform("data", lambda v: F.lit(0.5)))
     out = kernels.remove_background(rasters)
-    return out.select("key", F.aggregate("data", F.lit(0), lambda a, v: a + F.when(v != 0, 1).otherwise(0)).alias("kept"))
+    return out.select("key", F.posexplode("data").alias("at", "value"))
 
 
 @query()
@@ -878,25 +946,32 @@ def star_repair(r):
     stars = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(m).alias("mag")) for x, y, m in ((10.0, 8.0, 15.0), (30.0, 16.0, 16.0), (50.0, 20.0, 13.0))))
     rasters = _rasters(r).withColumn("mask", F.transform("data", lambda v: F.lit(0))).withColumn("stars", stars)
     out = kernels.replace_saturated(rasters, half=3)
-    return out.select("key", F.aggregate("mask", F.lit(0), lambda a, v: a + F.when(v != 0, 1).otherwise(0)).alias("replaced"))
+    return out.select("key", F.posexplode(F.arrays_zip("data", "mask")).alias("at", "p")).select("key", "at", F.round("p.data", 6).alias("value"), "p.mask")
 
 
 @query("""WITH t AS (SELECT y * 32 + x AS id, y * 0.9e0 + 0.25e0 AS sy, x * 0.9e0 + 0.4e0 AS sx FROM grid), n AS (SELECT id, CAST(floor(sy) AS INTEGER) + dy AS y, CAST(floor(sx) AS INTEGER) + dx AS x,
   CASE dy WHEN 1 THEN sy - floor(sy) ELSE 1 - (sy - floor(sy)) END * CASE dx WHEN 1 THEN sx - floor(sx) ELSE 1 - (sx - floor(sx)) END AS w FROM t, (VALUES (0), (1)) a(dy), (VALUES (0), (1)) b(dx))
 SELECT id, round(CASE WHEN count(g.value) = 4 THEN sum(w * g.value) END, 6) AS value FROM n LEFT JOIN grid g USING (y, x) GROUP BY id""")
 def resample(r):
-    """J17 L03 P45."""
+    """J17."""
     g = r("grid").withColumn("k", F.lit(0))
     targets = r("grid").select(F.lit(0).alias("k"), (F.col("y") * 32 + F.col("x")).alias("id"), (F.col("y") * 0.9 + 0.25).alias("sy"), (F.col("x") * 0.9 + 0.4).alias("sx"))
     return kernels.resample(g, targets, ["k"]).select("id", r6("value", "value"))
 
 
-@query()
+_TAPS6 = ", ".join(f"({i - 6}, {w!r}e0)" for i, w in enumerate(rows.kernel(2.0, 6).tolist()))
+
+
+@query(f"""WITH t AS (SELECT * FROM (VALUES {_TAPS6}) t(d, w)), s AS (SELECT g.y + a.d AS y, g.x + b.d AS x, sum(value * a.w * b.w) AS smooth FROM grid g, t a, t b GROUP BY 1, 2)
+SELECT g.y, g.x, round(coalesce(smooth, 0), 6) AS smooth FROM grid g LEFT JOIN s ON s.y = g.y AND s.x = g.x""")
 def gaussian_tiles(r):
-    """The full-radius way, on tiles with halo."""
-    t = rows.tiles(r("grid"), 16, 6, [])
-    out = rows.convolve_tiles(t, 2.0, 6)
-    return out.select("key", F.size("data").alias("n"))
+    """The full-radius way, on tiles with halo, at a small radius; each tile's inner pixels."""
+    size, halo = 16, 6
+    out = rows.convolve_tiles(rows.tiles(r("grid"), size, halo, []), 2.0, halo)
+    place = out.select(F.split("key", "/").alias("k"), F.posexplode("data").alias("at", "value")).where(~F.isnan("value"))
+    y, x = F.floor(F.col("at") / (size + 2 * halo)) - halo, F.col("at") % (size + 2 * halo) - halo
+    inner = place.where((y >= 0) & (y < size) & (x >= 0) & (x < size))
+    return inner.select((y + F.col("k")[0].cast("int") * size).cast("int").alias("y"), (x + F.col("k")[1].cast("int") * size).cast("int").alias("x"), r6("value", "smooth"))
 
 
 @query("SELECT cell_id, frame_index, n FROM (SELECT detector AS cell_id, CAST(row_number() OVER (PARTITION BY detector ORDER BY date_obs, frame_id) - 1 AS INTEGER) AS frame_index, CAST(frame_id AS BIGINT) AS n FROM frames)")

@@ -358,3 +358,30 @@ def test_partials_cover_all_cells(spark):
     sf = "/root/testdata/sf0.001"
     got = {r.cell_id for r in registry.queries()["concatenated_partials_all"](spark, sf).collect()}
     assert got == {r.cell_id for r in registry.relation(spark, sf, "assignment").select("cell_id").distinct().collect()}
+
+
+def test_a_tile_of_the_full_radius(spark):
+    size, halo = 512, rows.PSF_RADIUS
+    r = np.random.default_rng(2)
+    at = r.choice(900 * 900, 4000, replace=False)
+    value = r.random(4000)
+    df = spark.createDataFrame([(int(a // 900), int(a % 900), float(v)) for a, v in zip(at, value)], "y int, x int, value double")
+    out = {x.key: np.array(x.data).reshape(x.h, x.w) for x in rows.convolve_tiles(rows.tiles(df, size, halo, []).where("key in ('0/0', '1/1')"), rows.PSF_SIGMA, halo).collect()}
+    assert {k: v.shape for k, v in out.items()} == {"0/0": (size + 2 * halo,) * 2, "1/1": (size + 2 * halo,) * 2}
+    g = rows.kernel()
+    for key, tile in out.items():
+        ty, tx = map(int, key.split("/"))
+        inner = [(a // 900, a % 900) for a in at.tolist() if a // 900 // size == ty and a % 900 // size == tx][:5]
+        assert inner
+        for y, x in inner:
+            dy, dx = at // 900 - y, at % 900 - x
+            near = (abs(dy) <= halo) & (abs(dx) <= halo)
+            want = (value[near] * g[dy[near] + halo] * g[dx[near] + halo]).sum()
+            assert abs(tile[y - ty * size + halo, x - tx * size + halo] - want) < 1e-9
+
+
+def test_stitching_takes_valid_pixels_only(spark):
+    base = spark.createDataFrame([(0, 0, 0, 1.0), (0, 0, 1, 2.0)], "k int, y int, x int, value double")
+    new = spark.createDataFrame([(0, 1, 0, 1, 5.0, 1.0), (0, 2, 0, 1, 7.0, 1.0), (0, 3, 0, 0, float("nan"), 1.0), (0, 3, 1, 1, 4.0, 1.0), (0, 3, 0, 0, 9.0, 0.0), (0, 3, 5, 0, 9.0, 1.0)], "k int, source int, y int, x int, value double, footprint double")
+    got = rows.stitch(base, rows.valid_for_stitching(new, 2, 2), ["k"])
+    assert sorted(map(tuple, got.collect())) == [(0, 0, 0, 1.0), (0, 0, 1, 7.0), (0, 1, 1, 4.0)]
