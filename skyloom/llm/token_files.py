@@ -191,6 +191,14 @@ class Encoder:
         cut = lambda x: [p for p, _ in t.pre_tokenizer.pre_tokenize_str(x)]
         return cut(letters) == [letters] and cut(f"{letters}., {letters}") == [letters, ".,", letters]
 
+    def spell(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of each word, which has no space, without remembering any."""
+        if not self.plain:
+            return self._new(words)
+        cut = pc.split_pattern(pc.replace_substring_regex(pa.array(words, pa.string()), r"([a-z])([.,])", r"\1 \2"), " ")
+        pieces, ends = self._new(cut.flatten().to_pylist()), cut.offsets.to_numpy().tolist()
+        return [pieces[a] if b == a + 1 else np.concatenate(pieces[a:b]) for a, b in zip(ends, ends[1:])]
+
     def __call__(self, texts, end: int | None = END) -> list[bytes]:
         """texts: strings, as a list or an Arrow array without nulls.
 
