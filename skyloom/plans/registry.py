@@ -1000,3 +1000,6 @@ def pipeline_combined(r):
     out = run(r("pixels"), r("assignment"), r("shifts"))["combined"]
     return out.groupBy("cell_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value"))
 
+
+
+from . import stores  # noqa: E402, F401  its queries use this module's
