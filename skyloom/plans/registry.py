@@ -456,9 +456,12 @@ _FLAT = """SELECT {k}, degrees(cos(d) * sin(a) / b) AS xi, degrees((cos(d0) * si
   FROM (SELECT *, radians(ra - {a0}) AS a, radians(dec) AS d, radians({d0}) AS d0 FROM {src}))"""
 
 
-@query(f"""WITH {_FOOTPRINT}, flat AS ({_FLAT.format(k="cell_id", a0="31e0", d0="-19e0", src="near")}),
+_OWN = f"""flat AS ({_FLAT.format(k="cell_id", a0="31e0", d0="-19e0", src="near")}),
 plane AS (SELECT cell_id, (0.02e0 * xi - 0.001e0 * eta) / -0.000401e0 AS u0, (-0.02e0 * eta - 0.001e0 * xi) / -0.000401e0 AS v0 FROM flat),
-own AS (SELECT cell_id, u + 32.5e0 - 1 AS fx, v + 32.5e0 - 1 AS fy FROM ({_back(6)})),
+own AS (SELECT cell_id, u + 32.5e0 - 1 AS fx, v + 32.5e0 - 1 AS fy FROM ({_back(6)}))"""
+
+
+@query(f"""WITH {_FOOTPRINT}, {_OWN},
 points AS (SELECT cell_id * 100 + offset_id * 10 + w AS pix, fx + w * dx AS px, fy + w * dy AS py FROM own, offsets, (VALUES (0), (1)) q(w)),
 sky AS (SELECT pix // 100 AS id, pix // 10 % 10 AS offset_id, pix % 10 AS w, ra, dec FROM ({_sip_of("SELECT pix, px, py FROM points")})),
 cp AS (SELECT cell_id, offset_id, w, xi / cdelt1 AS x, eta / cdelt2 AS y FROM ({_FLAT.format(k="cell_id, offset_id, w, cdelt1, cdelt2", a0="crval1", d0="crval2", src="(SELECT * FROM sky JOIN cells ON cells.cell_id = sky.id)")}))
@@ -469,6 +472,21 @@ def cell_shifts(r):
     return mapping.cell_shifts(near, r("offsets"), FRAME).select("offset_id", "cell_id", (F.round("sx", 3) + 0.0).alias("sx"), (F.round("sy", 3) + 0.0).alias("sy"))
 
 
+_INSET = _TAN.format(k="cell_id, corner", src=f"""SELECT *, CAST(CASE cx WHEN 1 THEN naxis1 - CASE x WHEN 9 THEN 200 ELSE 70 END ELSE CASE x WHEN 0 THEN 200 ELSE 410 END END AS DOUBLE) AS px,
+  CAST(CASE cy WHEN 1 THEN naxis2 - CASE y WHEN 9 THEN 200 ELSE 70 END ELSE CASE y WHEN 0 THEN 200 ELSE 410 END END AS DOUBLE) AS py FROM cells, {_CORNERS}""")
+
+
+@query(f"""WITH {_FOOTPRINT}, {_OWN}, corners AS (SELECT cell_id, corner, {_XYZ} FROM ({_INSET}) WHERE cell_id IN (SELECT cell_id FROM near)),
+sides AS (SELECT a.cell_id, a.y * b.z - a.z * b.y AS x, a.z * b.x - a.x * b.z AS y, a.x * b.y - a.y * b.x AS z FROM corners a JOIN corners b ON b.cell_id = a.cell_id AND b.corner = (a.corner + 1) % 4),
+points AS (SELECT pix, px, py, {_XYZ} FROM ({_SIP})),
+hits AS (SELECT pix, cell_id, any_value(px) AS px, any_value(py) AS py FROM points p, sides s GROUP BY pix, cell_id HAVING bool_and(p.x * s.x + p.y * s.y + p.z * s.z >= 0) OR bool_and(p.x * s.x + p.y * s.y + p.z * s.z <= 0)),
+best AS (SELECT pix, arg_min(cell_id, sqrt(power(px - fx, 2) + power(py - fy, 2))) AS cell_id FROM hits JOIN own USING (cell_id) GROUP BY pix)
+SELECT CAST(pix AS BIGINT) AS pix, CAST(cell_id AS INTEGER) AS cell_id, CAST(dense_rank() OVER (ORDER BY cell_id) - 1 AS INTEGER) AS dense_id FROM best""")
+def frame_mapping(r):
+    """From the catalogue and a frame to the cell of each pixel, in one run."""
+    return mapping.frame_mapping(r("cells"), FRAME, 64, 64)
+
+
 _PLACES = """SELECT *, CASE WHEN contains(side, 'top') OR contains(side, 'bottom') THEN naxis1 ELSE 490 END AS width, CASE WHEN contains(side, 'left') OR contains(side, 'right') THEN naxis2 ELSE 490 END AS height,
   CASE WHEN contains(side, 'right') THEN s + naxis1 + 235e0 WHEN contains(side, 'left') THEN s - 235e0 ELSE s + naxis1 / 2e0 END AS cx,
   CASE WHEN contains(side, 'bottom') THEN 245e0 WHEN contains(side, 'top') THEN 480 + naxis2 + 235e0 ELSE 480 + naxis2 / 2e0 END AS cy
