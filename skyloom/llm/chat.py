@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import operator
+
 START, END = "<|im_start|>", "<|im_end|>"
 _CONTROL, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 LOSS_ROLE = "assistant"
@@ -87,6 +89,7 @@ def _format(batches):
         )
 
 
+@operator
 def format_conversations(rows: DataFrame) -> DataFrame:
     """conv_id, the formatted text, and the loss mask as spans of code points."""
     turns = rows.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))

@@ -6,8 +6,6 @@ import functools
 import os
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,12 +13,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import shipping
+
 #: `[\x20\x09-\x0D]`, which is also what bytes.split() and bytes.strip() take as white space.
 WHITE = b" \t\n\x0b\x0c\r"
 BLOCK_BYTES = 2 << 20
-_SHIPPED: set[str] = set()
-
-
 #: What a batch of rows may hold on its way to Python and back, so that a worker's memory is bounded by bytes, not by rows.
 BATCH_BYTES = 4 << 20
 #: Keys that hold more than 1 / HOT of all rows are hot; so there are fewer than HOT of them, which bounds their broadcast.
@@ -28,18 +25,9 @@ HOT = 10_000
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application; their Python need not have it installed. Bounds batches by bytes."""
+    """Gives the executors this package and bounds batches by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    root = Path(__file__).resolve().parents[1]
-    target = os.path.join(tempfile.mkdtemp(), "skyloom_package.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, p.relative_to(root.parent).as_posix())
-    spark.sparkContext.addPyFile(target)
-    _SHIPPED.add(app)
+    shipping.ship(spark)
 
 
 def operator(f):

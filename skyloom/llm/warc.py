@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8, written
+from .common import operator, utf8, written
 
 ARCHIVE_BYTES = 4 << 20
 #: Field names of the header lines, by version.
@@ -83,20 +83,34 @@ def record_id(key: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, key)}>"
 
 
-def warc_record(arc: dict, refers_to: int | None, revisit: bool) -> bytes:
-    """The WARC record of an ARC record; a revisit keeps the HTTP header and leaves the payload out."""
+def warcinfo(name: str, date: str) -> bytes:
+    """The record that opens an archive."""
+    block = b"software: skyloom\r\nformat: WARC File Format 1.1\r\n"
+    lines = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: {record_id('info:' + name)}", f"WARC-Date: {warc_date(date)}", f"WARC-Filename: {name}", "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + CRLF + CRLF + block + CRLF + CRLF
+
+
+def warc_date(date: str) -> str:
+    return f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
+
+
+def warc_record(arc: dict, refers_to: int | None, revisit: bool, place: str) -> bytes:
+    """The WARC record of an ARC record; a revisit keeps the HTTP header and leaves the payload out.
+
+    A response is named by its page and payload, so that revisits can point to it; a revisit or a page without an id by its place (archive and number)."""
     head, _, payload = arc["content"].partition(CRLF + CRLF)
     page = headers_of(head).get("x-page-id", "")
     block = head + CRLF + CRLF + (b"" if revisit else payload)
-    date = arc["date"]
+    digest = sha1_b32(payload)
+    named = f"{place}:{page}" if revisit or not page else f"page:{page}:{digest}"
     lines = [
-        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id('page:' + page)}",
-        f"WARC-Date: {date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z", f"WARC-Target-URI: {arc['url']}", f"WARC-IP-Address: {arc['ip']}",
-        "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha1:{sha1_b32(payload)}", f"WARC-Block-Digest: sha1:{sha1_b32(block)}",
+        "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(named)}",
+        f"WARC-Date: {warc_date(arc['date'])}", f"WARC-Target-URI: {arc['url']}", f"WARC-IP-Address: {arc['ip']}",
+        "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{sha1_b32(block)}",
         f"Content-Length: {len(block)}",
     ]
     if revisit:
-        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(f'page:{refers_to}')}", f"X-Refers-To-Page-Id: {refers_to}"]
+        lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(f'page:{refers_to}:{digest}')}", f"X-Refers-To-Page-Id: {refers_to}"]
     return "\r\n".join(lines).encode() + CRLF + CRLF + block + CRLF + CRLF
 
 
@@ -128,8 +142,9 @@ def _convert(date: str):
                     parts.append(arc_record(version, safe_url(urls[done]), head + payloads[done], date, name, sum(map(len, parts[:1])) + size))
                     size += len(parts[-1])
                     done += 1
-                warc = b"".join(warc_record(r, keepers[first + i], bool(revisits[first + i])) for i, r in enumerate(parse_arc(b"".join(parts))))
-                yield pa.RecordBatch.from_arrays([pa.array([name.replace(".arc", ".warc")]), pa.array([done - first], pa.int64()), pa.array([warc], pa.binary())], names=["archive", "n_records", "content"])
+                target = name.replace(".arc", ".warc")
+                warc = warcinfo(target, date) + b"".join(warc_record(r, keepers[first + i], bool(revisits[first + i]), f"{target}:{i}") for i, r in enumerate(parse_arc(b"".join(parts))))
+                yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([done - first], pa.int64()), pa.array([warc], pa.binary())], names=["archive", "n_records", "content"])
 
     return step
 
@@ -145,6 +160,7 @@ def _payload():
     return F.coalesce(F.col("html"), F.lit("")).cast("binary")
 
 
+@operator
 def write_archives(pages: DataFrame, min_bytes: int = 0, date: str = "20260101000000") -> DataFrame:
     """The WARC archives: name, number of records, bytes; written to the shared folder."""
     again = revisits(pages, min_bytes).select("id", F.col("sha").alias("sha2"), "keeper")
@@ -159,6 +175,8 @@ def _read(batches):
         for content in batch.column(2).to_pylist():
             rows = []
             for headers, block in parse_warc(content):
+                if headers["warc-type"] == "warcinfo":
+                    continue
                 http = headers_of(block.partition(CRLF + CRLF)[0])
                 page, refers = http.get("x-page-id"), headers.get("x-refers-to-page-id")
                 rows.append((page and int(page), int(http["content-length"]), headers["warc-payload-digest"].removeprefix("sha1:"), headers["warc-type"], int(refers) if refers not in (None, "None") else None))
@@ -167,6 +185,7 @@ def _read(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
 
+@operator
 def read_archives(archives: DataFrame) -> DataFrame:
     return archives.select("archive", "n_records", "content").mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 

@@ -85,7 +85,12 @@ def test_archives(spark, tmp_path):
     archives = warc.write_archives(df)
     assert warc.export(archives, str(tmp_path)) == archives.count()
     headers = [h for f in tmp_path.iterdir() for h, _ in warc.parse_warc(f.read_bytes())]
-    assert {h["warc-date"] for h in headers} == {"2026-01-01T00:00:00Z"} and len(headers) == len(rows)
+    assert {h["warc-date"] for h in headers} == {"2026-01-01T00:00:00Z"}
+    kinds = Counter(h["warc-type"] for h in headers)
+    assert kinds["warcinfo"] == archives.count() and kinds["response"] + kinds["revisit"] == len(rows)
+    ids = Counter(h["warc-record-id"] for h in headers)
+    assert sorted(ids.values()) == [1] * (len(ids) - 1) + [2]  # the two equal responses of page 5 alone share theirs
+    assert all(ids[h["warc-refers-to"]] for h in headers if h["warc-type"] == "revisit")
     assert warc.digest(df.where("false")).collect() == []
 
 
