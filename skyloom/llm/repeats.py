@@ -316,8 +316,7 @@ def bucketed(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     pieces = written(pieces.withColumn("snippet", F.xxhash64("anchor", "before", "bytes")), "snippets")
     # equal snippets once, with their number; combined in each task before the shuffle
     distinct = pieces.groupBy("snippet", "anchor", "before", "bytes").agg(F.count("*").alias("n"))
-    maybe = join_facts(pieces.select("anchor", "snippet"), many.where(F.col("n") > SPLIT), "anchor").select("anchor", "snippet").distinct()
-    large = written(maybe.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT).select("anchor"), "large")
+    large = written(pieces.select("anchor", "snippet").distinct().groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > SPLIT).select("anchor"), "large")
     let_go(found, many)
     if large.isEmpty():
         own = distinct.select("snippet", F.lit(0).alias("shift"), "bytes", "n", F.col("anchor").alias("by"))
