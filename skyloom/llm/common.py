@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import os
 import tempfile
 import uuid
 
