@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, chat, decontaminate, line_dedup, lm_score, near_dup, quality, repeats, token_files, warc
+from . import bpe, chat, decontaminate, divergence, fim, line_dedup, lm_score, near_dup, quality, repeats, token_files, url_filter, warc
 from .common import table
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -52,11 +52,23 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_url_filter(spark, sf_dir):
+    return url_filter.digest(table(spark, sf_dir, "pages"))
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    return fim.digest(table(spark, sf_dir, "documents"))
+
+
 def quality_ablations(spark, sf_dir):
     return quality.ablations(table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_lm_score, op2_line_dedup, op3_chat_format, op4_ngram_jaccard, op5_decontaminate, op6_repeated_bytes, op7_arc_to_warc, op8_token_files, op9_quality_rules, op10_byte_bpe, quality_ablations)
+QUERIES = (op1_lm_score, op2_line_dedup, op3_chat_format, op4_ngram_jaccard, op5_decontaminate, op6_repeated_bytes, op7_arc_to_warc, op8_token_files, op9_quality_rules, op10_byte_bpe, op11_url_filter, op12_source_divergence, op13_fill_in_middle, quality_ablations)
 
 
 def queries() -> dict:
@@ -134,6 +146,57 @@ SELECT policy, rule, CAST(sum(CASE WHEN (fail_bits & bit) <> 0 THEN 1 ELSE 0 END
 FROM r, p, u WHERE (bits & bit) <> 0 GROUP BY policy, rule""",
 }
 
+_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_filter.RULES)
+_HOST = _LOWER.format("regexp_extract({0}, '://([^/?#]*)', 1)")
+_PATH = "regexp_extract({0}, '://[^/?#]*([^?#]*)', 1)"
+_ADDRESS = f"({_HOST} || CASE WHEN {_PATH} = '' THEN '/' ELSE {_PATH} END || regexp_extract({{0}}, '://[^/?#]*[^?#]*([?][^#]*)', 1))"
+_OWN = "(SELECT max(struct_pack(n := length(h || p), allow := v = 'allow', rule := h || p)) FROM rules WHERE ({host} = h OR ends_with({host}, '.' || h)) AND starts_with({path}, p))"
+
+ORACLES["op11_url_filter"] = rf"""
+WITH RECURSIVE rules(h, p, v) AS (VALUES {_RULES}),
+u AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
+tags AS (SELECT url, list_filter(regexp_extract_all(html, '(?i)<link\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\brel\s*=\s*["'']?canonical\b'))[1] AS c,
+  list_filter(regexp_extract_all(html, '(?i)<meta\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b'))[1] AS r FROM u WHERE contains(url, '://')),
+found AS (SELECT DISTINCT url, trim(replace(l, '&amp;', '&')) AS l FROM (
+  SELECT url, coalesce(nullif(regexp_extract(c, '(?i)\bhref\s*=\s*"([^"]*)"', 1), ''), nullif(regexp_extract(c, '(?i)\bhref\s*=\s*''([^'']*)''', 1), ''), regexp_extract(c, '(?i)\bhref\s*=\s*([^\s"''>]+)', 1)) AS l FROM tags
+  UNION ALL SELECT url, coalesce(nullif(regexp_extract(r, '(?i)\bcontent\s*=\s*"[^"]*?url\s*=\s*''?([^"'']*)', 1), ''), regexp_extract(r, '(?i)\bcontent\s*=\s*''[^'']*?url\s*=\s*([^'']*)', 1)) FROM tags) WHERE trim(l) <> ''),
+links AS (SELECT url AS s, CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN l WHEN starts_with(l, '//') THEN 'http:' || l WHEN starts_with(l, '/') THEN 'http://' || {_HOST.format("url")} || l
+  WHEN starts_with(l, '#') OR regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN starts_with(l, '?') THEN 'http://' || {_HOST.format("url")} || {_PATH.format("url")} || l
+  ELSE 'http://' || {_HOST.format("url")} || coalesce(nullif(regexp_extract({_PATH.format("url")}, '^(.*/)[^/]*$', 1), ''), '/') || l END AS t FROM found),
+ends AS (SELECT {_ADDRESS.format("s")} AS a, {_ADDRESS.format("t")} AS b, {_HOST.format("s")} AS ah, {_PATH.format("s")} AS ap, {_HOST.format("t")} AS bh, {_PATH.format("t")} AS bp FROM links WHERE contains(t, '://')),
+edges AS (SELECT a, b FROM ends UNION SELECT b, a FROM ends),
+blocked AS (SELECT a FROM (SELECT a, {_OWN.format(host="ah", path="ap")} AS own FROM ends UNION ALL SELECT b, {_OWN.format(host="bh", path="bp")} FROM ends) WHERE own IS NOT NULL AND NOT own.allow
+  UNION SELECT b FROM blocked JOIN edges USING (a)),
+judged AS (SELECT page_id, {_HOST.format("url")} AS host, {_PATH.format("url")} AS path, CASE WHEN contains(url, '://') THEN {_ADDRESS.format("url")} END AS address FROM u),
+own AS (SELECT *, {_OWN.format(host="host", path="path")} AS own FROM judged)
+SELECT page_id, host, path, own.rule AS rule, CASE WHEN own.allow THEN 'allow' WHEN NOT own.allow THEN 'block' WHEN b.a IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+  own IS NULL AND b.a IS NOT NULL AS by_alias FROM own LEFT JOIN blocked b ON b.a = address"""
+
+_SHARE = "(1 + 1000000000 * ({c}::HUGEINT + 2) // ({n} + 2 * v))"
+ORACLES["op12_source_divergence"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+w AS (SELECT k, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT g.lang, g.source, coalesce(n, 0)::HUGEINT AS n, coalesce(v, 0)::HUGEINT AS v, (sum(coalesce(n, 0)) OVER (PARTITION BY g.lang))::HUGEINT AS whole FROM (SELECT DISTINCT lang, source FROM d) g
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) s ON s.lang = g.lang AND s.source = g.source LEFT JOIN (SELECT lang, count(*) AS v FROM kept GROUP BY lang) k ON k.lang = g.lang),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS c, {_SHARE.format(c="coalesce(c.n, 0)", n="g.n")} AS p FROM g JOIN kept ON kept.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term WHERE a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+q AS (SELECT c.lang, term, {_SHARE.format(c="sum(n)", n="whole")} AS q FROM c JOIN (SELECT DISTINCT lang, v, whole FROM g) x ON x.lang = c.lang GROUP BY c.lang, term, v, whole),
+terms AS (SELECT p.lang, source, 'term' AS part, p.term AS item, (p - q) * (p - q) // (p + q) AS value FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)) WHERE part = 'pair' OR rank <= 10"""
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents),
+h AS (SELECT *, len(l) AS n, ('0x' || s[1:8])::BIGINT AS h1, ('0x' || s[9:16])::BIGINT AS h2, ('0x' || s[17:24])::BIGINT AS h3, ('0x' || s[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+x AS (SELECT *, array_to_string(l[1:a], '') AS p, array_to_string(l[a + 1:b], '') AS m, array_to_string(l[b + 1:], '') AS z FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM x"""
+
 
 def oracle_sql() -> dict:
     return dict(ORACLES)
