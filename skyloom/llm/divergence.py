@@ -8,7 +8,7 @@ Counts. (lang, term, source) rows are added up in each task before the shuffle,
 a task. Terms of too few documents go; the rest are written once, with N and V by a second small aggregation.
 
 Divergences. Terms are dealt by (lang, term), never by lang or source, so a hot source or language is spread over all
-tasks. A task reads whole terms in order, builds CSR matrices (sources x terms) of about CELLS entries, and for each
+tasks. A task reads whole terms in order, builds CSR matrices (sources x terms) of about CELLS / 8 entries, and for each
 source sums over all others at once: np.add.reduceat over the rows of what both or the other one has, and for what is
 absent a source's constant share. It adds its parts up and gives one row a pair, and the first TOP terms of each source.
 Where a language's sources are so many that their matrix of pairs would exceed CELLS, its rows are cut into bands, and each task
@@ -131,7 +131,8 @@ def apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 class Groups:
     """Of each language: its sources in UTF-8 order, their totals (N + 2 V), the language's own, and the number of kept terms."""
 
-    def __init__(self, rows: list[tuple[str, str, int, int]]):
+    def __init__(self, rows: list[tuple[str, str, int, int]], cells: int = CELLS):
+        self.cells = cells
         self.langs: dict[str, tuple[list[str], np.ndarray, int, int]] = {}
         by: dict[str, list[tuple[bytes, int, int]]] = {}
         for lang, source, n, v in rows:
@@ -146,7 +147,7 @@ class Groups:
     def bands(self, lang: str) -> int:
         """Into how many bands of sources a language's pairs are cut."""
         s = len(self.langs[lang][0])
-        return -(-s * s // CELLS)
+        return -(-s * s // self.cells)
 
 
 class Matrix(NamedTuple):
@@ -174,7 +175,7 @@ def _row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def divergences(m: Matrix, totals: np.ndarray, mine: np.ndarray) -> np.ndarray:
+def divergences(m: Matrix, totals: np.ndarray, mine: np.ndarray, cells: int = CELLS) -> np.ndarray:
     """For the sources `mine`, against all: the sum over the matrix's terms of f, less f of two absent shares for each term (the caller adds that for all kept terms)."""
     none = shares(np.zeros(len(totals), np.int64), totals)
     p = shares(m.counts, np.repeat(totals, np.diff(m.bounds)))
@@ -191,8 +192,8 @@ def divergences(m: Matrix, totals: np.ndarray, mine: np.ndarray) -> np.ndarray:
         out[k] = _row_sums(apart(p, dense[m.columns]) - bare[of], m.bounds)
         if b > a:
             # terms that only this one has: all of its own against an absent share, less those that both have
-            for c in range(0, len(totals), max(1, CELLS // (b - a))):
-                s = slice(c, c + max(1, CELLS // (b - a)))
+            for c in range(0, len(totals), max(1, cells // (b - a))):
+                s = slice(c, c + max(1, cells // (b - a)))
                 out[k, s] += (apart(p[a:b][None, :], none[s, None]) - bare[s, None]).sum(axis=1)
             out[k] -= _row_sums(np.where(shared[m.columns], apart(dense[m.columns], none[of]) - bare[of], 0), m.bounds)
     return out
@@ -241,7 +242,7 @@ def _measure(shared, top: int):
             m = matrix(source, column, counts, len(sources), len(words))
             if (lang, band) not in sums:
                 sums[lang, band] = np.zeros((len(mine), len(sources)), np.int64)
-            sums[lang, band] += divergences(m, totals, mine)
+            sums[lang, band] += divergences(m, totals, mine, groups.cells)
             q = shares(np.bincount(column, counts, len(words)).astype(np.int64), np.full(len(words), whole))
             for g in mine.tolist():
                 a, b = m.bounds[g], m.bounds[g + 1]
@@ -256,7 +257,7 @@ def _measure(shared, top: int):
                     best[lang, sources[g]] = sorted(old + new, key=lambda x: (-x[0], x[1]))[:top]
 
         last = None
-        for rows in _whole_terms(batches):
+        for rows in _whole_terms(batches, groups.cells):
             for lang, band, own in _runs(rows):
                 if last is not None and last != (lang, band):
                     yield from done(*last)
@@ -273,14 +274,14 @@ def _rows(lang: str, source, part: str, item, value: np.ndarray) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), source.cast(pa.string()), pa.array([part] * n, pa.string()), item, pa.array(value)], names=["lang", "source", "part", "item", "value"])
 
 
-def _whole_terms(batches):
-    """Rows in the order of (lang, band, term), in tables of whole terms of about CELLS rows."""
+def _whole_terms(batches, cells: int):
+    """Rows in the order of (lang, band, term), in tables of whole terms of about cells / 8 rows."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         held.append(batch)
         size += len(batch)
-        if size < CELLS // 8:
+        if size < cells // 8:
             continue
         rows = pa.Table.from_batches(held).combine_chunks()
         end = len(rows)
@@ -332,12 +333,12 @@ def _wide(f):
 
 
 @operator
-def audit(docs: DataFrame, min_docs: int = 10, top: int = 10) -> DataFrame:
+def audit(docs: DataFrame, min_docs: int = 10, top: int = 10, cells: int = CELLS) -> DataFrame:
     """For each group (lang, source): part `pair`, the divergence from each other source of the language; part `term`, the first `top` terms that it uses more than its language."""
     kept, groups = counted(docs, min_docs)
     if groups.count() > MOST_GROUPS:
         raise ValueError(f"more than {MOST_GROUPS} groups of lang and source")
-    known = Groups([tuple(r) for r in groups.toLocalIterator()])
+    known = Groups([tuple(r) for r in groups.toLocalIterator()], cells)
     shared = docs.sparkSession.sparkContext.broadcast(known)
     cut = [lang for lang in known.langs if known.bands(lang) > 1]  # languages of more than 2048 sources
     rows = kept.withColumn("band", F.lit(0))
