@@ -46,10 +46,10 @@ def variant_in_path(path) -> Column:
     return F.regexp_extract(_col(path), r"skycell\.\d+\.\d+_([a-zA-Z0-9_]+)", 1)
 
 
-def band_file(name, band: str, kind: str = "image") -> Column:
-    """File name of a band's image, mask or weight."""
+def band_file(name, band: str | Column, kind: str = "image") -> Column:
+    """File name of a band's image, mask or weight; band: its name or a column of names."""
     end = {"image": "unconv.fits", "mask": "unconv.mask.fits", "weight": "unconv.wt.fits"}[kind]
-    return F.concat(F.lit("rings.v3."), _col(name), F.lit(f".stk.{band}.{end}"))
+    return F.concat(F.lit("rings.v3."), _col(name), F.lit(".stk."), F.lit(band) if isinstance(band, str) else band, F.lit(f".{end}"))
 
 
 def store_path(sector, camera, ccd) -> Column:

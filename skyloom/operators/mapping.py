@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..constants import FOOTPRINT_BUFFER
 from ..functions import wcs
+from ..sources.work import cut
+from .downsample import for_each_offset
 
 #: Side of a bucket in degrees: somewhat less than a cell's, so that few candidates miss and a cell has few buckets.
 BUCKET = 0.25
@@ -65,14 +67,14 @@ def frame_mapping(cells: DataFrame, frame: dict, width: int, height: int, oversa
     ra, dec = wcs.sip_pixel_to_sky("px", "py", frame)
     points = pixels.select(F.col("pix").alias("id"), ra.alias("ra"), dec.alias("dec"))
     hits = points_in_cells(points, near.select("cell_id", wcs.inset_corners().alias("ring"))).withColumnRenamed("id", "pix")
-    return dense_ids(nearest_centre(hits, pixels, F.broadcast(centres)).select("pix", "cell_id"))
+    return dense_ids(cut(nearest_centre(hits, pixels, centres).select("pix", "cell_id"), "mapped"))
 
 
 def cell_shifts(cells: DataFrame, offsets: DataFrame, frame: dict) -> DataFrame:
     """The shift in cell pixels that a shift of the frame means at a cell's centre: offset_id, cell_id, sx, sy.
 
-    cells: with their centre as (ra, dec); offsets: offset_id, dx, dy in frame pixels, a parameter list, so it is broadcast."""
-    rows = cells.crossJoin(F.broadcast(offsets))
+    cells: with their centre as (ra, dec); offsets: offset_id, dx, dy in frame pixels, a parameter list of checked length."""
+    rows = cells.withColumn("o", for_each_offset(offsets)).select("*", "o.*")
     point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     pairs = F.transform(F.array(wcs.sky_on_frame("ra", "dec", frame)), lambda p: F.array(point(p["x"], p["y"]), point(p["x"] + F.col("dx"), p["y"] + F.col("dy"))))[0]
     shift = F.transform(F.array(wcs.frame_points_on_cell(pairs, frame)), lambda p: F.struct((p[1]["x"] - p[0]["x"]).alias("sx"), (p[1]["y"] - p[0]["y"]).alias("sy")))[0]

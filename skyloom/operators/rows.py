@@ -66,15 +66,18 @@ def cross_row(rows: DataFrame, pairs: DataFrame, height: int, overlap: int, edge
 
     A row without a next one keeps its own top rim."""
     own = rows.join(pairs.select("projection", F.col("y").alias("row"), F.col("next_y").alias("next_row")), ["projection", "row"])
-    before = pairs.where("next_y is not null").select("projection", F.col("next_y").alias("row"), F.col("y").alias("prev_row"))
-    own = own.join(before, ["projection", "row"], "left")
+    own = own.join(pairs.where("next_y is not null").select("projection", F.col("next_y").alias("row"), F.col("y").alias("prev_row")), ["projection", "row"], "left")
     top, bottom = height + pad - edge, pad + edge
-    kept = own.where((F.col("next_row").isNull() | (F.col("my") < top)) & (F.col("prev_row").isNull() | (F.col("my") >= bottom))).select("projection", "row", "my", "mx", "value")
     shift = height - overlap  # from a row's array to that of the row before
-    up = rows.where((F.col("my") >= top - shift) & (F.col("my") < height + 2 * pad - shift)).join(before, ["projection", "row"]).select("projection", F.col("prev_row").alias("row"), (F.col("my") + shift).alias("my"), "mx", "value")
-    nxt = pairs.where("next_y is not null").select("projection", F.col("y").alias("row"), F.col("next_y").alias("next_row"))
-    down = rows.where((F.col("my") >= shift) & (F.col("my") < shift + bottom)).join(nxt, ["projection", "row"]).select("projection", F.col("next_row").alias("row"), (F.col("my") - shift).alias("my"), "mx", "value")
-    return kept.unionByName(up).unionByName(down)
+    my, above, below = F.col("my"), F.col("next_row"), F.col("prev_row")
+    at = lambda row, y: F.struct(row.alias("row"), y.alias("my"))
+    # the places of a pixel: in its own row, in the row before as its top rim, in the row after as its bottom rim
+    places = F.array(
+        F.when((above.isNull() | (my < top)) & (below.isNull() | (my >= bottom)), at(F.col("row"), my)),
+        F.when(below.isNotNull() & (my >= top - shift) & (my < height + 2 * pad - shift), at(below, my + shift)),
+        F.when(above.isNotNull() & (my >= shift) & (my < shift + bottom), at(above, my - shift)),
+    )
+    return own.select("projection", F.explode(F.array_compact(places)).alias("p"), "mx", "value").select("projection", "p.row", "p.my", "mx", "value")
 
 
 def extract(rows: DataFrame, cells: DataFrame, height: int, width: int, overlap: int, pad: int) -> DataFrame:
@@ -188,6 +191,24 @@ def tiles(pixels: DataFrame, size: int, halo: int, keys: list[str]) -> DataFrame
     return own.groupBy("key").applyInArrow(scatter, "key string, h int, w int, data array<double>")
 
 
+def rasters(pixels: DataFrame, keys: list[str], height: int, width: int, fill: dict[str, float]) -> DataFrame:
+    """Long pixels (keys, y, x, values) to whole rasters: keys, h, w and an array of doubles for each value of fill, which says what stands where no pixel is."""
+    kinds = ", ".join(f"`{k}` {pixels.schema[k].dataType.simpleString()}" for k in keys)
+
+    def scatter(group: pa.Table) -> pa.Table:
+        at = group["y"].to_numpy() * np.int64(width) + group["x"].to_numpy()
+        cols = {k: group[k].slice(0, 1) for k in keys} | {"h": pa.array([height], pa.int32()), "w": pa.array([width], pa.int32())}
+        for name, empty in fill.items():
+            out = np.full(height * width, empty, np.float64)
+            out[at] = group[name].to_numpy(zero_copy_only=False)
+            cols[name] = as_lists([out], pa.float64())
+        return pa.table(cols)
+
+    ship(pixels.sparkSession)
+    own = pixels.select(*keys, F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), *(F.col(n).cast("double").alias(n) for n in fill))
+    return own.groupBy(*keys).applyInArrow(scatter, f"{kinds}, h int, w int, " + ", ".join(f"{n} array<double>" for n in fill))
+
+
 def edge_to_nan(value, y, x, height: int, width: int, edge: int = EDGE_EXCLUSION):
     return F.when((y < edge) | (y >= height - edge) | (x < edge) | (x >= width - edge), float("nan")).otherwise(value)
 

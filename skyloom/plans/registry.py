@@ -147,16 +147,9 @@ def shift_rounding(r):
     return downsample.whole_shifts(o.select("offset_id", "cell_id", (F.col("dx") * 37 + F.col("cell_id") / 2).alias("sx"), (F.col("dy") * 41 - F.col("cell_id") / 4).alias("sy")))
 
 
-@query("SELECT cell_id, count(*) AS n, bool_or(pix = -1) AS has_unmapped FROM (SELECT cell_id, pix FROM assignment WHERE cell_id % 2 = 0 UNION ALL SELECT cell_id, pix FROM assignment WHERE cell_id % 3 = 0) GROUP BY 1")
-def concatenated_partials(r):
-    """U02 F08; `concatenated_partials_all` has a partial for the remaining cells too."""
-    a = r("assignment").select("cell_id", "pix")
-    return _unmapped(a.where("cell_id % 2 = 0").unionByName(a.where("cell_id % 3 = 0")))
-
-
 @query("""SELECT cell_id, count(*) AS n, bool_or(pix = -1) AS has_unmapped FROM (SELECT cell_id, pix FROM assignment WHERE cell_id % 2 = 0 UNION ALL SELECT cell_id, pix FROM assignment WHERE cell_id % 3 = 0
 UNION ALL SELECT cell_id, pix FROM assignment WHERE cell_id % 2 <> 0 AND cell_id % 3 <> 0) GROUP BY 1""")
-def concatenated_partials_all(r):
+def concatenated_partials(r):
     """Partials that overlap and cover all cells together."""
     a = r("assignment").select("cell_id", "pix")
     return _unmapped(a.where("cell_id % 2 = 0").unionByName(a.where("cell_id % 3 = 0")).unionByName(a.where("cell_id % 2 <> 0 AND cell_id % 3 <> 0")))
@@ -239,15 +232,8 @@ def star_fluxes(r):
     return r("stars").select("source_id", F.round(photometry.mag_to_flux(F.col("phot_rp_mean_mag")), 4).alias("flux"), F.round(photometry.replacement_threshold(F.col("phot_rp_mean_mag")), 4).alias("threshold"))
 
 
-@query("""SELECT CAST(event_id AS BIGINT) AS frame_id, map_extract(h, 'CD1_1')[1] AS cd, map_extract(h, 'CRPIX1')[1] AS crpix, map_extract(h, 'EXTRA')[1] AS extra, map_extract(h, 'A_2_0')[1] AS a20, map_extract(h, 'ORIGIN')[1] AS origin FROM (
-SELECT event_id, MAP {'CD1_1': CAST(CAST(event_id AS DOUBLE) / 2 AS VARCHAR), 'CRPIX1': CAST((10 - 0.5) * 2 + 0.5 - 6 AS VARCHAR), 'A_2_0': 'c', 'ORIGIN': 'none'} AS h FROM events WHERE event_id % 10 = 0)""")
-def header_build(r):
-    """Listed keys and prefixes, defaults, scaled coordinates; of a tenth of the frames, `header_build_all` has all."""
-    return _headers(r("events").where("event_id % 10 = 0"))
-
-
 @query("""SELECT CAST(event_id AS BIGINT) AS frame_id, CAST(CAST(event_id AS DOUBLE) / 2 AS VARCHAR) AS cd, CAST((10 - 0.5) * 2 + 0.5 - 6 AS VARCHAR) AS crpix, CAST(NULL AS VARCHAR) AS extra, 'c' AS a20, 'none' AS origin FROM events""")
-def header_build_all(r):
+def header_build(r):
     """The headers of every frame."""
     return _headers(r("events"))
 
@@ -397,37 +383,46 @@ SELECT *, u + 3e-6 * v * v + -2e-6 * u * v + 1e-5 * u * u AS uu, v + -1e-5 * v *
 SELECT range AS pix, (range % 64 + 0.5e0) - 0.5e0 AS px, (range // 64 + 0.5e0) - 0.5e0 AS py FROM range(4096))))))"""
 
 
-@query(f"SELECT pix, round(ra, 6) AS ra, round(dec, 6) AS dec FROM ({_SIP})")
+def _sip_of(source: str) -> str:
+    """The way from frame pixels to the sky as SQL; source gives pix, px, py."""
+    return _SIP[: _SIP.rindex("SELECT range AS pix")] + source + ")))))"
+
+
+def _skies(points) -> str:
+    return " UNION ALL ".join(f"SELECT {i} AS pix, {float(x)}e0 AS px, {float(y)}e0 AS py" for i, (x, y) in enumerate(points))
+
+
+_EVENT_PIXELS = "SELECT event_id AS pix, CAST(event_id % 64 AS DOUBLE) AS px, CAST(user_id % 64 AS DOUBLE) AS py FROM events"
+
+
+def _event_pixels(r):
+    """A frame pixel for each event."""
+    return r("events").select(F.col("event_id").alias("pix"), (F.col("event_id") % 64).cast("double").alias("px"), (F.col("user_id") % 64).cast("double").alias("py"))
+
+
+@query(f"SELECT CAST(pix AS BIGINT) AS pix, round(ra, 6) AS ra, round(dec, 6) AS dec FROM ({_sip_of(_EVENT_PIXELS)})")
 def sip_forward(r):
-    """P08 P11."""
-    p = wcs.frame_pixels(r("region").sparkSession, 64, 64)
+    """The sky under each event's pixel."""
     ra, dec = wcs.sip_pixel_to_sky("px", "py", FRAME)
-    return p.select("pix", r6(ra, "ra"), r6(dec, "dec"))
+    return _event_pixels(r).select(F.col("pix").cast("bigint").alias("pix"), r6(ra, "ra"), r6(dec, "dec"))
 
 
-@query("SELECT range AS pix, CAST(range % 64 AS DOUBLE) AS px, CAST(range // 64 AS DOUBLE) AS py FROM range(4096)")
+@query(f"SELECT CAST(pix AS BIGINT) AS pix, px, py FROM ({_EVENT_PIXELS})")
 def sip_inverse(r):
-    """The way to the sky and back."""
-    p = wcs.frame_pixels(r("region").sparkSession, 64, 64)
+    """The way to the sky and back, for each event's pixel."""
     ra, dec = wcs.sip_pixel_to_sky("px", "py", FRAME)
-    sky = p.select("pix", ra.alias("ra"), dec.alias("dec"))
+    sky = _event_pixels(r).select("pix", ra.alias("ra"), dec.alias("dec"))
     x, y = wcs.sip_sky_to_pixel("ra", "dec", FRAME)
-    return sky.select("pix", (F.round(x, 5) + 0.0).alias("px"), (F.round(y, 5) + 0.0).alias("py"))
+    return sky.select(F.col("pix").cast("bigint").alias("pix"), (F.round(x, 5) + 0.0).alias("px"), (F.round(y, 5) + 0.0).alias("py"))
 
 
-@query("SELECT range AS pix, (range % 16 + 0.5e0) / 2 - 0.5e0 AS px, (range // 16 + 0.5e0) / 2 - 0.5e0 AS py FROM range(256)")
+@query("SELECT pix, s, CAST(4096 * 0 + (CAST(pix AS BIGINT) // 64 * 2 + s // 2) * 128 + (pix % 64 * 2 + s % 2) AS BIGINT) AS sub, (pix % 64 * 2 + s % 2 + 0.5e0) / 2 - 0.5e0 AS px, (pix // 64 * 2 + s // 2 + 0.5e0) / 2 - 0.5e0 AS py FROM (SELECT DISTINCT pix FROM assignment WHERE pix >= 0), (VALUES (0), (1), (2), (3)) v(s)")
 def oversampled_grid(r):
-    """P11 D14."""
-    return wcs.frame_pixels(r("region").sparkSession, 8, 8, 2)
-
-
-def _sip_of(source: str) -> str:
-    """The way from frame pixels to the sky as SQL; source gives pix, px, py."""
-    return _SIP[: _SIP.rindex("SELECT range AS pix")] + source + ")))))"
-
-
-def _skies(points) -> str:
-    return " UNION ALL ".join(f"SELECT {i} AS pix, {float(x)}e0 AS px, {float(y)}e0 AS py" for i, (x, y) in enumerate(points))
+    """The four sub-pixels of every frame pixel that a cell pixel falls on, of a grid of 64 columns oversampled twice."""
+    grid = wcs.frame_pixels(r("assignment").sparkSession, 64, 64, 2)
+    bx, by, sx, sy = downsample.sub_pixel(F.col("pix").cast("int"), 64, 2)
+    own = grid.select(F.col("pix").alias("sub"), "px", "py", (by * 64 + bx).cast("int").alias("pix"), (sy * 2 + sx).cast("int").alias("s"))
+    return own.join(r("assignment").where("pix >= 0").select("pix").distinct(), "pix").select("pix", "s", "sub", "px", "py")
 
 
 _CENTRES = _TAN.format(k="cell_id", src="SELECT *, floor(naxis1 / 2) AS px, floor(naxis2 / 2) AS py FROM cells")
@@ -723,10 +718,10 @@ def padding_search(r):
 # ---- rows and stencils ----
 
 
-@query("SELECT projection, y, lead(y) OVER (PARTITION BY projection ORDER BY y) AS next_y FROM (SELECT DISTINCT projection, y FROM cells WHERE y <> 7)")
+@query("SELECT projection, y, lead(y) OVER (PARTITION BY projection ORDER BY y) AS next_y FROM (SELECT DISTINCT projection, y FROM cells)")
 def row_pairs(r):
-    """Over gaps."""
-    return rows.row_pairs(r("cells").where("y <> 7"))
+    """W01."""
+    return rows.row_pairs(r("cells"))
 
 
 @query("SELECT projection, y, array_to_string(list(name ORDER BY x), ',') AS names FROM cells GROUP BY 1, 2")
@@ -803,16 +798,9 @@ def x_chunks(r):
     return g.groupBy(rows.x_chunks(F.col("x"), 32, 5).alias("chunk")).agg(F.count("*").alias("n"), F.count_if(F.isnan("v")).alias("rim"))
 
 
-@query("""WITH p AS (SELECT i.cell_id, i.y, i.x, i.y AS gy, i.x + 24 * (c.x - 5) AS gx, c.y AS row, c.projection, i.mask FROM image i JOIN cells c USING (cell_id) WHERE c.projection = 2000 AND c.y = 6)
-SELECT cell_id, y, x, m AS row_mask FROM p JOIN (SELECT gy, gx, arg_max(mask, cell_id) AS m FROM p GROUP BY 1, 2) USING (gy, gx)""")
-def unified_row_mask(r):
-    """A19 A18, of one row; `unified_row_mask_all` has all."""
-    return _row_masks(r, r("cells").where("projection = 2000 AND y = 6"))
-
-
 @query("""WITH p AS (SELECT i.cell_id, i.y, i.x, i.y AS gy, i.x + 24 * (c.x - 5) AS gx, c.y AS row, c.projection, i.mask FROM image i JOIN cells c USING (cell_id))
 SELECT cell_id, y, x, m AS row_mask FROM p JOIN (SELECT projection, row, gy, gx, arg_max(mask, cell_id) AS m FROM p GROUP BY 1, 2, 3, 4) USING (projection, row, gy, gx)""")
-def unified_row_mask_all(r):
+def unified_row_mask(r):
     """A19 A18, of every row of every projection."""
     return _row_masks(r, r("cells"))
 

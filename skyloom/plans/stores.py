@@ -2,26 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import mapping
-from ..shipping import ship
+from ..constants import BANDS
+from ..functions import names, wcs
+from ..operators import mapping, rows
 from ..sources import fits, store
-from .registry import FRAME, query
-
-
-def folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares; a temporary one only where everything runs in one process."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
-        top = f"file://{tempfile.gettempdir()}"
-    return f"{top.rstrip('/')}/skyloom-stores/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+from ..sources.work import folder
+from .registry import _TAN, FRAME, query
 
 
 def _named(r, what: str):
@@ -61,15 +49,17 @@ def catalogue_csv(r):
     return store.read_catalogue(spark, path, ["NAME", "NAXIS1", "CRVAL1", "CRPIX2", "CDELT1"])
 
 
-@query("SELECT name, array_to_string(list_sort(list(CASE WHEN pad_skycell <> '' THEN trim(pad_skycell, ' ,') END)), '|') AS pads FROM padding WHERE req_id % 5 > 1 GROUP BY name")
+@query("SELECT name, coalesce(array_to_string(list_sort(list(trim(pad_skycell, ' ,')) FILTER (pad_skycell <> '')), '|'), '') AS pads, count(*) FILTER (pad_skycell IS NULL) AS n_null, count(*) FILTER (pad_skycell = '') AS n_empty FROM padding GROUP BY name")
 def padding_csv(r):
-    """Lists of padding cells as JSON text in CSV, read back as arrays."""
+    """Every list of padding cells as JSON text in CSV, read back as arrays. In a list a missing cell is null and an empty one '', which JSON keeps apart; a bare CSV field would not."""
     spark = r("cells").sparkSession
     path = folder(spark, "padding")
-    lists = r("padding").where("req_id % 5 > 1").groupBy("name").agg(F.sort_array(F.collect_list(F.expr("trim(BOTH ' ,' FROM pad_skycell)"))).alias("pads"))
+    lists = r("padding").groupBy("name").agg(F.collect_list(F.struct(F.expr("trim(BOTH ' ,' FROM pad_skycell)").alias("c"))).alias("l")).select("name", F.transform("l", lambda s: s["c"]).alias("pads"))
     store.write_csv(lists, path)
-    back = spark.read.csv(path, header=True, schema="name STRING, pads STRING")
-    return back.select("name", F.concat_ws("|", F.from_json("pads", "array<string>")).alias("pads"))
+    back = spark.read.option("escape", '"').csv(path, header=True, schema="name STRING, pads STRING").select("name", F.from_json("pads", "array<string>").alias("pads"))
+    count = lambda f: F.size(F.filter("pads", f)).cast("bigint")
+    full = F.sort_array(F.filter("pads", lambda p: p != ""))
+    return back.select("name", F.concat_ws("|", full).alias("pads"), count(lambda p: p.isNull()).alias("n_null"), count(lambda p: p == "").alias("n_empty"))
 
 
 @query("SELECT first_run, second_run, (SELECT count(*) FROM stars) AS n FROM (SELECT true AS first_run, false AS second_run)")
@@ -112,18 +102,110 @@ def mapping_store(r):
 
 @query("SELECT 'grid' AS file, 1 AS hdu, y, x, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM grid")
 def fits_files(r):
-    """A raster as a FITS file with a header of its own, found by its celestial axes and read back pixel by pixel."""
+    """A raster as a FITS file with a header of its own, found by its celestial axes and read back pixel by pixel."""
     spark = r("grid").sparkSession
-    ship(spark)
-    spark.dataSource.register(fits.FitsSource)
+    fits.register(spark)
     path = folder(spark, "fits")
-    at = F.struct((F.col("y") * 32 + F.col("x")).alias("at"), "value")
-    dense = r("grid").groupBy().agg(F.collect_list(at).alias("l")).select(F.map_from_entries("l").alias("m"))
-    data = F.transform(F.sequence(F.lit(0), F.lit(1023)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(float("nan"))))
-    header = F.create_map(F.lit("CRVAL1"), F.lit("31.0"), F.lit("CRVAL2"), F.lit("-19.0"))
-    dense.select(F.lit("grid").alias("key"), F.lit(32).alias("h"), F.lit(32).alias("w"), data.alias("data"), header.alias("header")).coalesce(1).write.format("fits").mode("append").save(path)
-    back = spark.read.format("fits").load(path).where("data is not null")
-    pixels = back.select(F.regexp_extract("path", r"([^/]+)\.fits$", 1).alias("file"), "hdu", "w", F.posexplode("data").alias("at", "value")).where(~F.isnan("value"))
-    return pixels.select("file", "hdu", F.floor(F.col("at") / F.col("w")).cast("int").alias("y"), (F.col("at") % F.col("w")).alias("x"), "value")
+    header = F.create_map(*(F.lit(x) for x in ("CTYPE1", "RA---TAN", "CTYPE2", "DEC--TAN", "CRVAL1", "31.0", "CRVAL2", "-19.0")))
+    raster = rows.rasters(r("grid").withColumn("key", F.lit("grid")), ["key"], 32, 32, {"value": float("nan")})
+    raster.select("key", "h", "w", F.col("value").alias("data"), header.alias("header")).write.format("fits").mode("append").save(path)
+    back = spark.read.format("fits").option("hdu", "image").load(path)
+    return _long(back, F.regexp_extract("path", r"([^/]+)\.fits$", 1).alias("file"), "hdu")
+
+
+def _long(chunks, *keep):
+    """A row a pixel of chunks, in the places of the whole image; without NaN."""
+    at = chunks.select(*keep, "y0", "x0", "w", F.posexplode("data").alias("at", "value")).where(~F.isnan("value"))
+    names = [c for c in at.columns if c not in ("y0", "x0", "w", "at", "value")]
+    return at.select(*names, (F.col("y0") + F.floor(F.col("at") / F.col("w")).cast("int")).alias("y"), (F.col("x0") + F.col("at") % F.col("w")).alias("x"), "value")
 
 
+#: Whole numbers of 32 bits, four decimals, the least number for NaN.
+_WHOLE = ("BITPIX", "32", "BSCALE", "0.0001", "BZERO", "0.0", "BLANK", "-2147483648")
+
+
+def _frame_files(r):
+    """A FITS file a cell with its image and header; every third has it in the primary HDU, every fourth has no axes on the sky. Returns their folder."""
+    spark = r("cells").sparkSession
+    fits.register(spark)
+    path = folder(spark, "frames")
+    c = r("cells")
+    text = lambda *pairs: F.create_map(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in pairs))
+    id_ = F.col("cell_id")
+    wcs_cards = text("CTYPE1", "RA---TAN", "CTYPE2", "DEC--TAN", *(x for k in ("crval1", "crval2", "crpix1", "crpix2", "cdelt1", "cdelt2", "pc1_1", "pc1_2", "pc2_1", "pc2_2") for x in (k.upper(), F.col(k))))
+    wcs_cards = F.when(id_ % 4 != 0, wcs_cards).otherwise(text("CTYPE1", "LINEAR", "CTYPE2", "LINEAR", "CRVAL1", F.col("crval1"), "CRVAL2", F.col("crval2")))
+    header = F.map_concat(text("CAMERA", 1 + id_ % 4, "CCD", 1 + F.col("x") % 4, "A_2_0", id_ * F.lit(1e-9), "B_0_3", F.lit(2e-12), "A_ORDER", F.lit(3), "NOTE", F.lit("frame"), *_WHOLE), wcs_cards)
+    name = F.format_string("s%02d/tess2020-s%04d-%d-3-0165-s_ffic", id_ % 7, id_ % 90, id_)
+    images = rows.rasters(r("image"), ["cell_id"], 32, 32, {"value": float("nan")})
+    files = images.join(c, "cell_id").select(name.alias("key"), header.alias("header"), "h", "w", F.col("value").alias("data"), (id_ % 3 == 0).alias("primary"))
+    files.write.format("fits").mode("append").save(path)
+    return path
+
+
+def _cell_of_file():
+    return F.regexp_extract("path", r"-s\d{4}-(\d+)-", 1).cast("int").alias("cell_id")
+
+
+_OWN_CELLS = "(SELECT * FROM cells WHERE cell_id IN (SELECT DISTINCT cell_id FROM image))"
+
+
+@query(f"""SELECT cell_id, CASE WHEN cell_id % 3 = 0 THEN 0 ELSE 1 END AS hdu, 32 AS height, 32 AS width, CAST(cell_id % 90 AS INTEGER) AS sector, CAST(1 + cell_id % 4 AS INTEGER) AS camera, CAST(1 + x % 4 AS INTEGER) AS ccd,
+  CASE WHEN cell_id % 4 <> 0 THEN round(ra, 6) END AS ra, CASE WHEN cell_id % 4 <> 0 THEN round(dec, 6) END AS dec, n, round(total, 3) AS total
+FROM ({_TAN.format(k="cell_id, x", src=f"SELECT *, 16e0 AS px, 16e0 AS py FROM {_OWN_CELLS} x")}) JOIN (SELECT cell_id, count(*) AS n, sum(round(value, 4)) AS total FROM image GROUP BY 1) USING (cell_id)""")
+def frame_scan(r):
+    """Frames are read from the HDU after the primary one, or that if it is alone; shape, sky centre, sector of the file's name, camera and CCD of the header, and the image."""
+    path = _frame_files(r)
+    back = r("cells").sparkSession.read.format("fits").schema("path string, hdu int, header map<string,string>, height int, width int, data array<double>").option("hdu", "second").load(path)
+    num = lambda k: F.try_element_at("header", F.lit(k)).cast("double")
+    wide = back.select("*", *(num(k.upper()).alias(k) for k in ("crval1", "crval2", "crpix1", "crpix2", "cdelt1", "cdelt2", "pc1_1", "pc1_2", "pc2_1", "pc2_2")))
+    ra, dec = wcs.pixel_to_sky(F.col("width") / 2, F.col("height") / 2)
+    seen = F.filter("data", lambda v: ~F.isnan(v))
+    return wide.select(
+        _cell_of_file(), "hdu", "height", "width", names.frame_file_parts("path")["sector"].alias("sector"), num("CAMERA").cast("int").alias("camera"), num("CCD").cast("int").alias("ccd"),
+        F.round(ra, 6).alias("ra"), F.round(dec, 6).alias("dec"), F.size(seen).cast("bigint").alias("n"), F.round(F.aggregate(seen, F.lit(0.0), lambda a, v: a + v), 3).alias("total"),
+    )
+
+
+@query(f"SELECT cell_id, CASE WHEN cell_id % 4 = 0 OR cell_id % 3 = 0 THEN 0 ELSE 1 END AS hdu, cell_id % 4 <> 0 AS on_sky, CASE WHEN cell_id % 4 <> 0 OR cell_id % 3 = 0 THEN 32 ELSE 0 END AS nx, CASE WHEN cell_id % 4 <> 0 OR cell_id % 3 = 0 THEN 32 ELSE 0 END AS ny, CAST(cell_id % 7 AS INTEGER) AS part FROM {_OWN_CELLS}")
+def celestial_hdu(r):
+    """The first HDU with an image and axes on the sky, else the primary one; from headers alone, no data are asked for."""
+    path = _frame_files(r)
+    back = r("cells").sparkSession.read.format("fits").schema("path string, hdu int, header map<string,string>, height int, width int").option("hdu", "image").load(path)
+    on_sky = F.coalesce(F.try_element_at("header", F.lit("CTYPE1")).startswith("RA") & (F.col("height") > 0), F.lit(False))
+    return back.select(_cell_of_file(), "hdu", on_sky.alias("on_sky"), F.col("width").alias("nx"), F.col("height").alias("ny"), F.regexp_extract("path", r"/s(\d\d)/", 1).cast("int").alias("part"))
+
+
+@query(f"""SELECT cell_id, hdu, CAST(1 + cell_id % 4 AS DOUBLE) AS camera, CAST(1 + x % 4 AS DOUBLE) AS ccd, CAST(crval1 AS DOUBLE) AS crval1, k AS coefficient, CASE k WHEN 'A_2_0' THEN cell_id * 1e-9 ELSE 2e-12 END AS value, CASE k WHEN 'A_2_0' THEN 2 ELSE 3 END AS ord
+FROM {_OWN_CELLS}, (VALUES ('A_2_0'), ('B_0_3')) v(k), (VALUES (0), (1)) h(hdu) WHERE hdu = 0 OR cell_id % 3 <> 0""")
+def frame_headers(r):
+    """Listed cards and coefficient cards of every header, as rows; a file that can't be read would be a row with its error."""
+    path = _frame_files(r)
+    back = r("cells").sparkSession.read.format("fits").schema("path string, hdu int, header map<string,string>, error string").option("errors", "row").load(path).where("error is null")
+    num = lambda k: F.try_element_at("header", F.lit(k)).cast("double").alias(k.lower())
+    each = back.select(_cell_of_file(), "hdu", num("CAMERA"), num("CCD"), num("CRVAL1"), F.explode(names.select_header(F.col("header"), [], r"^[AB]_\d+_\d+$")).alias("coefficient", "value"))
+    return each.select("cell_id", "hdu", "camera", "ccd", "crval1", "coefficient", F.col("value").cast("double").alias("value"), names.coefficient_order("coefficient").alias("ord"))
+
+
+@query("SELECT cell_id, band, y, x, max(value) AS value, max(mask) AS mask, max(CAST(CAST(weight AS FLOAT) AS DOUBLE)) AS weight FROM pixels GROUP BY 1, 2, 3, 4")
+def band_fetch(r):
+    """Every cell's images, masks and weights of each band as survey files, images and masks in Rice-coded tiles; each is taken from the local folder if it is there, else from the other, and decoded in memory."""
+    spark = r("cells").sparkSession
+    fits.register(spark)
+    local, remote = folder(spark, "local"), folder(spark, "remote")
+    band = F.element_at(F.array(*map(F.lit, BANDS)), F.col("band") + 1)
+    named = r("pixels").join(r("cells").select("cell_id", "name"), "cell_id")
+    images = rows.rasters(named, ["cell_id", "name", "band"], 32, 32, {"value": float("nan"), "mask": 0, "weight": float("nan")})
+    kinds = (("image", "value", F.create_map(*map(F.lit, _WHOLE))), ("mask", "mask", F.create_map(*map(F.lit, ("BITPIX", "32")))), ("weight", "weight", F.lit(None).cast("map<string,string>")))
+    each = images.select("cell_id", "name", "band", "h", "w", F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(c).alias("data"), h.alias("header")) for k, c, h in kinds))).alias("k")).select("cell_id", "name", "band", "h", "w", "k.*")
+    file = F.when(F.col("kind") == "image", names.band_file("name", band, "image")).when(F.col("kind") == "mask", names.band_file("name", band, "mask")).otherwise(names.band_file("name", band, "weight"))
+    parts = F.split("name", r"\.")
+    each = each.withColumn("file", file).withColumn("key", F.concat_ws("/", parts[1], parts[2], F.regexp_replace("file", r"\.fits$", "")))
+    for where, compress, place in (("kind <> 'weight' and cell_id % 2 = 0", "rice", local), ("kind = 'weight' and cell_id % 2 = 0", "no", local), ("kind <> 'weight' and (cell_id % 3 > 0 or cell_id % 2 = 1)", "rice", remote), ("kind = 'weight'", "no", remote)):
+        each.where(where).select("key", "header", "h", "w", "data").write.format("fits").option("compress", compress).mode("append").save(place)
+    wanted = store.nearest_files(spark, each.select("cell_id", "band", "kind", "file"), [local, remote])
+    back = fits.from_files(wanted.where("path is not null"), fits.Wanted(("y0", "x0", "w", "data"), "second"), ("cell_id", "band", "kind"))
+    at = back.select("cell_id", "band", "kind", "y0", "x0", "w", F.posexplode("data").alias("at", "value"))
+    long = at.select("cell_id", "band", "kind", (F.col("y0") + F.floor(F.col("at") / F.col("w")).cast("int")).alias("y"), (F.col("x0") + F.col("at") % F.col("w")).alias("x"), "value")
+    one = lambda k: F.max(F.when(F.col("kind") == k, F.col("value")))
+    wide = long.groupBy("cell_id", "band", "y", "x").agg(F.round(one("image"), 4).alias("value"), one("mask").cast("int").alias("mask"), one("weight").alias("weight"))
+    return wide.where("not isnan(weight)")

@@ -1,25 +1,36 @@
-"""FITS files: cards, images, and a Spark data source that reads their HDUs as rows."""
+"""FITS files: cards, images (plain or tile-compressed), and a Spark data source that reads their HDUs as rows."""
 
 from __future__ import annotations
 
-import glob
 import gzip
-import os
+import io
+import uuid
 from collections.abc import Iterator
+from typing import BinaryIO, NamedTuple
 
 import numpy as np
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+import pyarrow as pa
+import pyarrow.fs
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, StringEndsWith, WriterCommitMessage
+
+from ..shipping import ship
+from . import tiled
 
 # Numbers of the BITPIX card and what they stand for.
 KINDS = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
 BLOCK = 2880
+#: Rows of an image that are read at a time, and the rows and columns of a raster row.
+CHUNK = 1024
+# What a celestial axis's type begins with.
+CELESTIAL = ("RA", "DEC", "GLON", "GLAT", "ELON", "ELAT")
 
 
 def card(key: str, value) -> str:
     if isinstance(value, bool):
         text = f"{'T' if value else 'F':>20}"
-    elif isinstance(value, (int, float)):
-        text = f"{value!r:>20}"
+    elif isinstance(value, (int, float, np.number)):
+        text = f"{value!r:>20}" if not isinstance(value, np.number) else f"{value.item()!r:>20}"
     else:
         text = "'" + str(value).replace("'", "''").ljust(8) + "'"
     return f"{key:<8}= {text}"[:80].ljust(80)
@@ -46,8 +57,8 @@ def header_bytes(cards: dict) -> bytes:
     return text.encode("ascii").ljust(-(-len(text) // BLOCK) * BLOCK)
 
 
-def write_image(path: str, hdus: list[tuple[dict, np.ndarray | None]]) -> None:
-    """hdus: extra cards and data; the first is the primary one. Unsigned 16- and 32-bit data get the usual offset."""
+def file_bytes(hdus: list[tuple[dict, np.ndarray | None]], rice: bool = False) -> bytes:
+    """hdus: extra cards and data; the first is the primary one. Unsigned 16- and 32-bit data get the usual offset. rice: images of whole numbers (of at most 32 bits, after the primary HDU) become tables of Rice-coded tiles."""
     parts = []
     for i, (extra, data) in enumerate(hdus):
         cards: dict = {"SIMPLE": True} if i == 0 else {"XTENSION": "IMAGE"}
@@ -59,101 +70,300 @@ def write_image(path: str, hdus: list[tuple[dict, np.ndarray | None]]) -> None:
                 zero = 1 << (8 * data.dtype.itemsize - 1)
                 extra = extra | {"BZERO": zero, "BSCALE": 1}
                 data = (data.astype(np.int64) - zero).astype(f"i{data.dtype.itemsize}")
+            if rice and i and data.ndim == 2 and data.size and data.dtype.kind in "iu" and data.dtype.itemsize <= 4:
+                table, body = tiled.compressed(data)
+                cards = {"XTENSION": "BINTABLE"} | table
+                parts.append(header_bytes(cards | extra) + body.ljust(-(-len(body) // BLOCK) * BLOCK, b"\0"))
+                continue
             bits = next(k for k, v in KINDS.items() if np.dtype(v).newbyteorder("=") == data.dtype.newbyteorder("="))
             cards |= {"BITPIX": bits, "NAXIS": data.ndim} | {f"NAXIS{k + 1}": n for k, n in enumerate(data.shape[::-1])}
             body = data.astype(KINDS[bits]).tobytes()
         if i:
             cards |= {"PCOUNT": 0, "GCOUNT": 1}
         parts.append(header_bytes(cards | extra) + body.ljust(-(-len(body) // BLOCK) * BLOCK, b"\0"))
-    with (gzip.open if path.endswith(".gz") else open)(path, "wb") as f:
-        f.write(b"".join(parts))
+    return b"".join(parts)
+
+
+def write_image(path: str, hdus: list[tuple[dict, np.ndarray | None]], rice: bool = False) -> None:
+    """A file that is there whole or not at all; on any file system that pyarrow opens."""
+    data = file_bytes(hdus, rice)
+    fs, at = located(path)
+    part = f"{at}.part-{uuid.uuid4().hex}"
+    with fs.open_output_stream(part, compression=None) as f:
+        f.write(gzip.compress(data, 1) if path.endswith(".gz") else data)
+    fs.move(part, at)
+
+
+def located(path: str) -> tuple[pa.fs.FileSystem, str]:
+    if "://" in path or path.startswith("file:"):
+        return pa.fs.FileSystem.from_uri(path)
+    return pa.fs.LocalFileSystem(), path
+
+
+class Hdu(NamedTuple):
+    """What a header says, and where the data begin."""
+
+    number: int
+    cards: dict[str, str]
+    at: int
+    size: int
+
+    @property
+    def tiled(self) -> bool:
+        return self.cards.get("ZIMAGE") == "T"
+
+    @property
+    def shape(self) -> tuple[int, ...]:
+        """Of the image, slowest axis first; none without one."""
+        if self.cards.get("XTENSION", "IMAGE").strip() == "BINTABLE" and not self.tiled or self.cards.get("XTENSION") == "TABLE":
+            return ()
+        z = "Z" if self.tiled else ""
+        return tuple(int(self.cards[f"{z}NAXIS{i}"]) for i in range(int(self.cards.get(f"{z}NAXIS", 0)), 0, -1))
+
+    @property
+    def header(self) -> dict[str, str]:
+        return tiled.image_cards(self.cards) if self.tiled else self.cards
 
+    @property
+    def celestial(self) -> bool:
+        """Has an image, and axes on the sky."""
+        c = self.cards
+        return bool(self.shape) and "CRVAL1" in c and "CRVAL2" in c and all(c.get(f"CTYPE{i}", CELESTIAL[i - 1]).startswith(CELESTIAL) for i in (1, 2))
 
-def read_hdus(content: bytes) -> Iterator[tuple[dict[str, str], np.ndarray | None]]:
-    if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
-    at = 0
-    while at + BLOCK <= len(content):
+
+def headers(f: BinaryIO) -> Iterator[Hdu]:
+    """The HDUs of a file; their data are skipped, not read."""
+    at = number = 0
+    while True:
         cards: dict[str, str] = {}
         done = False
         while not done:
-            block = content[at : at + BLOCK].decode("ascii", "replace")
+            f.seek(at)
+            block = f.read(BLOCK)
+            if len(block) < BLOCK:
+                return
             at += BLOCK
+            text = block.decode("ascii", "replace")
             for i in range(0, BLOCK, 80):
-                line = block[i : i + 80]
+                line = text[i : i + 80]
                 if line.rstrip() == "END":
                     done = True
                     break
                 if found := parse_card(line):
                     cards[found[0]] = found[1]
         axes = [int(cards[f"NAXIS{i + 1}"]) for i in range(int(cards.get("NAXIS", 0)))]
-        data = None
-        if axes:
-            kind = np.dtype(KINDS[int(cards["BITPIX"])])
-            n = int(np.prod(axes))
-            raw = np.frombuffer(content, kind, n, at).reshape(axes[::-1])
-            zero, scale = float(cards.get("BZERO", 0)), float(cards.get("BSCALE", 1))
-            data = raw if (zero, scale) == (0.0, 1.0) else raw * scale + zero
-            at += -(-n * kind.itemsize // BLOCK) * BLOCK
-        yield cards, data
+        size = abs(int(cards.get("BITPIX", 8))) // 8 * int(cards.get("GCOUNT", 1)) * (int(cards.get("PCOUNT", 0)) + int(np.prod(axes))) if axes else 0
+        yield Hdu(number, cards, at, size)
+        at += -(-size // BLOCK) * BLOCK
+        number += 1
+
+
+def read_rows(f: BinaryIO, hdu: Hdu, y0: int, y1: int) -> np.ndarray:
+    """Rows y0 to y1 of the last two axes, scaled; only these are read. Whole numbers without scale stay so."""
+    width, cards = hdu.shape[-1], hdu.cards
+
+    def read(at: int, size: int) -> bytes:
+        f.seek(hdu.at + at)
+        return f.read(size)
+
+    if hdu.tiled:
+        raw = tiled.read_rows(cards, y0, y1, read)
+    else:
+        kind = np.dtype(KINDS[int(cards["BITPIX"])])
+        raw = np.frombuffer(read(y0 * width * kind.itemsize, (y1 - y0) * width * kind.itemsize), kind).reshape(y1 - y0, width)
+        if "BLANK" in cards and kind.kind in "iu":
+            raw = np.where(raw == int(cards["BLANK"]), np.nan, raw)
+    zero, scale = float(cards.get("BZERO", 0)), float(cards.get("BSCALE", 1))
+    return raw if (zero, scale) == (0.0, 1.0) else raw * scale + zero
+
+
+def chosen(hdus: list[Hdu], rule: str) -> list[Hdu]:
+    """all; image: the first with an image and axes on the sky, else the primary one; second: the one after the primary if there is one, else that; a number."""
+    if rule == "all":
+        return hdus
+    if rule == "image":
+        return [next((h for h in hdus if h.celestial), hdus[0])] if hdus else []
+    if rule == "second":
+        return hdus[1:2] or hdus[:1]
+    return [h for h in hdus if h.number == int(rule)]
+
+
+SCHEMA = "path string, hdu int, extname string, header map<string,string>, height int, width int, y0 int, x0 int, h int, w int, data array<double>, error string"
+_KINDS = {"path": pa.string(), "hdu": pa.int32(), "extname": pa.string(), "header": pa.map_(pa.string(), pa.string()), "height": pa.int32(), "width": pa.int32(), "y0": pa.int32(), "x0": pa.int32(), "h": pa.int32(), "w": pa.int32(), "data": pa.list_(pa.float64()), "error": pa.string()}
 
 
-def image_hdu(hdus: list) -> int:
-    """The first HDU that has data and celestial axes, else the first."""
-    for i, (cards, data) in enumerate(hdus):
-        if data is not None and "CRVAL1" in cards and "CRVAL2" in cards:
-            return i
-    return 0
+class Wanted(NamedTuple):
+    """fields: which of SCHEMA's; rule: see chosen(); tolerant: a file that can't be read is a row with an error; only: values that hdu or extname must have."""
+
+    fields: tuple[str, ...] = tuple(_KINDS)
+    rule: str = "all"
+    chunk: int = CHUNK
+    tolerant: bool = False
+    only: tuple[tuple[str, frozenset], ...] = ()
+
+
+def rows_of(f: BinaryIO, path: str, wanted: Wanted) -> Iterator[pa.RecordBatch]:
+    """A row a chunk of an image, its data as numbers of 64 bits; one without data for an HDU without an image, or if data aren't wanted."""
+    if f.read(2) == b"\x1f\x8b":
+        f.seek(0)
+        f = gzip.GzipFile(fileobj=f)  # type: ignore[assignment]
+    for hdu in chosen(list(headers(f)), wanted.rule):
+        shape, extname = hdu.shape, hdu.cards.get("EXTNAME")
+        if any({"hdu": hdu.number, "extname": extname}[k] not in v for k, v in wanted.only):
+            continue
+        planes = int(np.prod(shape[:-2]))
+        height, width = (shape[-2] if len(shape) > 1 else 1, shape[-1]) if shape else (0, 0)
+        facts = {"path": path, "hdu": hdu.number, "extname": extname, "header": list(hdu.header.items()), "height": height, "width": width}
+
+        def batch(y: int, x: int, h: int, w: int, data: np.ndarray | None) -> pa.RecordBatch:
+            own = facts | {"y0": y, "x0": x, "h": h, "w": w, "error": None}  # noqa: B023
+            values = pa.nulls(1, _KINDS["data"]) if data is None else pa.ListArray.from_arrays(pa.array([0, data.size], pa.int32()), pa.array(np.ascontiguousarray(data, np.float64).ravel()))
+            return pa.RecordBatch.from_arrays([values if k == "data" else pa.array([own[k]], _KINDS[k]) for k in wanted.fields], names=list(wanted.fields))
+
+        if not width or "data" not in wanted.fields and not {"y0", "x0", "h", "w"} & set(wanted.fields):
+            yield batch(0, 0, height, width, None)
+            continue
+        for y in range(0, planes * height, wanted.chunk):  # further axes lie below each other
+            h = min(wanted.chunk, planes * height - y)
+            rows = read_rows(f, hdu, y, y + h) if "data" in wanted.fields else None
+            for x in range(0, width, wanted.chunk):
+                w = min(wanted.chunk, width - x)
+                yield batch(y, x, h, w, None if rows is None else rows[:, x : x + w])
+
+
+def file_rows(path: str, wanted: Wanted, content: bytes | None = None) -> Iterator[pa.RecordBatch]:
+    """rows_of() of a file, or of its content."""
+    try:
+        if content is not None:
+            yield from rows_of(io.BytesIO(content), path, wanted)
+            return
+        fs, at = located(path)
+        with fs.open_input_file(at) as f:
+            yield from rows_of(f, path, wanted)
+    except (OSError, EOFError, ValueError, KeyError, IndexError) as e:
+        if not wanted.tolerant:
+            raise
+        own = {"path": path, "error": f"{type(e).__name__}: {e}"}
+        yield pa.RecordBatch.from_arrays([pa.array([own.get(k)], _KINDS[k]) for k in wanted.fields], names=list(wanted.fields))
 
 
 class FitsReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path.removeprefix("file://")
+    """Opens only the files that the filters leave, reads headers by blocks, and data only of the chosen HDUs and only if they are asked for."""
+
+    def __init__(self, path: str, wanted: Wanted):
+        self.path, self.wanted = path, wanted
+        self.files: list[tuple[str, object]] = []
+
+    def pushFilters(self, filters: list[Filter]):
+        only = dict(self.wanted.only)
+        for f in filters:
+            name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+            values = frozenset(f.value) if isinstance(f, In) else frozenset([f.value]) if isinstance(f, EqualTo) else None
+            if name in ("hdu", "extname") and values is not None:
+                only[name] = only.get(name, values) & values
+            elif name == "path" and (values is not None or isinstance(f, StringEndsWith)):
+                self.files.append(("end", f.value) if values is None else ("in", values))
+            else:
+                yield f
+        self.wanted = self.wanted._replace(only=tuple(only.items()))
 
     def partitions(self):
-        names = sorted(glob.glob(os.path.join(self.path, "**", "*.fits*"), recursive=True)) if os.path.isdir(self.path) else sorted(glob.glob(self.path))
-        return [InputPartition(n) for n in names]
+        fs, at = located(self.path)
+        scheme = self.path[: self.path.index("://") + 3] if "://" in self.path else ""
+        info = fs.get_file_info(at)
+        found = fs.get_file_info(pa.fs.FileSelector(at, recursive=True)) if info.type == pa.fs.FileType.Directory else [info]
+        names = sorted(scheme + x.path for x in found if x.type == pa.fs.FileType.File and ".fits" in x.base_name and ".part-" not in x.base_name)
+        return [InputPartition(n) for n in names if all(n.endswith(v) if how == "end" else n in v for how, v in self.files)]
 
     def read(self, partition):
-        with open(partition.value, "rb") as f:
-            content = f.read()
-        for i, (cards, data) in enumerate(read_hdus(content)):
-            h, w = (data.shape[-2:] if data is not None and data.ndim >= 2 else (0, 0))
-            values = None if data is None else [float(v) for v in np.asarray(data, np.float64).ravel()]
-            yield partition.value, i, cards, int(h), int(w), values
+        yield from file_rows(partition.value, self.wanted)
+
+
+def _numbers(column: pa.ListArray, i: int) -> np.ndarray:
+    a, b = column.offsets[i].as_py(), column.offsets[i + 1].as_py()
+    return column.values.slice(a, b - a).to_numpy(zero_copy_only=False)
 
 
-class FitsWriter(DataSourceWriter):
-    """One file a row: key names it, header (optional) gives its cards, data its image, count and mask (optional) further ones."""
+class FitsWriter(DataSourceArrowWriter):
+    """One file a row: key names it (with folders), header (optional) gives its cards, data its image, count and mask (optional) further ones. primary (optional): whether the image is the primary HDU, not the one after it.
 
-    def __init__(self, path: str):
-        self.path = path.removeprefix("file://")
+    A header with BITPIX 8, 16 or 32 stores whole numbers, by its BSCALE and BZERO, NaN as its BLANK; else data are 32-bit floats."""
+
+    def __init__(self, path: str, rice: bool):
+        self.path, self.rice = path, rice
 
     def write(self, iterator) -> WriterCommitMessage:
-        os.makedirs(self.path, exist_ok=True)
-        for row in iterator:
-            r = row.asDict()
-            image = lambda name, kind: np.array(r[name], kind).reshape(r["h"], r["w"])  # noqa: B023, E731
-            hdus = [(dict(r.get("header") or {}), None), ({"EXTNAME": "FLUX_SUM"}, image("data", np.float32))]
-            hdus += [({"EXTNAME": name.upper()}, image(name, np.int32)) for name in ("count", "mask") if r.get(name) is not None]
-            target = os.path.join(self.path, f"{r['key']}.fits")
-            write_image(f"{target}.part", hdus)
-            os.replace(f"{target}.part", target)  # a task that runs again writes the same file
+        for batch in iterator:
+            cols = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            for i in range(len(batch)):
+                h, w = cols["h"][i].as_py(), cols["w"][i].as_py()
+                header: dict = {k: _value(v) for k, v in (cols["header"][i].as_py() or [])} if "header" in cols else {}
+                header.pop("EXTNAME", None)
+                data = _numbers(cols["data"], i).reshape(h, w)
+                image: tuple = (header | {"EXTNAME": "FLUX_SUM"}, data.astype(np.float32))
+                if (bits := header.pop("BITPIX", None)) is not None:
+                    raw = (data - header.get("BZERO", 0)) / header.get("BSCALE", 1)
+                    raw = np.where(np.isnan(raw), header.get("BLANK", 0), np.rint(raw)).astype("u1" if bits == 8 else f"i{bits // 8}")
+                    image = (header | {"EXTNAME": "FLUX_SUM"}, raw)
+                alone = "primary" in cols and cols["primary"][i].as_py()
+                hdus = [image] if alone else [({k: v for k, v in header.items() if k not in ("BZERO", "BSCALE", "BLANK")}, None), image]
+                hdus += [({"EXTNAME": name.upper()}, _numbers(cols[name], i).reshape(h, w).astype(np.int32)) for name in ("count", "mask") if name in cols and cols[name][i].is_valid]
+                fs, at = located(f"{self.path.rstrip('/')}/{cols['key'][i].as_py()}")
+                fs.create_dir(at.rpartition("/")[0], recursive=True)
+                write_image(f"{self.path.rstrip('/')}/{cols['key'][i].as_py()}.fits{'.fz' if self.rice else ''}", hdus, self.rice)  # a task that runs again writes the same file
         return WriterCommitMessage()
 
 
+def _value(text: str):
+    """A card's value as a number if it looks like one."""
+    for kind in (int, float):
+        try:
+            return kind(text)
+        except ValueError:
+            pass
+    return text
+
+
 class FitsSource(DataSource):
-    """spark.dataSource.register(FitsSource); spark.read.format("fits").load(path): a row an HDU; df.write.format("fits").mode("append").save(path): a file a row. Files are on a mounted path that all executors see."""
+    """After register(spark): spark.read.format("fits").load(path) gives SCHEMA, a row a chunk; a schema with fewer of its fields reads no more than these need. Options: hdu (all, image, second or a number: see chosen()), chunk (rows and columns of a row's raster), errors=row (a file that can't be read is a row).
+
+    df.write.format("fits").mode("append").save(path) writes a file a row; option compress=rice for tiles. Files are on a file system that pyarrow opens and all executors see; for others, from_contents()."""
 
     @classmethod
     def name(cls):
         return "fits"
 
     def schema(self):
-        return "path string, hdu int, header map<string,string>, h int, w int, data array<double>"
+        return SCHEMA
 
     def reader(self, schema):
-        return FitsReader(self.options["path"])
+        return FitsReader(self.options["path"], Wanted(tuple(f.name for f in schema.fields), self.options.get("hdu", "all"), int(self.options.get("chunk", CHUNK)), self.options.get("errors") == "row"))
 
     def writer(self, schema, overwrite):
-        return FitsWriter(self.options["path"])
+        return FitsWriter(self.options["path"], self.options.get("compress") == "rice")
+
+
+def register(spark: SparkSession) -> None:
+    """Makes the source known, with filters pushed down."""
+    ship(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(FitsSource)
+
+
+def from_files(files: DataFrame, wanted: Wanted = Wanted(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of files (path), or of their content if files have such a column, as spark.read.format("binaryFile") gives it from any store that Spark reads; with the columns `keep` of files."""
+    whole = "content" in files.columns
+    own = files.select("path", *(["content"] if whole else []), *keep)
+    first = 1 + whole
+
+    def step(batches):
+        for batch in batches:
+            for i, path in enumerate(batch.column(0).to_pylist()):
+                for rows in file_rows(path, wanted, batch.column(1)[i].as_py() if whole else None):
+                    kept = [pa.concat_arrays([batch.column(first + k).slice(i, 1)] * len(rows)) for k in range(len(keep))]
+                    yield pa.RecordBatch.from_arrays([*kept, *rows.columns], names=[*keep, *rows.schema.names])
+
+    ship(files.sparkSession)
+    kinds = dict(x.split(" ", 1) for x in SCHEMA.split(", "))
+    kept = [f"`{k}` {own.schema[k].dataType.simpleString()}" for k in keep]
+    return own.mapInArrow(step, ", ".join([*kept, *(f"{k} {kinds[k]}" for k in wanted.fields)]))

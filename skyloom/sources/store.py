@@ -55,6 +55,16 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return files.withColumn("cell", cell_in_path("path")).withColumn("variant", variant_in_path("path"))
 
 
+def nearest_files(spark: SparkSession, wanted: DataFrame, folders: list[str], pattern: str = "*.fits*") -> DataFrame:
+    """wanted (file, any others) with the path of each file in the first of the folders that has it, under any compression's ending; null where none has. Only names are listed."""
+    found = None
+    for i, folder in enumerate(folders):
+        own = list_files(spark, folder, pattern).select("path", F.lit(i).alias("place"))
+        found = own if found is None else found.union(own)
+    names = found.withColumn("file", F.regexp_extract("path", r"([^/]+?)(?:\.fz|\.gz)?$", 1)).groupBy("file").agg(F.min(F.struct("place", "path")).alias("best"))
+    return wanted.join(names, "file", "left").select(*(F.col(c) for c in wanted.columns), F.col("best.path").alias("path"))
+
+
 def write_table(df: DataFrame, path: str, partition: list[str] | None = None) -> None:
     writer = df.write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*partition) if partition else writer).parquet(path)
@@ -62,5 +72,5 @@ def write_table(df: DataFrame, path: str, partition: list[str] | None = None) ->
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with arrays as JSON text."""
-    flat = [F.to_json(f.name).alias(f.name) if f.dataType.typeName() in ("array", "map", "struct") else F.col(f.name) for f in df.schema.fields]
-    df.select(*flat).write.mode("overwrite").csv(path, header=True)
+    flat = [F.to_json(f.name, {"ignoreNullFields": "false"}).alias(f.name) if f.dataType.typeName() in ("array", "map", "struct") else F.col(f.name) for f in df.schema.fields]
+    df.select(*flat).write.mode("overwrite").option("escape", '"').csv(path, header=True)

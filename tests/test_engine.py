@@ -158,15 +158,16 @@ def test_fits_round_trip(spark, tmp_path):
     b = np.array([[0, 65535]], np.uint16)
     fits.write_image(str(tmp_path / "f.fits"), [({"SECTOR": 20, "NOTE": "it's"}, None), ({"CRVAL1": 1.5, "CRVAL2": 2.0}, a), ({}, b)])
     fits.write_image(str(tmp_path / "g.fits.gz"), [({}, a.astype(np.int32))])
-    spark.dataSource.register(fits.FitsSource)
+    fits.register(spark)
     got = {(r.path.rsplit("/", 1)[1], r.hdu): r for r in spark.read.format("fits").load(str(tmp_path)).collect()}
     assert got["f.fits", 0].header["NOTE"] == "it's" and got["f.fits", 1].data == a.ravel().tolist()
     assert got["f.fits", 2].data == [0.0, 65535.0] and (got["g.fits.gz", 0].h, got["g.fits.gz", 0].w) == (3, 4)
-    assert fits.image_hdu(list(fits.read_hdus((tmp_path / "f.fits").read_bytes()))) == 1
+    found = spark.read.format("fits").option("hdu", "image").load(str(tmp_path / "f.fits")).collect()
+    assert [(r.hdu, r.height, r.width) for r in found] == [(1, 3, 4)]
 
 
 def test_fits_export(spark, tmp_path):
-    spark.dataSource.register(fits.FitsSource)
+    fits.register(spark)
     df = spark.createDataFrame([("a", {"SECTOR": "20"}, 1, 2, [1.5, 2.5], [3, 4])], "key string, header map<string,string>, h int, w int, data array<double>, count array<int>")
     df.write.format("fits").mode("append").save(str(tmp_path / "out"))
     got = {r.hdu: r for r in spark.read.format("fits").load(str(tmp_path / "out")).collect()}
@@ -278,7 +279,7 @@ def test_headers_of_every_frame(spark):
     from skyloom.plans import registry
 
     sf = "/root/testdata/sf0.001"
-    got = [r.frame_id for r in registry.queries()["header_build_all"](spark, sf).collect()]
+    got = [r.frame_id for r in registry.queries()["header_build"](spark, sf).collect()]
     assert sorted(got) == sorted(r.event_id for r in registry.relation(spark, sf, "events").select("event_id").collect())
 
 
@@ -293,7 +294,7 @@ def test_every_row_gets_a_unified_mask(spark):
     from skyloom.plans import registry
 
     sf = "/root/testdata/sf0.01"
-    got = {r.cell_id for r in registry.queries()["unified_row_mask_all"](spark, sf).select("cell_id").distinct().collect()}
+    got = {r.cell_id for r in registry.queries()["unified_row_mask"](spark, sf).select("cell_id").distinct().collect()}
     assert got == {r.cell_id for r in registry.relation(spark, sf, "image").join(registry.relation(spark, sf, "cells"), "cell_id").select("cell_id").distinct().collect()}
 
 
@@ -356,7 +357,7 @@ def test_partials_cover_all_cells(spark):
     from skyloom.plans import registry
 
     sf = "/root/testdata/sf0.001"
-    got = {r.cell_id for r in registry.queries()["concatenated_partials_all"](spark, sf).collect()}
+    got = {r.cell_id for r in registry.queries()["concatenated_partials"](spark, sf).collect()}
     assert got == {r.cell_id for r in registry.relation(spark, sf, "assignment").select("cell_id").distinct().collect()}
 
 
@@ -385,3 +386,8 @@ def test_stitching_takes_valid_pixels_only(spark):
     new = spark.createDataFrame([(0, 1, 0, 1, 5.0, 1.0), (0, 2, 0, 1, 7.0, 1.0), (0, 3, 0, 0, float("nan"), 1.0), (0, 3, 1, 1, 4.0, 1.0), (0, 3, 0, 0, 9.0, 0.0), (0, 3, 5, 0, 9.0, 1.0)], "k int, source int, y int, x int, value double, footprint double")
     got = rows.stitch(base, rows.valid_for_stitching(new, 2, 2), ["k"])
     assert sorted(map(tuple, got.collect())) == [(0, 0, 0, 1.0), (0, 0, 1, 7.0), (0, 1, 1, 4.0)]
+
+
+def test_row_pairs_go_over_gaps(spark):
+    cells = spark.createDataFrame([(1, 5), (1, 6), (1, 8), (1, 8), (2, 7)], "projection int, y int")
+    assert sorted(map(tuple, rows.row_pairs(cells).collect()), key=str) == [(1, 5, 6), (1, 6, 8), (1, 8, None), (2, 7, None)]
