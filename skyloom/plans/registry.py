@@ -1008,4 +1008,4 @@ def pipeline_combined(r):
 
 
 
-from . import stores  # noqa: E402, F401  its queries use this module's
+from . import row_steps, stores  # noqa: E402, F401  its queries use this module's
