@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ..constants import BANDS
 from ..functions import names, wcs
-from ..operators import mapping, rows
+from ..operators import combine, downsample, inventory, mapping, rows
 from ..sources import fits, store
 from ..sources.work import folder
-from .registry import _TAN, FRAME, query
+from .registry import _CELLS, _NEAREST, _TAN, FRAME, _near, query
 
 
 def _named(r, what: str):
@@ -209,3 +209,77 @@ def band_fetch(r):
     one = lambda k: F.max(F.when(F.col("kind") == k, F.col("value")))
     wide = long.groupBy("cell_id", "band", "y", "x").agg(F.round(one("image"), 4).alias("value"), one("mask").cast("int").alias("mask"), one("weight").alias("weight"))
     return wide.where("not isnan(weight)")
+
+
+@query("SELECT c.name AS cell, band, count(*) AS n, 'band ' || band || ' of ' || c.name AS header, 'v2' AS version, 'v1' AS after_failure FROM pixels p JOIN cells c USING (cell_id) GROUP BY c.name, band")
+def store_commit(r):
+    """Arrays with a header each, committed as versions; a write that fails half-way leaves the version before readable, and the next one replaces it."""
+    spark = r("cells").sparkSession
+    root = folder(spark, "store")
+    arrays = _named(r, "pixels").select("projection", "cell", "band", "y", "x", "value", "mask")
+    headers = arrays.select("projection", "cell", "band").distinct().withColumn("header", F.create_map(F.lit("OBJECT"), F.format_string("band %d of %s", "band", "cell")))
+    store.commit({"arrays": arrays.where("band < 2"), "headers": headers.where("band < 2")}, root, "v1")
+    broken = arrays.withColumn("mask", F.when(F.col("y") >= 0, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("mask")))
+    try:
+        store.commit({"headers": headers, "arrays": broken}, root, "v2")
+    except Exception:  # noqa: BLE001  whatever Spark makes of it
+        after = store.latest(spark, root)
+    store.commit({"arrays": arrays, "headers": headers}, root, "v2")
+    version = lambda path: F.lit(path.rsplit("/", 1)[1])
+    counts = store.read_latest(spark, root, "arrays").groupBy("cell", "band").agg(F.count("*").alias("n"))
+    own = counts.join(store.read_latest(spark, root, "headers"), ["cell", "band"])
+    return own.select("cell", "band", "n", F.col("header")["OBJECT"].alias("header"), version(store.latest(spark, root)).alias("version"), version(after).alias("after_failure"))
+
+
+@query(f"WITH {_CELLS} SELECT f.file, c.* FROM c, (VALUES ('inventory_20260101_000000.csv'), ('inventory_latest.csv')) f(file)")
+def inventory_csv(r):
+    """The cells' inventory as CSV with its time and as the latest one, both read back."""
+    spark = r("inventory").sparkSession
+    cells = inventory.cell_summary(r("inventory"))
+    paths = store.write_inventory(cells, folder(spark, "inventory"), "20260101_000000")
+    back = [spark.read.csv(p, header=True, schema=cells.schema).withColumn("file", F.lit(p.rsplit("/", 1)[1])) for p in paths]
+    return back[0].unionByName(back[1]).drop("missing_text", "corruption_text")
+
+
+@query(_NEAREST + "SELECT pix, cell_id, CAST(dense_rank() OVER (ORDER BY cell_id) - 1 AS INTEGER) AS dense_id, count(*) OVER (PARTITION BY cell_id) AS n_pixels FROM n")
+def master_files(r):
+    """The frame's master map as a FITS image of dense ids, and its cells as CSV; both read back and joined."""
+    spark = r("cells").sparkSession
+    fits.register(spark)
+    path = folder(spark, "master")
+    owned = mapping.dense_ids(_near(r).select("pix", "cell_id"))
+    places = owned.select(F.lit("master").alias("key"), F.floor(F.col("pix") / 64).alias("y"), (F.col("pix") % 64).alias("x"), "dense_id")
+    images = rows.rasters(places, ["key"], 64, 64, {"dense_id": -1}).withColumnRenamed("dense_id", "data").withColumn("header", F.create_map(F.lit("BITPIX"), F.lit("32")))
+    images.write.format("fits").option("compress", "rice").mode("append").save(f"{path}/fits")
+    store.write_csv(owned.groupBy("cell_id", "dense_id").agg(F.count("*").alias("n_pixels")), f"{path}/csv")
+    pixels = _long(spark.read.format("fits").option("hdu", "second").load(f"{path}/fits")).where("value >= 0")
+    cells = spark.read.csv(f"{path}/csv", header=True, schema="cell_id INT, dense_id INT, n_pixels BIGINT")
+    return pixels.select((F.col("y") * 64 + F.col("x")).cast("bigint").alias("pix"), F.col("value").cast("int").alias("dense_id")).join(cells, "dense_id").select("pix", "cell_id", "dense_id", "n_pixels")
+
+
+@query("SELECT c.projection, c.name AS cell, p.y, p.x, bit_or(mask) AS mask FROM pixels p JOIN cells c USING (cell_id) GROUP BY ALL")
+def mask_files(r):
+    """Each cell's combined mask as a compressed FITS file; the files are found by their names, the master file left out, and read back."""
+    spark = r("cells").sparkSession
+    fits.register(spark)
+    path = folder(spark, "masks")
+    named = combine.combine_masks(r("pixels")).join(r("cells").select("cell_id", "name"), "cell_id").withColumn("key", F.concat(F.col("name"), F.lit("_mask")))
+    header = F.create_map(F.lit("BITPIX"), F.lit("32"), F.lit("BLANK"), F.lit("-1"))
+    images = rows.rasters(named, ["key"], 32, 32, {"mask": float("nan")}).withColumnRenamed("mask", "data").withColumn("header", header)
+    images.write.format("fits").option("compress", "rice").mode("append").save(path)
+    images.limit(1).withColumn("key", F.lit("master_mask")).write.format("fits").mode("append").save(path)
+    files = store.list_files(spark, path, "*_mask.fits*").where("path not like '%master%'").select("path", "cell")
+    back = _long(fits.from_files(files, fits.Wanted(("y0", "x0", "w", "data"), "second"), ("cell",)), "cell")
+    return back.select(F.split("cell", r"\.")[1].cast("int").alias("projection"), "cell", "y", "x", F.col("value").cast("int").alias("mask"))
+
+
+@query("""SELECT pix, CAST(CAST(CASE WHEN n > 0 THEN s / n ELSE 0 END AS FLOAT) AS DOUBLE) AS flux FROM (SELECT a.pix, round(sum(i.value), 6) AS s, count(*) AS n FROM assignment a JOIN image i USING (cell_id, y, x) WHERE a.pix >= 0 GROUP BY a.pix)""")
+def flux_files(r):
+    """The mean flux of each frame pixel as a FITS image, read back."""
+    spark = r("cells").sparkSession
+    fits.register(spark)
+    path = folder(spark, "flux")
+    sums = downsample.plain_downsample(r("assignment"), r("image")).withColumn("flux_sum", F.round("flux_sum", 6))
+    places = downsample.averages(sums).select(F.lit("flux").alias("key"), F.floor(F.col("pix") / 8).alias("y"), (F.col("pix") % 8).alias("x"), "flux")
+    rows.rasters(places, ["key"], 24, 8, {"flux": float("nan")}).withColumnRenamed("flux", "data").write.format("fits").mode("append").save(path)
+    return _long(spark.read.format("fits").option("hdu", "second").load(path)).select((F.col("y") * 8 + F.col("x")).alias("pix"), F.col("value").alias("flux"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +76,70 @@ def write_csv(df: DataFrame, path: str) -> None:
     """CSV with arrays as JSON text."""
     flat = [F.to_json(f.name, {"ignoreNullFields": "false"}).alias(f.name) if f.dataType.typeName() in ("array", "map", "struct") else F.col(f.name) for f in df.schema.fields]
     df.select(*flat).write.mode("overwrite").option("escape", '"').csv(path, header=True)
+
+
+# ---- versions ----
+
+_POINTER = "_latest"
+
+
+def _files(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def latest(spark: SparkSession, root: str) -> str | None:
+    """The folder of the version that was committed last; None if there is none."""
+    fs, p = _files(spark, f"{root}/{_POINTER}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        name = bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+    return f"{root}/{name}"
+
+
+def commit(tables: dict[str, DataFrame], root: str, version: str) -> str:
+    """Writes tables as one version below root and makes it the latest. Whoever reads has the version before or this one, whole:
+    tables are written to a folder of their own, which gets its name when all are there, and the pointer is replaced by one
+    rename. A write that fails leaves the latest version as it was; a version's name can't be used twice."""
+    spark = next(iter(tables.values())).sparkSession
+    fs, target = _files(spark, f"{root}/{version}")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    if fs.exists(target):
+        raise FileExistsError(f"{root}/{version}")
+    staged = f"{root}/_staged-{uuid.uuid4().hex}"
+    try:
+        for name, df in tables.items():
+            write_table(df, f"{staged}/{name}")
+        if not fs.rename(path(staged), target):
+            raise OSError(f"{staged} can't be renamed to {version}")
+    except BaseException:
+        fs.delete(path(staged), True)
+        raise
+    pointer = path(f"{root}/{_POINTER}-{uuid.uuid4().hex}")
+    out = fs.create(pointer, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(pointer, path(f"{root}/{_POINTER}"), overwrite)
+    return f"{root}/{version}"
+
+
+def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame:
+    found = latest(spark, root)
+    if found is None:
+        raise FileNotFoundError(f"{root} has no version yet")
+    return spark.read.parquet(f"{found}/{name}")
+
+
+def write_inventory(df: DataFrame, folder: str, stamp: str) -> tuple[str, str]:
+    """The inventory as CSV under a name with its time, and as the latest one; both paths."""
+    paths = f"{folder}/inventory_{stamp}.csv", f"{folder}/inventory_latest.csv"
+    write_csv(df, paths[0])
+    write_csv(df.sparkSession.read.csv(paths[0], header=True, schema=df.schema), paths[1])
+    return paths
