@@ -1,4 +1,4 @@
-"""Numerical kernels on whole rasters, one raster a row: source detection, star replacement, resampling."""
+"""Numerical kernels on whole rasters, one raster a row: star replacement, resampling."""
 
 from __future__ import annotations
 
@@ -13,55 +13,6 @@ from .rows import as_lists, lists
 RASTER = "key string, h int, w int, data array<double>"
 
 
-def _smooth(a: np.ndarray) -> np.ndarray:
-    """The 3 x 3 matched filter 1 2 1 / 2 4 2 / 1 2 1, normalised by its length."""
-    p = np.pad(a, 1)
-    rows = p[:-2] + 2 * p[1:-1] + p[2:]
-    return (rows[:, :-2] + 2 * rows[:, 1:-1] + rows[:, 2:]) / 6.0
-
-
-def label(mask: np.ndarray) -> np.ndarray:
-    """Components of a boolean raster over 8 neighbours, by spreading the least index until nothing changes."""
-    n = mask.size
-    ids = np.where(mask, np.arange(n).reshape(mask.shape), n)
-    while True:
-        p = np.pad(ids, 1, constant_values=n)
-        least = np.minimum.reduce([p[1 + dy : p.shape[0] - 1 + dy, 1 + dx : p.shape[1] - 1 + dx] for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
-        least = np.where(mask, least, n)
-        jumped = np.append(least.ravel(), n)[least]  # follow the representative one step further
-        least = np.where(mask, np.minimum(least, jumped), n)
-        if (least == ids).all():
-            return least
-        ids = least
-
-
-def detect(data: np.ndarray, error: np.ndarray, sigma: float = 2.5, bright: float = 20.0, min_area: int = 5) -> np.ndarray:
-    """True where a source is, or the image is far above the noise."""
-    hot = data > bright * np.nanmedian(error)
-    signal = np.where(np.isnan(data) | hot, 0.0, data)
-    noise = np.where(np.isnan(error) | (error <= 0), np.inf, error)
-    over = (_smooth(signal / noise) > sigma) & ~hot
-    ids = label(over)
-    names, counts = np.unique(ids[over], return_counts=True)
-    return np.isin(ids, names[counts >= min_area]) & over | hot
-
-
-def remove_background(rasters: DataFrame, sigma: float = 2.5, bright: float = 20.0) -> DataFrame:
-    """rasters: key, h, w, data, error. Pixels outside sources become 0."""
-
-    def step(batches):
-        for b in batches:
-            out = []
-            for h, w, data, error in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), lists(b.column(3)), lists(b.column(4))):
-                d, e = data.astype(np.float64).reshape(h, w), error.astype(np.float64).reshape(h, w)
-                keep = detect(d, e, sigma, bright) if np.isfinite(e).any() else np.ones(d.shape, bool)
-                out.append(np.where(keep, d, 0.0))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), as_lists(out, pa.float64())], names=["key", "h", "w", "data"])
-
-    ship(rasters.sparkSession)
-    return rasters.select("key", "h", "w", "data", "error").mapInArrow(step, RASTER)
-
-
 def star_model(data: np.ndarray, stars: list[tuple[float, float, float]], half: int) -> np.ndarray | None:
     """Median of the normalised stamps of stars that aren't saturated."""
     h, w = data.shape

@@ -123,23 +123,6 @@ def test_convolution_of_tiles_is_the_stencil(spark):
     assert all(abs(got[k] - v) < 1e-9 for k, v in want.items())
 
 
-def test_detection_keeps_sources_only():
-    r = np.random.default_rng(1)
-    noise = r.normal(0, 1, (64, 64))
-    data = noise.copy()
-    data[20:25, 30:35] += 12
-    data[50, 50] += 100
-    found = kernels.detect(data, np.ones_like(data))
-    assert found[21:24, 31:34].all() and found[50, 50] and found.mean() < 0.05
-
-
-def test_labels_join_over_corners():
-    m = np.zeros((5, 5), bool)
-    m[0, 0] = m[1, 1] = m[2, 2] = m[4, 0] = True
-    ids = kernels.label(m)
-    assert len({ids[0, 0], ids[1, 1], ids[2, 2]}) == 1 and ids[4, 0] != ids[0, 0]
-
-
 def test_star_replacement_marks_what_it_changes():
     y, x = np.mgrid[0:60, 0:60]
     star = lambda cy, cx, f: f * np.exp(-((y - cy) ** 2 + (x - cx) ** 2) / 4)
