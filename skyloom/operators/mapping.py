@@ -57,16 +57,17 @@ def cells_in_footprint(cells: DataFrame, frame: dict, width: int, height: int, b
     return own.where(wcs.inside_normals("ra", "dec", normals))
 
 
-def frame_mapping(cells: DataFrame, frame: dict, width: int, height: int, oversampling: int = 1, buffer: int = FOOTPRINT_BUFFER) -> DataFrame:
+def frame_mapping(cells: DataFrame, frame: dict, width: int, height: int, oversampling: int = 1, buffer: int = FOOTPRINT_BUFFER, ring=None) -> DataFrame:
     """A frame's pixels and the cell each belongs to: pix, cell_id, dense_id. From the catalogue: the cells in the footprint,
-    the pixels on the sky, the cells whose inset corners hold them, and of those the one whose centre is nearest in frame pixels."""
+    the pixels on the sky, the cells whose inset corners (ring, of wcs.inset_corners()) hold them, and of those the one whose
+    centre is nearest in frame pixels."""
     near = cells_in_footprint(cells, frame, width, height, buffer)
     at = wcs.sky_on_frame("ra", "dec", frame)
     centres = near.select("cell_id", at.alias("c")).select("cell_id", F.col("c.x").alias("cx"), F.col("c.y").alias("cy"))
     pixels = wcs.frame_pixels(cells.sparkSession, height, width, oversampling)
     ra, dec = wcs.sip_pixel_to_sky("px", "py", frame)
     points = pixels.select(F.col("pix").alias("id"), ra.alias("ra"), dec.alias("dec"))
-    hits = points_in_cells(points, near.select("cell_id", wcs.inset_corners().alias("ring"))).withColumnRenamed("id", "pix")
+    hits = points_in_cells(points, near.select("cell_id", (wcs.inset_corners() if ring is None else ring).alias("ring"))).withColumnRenamed("id", "pix")
     return dense_ids(cut(nearest_centre(hits, pixels, centres).select("pix", "cell_id"), "mapped"))
 
 

@@ -1028,5 +1028,4 @@ def pipeline_combined(r):
     return out.groupBy("cell_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value"))
 
 
-
-from . import row_steps, stores  # noqa: E402, F401  its queries use this module's
+from . import row_steps, stores, survey_queries  # noqa: E402, F401  its queries use this module's

@@ -46,15 +46,17 @@ def _sky(px: str, py: str, cols: str, source: str) -> str:
   FROM (SELECT *, radians(cdelt1 * pc1_1 * ({px}) + cdelt1 * pc1_2 * ({py})) AS xi, radians(cdelt2 * pc2_1 * ({px}) + cdelt2 * pc2_2 * ({py})) AS eta FROM {source})"""
 
 
-_WINDOWS = f"""WITH {_CELLS.replace("{image}", "image")},
-raster AS (SELECT h.cell_id, projection, row, k, CAST(a.range AS INT) AS y, CAST(b.range AS INT) AS x, coalesce(i.value, 'NaN') AS value FROM heads h CROSS JOIN range({G.height}) a CROSS JOIN range({G.width}) b
+#: The rows' arrays with the rims of the rows beside them, from heads and image.
+_ROWS = f"""raster AS (SELECT h.cell_id, projection, row, k, CAST(a.range AS INT) AS y, CAST(b.range AS INT) AS x, coalesce(i.value, 'NaN') AS value FROM heads h CROSS JOIN range({G.height}) a CROSS JOIN range({G.width}) b
   LEFT JOIN image i ON i.cell_id = h.cell_id AND i.y = a.range AND i.x = b.range),
 placed AS (SELECT projection, row, y + {G.pad} AS my, {G.pad} + k * {G.step} + x AS mx, arg_max(value, k) AS value FROM raster WHERE k = 0 OR x >= {G.keep} GROUP BY ALL),
 pairs AS (SELECT projection, row, lag(row) OVER (PARTITION BY projection ORDER BY row) AS before, lead(row) OVER (PARTITION BY projection ORDER BY row) AS after FROM (SELECT DISTINCT projection, row FROM heads)),
 p AS (SELECT * FROM placed JOIN pairs USING (projection, row)),
 crossed AS (SELECT projection, row, my, mx, value FROM p WHERE (after IS NULL OR my < {_TOP}) AND (before IS NULL OR my >= {_BOTTOM})
   UNION ALL SELECT projection, before, my + {G.shift}, mx, value FROM p WHERE before IS NOT NULL AND my >= {_TOP - G.shift} AND my < {G.window[0] - G.shift}
-  UNION ALL SELECT projection, after, my - {G.shift}, mx, value FROM p WHERE after IS NOT NULL AND my >= {G.shift} AND my < {G.shift + _BOTTOM}),
+  UNION ALL SELECT projection, after, my - {G.shift}, mx, value FROM p WHERE after IS NOT NULL AND my >= {G.shift} AND my < {G.shift + _BOTTOM})"""
+_WINDOWS = f"""WITH {_CELLS.replace("{image}", "image")},
+{_ROWS},
 sides AS (SELECT n.*, h.* EXCLUDE (cell_id), {G.pad} + k * {G.step} AS s, CASE WHEN contains(side, 'top') OR contains(side, 'bottom') THEN {G.width} ELSE {_BOTTOM} END AS w,
   CASE WHEN contains(side, 'left') OR contains(side, 'right') THEN {G.height} ELSE {_BOTTOM} END AS h FROM needs n JOIN heads h USING (cell_id)),
 centred AS (SELECT *, CASE WHEN contains(side, 'right') THEN s + {G.width} + {(G.pad - G.edge) / 2}e0 WHEN contains(side, 'left') THEN s - {(G.pad - G.edge) / 2}e0 ELSE s + {G.width / 2}e0 END AS cx,
@@ -85,12 +87,15 @@ _KERNEL = [math.exp(-d * d / (2 * SIGMA * SIGMA)) for d in range(-RADIUS, RADIUS
 _WEIGHTS = ", ".join(f"({d}, {w / sum(_KERNEL)!r}e0)" if "e" not in repr(w / sum(_KERNEL)) else f"({d}, {w / sum(_KERNEL)!r})" for d, w in zip(range(-RADIUS, RADIUS + 1), _KERNEL))
 
 
-@query(_WINDOWS + f""",
-g(d, g) AS (VALUES {_WEIGHTS}),
+#: The convolved cells, smooth, from heads and full_rows.
+_SMOOTH = f"""g(d, g) AS (VALUES {_WEIGHTS}),
 down AS (SELECT projection, row, my + d AS my, mx, sum(value * g) AS value FROM full_rows CROSS JOIN g WHERE NOT isnan(value) GROUP BY projection, row, my + d, mx),
-both_ways AS (SELECT projection, row, my, mx + d AS mx, sum(value * g) AS value FROM down CROSS JOIN g GROUP BY projection, row, my, mx + d)
-SELECT h.cell_id, CAST(b.my - {G.pad} AS INT) AS y, CAST(b.mx - {G.pad} - k * {G.step} AS INT) AS x, round(b.value, 6) AS smooth FROM both_ways b JOIN full_rows f ON f.projection = b.projection AND f.row = b.row AND f.my = b.my AND f.mx = b.mx AND NOT isnan(f.value)
-JOIN heads h ON h.projection = b.projection AND h.row = b.row AND b.my >= {G.pad} AND b.my < {G.pad + G.height} AND b.mx >= {G.pad} + h.k * {G.step} AND b.mx < {G.pad} + h.k * {G.step} + {G.width}""")
+both_ways AS (SELECT projection, row, my, mx + d AS mx, sum(value * g) AS value FROM down CROSS JOIN g GROUP BY projection, row, my, mx + d),
+smooth AS (SELECT h.cell_id, CAST(b.my - {G.pad} AS INT) AS y, CAST(b.mx - {G.pad} - k * {G.step} AS INT) AS x, b.value AS smooth FROM both_ways b JOIN full_rows f ON f.projection = b.projection AND f.row = b.row AND f.my = b.my AND f.mx = b.mx AND NOT isnan(f.value)
+JOIN heads h ON h.projection = b.projection AND h.row = b.row AND b.my >= {G.pad} AND b.my < {G.pad + G.height} AND b.mx >= {G.pad} + h.k * {G.step} AND b.mx < {G.pad} + h.k * {G.step} + {G.width})"""
+
+
+@query(_WINDOWS + ",\n" + _SMOOTH + "SELECT cell_id, y, x, round(smooth, 6) AS smooth FROM smooth")
 def row_step_smooth(r):
     """Every cell's raster after its row's step: rims, padding, convolution, extraction."""
     rasters, jobs = _setting(r)
