@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import operator, utf8, written
+from .common import join_facts, operator, utf8, written
 
 ARCHIVE_BYTES = 4 << 20
 #: Field names of the header lines, by version.
@@ -150,10 +150,11 @@ def _convert(date: str):
 
 
 def revisits(pages: DataFrame, min_bytes: int) -> DataFrame:
-    """id, digest, size of the rows whose payload another row keeps, and that row's id. Only these small columns are shuffled."""
+    """id and sha of the rows whose payload another row keeps, and that row's id. Only these small columns are shuffled, those of very common payloads not even once."""
     d = pages.select(F.col("page_id").cast("long").alias("id"), F.sha1(_payload()).alias("sha"), F.octet_length(_payload()).alias("size")).where(F.col("size") >= min_bytes)
-    keep = d.groupBy("sha", "size").agg(F.max("id").alias("keeper"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return d.join(keep, ["sha", "size"]).where(~F.col("id").eqNullSafe(F.col("keeper"))).distinct()
+    d = written(d.select("id", "sha"), "payloads")
+    keep = written(d.groupBy("sha").agg(F.max("id").alias("keeper"), F.count("*").alias("n")).where("n > 1"), "keepers")
+    return join_facts(d, keep, "sha").drop("n").where(~F.col("id").eqNullSafe(F.col("keeper"))).distinct()
 
 
 def _payload():
