@@ -624,10 +624,26 @@ def spatial_join(r):
     return mapping.points_in_cells(r("stars").select(F.col("source_id").alias("id"), "ra", "dec"), _ring(r))
 
 
-@query()
+def _sky_of(source: str) -> str:
+    """_sip_of() with the frame's reference point, where the projection's formula has no value, on its own place."""
+    at = "px = 315e-1 AND py = 315e-1"
+    return f"SELECT pix, CASE WHEN {at} THEN 31e0 ELSE ra END AS ra, CASE WHEN {at} THEN -19e0 ELSE dec END AS dec FROM ({_sip_of(source)})"
+
+
+_ENDS = [(f"x{i}", f"y{i}") for i in range(4)]
+_SPAN = lambda c: f"unnest(generate_series(greatest(0, least(199, CAST(floor(least({c}0, {c}1, {c}2, {c}3)) AS INT))), greatest(0, least(199, CAST(ceil(greatest({c}0, {c}1, {c}2, {c}3)) AS INT)))))"
+
+
+@query(_NEAREST + f""", places AS (SELECT pix AS cell_id, ra AS crval1, dec AS crval2 FROM ({_sky_of("SELECT cell_id AS pix, cell_id * 3 % 50 + 65e-1 AS px, cell_id * 7 % 50 + 65e-1 AS py FROM cells")})),
+ends AS (SELECT pix * 4 + i AS pix, pix % 64 + dx AS px, pix // 64 + dy AS py FROM n, (VALUES (0, -5e-1, -5e-1), (1, -5e-1, 5e-1), (2, 5e-1, 5e-1), (3, 5e-1, -5e-1)) q(i, dx, dy)),
+sky AS (SELECT pix // 4 AS pix, pix % 4 AS i, ra, dec FROM ({_sky_of("SELECT pix, px, py FROM ends")})),
+on_cell AS (SELECT pix, cell_id, i, xi / -5e-3 + 995e-1 AS x, eta / 5e-3 + 995e-1 AS y FROM ({_FLAT.format(k="pix, cell_id, i", a0="crval1", d0="crval2", src="(SELECT * FROM sky JOIN n USING (pix) JOIN places USING (cell_id))")})),
+quads AS (SELECT pix, cell_id, {", ".join(f"max(CASE i WHEN {i} THEN {c} END) AS {c}{i}" for i in range(4) for c in "xy")} FROM on_cell GROUP BY 1, 2),
+spots AS (SELECT *, {_SPAN("x")} AS x FROM (SELECT *, {_SPAN("y")} AS y FROM quads))
+SELECT cell_id, CAST(y AS INT) AS y, CAST(x AS INT) AS x, max(pix) AS pix FROM spots WHERE ({" + ".join(_edge(a, b) for a, b in zip(_ENDS, _ENDS[1:] + _ENDS[:1]))}) % 2 = 1 GROUP BY 1, 2, 3""")
 def cell_mapping(r):
     """A frame's pixels to the pixels of every cell that is nearest to some of them, through the sky. Cells lie on the sky under
-    their boxes of the nearest-centre result. Held against invariants and brute force in the tests."""
+    their boxes of the nearest-centre result."""
     ra, dec = wcs.sip_pixel_to_sky(F.col("cell_id") * 3 % 50 + 6.5, F.col("cell_id") * 7 % 50 + 6.5, FRAME)
     cells = r("cells").withColumn("crval1", ra).withColumn("crval2", dec).withColumn("crpix1", F.lit(100.5)).withColumn("crpix2", F.lit(100.5)).withColumn("cdelt1", F.lit(-0.005)).withColumn("cdelt2", F.lit(0.005))
     return mapping.cell_assignment(cells, _near(r).select("cell_id", "pix"), FRAME, 1, 64, 200)
