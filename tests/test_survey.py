@@ -61,3 +61,18 @@ def test_digests_of_tables(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "k int, v string")
     assert survey.fingerprint(df) == survey.fingerprint(df.orderBy(F.desc("k")))
     assert len({survey.fingerprint(x) for x in (df, df.distinct(), df.limit(0), df.withColumn("k", F.col("k") + 1), df.withColumn("m", F.create_map("k", "v")))}) == 5
+
+
+def test_padding_of_other_projections_changes_the_cells_that_need_it(spark, inputs):
+    cells, pixels, offsets = inputs
+    s = survey_queries._setting()
+    ids = [r.cell_id for r in cells.orderBy("cell_id").limit(5).collect()]
+    # five places in a row, the first two of one projection and the others of the next
+    placed = spark.createDataFrame([(c, int(k > 1), 0, k) for k, c in enumerate(ids)], "cell_id int, projection int, row int, k int")
+    headers = cells.drop("crpix1", "crpix2", "crval1", "crval2").join(placed.select("cell_id", "row", "k", "projection").withColumnRenamed("projection", "p"), "cell_id")
+    headers = headers.withColumn("crval1", F.lit(30.0)).withColumn("crval2", F.lit(-20.0)).withColumn("crpix1", 40.5 + 0.37 * F.col("p") - 24.0 * F.col("k")).withColumn("crpix2", 40.5 - 0.21 * F.col("p") - 24.0 * F.col("row")).drop("p", "row", "k")
+    needs = spark.createDataFrame([(ids[1], "right", ids[2])], "cell_id int, side string, source int")
+    rasters = survey._combine(pixels, placed, s)["rasters"]
+    plain, padded = ({r.cell_id: r.data for r in survey._smooth(rasters, placed, n, headers, s)["rasters"].collect()} for n in (None, needs))
+    changed = {c for c in plain if any(a != b and not (a != a and b != b) for a, b in zip(plain[c], padded[c]))}
+    assert changed == {ids[1]}
