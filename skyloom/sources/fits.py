@@ -5,7 +5,7 @@ from __future__ import annotations
 import gzip
 import io
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import BinaryIO, NamedTuple
 
 import numpy as np
@@ -22,6 +22,8 @@ KINDS = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
 BLOCK = 2880
 #: Rows of an image that are read at a time, and the rows and columns of a raster row.
 CHUNK = 1024
+#: Bytes and files that one task reads at most (a larger file alone has its own), and rows and values that it hands over together.
+TASK_BYTES, TASK_FILES, BATCH_ROWS, BATCH_VALUES = 64 << 20, 256, 256, 1 << 20
 # What a celestial axis's type begins with.
 CELESTIAL = ("RA", "DEC", "GLON", "GLAT", "ELON", "ELAT")
 
@@ -247,6 +249,35 @@ def file_rows(path: str, wanted: Wanted, content: bytes | None = None) -> Iterat
         yield pa.RecordBatch.from_arrays([pa.array([own.get(k)], _KINDS[k]) for k in wanted.fields], names=list(wanted.fields))
 
 
+def packed(files: list[tuple[str, int]]) -> list[list[str]]:
+    """Files (path, bytes to read) dealt to tasks in their order, so that many small ones share one."""
+    out: list[list[str]] = []
+    most = max(1, min(TASK_FILES, -(-len(files) // 8)))  # few files still go to several tasks
+    room = 0
+    for path, size in files:
+        if not out or size > room or len(out[-1]) == most:
+            out.append([])
+            room = TASK_BYTES
+        out[-1].append(path)
+        room -= size
+    return out
+
+
+def together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches, each of bounded rows and values."""
+    held: list[pa.RecordBatch] = []
+    values = 0
+    for b in batches:
+        size = sum(len(c.flatten()) for c in b.columns if pa.types.is_list(c.type))
+        if held and (values + size > BATCH_VALUES or len(held) == BATCH_ROWS):
+            yield pa.concat_batches(held)
+            held, values = [], 0
+        held.append(b)
+        values += size
+    if held:
+        yield pa.concat_batches(held)
+
+
 class FitsReader(DataSourceReader):
     """Opens only the files that the filters leave, reads headers by blocks, and data only of the chosen HDUs and only if they are asked for."""
 
@@ -272,11 +303,12 @@ class FitsReader(DataSourceReader):
         scheme = self.path[: self.path.index("://") + 3] if "://" in self.path else ""
         info = fs.get_file_info(at)
         found = fs.get_file_info(pa.fs.FileSelector(at, recursive=True)) if info.type == pa.fs.FileType.Directory else [info]
-        names = sorted(scheme + x.path for x in found if x.type == pa.fs.FileType.File and ".fits" in x.base_name and ".part-" not in x.base_name)
-        return [InputPartition(n) for n in names if all(n.endswith(v) if how == "end" else n in v for how, v in self.files)]
+        names = sorted((scheme + x.path, x.size) for x in found if x.type == pa.fs.FileType.File and ".fits" in x.base_name and ".part-" not in x.base_name)
+        data = "data" in self.wanted.fields
+        return [InputPartition(p) for p in packed([(n, size if data else 0) for n, size in names if all(n.endswith(v) if how == "end" else n in v for how, v in self.files)])]
 
     def read(self, partition):
-        yield from file_rows(partition.value, self.wanted)
+        yield from together(b for path in partition.value for b in file_rows(path, self.wanted))
 
 
 def _numbers(column: pa.ListArray, i: int) -> np.ndarray:
@@ -356,13 +388,16 @@ def from_files(files: DataFrame, wanted: Wanted = Wanted(), keep: tuple[str, ...
     own = files.select("path", *(["content"] if whole else []), *keep)
     first = 1 + whole
 
-    def step(batches):
+    def each(batches):
         for batch in batches:
             for i, path in enumerate(batch.column(0).to_pylist()):
                 for rows in file_rows(path, wanted, batch.column(1)[i].as_py() if whole else None):
                     kept = [pa.concat_arrays([batch.column(first + k).slice(i, 1)] * len(rows)) for k in range(len(keep))]
                     yield pa.RecordBatch.from_arrays([*kept, *rows.columns], names=[*keep, *rows.schema.names])
 
+    def step(batches):
+        yield from together(each(batches))
+
     ship(files.sparkSession)
     kinds = dict(x.split(" ", 1) for x in SCHEMA.split(", "))
     kept = [f"`{k}` {own.schema[k].dataType.simpleString()}" for k in keep]

@@ -67,6 +67,23 @@ def test_rules_filters_and_broken_files(spark, tmp_path):
     assert [r.data for r in whole] == [(a + 1).ravel().tolist()] and whole[0].length == (tmp_path / "two.fits").stat().st_size
 
 
+def test_small_files_share_tasks_and_batches(spark, tmp_path):
+    fits.register(spark)
+    for i in range(40):
+        fits.write_image(str(tmp_path / f"f{i:02d}.fits"), [({"CCD": i}, np.full((2, 3), i, np.int32))])
+    df = spark.read.format("fits").load(str(tmp_path))
+    assert df.rdd.getNumPartitions() == 8
+    assert sorted((r.path[-6:-5], r.data) for r in df.collect()) == sorted((str(i % 10), [float(i)] * 6) for i in range(40))
+    files = [(f"p{i}", size) for i, size in enumerate([5 << 20] * 2000 + [90 << 20] * 3)]
+    dealt = fits.packed(files)
+    sizes = dict(files)
+    assert [f for d in dealt for f in d] == [f for f, _ in files] and all(len(d) == 1 or sum(sizes[f] for f in d) <= fits.TASK_BYTES for d in dealt)
+    assert len(dealt) == 2000 // 12 + 1 + 3 and len(fits.packed([(str(i), 0) for i in range(100_000)])) == -(-100_000 // fits.TASK_FILES)
+    one = list(fits.rows_of(io.BytesIO(fits.file_bytes([({}, np.zeros((300, 3), np.int32))])), "p", fits.Wanted(chunk=1)))
+    merged = list(fits.together(iter(one)))
+    assert len(one) == 900 and [len(b) for b in merged] == [256, 256, 256, 132] and [r for b in merged for r in b.to_pylist()] == [r for b in one for r in b.to_pylist()]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.sampled_from([np.uint8, np.int16, np.int32]), st.integers(1, 90), st.integers(1, 5), st.sampled_from(["any", "small", "spikes", "same"]), st.integers(0, 10**6))
 def test_rice_tiles_read_back(kind, n, t, how, seed):
