@@ -25,12 +25,21 @@ needs AS (SELECT DISTINCT a.cell_id, s.side, b.cell_id AS source FROM heads a CR
   JOIN heads b ON b.projection <> a.projection AND (b.row = a.row AND b.k = a.k OR b.row = a.row + s.dy AND b.k = a.k + s.dx))"""
 
 
+def _needs(heads):
+    """The rows of `needs`: its either-or as two joins, each of them with keys, so that cells don't meet all cells."""
+    a = heads.select("cell_id", "projection", "row", "k", F.explode(F.array(*(F.struct(F.lit(s).alias("side"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for s, dx, dy in SIDES))).alias("s"))
+    b = heads.select(F.col("cell_id").alias("source"), F.col("projection").alias("other"), "row", "k")
+    at = lambda row, k: a.select("cell_id", "projection", F.col("s.side").alias("side"), row.alias("row"), k.alias("k")).join(b, ["row", "k"])
+    both = at(F.col("row"), F.col("k")).unionByName(at(F.col("row") + F.col("s.dy"), F.col("k") + F.col("s.dx")))
+    return both.where("other <> projection").select("cell_id", "side", "source").distinct()
+
+
 def _setting(r):
     """The cells' headers, what each needs of the other projection, and their rasters as a bucketed table."""
     image = r("image")
     spark = image.sparkSession
     heads = spark.sql(f"WITH {_CELLS} SELECT * FROM heads", image=image)
-    needs = spark.sql(f"WITH {_CELLS} SELECT * FROM needs", image=image)
+    needs = _needs(heads)
     rasters = rows.rasters(image, ["cell_id"], G.height, G.width, {"value": float("nan")}).withColumnRenamed("value", "data")
     return row_step.store_rasters(rasters, heads, 8), row_step.padding_jobs(heads, needs, G)
 

@@ -88,3 +88,21 @@ def test_resampling_follows_the_headers():
 def test_cells_must_be_wide(spark):
     with pytest.raises(ValueError, match="wide"):
         row_step.Geometry(32, 20, 8, 2, 8).check()
+
+
+def test_what_cells_need_is_joined_by_keys(spark):
+    """The same rows as the SQL text's either-or, without a nested loop over all pairs of cells."""
+    from skyloom.plans import registry, row_steps  # noqa: F401  the registry first, which imports the others
+
+    image = spark.range(95).selectExpr("cast(id * 3 as int) AS cell_id", "0 AS y", "0 AS x", "1e0 AS value")
+    heads = spark.sql(f"WITH {row_steps._CELLS} SELECT * FROM heads", image=image)
+    want = spark.sql(f"WITH {row_steps._CELLS} SELECT * FROM needs", image=image)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        needs = row_steps._needs(heads)
+        plan = needs._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, needs.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert got and got == sorted(map(tuple, want.collect()))
