@@ -98,6 +98,17 @@ def test_spatial_join_meets_the_opposite_of_a_cell(spark):
     assert sorted((r.id, r.cell_id) for r in mapping.points_in_cells(points, cells).collect()) == [(1, 1), (1, 2), (2, 1), (2, 2), (4, 3), (5, 3)]
 
 
+def test_places_and_rings_that_stand_often(spark):
+    """Every pair of many points at one place and many cells of one ring, once, without a test a pair, in several lists."""
+    ring = "array(named_struct('ra', a, 'dec', 0e0), named_struct('ra', a, 'dec', 1e0), named_struct('ra', a + 1e0, 'dec', 1e0), named_struct('ra', a + 1e0, 'dec', 0e0))"
+    cells = spark.range(1500).selectExpr("cast(id as int) AS cell_id", "id % 3 * 5e0 AS a").selectExpr("cell_id", f"{ring} AS ring")
+    points = spark.range(40).selectExpr("id", "id % 4 * 5e0 + 0.5e0 AS ra", "0.5e0 AS dec").union(spark.sql("SELECT 99L, CAST(NULL AS DOUBLE), 0.5e0"))
+    df = mapping.same_places(points, cells)
+    got = [tuple(r) for r in df.collect()]
+    assert sorted(got) == sorted((i, c) for i in range(40) for c in range(1500) if i % 4 == c % 3)
+    assert sorted(got) == sorted(map(tuple, mapping.points_in_cells(points, cells).collect()))
+
+
 def test_nearest_centre_keeps_no_hits(spark):
     """The least cell of equal distances, by aggregates of plain numbers: hits are not sorted for them."""
     hits = spark.createDataFrame([(0, 5), (0, 3), (0, 4), (1, 3), (1, 9)], "pix long, cell_id int")
