@@ -317,7 +317,7 @@ def _numbers(column: pa.ListArray, i: int) -> np.ndarray:
 
 
 class FitsWriter(DataSourceArrowWriter):
-    """One file a row: key names it (with folders), header (optional) gives its cards, data its image, count and mask (optional) further ones. primary (optional): whether the image is the primary HDU, not the one after it.
+    """One file a row: key names it (with folders), header (optional) gives its cards, data its image, count and mask (optional) further ones. primary (optional): whether the image is the primary HDU, not the one after it. rice (optional): whether its whole numbers become tiles; without it, the option says so.
 
     A header with BITPIX 8, 16 or 32 stores whole numbers, by its BSCALE and BZERO, NaN as its BLANK; else data are 32-bit floats."""
 
@@ -340,9 +340,10 @@ class FitsWriter(DataSourceArrowWriter):
                 alone = "primary" in cols and cols["primary"][i].as_py()
                 hdus = [image] if alone else [({k: v for k, v in header.items() if k not in ("BZERO", "BSCALE", "BLANK")}, None), image]
                 hdus += [({"EXTNAME": name.upper()}, _numbers(cols[name], i).reshape(h, w).astype(np.int32)) for name in ("count", "mask") if name in cols and cols[name][i].is_valid]
+                rice = cols["rice"][i].as_py() if "rice" in cols else self.rice
                 fs, at = located(f"{self.path.rstrip('/')}/{cols['key'][i].as_py()}")
                 fs.create_dir(at.rpartition("/")[0], recursive=True)
-                write_image(f"{self.path.rstrip('/')}/{cols['key'][i].as_py()}.fits{'.fz' if self.rice else ''}", hdus, self.rice)  # a task that runs again writes the same file
+                write_image(f"{self.path.rstrip('/')}/{cols['key'][i].as_py()}.fits{'.fz' if rice else ''}", hdus, rice)  # a task that runs again writes the same file
         return WriterCommitMessage()
 
 

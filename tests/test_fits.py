@@ -84,6 +84,17 @@ def test_small_files_share_tasks_and_batches(spark, tmp_path):
     assert len(one) == 900 and [len(b) for b in merged] == [256, 256, 256, 132] and [r for b in merged for r in b.to_pylist()] == [r for b in one for r in b.to_pylist()]
 
 
+def test_one_write_of_tiles_and_plain_images(spark, tmp_path):
+    """A column says of each row whether its image becomes tiles, so that files of both kinds, in several folders, are one write."""
+    fits.register(spark)
+    rows = [("near/a", {"BITPIX": "32"}, 1, 2, [1.0, 2.0], True), ("far/b", None, 1, 2, [0.5, 2.5], False)]
+    df = spark.createDataFrame(rows, "key string, header map<string,string>, h int, w int, data array<double>, rice boolean")
+    df.write.format("fits").mode("append").save(str(tmp_path))
+    assert sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.fits*")) == ["far/b.fits", "near/a.fits.fz"]
+    got = spark.read.format("fits").option("hdu", "second").load(str(tmp_path)).collect()
+    assert sorted(r.data for r in got) == [[0.5, 2.5], [1.0, 2.0]]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.sampled_from([np.uint8, np.int16, np.int32]), st.integers(1, 90), st.integers(1, 5), st.sampled_from(["any", "small", "spikes", "same"]), st.integers(0, 10**6))
 def test_rice_tiles_read_back(kind, n, t, how, seed):
