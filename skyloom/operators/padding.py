@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,19 +57,68 @@ def clip_area(subject: list, clip: list) -> float:
     return abs(_area(_intersection(subject, clip)))
 
 
+def _polygons(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An Arrow list column of points (ra, dec) as x and y (a row a vertex, a column a polygon) and numbers of vertices."""
+    points, ends = column.flatten(), column.offsets.to_numpy() - column.offsets[0].as_py()
+    k = np.diff(ends)
+    at = np.arange(len(points)) - np.repeat(ends[:-1], k), np.repeat(np.arange(len(k)), k)
+    out = np.zeros((2, max(1, k.max(initial=0)), len(k)))
+    for axis, name in zip(out, ("ra", "dec")):
+        axis[at] = points.field(name).to_numpy(zero_copy_only=False)
+    return out[0], out[1], k
+
+
+def _areas(x: np.ndarray, y: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """_area() of many polygons, bit by bit: Python's sum of floats keeps what rounding lost, and so does this."""
+    rows = np.arange(len(k))
+    total, lost = np.zeros(len(k)), np.zeros(len(k))
+    for j in range(len(x)):
+        px, py = (x[k - 1, rows], y[k - 1, rows]) if j == 0 else (x[j - 1], y[j - 1])
+        term = np.where(j < k, px * y[j] - x[j] * py, 0.0)
+        more = total + term
+        lost += np.where(np.abs(total) >= np.abs(term), (total - more) + term, (term - more) + total)
+        total = more
+    return (total + lost) / 2
+
+
+def _intersections(x, y, k, cx, cy, ck) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """_intersection() of many polygons with many convex ones, bit by bit."""
+    rows = np.arange(len(k))
+    turned = _areas(cx, cy, ck) < 0
+    for i in range(len(cx)):
+        live = i < ck
+        at = lambda i: np.clip(np.where(turned, ck - 1 - i, i), 0, None)
+        a, b = at(ck - 1 if i == 0 else i - 1), at(i)
+        ax, ay = cx[a, rows], cy[a, rows]
+        side = (cx[b, rows] - ax) * (y - ay) - (cy[b, rows] - ay) * (x - ax)
+        inside = (side >= 0) | ~live
+        ox, oy, ok = np.zeros((2 * len(x), len(k))), np.zeros((2 * len(x), len(k))), np.zeros(len(k), np.int64)
+        for j in range(len(x)):
+            p = np.full(len(k), j - 1) if j else k - 1
+            crossed = np.flatnonzero((j < k) & (inside[p, rows] != inside[j]))
+            q = p[crossed]
+            t = side[q, crossed] / (side[q, crossed] - side[j, crossed])
+            ox[ok[crossed], crossed] = x[q, crossed] + t * (x[j, crossed] - x[q, crossed])
+            oy[ok[crossed], crossed] = y[q, crossed] + t * (y[j, crossed] - y[q, crossed])
+            ok[crossed] += 1
+            kept = np.flatnonzero((j < k) & inside[j])
+            ox[ok[kept], kept], oy[ok[kept], kept] = x[j, kept], y[j, kept]
+            ok[kept] += 1
+        most = max(1, ok.max(initial=0))
+        x, y, k = ox[:most], oy[:most], ok
+    return x, y, k
+
+
+def _percent(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    return np.where(whole != 0, 100 * part / np.where(whole != 0, whole, 1.0), 0.0)
+
+
 def _coverage(batches):
     """Adds coverage (percent of region that quad covers) to rows of (region, quad)."""
-    import pyarrow as pa
-
     for batch in batches:
-        names = batch.schema.names
-        cols = {n: batch.column(i) for i, n in enumerate(names)}
-        values = []
-        for region, quad in zip(cols["region"].to_pylist(), cols["quad"].to_pylist()):
-            r, q = [(p["ra"], p["dec"]) for p in region], [(p["ra"], p["dec"]) for p in quad]
-            whole = clip_area(r, r)
-            values.append(100 * clip_area(r, q) / whole if whole else 0.0)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], names=[*names, "coverage"])
+        r, q = (_polygons(batch.column(batch.schema.get_field_index(c))) for c in ("region", "quad"))
+        values = _percent(np.abs(_areas(*_intersections(*r, *q))), np.abs(_areas(*_intersections(*r, *r))))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], names=[*batch.schema.names, "coverage"])
 
 
 def _with_type(df: DataFrame, more: str) -> str:
@@ -99,20 +151,6 @@ def candidates(regions: DataFrame, cells: DataFrame, radius: float = SEARCH_RADI
     return near.mapInArrow(_coverage, _with_type(near, "coverage double")).where("coverage > 0")
 
 
-def _pair_coverage(batches):
-    import pyarrow as pa
-
-    for batch in batches:
-        rows = batch.to_pylist()
-        values = []
-        for row in rows:
-            r, a, b = ([(p["ra"], p["dec"]) for p in row[c]] for c in ("region", "quad", "quad2"))
-            whole = clip_area(r, r)
-            both = _intersection(_intersection(r, a), b)
-            values.append(100 * (clip_area(r, a) + clip_area(r, b) - (abs(_area(both)))) / whole if whole else 0.0)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], names=[*batch.schema.names, "union_coverage"])
-
-
 def _area(p: list) -> float:
     return sum(p[i - 1][0] * p[i][1] - p[i][0] * p[i - 1][1] for i in range(len(p))) / 2
 
@@ -135,21 +173,84 @@ def _intersection(subject: list, clip: list) -> list:
     return out
 
 
+def _pairs(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of different places of each run, the lower first."""
+    after = np.concatenate([np.zeros(0, np.int64), *(np.arange(n - 1, -1, -1) for n in sizes.tolist())])
+    first = np.repeat(np.concatenate([np.zeros(0, np.int64), *(np.arange(a, a + n) for a, n in zip(starts.tolist(), sizes.tolist()))]), after)
+    ends = np.cumsum(after)
+    return first, first + 1 + np.arange(len(first)) - np.repeat(ends - after, after)
+
+
+def _best_pairs(region, quad, starts, sizes, distance, other) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Regions by number whose full union two of their candidates have, with the pair of least mean distance, then lowest places. other: a number for each candidate, the same where they have one name.
+
+    A union is never more than the sum of both, so only pairs whose sum is enough are clipped, in the order asked for and no further than the first that is enough."""
+    of = np.repeat(np.arange(len(starts)), sizes)
+    at = np.concatenate([np.zeros(0, np.int64), *(np.arange(a, a + n) for a, n in zip(starts.tolist(), sizes.tolist()))])
+    own = tuple(a[..., of] for a in region)
+    cut = _intersections(*own, *(a[..., at] for a in quad))
+    part, whole = np.abs(_areas(*cut)), np.abs(_areas(*_intersections(*region, *region)))
+    i, j = _pairs(np.cumsum(sizes) - sizes, sizes)
+    enough = (_percent(part[i] + part[j], whole[of[i]]) >= FULL_COVERAGE) & (other[at[i]] != other[at[j]])
+    i, j = i[enough], j[enough]
+    order = np.lexsort((j, i, (distance[at[i]] + distance[at[j]]) / 2, of[i]))
+    i, j = i[order], j[order]
+    group = of[i]
+    rank = np.arange(len(i)) - np.searchsorted(group, group)
+    best, low, high = np.full(len(starts), -1), 0, 4
+    while True:
+        left = np.flatnonzero((rank >= low) & (best[group] < 0))
+        if not len(left):
+            break
+        left = left[rank[left] < high]
+        for a in range(0, len(left), CLIPPED):
+            n = left[a : a + CLIPPED]
+            both = np.abs(_areas(*_intersections(*(v[..., i[n]] for v in cut), *(v[..., at[j[n]]] for v in quad))))
+            full = n[_percent(part[i[n]] + part[j[n]] - both, whole[group[n]]) >= FULL_COVERAGE]
+            full = full[best[group[full]] < 0]
+            hit, first = np.unique(group[full], return_index=True)
+            best[hit] = full[first]
+        low, high = high, high * 4
+    done = np.flatnonzero(best >= 0)
+    return done, at[i[best[done]]], at[j[best[done]]]
+
+
+#: Pairs that are clipped together, and those that are held together.
+CLIPPED, HELD = 1 << 14, 1 << 20
+BEST = "name string, side string, status string, pad_cell string, coverage double"
+
+
+def _best(batches):
+    """Of rows (name, side, region, found: a list of (cell, distance, coverage, quad) by cell), the choice of each."""
+    for batch in batches:
+        region, found = _polygons(batch.column(2)), batch.column(3)
+        each, starts = found.flatten(), found.offsets.to_numpy() - found.offsets[0].as_py()
+        starts, sizes = starts[:-1].astype(np.int64), np.diff(starts).astype(np.int64)
+        cell, distance, coverage = each.field("cell"), each.field("distance").to_numpy(), each.field("coverage").to_numpy()
+        quad, of = _polygons(each.field("quad")), np.repeat(np.arange(len(sizes)), sizes)
+        single = np.lexsort((np.arange(len(of)), distance, -coverage, of))[starts]
+        best = coverage[single]
+        pad, status = cell.take(pa.array(single)), np.where(best >= FULL_COVERAGE, "full_coverage", "partial_coverage").astype(object)
+        open_ = np.flatnonzero(best < FULL_COVERAGE)
+        other = cell.dictionary_encode().indices.to_numpy()
+        groups = np.cumsum(sizes[open_] ** 2) // (2 * HELD)
+        first, second = np.full(len(sizes), -1), np.full(len(sizes), -1)
+        for g in np.unique(groups):
+            own = open_[groups == g]
+            done, i, j = _best_pairs(tuple(v[..., own] for v in region), quad, starts[own], sizes[own], distance, other)
+            first[own[done]], second[own[done]] = i, j
+        pairs = np.flatnonzero(first >= 0)
+        status[pairs] = "combined_coverage"
+        both = pc.binary_join_element_wise(cell.take(pa.array(first[pairs])), cell.take(pa.array(second[pairs])), "/")
+        pad = pc.replace_with_mask(pad, pa.array(first >= 0), both)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(status, pa.string()), pad, pa.array(best)], names=["name", "side", "status", "pad_cell", "coverage"])
+
+
 def best_padding(found: DataFrame) -> DataFrame:
     """name, side, status and padding cell: one full cover, else the pair with full union and least mean distance, else the best single one."""
-    order = F.struct((-F.col("coverage")).alias("c"), "distance", "cell")
-    single = found.groupBy("name", "side").agg(F.min(F.struct(order.alias("o"), "coverage")).alias("m")).select("name", "side", F.col("m.o.cell").alias("cell"), F.col("m.coverage").alias("coverage"))
-    open_regions = single.where(F.col("coverage") < FULL_COVERAGE).select("name", "side")
-    left = found.join(open_regions, ["name", "side"], "left_semi")
-    right = left.select("name", "side", F.col("cell").alias("cell2"), F.col("quad").alias("quad2"), F.col("distance").alias("distance2"))
-    pairs = left.join(right, ["name", "side"]).where(F.col("cell") < F.col("cell2"))
-    ship(pairs.sparkSession)
-    pairs = pairs.mapInArrow(_pair_coverage, _with_type(pairs, "union_coverage double")).where(F.col("union_coverage") >= FULL_COVERAGE)
-    best = pairs.groupBy("name", "side").agg(F.min(F.struct(((F.col("distance") + F.col("distance2")) / 2).alias("d"), "cell", "cell2")).alias("m"))
-    best = best.select("name", "side", F.concat_ws("/", "m.cell", "m.cell2").alias("both"))
-    out = single.join(best, ["name", "side"], "left")
-    status = F.when(F.col("coverage") >= FULL_COVERAGE, "full_coverage").when(F.col("both").isNotNull(), "combined_coverage").otherwise("partial_coverage")
-    return out.select("name", "side", status.alias("status"), F.when(F.col("coverage") >= FULL_COVERAGE, F.col("cell")).otherwise(F.coalesce("both", "cell")).alias("pad_cell"), "coverage")
+    lists = F.sort_array(F.collect_list(F.struct("cell", "distance", "coverage", "quad"))).alias("found")
+    ship(found.sparkSession)
+    return found.groupBy("name", "side").agg(F.first("region").alias("region"), lists).mapInArrow(_best, BEST)
 
 
 def row_positions(cells: DataFrame) -> DataFrame:

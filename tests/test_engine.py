@@ -151,6 +151,37 @@ def test_best_padding(spark):
     assert got == {"t": ("full_coverage", "full"), "u": ("combined_coverage", "left/right"), "v": ("partial_coverage", "part")}
 
 
+def test_pairs_of_candidates_are_clipped_no_further_than_needed(monkeypatch):
+    """The choice of a search through all pairs, with one polygon at a time, from a few of them."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    box = lambda a, d, w, h: [(a + x, d + y) for x, y in ((0.0, 0.0), (0.0, h), (w, h), (w, 0.0))]
+    records, want = [], []
+    for n in range(6):
+        region = box(10.0 + n, 50.0, 0.1, 0.1)
+        quads = [box(10.0 + n + float(a), 49.9, float(w), 0.3) for a, w in zip(rng.uniform(-0.1, 0.08, 60), rng.uniform(0.05, 0.14, 60))]
+        if n == 5:
+            quads = [q for q in quads if q[2][0] < 15.09]  # nothing covers the right side
+        whole, area = padding.clip_area(region, region), [padding.clip_area(region, q) for q in quads]
+        own = [(f"c{i:02d}", float(rng.random()), 100 * a / whole, q, a) for i, (q, a) in enumerate(zip(quads, area)) if 0 < 100 * a / whole < padding.FULL_COVERAGE]
+        both = [
+            ((a[1] + b[1]) / 2, a[0], b[0]) for i, a in enumerate(own) for b in own[i + 1 :]
+            if 100 * (a[4] + b[4] - abs(padding._area(padding._intersection(padding._intersection(region, a[3]), b[3])))) / whole >= padding.FULL_COVERAGE
+        ]
+        points = lambda q: [{"ra": x, "dec": y} for x, y in q]
+        records.append({"name": f"r{n}", "side": "top", "region": points(region), "found": [{"cell": c, "distance": d, "coverage": v, "quad": points(q)} for c, d, v, q, _ in own]})
+        least = min((-v, d, c) for c, d, v, _, _ in own)
+        want.append(("combined_coverage", "/".join(min(both)[1:]), -least[0]) if both else ("partial_coverage", least[2], -least[0]))
+    assert {w[0] for w in want} == {"combined_coverage", "partial_coverage"}
+    clipped, real = [], padding._intersections
+    monkeypatch.setattr(padding, "_intersections", lambda *a: clipped.append(len(a[2])) or real(*a))
+    got = [r for b in padding._best(iter(pa.Table.from_pylist(records).to_batches())) for r in b.to_pylist()]
+    assert [(r["status"], r["pad_cell"], r["coverage"]) for r in got] == want
+    n = [len(r["found"]) for r in records]
+    assert sum(clipped) < sum(k * (k - 1) // 2 for k in n) / 4
+
+
 def test_convolution_of_tiles_is_the_stencil(spark):
     r = np.random.default_rng(0)
     a = r.random((12, 12))
