@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import io
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
 from typing import BinaryIO, NamedTuple
 
@@ -20,6 +21,8 @@ from . import tiled
 # Numbers of the BITPIX card and what they stand for.
 KINDS = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
 BLOCK = 2880
+# Fixed value: bytes that a record of ten blocks has, to which a file may be filled up.
+FILL = 10 * BLOCK
 #: Rows of an image that are read at a time, and the rows and columns of a raster row.
 CHUNK = 1024
 #: Bytes and files that one task reads at most (a larger file alone has its own), and rows and values that it hands over together.
@@ -133,17 +136,29 @@ class Hdu(NamedTuple):
         return bool(self.shape) and "CRVAL1" in c and "CRVAL2" in c and all(c.get(f"CTYPE{i}", CELESTIAL[i - 1]).startswith(CELESTIAL) for i in (1, 2))
 
 
+def piece(f: BinaryIO, at: int, size: int) -> bytes:
+    """Bytes from a place on, fewer where the file ends; not every store seeks beyond its end."""
+    if isinstance(f, pa.NativeFile) and at >= f.size():
+        return b""
+    f.seek(at)
+    return f.read(size)
+
+
 def headers(f: BinaryIO) -> Iterator[Hdu]:
-    """The HDUs of a file; their data are skipped, not read."""
+    """The HDUs of a file; their data are skipped, not read. A file that ends within an HDU, or has no header where one should begin, is an error, since HDUs that it lost would look like none. Up to nine blank blocks may follow the last HDU."""
     at = number = 0
     while True:
         cards: dict[str, str] = {}
-        done = False
+        done, begin = False, at
         while not done:
-            f.seek(at)
-            block = f.read(BLOCK)
+            block = piece(f, at, BLOCK)
+            if at == begin and not block.startswith(b"XTENSION=" if number else b"SIMPLE  ="):
+                rest = block if len(block) < BLOCK else block + piece(f, at + BLOCK, FILL - BLOCK)
+                if number and len(rest) < FILL and not rest.strip(b"\0 "):
+                    return
+                raise ValueError(f"no header at byte {at}, where HDU {number} should begin")
             if len(block) < BLOCK:
-                return
+                raise EOFError(f"the file ends in the header of HDU {number}")
             at += BLOCK
             text = block.decode("ascii", "replace")
             for i in range(0, BLOCK, 80):
@@ -154,7 +169,10 @@ def headers(f: BinaryIO) -> Iterator[Hdu]:
                 if found := parse_card(line):
                     cards[found[0]] = found[1]
         axes = [int(cards[f"NAXIS{i + 1}"]) for i in range(int(cards.get("NAXIS", 0)))]
-        size = abs(int(cards.get("BITPIX", 8))) // 8 * int(cards.get("GCOUNT", 1)) * (int(cards.get("PCOUNT", 0)) + int(np.prod(axes))) if axes else 0
+        counted = axes[1:] if axes[:1] == [0] and cards.get("GROUPS") == "T" else axes
+        size = abs(int(cards.get("BITPIX", 8))) // 8 * int(cards.get("GCOUNT", 1)) * (int(cards.get("PCOUNT", 0)) + int(np.prod(counted))) if axes else 0
+        if size and not piece(f, at + size - 1, 1):
+            raise EOFError(f"the file ends in the data of HDU {number}")
         yield Hdu(number, cards, at, size)
         at += -(-size // BLOCK) * BLOCK
         number += 1
@@ -165,8 +183,7 @@ def read_rows(f: BinaryIO, hdu: Hdu, y0: int, y1: int) -> np.ndarray:
     width, cards = hdu.shape[-1], hdu.cards
 
     def read(at: int, size: int) -> bytes:
-        f.seek(hdu.at + at)
-        return f.read(size)
+        return piece(f, hdu.at + at, size)
 
     if hdu.tiled:
         raw = tiled.read_rows(cards, y0, y1, read)
@@ -195,7 +212,7 @@ _KINDS = {"path": pa.string(), "hdu": pa.int32(), "extname": pa.string(), "heade
 
 
 class Wanted(NamedTuple):
-    """fields: which of SCHEMA's; rule: see chosen(); tolerant: a file that can't be read is a row with an error; only: values that hdu or extname must have."""
+    """fields: which of SCHEMA's; rule: see chosen(); tolerant: a file that is no FITS file, or not a whole one, is a row with an error; only: values that hdu or extname must have."""
 
     fields: tuple[str, ...] = tuple(_KINDS)
     rule: str = "all"
@@ -234,19 +251,28 @@ def rows_of(f: BinaryIO, path: str, wanted: Wanted) -> Iterator[pa.RecordBatch]:
 
 
 def file_rows(path: str, wanted: Wanted, content: bytes | None = None) -> Iterator[pa.RecordBatch]:
-    """rows_of() of a file, or of its content."""
-    try:
-        if content is not None:
-            yield from rows_of(io.BytesIO(content), path, wanted)
+    """rows_of() of a file, or of its content. What the store can't give is always an error, since a further try may have it. A file whose content can't be read is one too, or, if wanted, one row that says so and no others: for that it is read twice, not kept."""
+
+    def read() -> Iterator[pa.RecordBatch]:
+        try:
+            if content is not None:
+                yield from rows_of(io.BytesIO(content), path, wanted)
+                return
+            fs, at = located(path)
+            with fs.open_input_file(at) as f:
+                yield from rows_of(f, path, wanted)
+        except (gzip.BadGzipFile, zlib.error, EOFError, ValueError, KeyError, IndexError) as e:
+            raise ValueError(f"{path} can't be read: {type(e).__name__}: {e}") from e
+
+    if wanted.tolerant and "error" in wanted.fields and not wanted.only:  # with `only`, nobody knows whether the file has what is asked for
+        try:
+            for _ in read():
+                pass
+        except ValueError as e:
+            own = {"path": path, "error": str(e)}
+            yield pa.RecordBatch.from_arrays([pa.array([own.get(k)], _KINDS[k]) for k in wanted.fields], names=list(wanted.fields))
             return
-        fs, at = located(path)
-        with fs.open_input_file(at) as f:
-            yield from rows_of(f, path, wanted)
-    except (OSError, EOFError, ValueError, KeyError, IndexError) as e:
-        if not wanted.tolerant:
-            raise
-        own = {"path": path, "error": f"{type(e).__name__}: {e}"}
-        yield pa.RecordBatch.from_arrays([pa.array([own.get(k)], _KINDS[k]) for k in wanted.fields], names=list(wanted.fields))
+    yield from read()
 
 
 def packed(files: list[tuple[str, int]]) -> list[list[str]]:
@@ -302,13 +328,16 @@ class FitsReader(DataSourceReader):
         fs, at = located(self.path)
         scheme = self.path[: self.path.index("://") + 3] if "://" in self.path else ""
         info = fs.get_file_info(at)
+        if info.type == pa.fs.FileType.NotFound:
+            raise FileNotFoundError(self.path)
         found = fs.get_file_info(pa.fs.FileSelector(at, recursive=True)) if info.type == pa.fs.FileType.Directory else [info]
         names = sorted((scheme + x.path, x.size) for x in found if x.type == pa.fs.FileType.File and ".fits" in x.base_name and ".part-" not in x.base_name)
         data = "data" in self.wanted.fields
         return [InputPartition(p) for p in packed([(n, size if data else 0) for n, size in names if all(n.endswith(v) if how == "end" else n in v for how, v in self.files)])]
 
     def read(self, partition):
-        yield from together(b for path in partition.value for b in file_rows(path, self.wanted))
+        paths = [] if partition is None else partition.value  # Spark makes one of no partitions
+        yield from together(b for path in paths for b in file_rows(path, self.wanted))
 
 
 def _numbers(column: pa.ListArray, i: int) -> np.ndarray:
@@ -346,6 +375,11 @@ class FitsWriter(DataSourceArrowWriter):
                 write_image(f"{self.path.rstrip('/')}/{cols['key'][i].as_py()}.fits{'.fz' if rice else ''}", hdus, rice)  # a task that runs again writes the same file
         return WriterCommitMessage()
 
+    def commit(self, messages) -> None:
+        """Without rows too there is a folder: one that is not there is an error to the reader."""
+        fs, at = located(self.path)
+        fs.create_dir(at, recursive=True)
+
 
 def _value(text: str):
     """A card's value as a number if it looks like one."""
@@ -358,7 +392,7 @@ def _value(text: str):
 
 
 class FitsSource(DataSource):
-    """After register(spark): spark.read.format("fits").load(path) gives SCHEMA, a row a chunk; a schema with fewer of its fields reads no more than these need. Options: hdu (all, image, second or a number: see chosen()), chunk (rows and columns of a row's raster), errors=row (a file that can't be read is a row).
+    """After register(spark): spark.read.format("fits").load(path) gives SCHEMA, a row a chunk; a schema with fewer of its fields reads no more than these need. Options: hdu (all, image, second or a number: see chosen()), chunk (rows and columns of a row's raster), errors=row (a file that is no whole FITS file is a row whose field error, which must be asked for, says why; it has no hdu, so it stays an error if rows are filtered by hdu or extname).
 
     df.write.format("fits").mode("append").save(path) writes a file a row; option compress=rice for tiles. Files are on a file system that pyarrow opens and all executors see; for others, from_contents()."""
 
@@ -370,7 +404,10 @@ class FitsSource(DataSource):
         return SCHEMA
 
     def reader(self, schema):
-        return FitsReader(self.options["path"], Wanted(tuple(f.name for f in schema.fields), self.options.get("hdu", "all"), int(self.options.get("chunk", CHUNK)), self.options.get("errors") == "row"))
+        fields, tolerant = tuple(f.name for f in schema.fields), self.options.get("errors") == "row"
+        if tolerant and "error" not in fields:
+            raise ValueError("errors=row needs the field error: without it a file that can't be read looks like any other")
+        return FitsReader(self.options["path"], Wanted(fields, self.options.get("hdu", "all"), int(self.options.get("chunk", CHUNK)), tolerant))
 
     def writer(self, schema, overwrite):
         return FitsWriter(self.options["path"], self.options.get("compress") == "rice")

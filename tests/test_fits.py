@@ -2,6 +2,7 @@
 
 import gzip
 import io
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -67,6 +68,64 @@ def test_rules_filters_and_broken_files(spark, tmp_path):
     assert [r.data for r in whole] == [(a + 1).ravel().tolist()] and whole[0].length == (tmp_path / "two.fits").stat().st_size
 
 
+def _headers(content, **o):
+    return [(b.column(0)[0].as_py(), b.column(1)[0].as_py()) for b in fits.file_rows("p.fits", fits.Wanted(("hdu", "error"), **o), content)]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_a_file_that_lost_a_part_is_no_file_with_less(packed):
+    a = np.arange(6, dtype=np.int32).reshape(2, 3)
+    whole = fits.file_bytes([({}, None), (SKY, a), ({"EXTNAME": "X"}, a)])
+    own = gzip.compress if packed else bytes
+    assert [h for h, _ in _headers(own(whole))] == [0, 1, 2] == [h for h, _ in _headers(own(whole + bytes(9 * fits.BLOCK)))]
+    assert len(_headers(own(whole[: 4 * fits.BLOCK + 24]))) == 3  # the last block need not be filled up
+    cut = [b"", b"none of it", b"\0" * len(whole), whole[: fits.BLOCK + 80], whole[: 2 * fits.BLOCK + 23], whole[: 4 * fits.BLOCK]]
+    cut += [whole[: 3 * fits.BLOCK] + bytes(2 * fits.BLOCK) + whole, whole + bytes(10 * fits.BLOCK), whole.replace(b"END".ljust(80), b" " * 80)]
+    for content in cut:
+        with pytest.raises(ValueError, match="p.fits can't be read"):
+            _headers(own(content))
+        (row,) = _headers(own(content), tolerant=True)
+        assert row[0] is None and row[1]
+        with pytest.raises(ValueError, match="p.fits can't be read"):
+            _headers(own(content), tolerant=True, only=(("hdu", frozenset([0])),))
+    if packed:
+        with pytest.raises(ValueError, match="p.fits can't be read"):
+            _headers(own(whole)[:-20])
+    torn = fits.file_bytes([({}, a), (SKY, a)], rice=True)
+    torn = torn.replace(b"'RICE_1  '", b"'NONE    '")
+    got = [b.to_pylist()[0] for b in fits.file_rows("p.fits", fits.Wanted(("hdu", "data", "error"), tolerant=True), own(torn))]
+    assert [(r["hdu"], r["data"], bool(r["error"])) for r in got] == [(None, None, True)]  # not its first image as well
+
+
+def test_failures_of_the_store_are_no_rows(spark, tmp_path):
+    fits.register(spark)
+    with pytest.raises(OSError):
+        list(fits.file_rows(str(tmp_path / "gone.fits"), fits.Wanted(tolerant=True)))
+    with pytest.raises(Exception, match="gone"):
+        spark.read.format("fits").load(str(tmp_path / "gone")).collect()
+    with pytest.raises(Exception, match="needs the field error"):
+        spark.read.format("fits").schema("path string, hdu int").option("errors", "row").load(str(tmp_path)).collect()
+    none = spark.createDataFrame([], "key string, h int, w int, data array<double>")
+    none.write.format("fits").mode("append").save(str(tmp_path / "none"))
+    assert spark.read.format("fits").load(str(tmp_path / "none")).count() == 0
+
+
+def test_headers_of_a_broken_frame_are_not_left_out(spark, monkeypatch):
+    from skyloom.plans import registry, stores
+
+    whole = stores._frame_files
+
+    def broken(r):
+        path = whole(r)
+        one = next(Path(path.removeprefix("file://")).rglob("*_ffic.fits"))
+        one.write_bytes(one.read_bytes()[:3000])
+        return path
+
+    monkeypatch.setattr(stores, "_frame_files", broken)
+    with pytest.raises(Exception, match="can't be read"):
+        registry.queries()["frame_headers"](spark, "/root/testdata/sf0.001").collect()
+
+
 def test_small_files_share_tasks_and_batches(spark, tmp_path):
     fits.register(spark)
     for i in range(40):
