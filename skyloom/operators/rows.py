@@ -11,6 +11,9 @@ from ..constants import CELL_OVERLAP, EDGE_EXCLUSION, PAD_SIZE, PSF_RADIUS, PSF_
 from ..functions import wcs
 from ..shipping import ship
 
+#: Values of rasters that are filled together.
+MANY_VALUES = 1 << 20
+
 
 def lists(column) -> list[np.ndarray]:
     """An Arrow list column's values as views on its buffer, without Python numbers; NaN for nulls in a list of floats."""
@@ -209,6 +212,36 @@ def rasters(pixels: DataFrame, keys: list[str], height: int, width: int, fill: d
     return own.groupBy(*keys).applyInArrow(scatter, f"{kinds}, h int, w int, " + ", ".join(f"{n} array<double>" for n in fill))
 
 
+def rasters_at_once(pixels: DataFrame, keys: list[str], facts: list[str], height: int, width: int, fill: dict[str, float]) -> DataFrame:
+    """rasters() of many keys with small rasters: Spark lists the pixels of each, and Python fills many rasters at a time. A key has the greatest of each of its facts; a row without y brings facts alone, so that they need no join."""
+    size = height * width
+    at_once = max(1, MANY_VALUES // (size * len(fill)))
+    pixel = F.struct((F.col("y").cast("int") * width + F.col("x").cast("int")).alias("at"), *(F.col(n).cast("double").alias(n) for n in fill))
+    own = pixels.groupBy(*keys).agg(*(F.max(f).alias(f) for f in facts), F.collect_list(F.when(F.col("y").isNotNull(), pixel)).alias("pixels"))
+    kept = [*keys, *facts]
+
+    def step(batches):
+        for batch in batches:
+            for a in range(0, len(batch), at_once):
+                part = batch.slice(a, at_once)
+                lists = part.column(len(kept))
+                at, *values = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+                if len(at) and not 0 <= at.min() <= at.max() < size:
+                    raise ValueError(f"a pixel outside of {height} x {width}")
+                place = np.repeat(np.arange(len(part)) * np.int64(size), lists.value_lengths().to_numpy(zero_copy_only=False)) + at
+                cols = {k: part.column(i) for i, k in enumerate(kept)} | {"h": pa.array([height] * len(part), pa.int32()), "w": pa.array([width] * len(part), pa.int32())}
+                ends = pa.array(np.arange(len(part) + 1) * size, pa.int32())
+                for (name, empty), own_values in zip(fill.items(), values, strict=True):
+                    out = np.full(len(part) * size, empty, np.float64)
+                    out[place] = own_values
+                    cols[name] = pa.ListArray.from_arrays(ends, pa.array(out))
+                yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+    ship(pixels.sparkSession)
+    kinds = ", ".join(f"`{k}` {own.schema[k].dataType.simpleString()}" for k in kept)
+    return own.mapInArrow(step, f"{kinds}, h int, w int, " + ", ".join(f"{n} array<double>" for n in fill))
+
+
 def edge_to_nan(value, y, x, height: int, width: int, edge: int = EDGE_EXCLUSION):
     return F.when((y < edge) | (y >= height - edge) | (x < edge) | (x >= width - edge), float("nan")).otherwise(value)
 

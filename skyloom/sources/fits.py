@@ -27,6 +27,10 @@ FILL = 10 * BLOCK
 CHUNK = 1024
 #: Bytes and files that one task reads at most (a larger file alone has its own), and rows and values that it hands over together.
 TASK_BYTES, TASK_FILES, BATCH_ROWS, BATCH_VALUES = 64 << 20, 256, 256, 1 << 20
+#: Small files that are made or read together.
+BATCH_FILES = 64
+#: What a file that is no FITS file, or not a whole one, leads to.
+ERRORS = (gzip.BadGzipFile, zlib.error, EOFError, ValueError, KeyError, IndexError)
 # What a celestial axis's type begins with.
 CELESTIAL = ("RA", "DEC", "GLON", "GLAT", "ELON", "ELAT")
 
@@ -64,29 +68,42 @@ def header_bytes(cards: dict) -> bytes:
 
 def file_bytes(hdus: list[tuple[dict, np.ndarray | None]], rice: bool = False) -> bytes:
     """hdus: extra cards and data; the first is the primary one. Unsigned 16- and 32-bit data get the usual offset. rice: images of whole numbers (of at most 32 bits, after the primary HDU) become tables of Rice-coded tiles."""
-    parts = []
-    for i, (extra, data) in enumerate(hdus):
-        cards: dict = {"SIMPLE": True} if i == 0 else {"XTENSION": "IMAGE"}
-        body = b""
-        if data is None:
-            cards |= {"BITPIX": 8, "NAXIS": 0}
-        else:
-            if data.dtype in (np.uint16, np.uint32):
-                zero = 1 << (8 * data.dtype.itemsize - 1)
-                extra = extra | {"BZERO": zero, "BSCALE": 1}
-                data = (data.astype(np.int64) - zero).astype(f"i{data.dtype.itemsize}")
-            if rice and i and data.ndim == 2 and data.size and data.dtype.kind in "iu" and data.dtype.itemsize <= 4:
-                table, body = tiled.compressed(data)
-                cards = {"XTENSION": "BINTABLE"} | table
-                parts.append(header_bytes(cards | extra) + body.ljust(-(-len(body) // BLOCK) * BLOCK, b"\0"))
-                continue
-            bits = next(k for k, v in KINDS.items() if np.dtype(v).newbyteorder("=") == data.dtype.newbyteorder("="))
-            cards |= {"BITPIX": bits, "NAXIS": data.ndim} | {f"NAXIS{k + 1}": n for k, n in enumerate(data.shape[::-1])}
-            body = data.astype(KINDS[bits]).tobytes()
-        if i:
-            cards |= {"PCOUNT": 0, "GCOUNT": 1}
-        parts.append(header_bytes(cards | extra) + body.ljust(-(-len(body) // BLOCK) * BLOCK, b"\0"))
-    return b"".join(parts)
+    return files_bytes([(hdus, rice)])[0]
+
+
+def files_bytes(files: list[tuple[list[tuple[dict, np.ndarray | None]], bool]]) -> list[bytes]:
+    """file_bytes() of each of files; images of one shape and kind are coded together."""
+    own = [[_offset(*hdu) for hdu in hdus] for hdus, _ in files]
+    alike: dict[tuple, list[tuple[int, int]]] = {}
+    for k, (_, rice) in enumerate(files):
+        for i, (_, data) in enumerate(own[k]):
+            if rice and i and data is not None and data.ndim == 2 and data.size and data.dtype.kind in "iu" and data.dtype.itemsize <= 4:
+                alike.setdefault((data.shape, data.dtype), []).append((k, i))
+    tables = {at: table for places in alike.values() for at, table in zip(places, tiled.compressed_alike([own[k][i][1] for k, i in places]))}
+    return [b"".join(_hdu_bytes(i, extra, data, tables.get((k, i))) for i, (extra, data) in enumerate(hdus)) for k, hdus in enumerate(own)]
+
+
+def _offset(extra: dict, data: np.ndarray | None) -> tuple[dict, np.ndarray | None]:
+    if data is None or data.dtype not in (np.uint16, np.uint32):
+        return extra, data
+    zero = 1 << (8 * data.dtype.itemsize - 1)
+    return extra | {"BZERO": zero, "BSCALE": 1}, (data.astype(np.int64) - zero).astype(f"i{data.dtype.itemsize}")
+
+
+def _hdu_bytes(i: int, extra: dict, data: np.ndarray | None, table: tuple[dict, bytes] | None) -> bytes:
+    cards: dict = {"SIMPLE": True} if i == 0 else {"XTENSION": "IMAGE"}
+    body = b""
+    if table is not None:
+        cards, body = {"XTENSION": "BINTABLE"} | table[0], table[1]
+    elif data is None:
+        cards |= {"BITPIX": 8, "NAXIS": 0}
+    else:
+        bits = next(k for k, v in KINDS.items() if np.dtype(v).newbyteorder("=") == data.dtype.newbyteorder("="))
+        cards |= {"BITPIX": bits, "NAXIS": data.ndim} | {f"NAXIS{k + 1}": n for k, n in enumerate(data.shape[::-1])}
+        body = data.astype(KINDS[bits]).tobytes()
+    if i and table is None:
+        cards |= {"PCOUNT": 0, "GCOUNT": 1}
+    return header_bytes(cards | extra) + body.ljust(-(-len(body) // BLOCK) * BLOCK, b"\0")
 
 
 def write_image(path: str, hdus: list[tuple[dict, np.ndarray | None]], rice: bool = False) -> None:
@@ -180,20 +197,26 @@ def headers(f: BinaryIO) -> Iterator[Hdu]:
 
 def read_rows(f: BinaryIO, hdu: Hdu, y0: int, y1: int) -> np.ndarray:
     """Rows y0 to y1 of the last two axes, scaled; only these are read. Whole numbers without scale stay so."""
-    width, cards = hdu.shape[-1], hdu.cards
-
-    def read(at: int, size: int) -> bytes:
-        return piece(f, hdu.at + at, size)
-
-    if hdu.tiled:
-        raw = tiled.read_rows(cards, y0, y1, read)
-    else:
-        kind = np.dtype(KINDS[int(cards["BITPIX"])])
-        raw = np.frombuffer(read(y0 * width * kind.itemsize, (y1 - y0) * width * kind.itemsize), kind).reshape(y1 - y0, width)
-        if "BLANK" in cards and kind.kind in "iu":
-            raw = np.where(raw == int(cards["BLANK"]), np.nan, raw)
-    zero, scale = float(cards.get("BZERO", 0)), float(cards.get("BSCALE", 1))
-    return raw if (zero, scale) == (0.0, 1.0) else raw * scale + zero
+    return read_many([(f, hdu, y0, y1)])[0]
+
+
+def read_many(parts: list[tuple[BinaryIO, Hdu, int, int]]) -> list[np.ndarray]:
+    """read_rows() of each of parts; tiles are decoded together."""
+    tables = [(hdu.cards, y0, y1, lambda at, size, f=f, hdu=hdu: piece(f, hdu.at + at, size)) for f, hdu, y0, y1 in parts if hdu.tiled]
+    decoded = iter(tiled.read_many(tables))
+    out = []
+    for f, hdu, y0, y1 in parts:
+        width, cards = hdu.shape[-1], hdu.cards
+        if hdu.tiled:
+            raw = next(decoded)
+        else:
+            kind = np.dtype(KINDS[int(cards["BITPIX"])])
+            raw = np.frombuffer(piece(f, hdu.at + y0 * width * kind.itemsize, (y1 - y0) * width * kind.itemsize), kind).reshape(y1 - y0, width)
+            if "BLANK" in cards and kind.kind in "iu":
+                raw = np.where(raw == int(cards["BLANK"]), np.nan, raw)
+        zero, scale = float(cards.get("BZERO", 0)), float(cards.get("BSCALE", 1))
+        out.append(raw if (zero, scale) == (0.0, 1.0) else raw * scale + zero)
+    return out
 
 
 def chosen(hdus: list[Hdu], rule: str) -> list[Hdu]:
@@ -261,7 +284,7 @@ def file_rows(path: str, wanted: Wanted, content: bytes | None = None) -> Iterat
             fs, at = located(path)
             with fs.open_input_file(at) as f:
                 yield from rows_of(f, path, wanted)
-        except (gzip.BadGzipFile, zlib.error, EOFError, ValueError, KeyError, IndexError) as e:
+        except ERRORS as e:
             raise ValueError(f"{path} can't be read: {type(e).__name__}: {e}") from e
 
     if wanted.tolerant and "error" in wanted.fields and not wanted.only:  # with `only`, nobody knows whether the file has what is asked for
@@ -345,6 +368,23 @@ def _numbers(column: pa.ListArray, i: int) -> np.ndarray:
     return column.values.slice(a, b - a).to_numpy(zero_copy_only=False)
 
 
+def _file_of(cols: dict, i: int, rice: bool) -> tuple[list[tuple[dict, np.ndarray | None]], bool]:
+    """The HDUs of the file that row i of columns stands for, and whether it has tiles; see FitsWriter."""
+    h, w = cols["h"][i].as_py(), cols["w"][i].as_py()
+    header: dict = {k: _value(v) for k, v in (cols["header"][i].as_py() or [])} if "header" in cols else {}
+    header.pop("EXTNAME", None)
+    data = _numbers(cols["data"], i).reshape(h, w)
+    image: tuple = (header | {"EXTNAME": "FLUX_SUM"}, data.astype(np.float32))
+    if (bits := header.pop("BITPIX", None)) is not None:
+        raw = (data - header.get("BZERO", 0)) / header.get("BSCALE", 1)
+        raw = np.where(np.isnan(raw), header.get("BLANK", 0), np.rint(raw)).astype("u1" if bits == 8 else f"i{bits // 8}")
+        image = (header | {"EXTNAME": "FLUX_SUM"}, raw)
+    alone = "primary" in cols and cols["primary"][i].as_py()
+    hdus = [image] if alone else [({k: v for k, v in header.items() if k not in ("BZERO", "BSCALE", "BLANK")}, None), image]
+    hdus += [({"EXTNAME": name.upper()}, _numbers(cols[name], i).reshape(h, w).astype(np.int32)) for name in ("count", "mask") if name in cols and cols[name][i].is_valid]
+    return hdus, cols["rice"][i].as_py() if "rice" in cols else rice
+
+
 class FitsWriter(DataSourceArrowWriter):
     """One file a row: key names it (with folders), header (optional) gives its cards, data its image, count and mask (optional) further ones. primary (optional): whether the image is the primary HDU, not the one after it. rice (optional): whether its whole numbers become tiles; without it, the option says so.
 
@@ -357,19 +397,7 @@ class FitsWriter(DataSourceArrowWriter):
         for batch in iterator:
             cols = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             for i in range(len(batch)):
-                h, w = cols["h"][i].as_py(), cols["w"][i].as_py()
-                header: dict = {k: _value(v) for k, v in (cols["header"][i].as_py() or [])} if "header" in cols else {}
-                header.pop("EXTNAME", None)
-                data = _numbers(cols["data"], i).reshape(h, w)
-                image: tuple = (header | {"EXTNAME": "FLUX_SUM"}, data.astype(np.float32))
-                if (bits := header.pop("BITPIX", None)) is not None:
-                    raw = (data - header.get("BZERO", 0)) / header.get("BSCALE", 1)
-                    raw = np.where(np.isnan(raw), header.get("BLANK", 0), np.rint(raw)).astype("u1" if bits == 8 else f"i{bits // 8}")
-                    image = (header | {"EXTNAME": "FLUX_SUM"}, raw)
-                alone = "primary" in cols and cols["primary"][i].as_py()
-                hdus = [image] if alone else [({k: v for k, v in header.items() if k not in ("BZERO", "BSCALE", "BLANK")}, None), image]
-                hdus += [({"EXTNAME": name.upper()}, _numbers(cols[name], i).reshape(h, w).astype(np.int32)) for name in ("count", "mask") if name in cols and cols[name][i].is_valid]
-                rice = cols["rice"][i].as_py() if "rice" in cols else self.rice
+                hdus, rice = _file_of(cols, i, self.rice)
                 fs, at = located(f"{self.path.rstrip('/')}/{cols['key'][i].as_py()}")
                 fs.create_dir(at.rpartition("/")[0], recursive=True)
                 write_image(f"{self.path.rstrip('/')}/{cols['key'][i].as_py()}.fits{'.fz' if rice else ''}", hdus, rice)  # a task that runs again writes the same file
@@ -440,3 +468,80 @@ def from_files(files: DataFrame, wanted: Wanted = Wanted(), keep: tuple[str, ...
     kinds = dict(x.split(" ", 1) for x in SCHEMA.split(", "))
     kept = [f"`{k}` {own.schema[k].dataType.simpleString()}" for k in keep]
     return own.mapInArrow(step, ", ".join([*kept, *(f"{k} {kinds[k]}" for k in wanted.fields)]))
+
+
+def to_contents(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The files that FitsWriter would write of the same rows, as path (the key with its ending) and content, for archives of many small files; with the columns `keep`."""
+    own = rows.select(*[c for c in rows.columns if c not in keep], *keep)
+
+    def step(batches):
+        for batch in batches:
+            cols = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            for a in range(0, len(batch), BATCH_FILES):
+                some = range(a, min(a + BATCH_FILES, len(batch)))
+                files = [_file_of(cols, i, False) for i in some]
+                paths = pa.array([f"{cols['key'][i].as_py()}.fits{'.fz' if rice else ''}" for i, (_, rice) in zip(some, files)], pa.string())
+                yield pa.RecordBatch.from_arrays([*(cols[k].slice(a, len(some)) for k in keep), paths, pa.array(files_bytes(files), pa.binary())], names=[*keep, "path", "content"])
+
+    ship(rows.sparkSession)
+    kept = [f"`{k}` {own.schema[k].dataType.simpleString()}" for k in keep]
+    return own.mapInArrow(step, ", ".join([*kept, "path string", "content binary"]))
+
+
+def to_pixels(sets: DataFrame, kinds: tuple[str, ...], seen: str, keep: tuple[str, ...]) -> DataFrame:
+    """Pixels of images that lie over each other: y, x and a number of each kind, where the kind `seen` has one. sets: the columns `keep`, and files (path, content) in the order of kinds, of which the HDU after the primary one is read, or that; a file that is missing is an error."""
+    own = sets.select(*keep, "files")
+
+    def opened(row: list[dict | None]) -> list[tuple[BinaryIO, Hdu]]:
+        out = []
+        for kind, file in zip(kinds, row, strict=True):
+            if file is None:
+                raise FileNotFoundError(f"no file of the kind {kind}")
+            try:
+                f: BinaryIO = io.BytesIO(file["content"])
+                f = gzip.GzipFile(fileobj=f) if file["content"][:2] == b"\x1f\x8b" else f  # type: ignore[assignment]
+                out.append((f, chosen(list(headers(f)), "second")[0]))
+            except ERRORS as e:
+                raise ValueError(f"{file['path']} can't be read: {type(e).__name__}: {e}") from e
+        if len({hdu.shape for _, hdu in out}) > 1 or len(out[0][1].shape) != 2:
+            raise ValueError(f"images of different shapes: {[(file['path'], hdu.shape) for file, (_, hdu) in zip(row, out)]}")
+        return out
+
+    def parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list]]:
+        """Rows of the batch with their images, each a run of lines at a time."""
+        for i in range(len(batch)):
+            images = opened(batch.column(len(keep))[i].as_py())
+            height, width = images[0][1].shape
+            lines = max(1, BATCH_VALUES // width)
+            for y in range(0, height, lines):
+                yield i, y, [(f, hdu, y, min(y + lines, height)) for f, hdu in images]
+
+    def together(batch: pa.RecordBatch, held: list[tuple[int, int, list]]) -> pa.RecordBatch:
+        rasters = read_many([p for _, _, own in held for p in own])
+        places, columns = [], []
+        for k, (i, y, _) in enumerate(held):
+            own = rasters[k * len(kinds) : (k + 1) * len(kinds)]
+            at = np.nonzero(~np.isnan(own[kinds.index(seen)]))
+            places.append((np.full(len(at[0]), i), at[0] + y, at[1]))
+            columns.append([r[at].astype(np.float64) for r in own])
+        row, y, x = (np.concatenate(p) for p in zip(*places))
+        kept = [batch.column(k).take(pa.array(row)) for k in range(len(keep))]
+        values = [pa.array(np.concatenate(c)) for c in zip(*columns)]
+        return pa.RecordBatch.from_arrays([*kept, pa.array(y.astype(np.int32)), pa.array(x.astype(np.int32)), *values], names=[*keep, "y", "x", *kinds])
+
+    def step(batches):
+        for batch in batches:
+            held, values = [], 0
+            for part in parts(batch):
+                size = sum((y1 - y0) * hdu.shape[-1] for _, hdu, y0, y1 in part[2])
+                if held and (values + size > BATCH_VALUES // 4 or len(held) == BATCH_FILES):
+                    yield together(batch, held)
+                    held, values = [], 0
+                held.append(part)
+                values += size
+            if held:
+                yield together(batch, held)
+
+    ship(sets.sparkSession)
+    kept = [f"`{k}` {own.schema[k].dataType.simpleString()}" for k in keep]
+    return own.mapInArrow(step, ", ".join([*kept, "y int", "x int", *(f"{k} double" for k in kinds)]))

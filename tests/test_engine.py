@@ -230,6 +230,19 @@ def test_fits_export(spark, tmp_path):
     assert got[0].header["SECTOR"] == "20" and got[1].data == [1.5, 2.5] and got[2].data == [3.0, 4.0]
 
 
+def test_rasters_at_once(spark):
+    """The same rasters as a key at a time, over more rows than are filled together; facts come in rows of their own."""
+    n = 700
+    pixels = spark.range(n * 5).selectExpr(f"cast(id % {n} as int) AS k", "cast(id % 5 as int) AS y", "cast(id % 64 as int) AS x", "if(id % 11 = 0, null, id * 0.5D) AS v", "id AS m")
+    fill = {"v": float("nan"), "m": -1.0}
+    own = pixels.unionByName(spark.range(n).selectExpr("cast(id as int) AS k", "concat('n', id) AS name"), allowMissingColumns=True)
+    key = lambda r: (r.k, r.h, r.w, np.array(r.v).tobytes(), np.array(r.m).tobytes())
+    got = rows.rasters_at_once(own, ["k"], ["name"], 5, 64, fill).collect()
+    assert sorted(map(key, got)) == sorted(map(key, rows.rasters(pixels, ["k"], 5, 64, fill).collect())) and all(r.name == f"n{r.k}" for r in got)
+    with pytest.raises(Exception, match="outside"):
+        rows.rasters_at_once(pixels.withColumn("name", F.lit("")), ["k"], ["name"], 4, 64, fill).collect()
+
+
 def test_stitching_and_smoothing(spark):
     from skyloom.plans.pipeline import stitch_and_convolve
 

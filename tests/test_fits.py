@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from skyloom.sources import fits, tiled
+from skyloom.sources import fits, store, tiled
 
 SKY = {"CTYPE1": "RA---TAN", "CTYPE2": "DEC--TAN", "CRVAL1": 1.5, "CRVAL2": 2.0}
 
@@ -191,3 +192,61 @@ def test_quantised_floats(how, kind):
     got = tiled.read_rows(cards, 1, 6, lambda at, n: data[at : at + n])
     assert np.isnan(got[0, 3]) and np.nanmax(np.abs(got - a[1:])) <= scale / 2 + 1e-5
     assert how != "SUBTRACTIVE_DITHER_2" or got[1, 4] == 0.0
+
+
+def test_many_files_together_are_the_files_alone():
+    r = np.random.default_rng(5)
+    images = [r.integers(-300, 300, shape).astype(kind) for kind in (np.int16, np.int32, np.uint8, np.uint16) for shape in ((4, 40), (4, 40), (7, 33), (1, 5))] + [r.normal(size=(4, 40))]
+    files = [([({}, None), (SKY | {"BSCALE": 0.5}, a)], rice) for a in images for rice in (True, False)]
+    content = fits.files_bytes(files)
+    assert content == [fits.file_bytes(*f) for f in files]
+    parts = [(io.BytesIO(c), fits.chosen(list(fits.headers(io.BytesIO(c))), "second")[0], 0, a.shape[0]) for c, (((_, (_, a))), _) in zip(content, files)]
+    for got, (_, (_, a)) in zip(fits.read_many(parts), (f[0] for f in files)):
+        assert np.array_equal(got, a if a.dtype == np.uint16 else a * 0.5)
+
+
+def test_archives_of_many_files(spark):
+    """Small files share those of an archive, each comes from the first place that has it, and one that is missing or broken is an error."""
+    fits.register(spark)
+    a = np.arange(64.0 * 64).reshape(64, 64) % 7
+    rows = [(i, f"2000/{i}/c{i}.{kind}", 64, 64, (a + i + shift).ravel().tolist(), {"BITPIX": "16"}, kind != "wt", place) for i in range(60) for place, shift in (("near", 0), ("far", 100), ("else", 200)) for kind in ("image", "wt") if place != "near" or i % 2]
+    files = fits.to_contents(spark.createDataFrame(rows, "cell int, key string, h int, w int, data array<double>, header map<string,string>, rice boolean, place string"), ("cell", "place", "rice"))
+    archive = store.write_archive(files.repartition(2, "cell"), ["cell"], 2)
+    where = [Path(p.removeprefix("file://")) for p in archive.inputFiles()]
+    assert len(where) == 6 and sum(p.stat().st_size for p in where) < sum(len(c.content) for c in files.select("content").collect()) / 5
+    wanted = lambda *ends: spark.range(60).selectExpr("cast(id as int) AS cell", f"array({', '.join(f"concat('c', id, '.{e}.fits')" for e in ends)}) AS names").repartition(2, "cell")
+    found = store.nearest_contents(wanted("image", "wt", "none"), archive, ["cell"], ["near", "far"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # of the names: contents stay where they are
+    got = {r.cell: r.files for r in found.collect()}
+    assert len(got) == 60 and all(f[0].path == f"2000/{i}/c{i}.image.fits.fz" and f[1].path == f"2000/{i}/c{i}.wt.fits" and f[2] is None for i, f in got.items())
+    pixels = fits.to_pixels(store.nearest_contents(wanted("image", "wt"), archive, ["cell"], ["near", "far"]), ("v", "w"), "w", ("cell",)).collect()
+    assert len(pixels) == 60 * 64 * 64 and all(r.v == r.w == (r.y * 64 + r.x) % 7 + r.cell + (0 if r.cell % 2 else 100) for r in pixels)
+    with pytest.raises(Exception, match="no file of the kind w"):
+        fits.to_pixels(found.select("cell", F.expr("array(files[0], files[2])").alias("files")), ("v", "w"), "w", ("cell",)).collect()
+    for name, change in (("can't be read", "substring(files[0].content, 1, 6000)"), ("can't be read", "cast('text' AS binary)")):
+        broken = found.selectExpr("cell", f"array(named_struct('path', files[0].path, 'content', {change}), files[1]) AS files")
+        with pytest.raises(Exception, match=name):
+            fits.to_pixels(broken, ("v", "w"), "w", ("cell",)).collect()
+
+
+def test_pixels_of_images_larger_than_a_batch(spark):
+    a = np.full((1100, 1000), np.nan)
+    a[::100, ::100] = np.arange(110).reshape(11, 10)
+    one = [("x.fits", fits.file_bytes([({}, a)])), ("y.fits.gz", gzip.compress(fits.file_bytes([({}, None), ({}, np.nan_to_num(a) + 1)]), 1))]
+    small = [("s.fits", fits.file_bytes([({}, a[:2, :2])]))] * 2
+    df = spark.createDataFrame([(1, one), (2, small)], "id int, files array<struct<path string, content binary>>").coalesce(1)
+    got = fits.to_pixels(df, ("v", "w"), "v", ("id",)).collect()
+    assert sorted(r[:] for r in got) == [(1, y * 100, x * 100, y * 10.0 + x, y * 10.0 + x + 1) for y in range(11) for x in range(10)] + [(2, 0, 0, 0.0, 0.0)]
+    with pytest.raises(Exception, match="different shapes"):
+        fits.to_pixels(spark.createDataFrame([(1, [one[0], small[0]])], df.schema), ("v", "w"), "v", ("id",)).collect()
+
+
+def test_band_fetch_has_no_file_for_each_image(spark):
+    from skyloom.plans import registry
+
+    top = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")) / "skyloom-stores"
+    before = {p for p in top.rglob("*") if p.is_file()}
+    assert registry.queries()["band_fetch"](spark, "/root/testdata/sf0.001").count() > 5000
+    new = [p for p in top.rglob("*") if p.is_file() and p not in before]
+    assert len(new) < 40 and not any(".fits" in p.name for p in new)  # 10 cells have 167 survey files
