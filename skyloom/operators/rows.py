@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..constants import CELL_OVERLAP, EDGE_EXCLUSION, PAD_SIZE, PSF_RADIUS, PSF_SIGMA, SIDES
 from ..functions import wcs
 from ..shipping import ship
+from ..sources.work import settled
 
-#: Values of rasters that are filled together.
+#: Values of rasters that are filled together, and pixels of a task that are dealt together.
 MANY_VALUES = 1 << 20
 
 
@@ -212,34 +213,74 @@ def rasters(pixels: DataFrame, keys: list[str], height: int, width: int, fill: d
     return own.groupBy(*keys).applyInArrow(scatter, f"{kinds}, h int, w int, " + ", ".join(f"{n} array<double>" for n in fill))
 
 
-def rasters_at_once(pixels: DataFrame, keys: list[str], facts: list[str], height: int, width: int, fill: dict[str, float]) -> DataFrame:
-    """rasters() of many keys with small rasters: Spark lists the pixels of each, and Python fills many rasters at a time. A key has the greatest of each of its facts; a row without y brings facts alone, so that they need no join."""
+def rasters_at_once(pixels: DataFrame, keys: list[str], facts: list[str], height: int, width: int, fill: dict[str, float], parts: int) -> DataFrame:
+    """rasters() of very many keys (whole numbers) with small rasters. They are dealt as a table of `parts` buckets by keys is, and a task fills those of a bucket together. A row without y brings the key's facts, which need no join then.
+
+    What is shuffled are pieces, not rows: the pixels of a bucket in a task, sorted and compressed, a quarter of the bytes. They are a table before, so that the shuffles behind pixels are gone by then."""
     size = height * width
     at_once = max(1, MANY_VALUES // (size * len(fill)))
-    pixel = F.struct((F.col("y").cast("int") * width + F.col("x").cast("int")).alias("at"), *(F.col(n).cast("double").alias(n) for n in fill))
-    own = pixels.groupBy(*keys).agg(*(F.max(f).alias(f) for f in facts), F.collect_list(F.when(F.col("y").isNotNull(), pixel)).alias("pixels"))
-    kept = [*keys, *facts]
-
-    def step(batches):
+    part = F.pmod(F.hash(*keys), F.lit(parts)).alias("part")
+    own = pixels.dropna(subset=keys).select(part, *keys, *facts, F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), *(F.col(n).cast("double").alias(n) for n in fill))
+
+    def number(table: pa.Table, name: str) -> np.ndarray:
+        return table[name].to_numpy(zero_copy_only=False)
+
+    def packed(table: pa.Table) -> pa.RecordBatch:
+        table = table.take(pa.array(np.lexsort([number(table, c) for c in ("x", "y", *keys[::-1], "part")]))).combine_chunks()
+        of = number(table, "part")
+        starts = np.flatnonzero(np.diff(of, prepend=-1)).tolist()
+        pieces = []
+        for i, j in zip(starts, [*starts[1:], len(of)]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(table.slice(i, j - i))
+            pieces.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(of[starts], pa.int32()), pa.array(pieces, pa.binary())], names=["part", "piece"])
+
+    def pack(batches):
+        held, n = [], 0
         for batch in batches:
-            for a in range(0, len(batch), at_once):
-                part = batch.slice(a, at_once)
-                lists = part.column(len(kept))
-                at, *values = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
-                if len(at) and not 0 <= at.min() <= at.max() < size:
-                    raise ValueError(f"a pixel outside of {height} x {width}")
-                place = np.repeat(np.arange(len(part)) * np.int64(size), lists.value_lengths().to_numpy(zero_copy_only=False)) + at
-                cols = {k: part.column(i) for i, k in enumerate(kept)} | {"h": pa.array([height] * len(part), pa.int32()), "w": pa.array([width] * len(part), pa.int32())}
-                ends = pa.array(np.arange(len(part) + 1) * size, pa.int32())
-                for (name, empty), own_values in zip(fill.items(), values, strict=True):
-                    out = np.full(len(part) * size, empty, np.float64)
-                    out[place] = own_values
-                    cols[name] = pa.ListArray.from_arrays(ends, pa.array(out))
-                yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+            held.append(batch)
+            n += len(batch)
+            if n >= MANY_VALUES:
+                yield packed(pa.Table.from_batches(held))
+                held, n = [], 0
+        if n:
+            yield packed(pa.Table.from_batches(held))
+
+    def filled(batches):
+        pieces = [pa.ipc.open_stream(piece.as_py()).read_all() for batch in batches for piece in batch.column(0)]
+        if not pieces:
+            return
+        table = pa.concat_tables(pieces)
+        table = table.take(pa.array(np.lexsort([number(table, k) for k in keys[::-1]]))).combine_chunks()
+        first = np.any([np.diff(number(table, k), prepend=number(table, k)[0] - 1) != 0 for k in keys], axis=0)
+        key = np.cumsum(first) - 1
+        heads = {k: table[k].filter(pa.array(first)).combine_chunks() for k in keys}
+        for fact in facts:
+            has = np.flatnonzero(table[fact].is_valid().to_numpy(zero_copy_only=False))
+            row = np.full(key[-1] + 1, -1)
+            row[key[has]] = has
+            heads[fact] = table[fact].combine_chunks().take(pa.array(row, mask=row < 0))
+        seen = table["y"].is_valid().to_numpy(zero_copy_only=False)
+        y, x = number(table, "y")[seen].astype(np.int64), number(table, "x")[seen].astype(np.int64)
+        if len(y) and not (0 <= y.min() and y.max() < height and 0 <= x.min() and x.max() < width):
+            raise ValueError(f"a pixel outside of {height} x {width}")
+        key, at, values = key[seen], y * width + x, {name: number(table, name)[seen] for name in fill}
+        for a in range(0, len(row_keys := heads[keys[0]]), at_once):
+            n = min(at_once, len(row_keys) - a)
+            i, j = np.searchsorted(key, [a, a + n])
+            cols = {k: c.slice(a, n) for k, c in heads.items()} | {"h": pa.array([height] * n, pa.int32()), "w": pa.array([width] * n, pa.int32())}
+            for name, empty in fill.items():
+                out = np.full(n * size, empty, np.float64)
+                out[(key[i:j] - a) * size + at[i:j]] = values[name][i:j]
+                cols[name] = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), pa.array(out))
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
     ship(pixels.sparkSession)
-    kinds = ", ".join(f"`{k}` {own.schema[k].dataType.simpleString()}" for k in kept)
-    return own.mapInArrow(step, f"{kinds}, h int, w int, " + ", ".join(f"{n} array<double>" for n in fill))
+    kinds = ", ".join(f"`{k}` {own.schema[k].dataType.simpleString()}" for k in [*keys, *facts])
+    pieces = settled(own.mapInArrow(pack, "part int, piece binary"), "pieces")
+    return pieces.repartitionById(parts, F.col("part")).select("piece").mapInArrow(filled, f"{kinds}, h int, w int, " + ", ".join(f"{n} array<double>" for n in fill))
 
 
 def edge_to_nan(value, y, x, height: int, width: int, edge: int = EDGE_EXCLUSION):

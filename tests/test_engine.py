@@ -237,10 +237,10 @@ def test_rasters_at_once(spark):
     fill = {"v": float("nan"), "m": -1.0}
     own = pixels.unionByName(spark.range(n).selectExpr("cast(id as int) AS k", "concat('n', id) AS name"), allowMissingColumns=True)
     key = lambda r: (r.k, r.h, r.w, np.array(r.v).tobytes(), np.array(r.m).tobytes())
-    got = rows.rasters_at_once(own, ["k"], ["name"], 5, 64, fill).collect()
+    got = rows.rasters_at_once(own, ["k"], ["name"], 5, 64, fill, 3).collect()
     assert sorted(map(key, got)) == sorted(map(key, rows.rasters(pixels, ["k"], 5, 64, fill).collect())) and all(r.name == f"n{r.k}" for r in got)
     with pytest.raises(Exception, match="outside"):
-        rows.rasters_at_once(pixels.withColumn("name", F.lit("")), ["k"], ["name"], 4, 64, fill).collect()
+        rows.rasters_at_once(pixels.withColumn("name", F.lit("")), ["k"], ["name"], 4, 64, fill, 3).collect()
 
 
 def test_stitching_and_smoothing(spark):
